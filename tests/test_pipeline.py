@@ -1,0 +1,238 @@
+from __future__ import annotations
+
+import json
+import random
+from datetime import date, datetime, timezone
+from decimal import Decimal
+
+import pytest
+from helpers import at, bar, day, tuples
+
+from tidemark.operators import upsert
+from tidemark.plans import consumer, pipeline, refresh
+from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
+from tidemark.quality.checks import QualityError
+from tidemark.schemas import MACRO_FEED, PRICES_FEED
+from tidemark.sources.bronze import IngestionError, land
+from tidemark.sources.files import exists
+from tidemark.sources.samples import write_samples
+from tidemark.sources.tables import Warehouse, register_databases
+from tidemark.streaming.silver_stream import stream_silver
+
+SEED = (
+    "ticker,company_name,sector,exchange,effective_date\n"
+    "AAPL,Apple Inc.,{apple},NASDAQ,2026-08-01\n"
+    "MSFT,Microsoft Corp.,Technology,NASDAQ,2026-08-01\n"
+    "GOOGL,Alphabet Inc.,Communication Services,NASDAQ,2026-08-01\n"
+)
+
+
+@pytest.fixture
+def config(spark, tmp_path):
+    write_samples(spark, f"{tmp_path}/bronze", date(2026, 9, 1))
+    (tmp_path / "seed.csv").write_text(SEED.format(apple="Technology"))
+    return pipeline.Config(
+        bronze=f"{tmp_path}/bronze",
+        warehouse=f"{tmp_path}/warehouse",
+        seed=f"{tmp_path}/seed.csv",
+        as_of=date(2026, 9, 2),
+    )
+
+
+def test_whole_build(spark, config, tmp_path):
+    tables = pipeline.build(spark, config, run_at=at("2026-08-01"))
+    assert {name: df.count() for name, df in tables.items()} == {
+        "company_metadata": 3,
+        "dim_company_snapshot": 3,
+        "dim_company": 3,
+        "stg_stock_prices": 30,
+        "stg_macro_indicators": 11,
+        "daily_price_summary": 30,
+        "sector_performance": 20,
+        "macro_market_correlation": 10,
+    }
+    last = tables["macro_market_correlation"].orderBy("trade_date").collect()[-1]
+    assert last["macro_observation_date"] == day("2026-04-01")
+    assert (last["gdp"], last["cpi"]) == (Decimal(27500), None)
+    # Consumers find the tables by plain name and by layer.
+    assert spark.sql("SELECT count(*) FROM daily_price_summary WHERE ticker = 'AAPL'").first()[0] == 10
+    register_databases(spark, Warehouse(config.warehouse), pipeline.STORED)
+    assert spark.table("main_silver.stg_stock_prices").count() == 30
+    assert spark.table("main_gold.sector_performance").count() == 20
+
+    # A company changes sector; the next build keeps history and reclassifies from that day on.
+    (tmp_path / "seed.csv").write_text(SEED.format(apple="Health Care"))
+    tables = pipeline.build(spark, config, run_at=at("2026-08-25T12:00:00"))
+    versions = consumer.company_history(tables["dim_company"], "AAPL").collect()
+    assert [(v["sector"], v["is_current"]) for v in versions] == [
+        ("Technology", False), ("Health Care", True),
+    ]
+    sectors = tables["sector_performance"]
+    assert {r["trade_date"].day for r in sectors.filter("sector = 'Health Care'").collect()} == set(
+        range(25, 30)
+    )
+    assert tuples(sectors.filter("trade_date = '2026-08-24'"), "sector", "num_companies") == [
+        ("Communication Services", 1), ("Technology", 2),
+    ]
+
+
+def test_prices_before_the_first_snapshot_drop_out_of_the_sector_mart(spark, config):
+    tables = pipeline.build(spark, config, run_at=at("2026-09-02"))
+    assert tables["sector_performance"].isEmpty()
+    assert tables["macro_market_correlation"].count() == 10
+
+
+def test_a_failed_test_stops_the_build(spark, config):
+    broken = {"Time Series (Daily)": {"2026-08-20": {k: v for k, v in bar(1).items() if k != "1. open"}}}
+    landed = spark.createDataFrame([("ZZZ", json.dumps(broken))], "ticker string, raw_payload string")
+    land(landed, config.bronze, PRICES_FEED, datetime(2026, 9, 2, tzinfo=timezone.utc))
+    with pytest.raises(QualityError, match="open_price"):
+        pipeline.build(spark, config, run_at=at("2026-08-01"))
+    warehouse = Warehouse(config.warehouse)
+    assert exists(spark, warehouse.path("stg_stock_prices"))
+    assert not exists(spark, warehouse.path("daily_price_summary"))
+
+
+def test_ingest_from_staged_files(spark, tmp_path):
+    prices, macro = tmp_path / "prices", tmp_path / "macro"
+    prices.mkdir(), macro.mkdir()
+    (prices / "A.json").write_text(json.dumps({"Time Series (Daily)": {"2026-01-05": bar(1)}}))
+    (prices / "B.json").write_text(json.dumps({"Note": "limit"}))
+    (macro / "GDP.json").write_text(json.dumps({"observations": [{"date": "2026-01-01", "value": "1"}]}))
+    config = pipeline.Config(f"{tmp_path}/bronze", f"{tmp_path}/w", as_of=date(2026, 1, 6))
+    stamp = datetime(2026, 1, 5, 22, tzinfo=timezone.utc)
+    reports = pipeline.ingest(spark, str(prices), str(macro), config, stamp)
+    assert [(r.landed, r.rejected) for r in reports] == [(1, 1), (1, 0)]
+    stale = pipeline.Config(config.bronze, config.warehouse, as_of=date(2026, 2, 6))
+    with pytest.raises(QualityError, match="days stale"):
+        pipeline.ingest(spark, str(prices), str(macro), stale, stamp)
+    (macro / "CPI.json").write_text("{}")
+    with pytest.raises(IngestionError):
+        pipeline.ingest(spark, str(prices), str(macro), config, stamp)
+
+
+def land_random_days(spark, bronze, days=4, seed=7):
+    """Overlapping pulls over two years, with restated values and missing observations."""
+    rng = random.Random(seed)
+    dates = [f"{y}-{m:02d}-{d:02d}" for y in (2025, 2026) for m in (1, 6, 12) for d in (1, 2, 15)]
+    for pull in range(1, days + 1):
+        stamp = datetime(2026, 12, pull, 22, tzinfo=timezone.utc)
+        prices = [
+            (t, json.dumps({"Time Series (Daily)": {
+                d: bar(rng.randint(10, 99)) for d in rng.sample(dates, 6)}}))
+            for t in "ABC"
+        ]
+        macro = [
+            (s, json.dumps({"observations": [
+                {"date": d, "value": rng.choice(["1.5", "2.5", ".", "x"])} for d in rng.sample(dates, 5)]}))
+            for s in ("GDP", "CPIAUCSL")
+        ]
+        land(spark.createDataFrame(prices, "ticker string, raw_payload string"), bronze, PRICES_FEED, stamp)
+        land(spark.createDataFrame(macro, "series_id string, raw_payload string"), bronze, MACRO_FEED, stamp)
+
+
+@pytest.fixture(scope="module")
+def pulls(spark, tmp_path_factory):
+    bronze = str(tmp_path_factory.mktemp("pulls"))
+    land_random_days(spark, bronze)
+    return bronze
+
+
+@pytest.fixture(scope="module")
+def rebuilt(spark, pulls, tmp_path_factory):
+    """Expected contents of both silver tables, from a full rebuild."""
+    warehouse = Warehouse(str(tmp_path_factory.mktemp("rebuilt")))
+    for table in (PRICES, MACRO):
+        rebuild_silver(spark, pulls, table, warehouse)
+    return {t.name: tuples(read_silver(spark, t, warehouse), "*") for t in (PRICES, MACRO)}
+
+
+def pull_day(n):
+    return date(2026, 12, n)
+
+
+@pytest.mark.parametrize("order", [[(1, 2), (3, 4)], [(3, 4), (1, 2)], [(1, 4), (1, 4)]])
+def test_refresh_equals_rebuild_in_any_order(spark, pulls, rebuilt, tmp_path, order):
+    warehouse = Warehouse(str(tmp_path))
+    for since, until in order:
+        refresh_silver(spark, pulls, PRICES, warehouse, pull_day(since), pull_day(until))
+    assert tuples(read_silver(spark, PRICES, warehouse), "*") == rebuilt[PRICES.name]
+
+
+def test_macro_refresh_equals_rebuild(spark, pulls, rebuilt, tmp_path):
+    warehouse = Warehouse(str(tmp_path))
+    refresh_silver(spark, pulls, MACRO, warehouse, until=pull_day(2))
+    refresh_silver(spark, pulls, MACRO, warehouse, since=pull_day(3))
+    assert tuples(read_silver(spark, MACRO, warehouse), "*") == rebuilt[MACRO.name]
+
+
+def test_refresh_leaves_other_periods_alone(spark, tmp_path):
+    bronze, warehouse = f"{tmp_path}/b", Warehouse(f"{tmp_path}/w")
+
+    def pull(when, stamp_day):
+        payload = json.dumps({"Time Series (Daily)": {when: bar(1)}})
+        rows = spark.createDataFrame([("A", payload)], "ticker string, raw_payload string")
+        land(rows, bronze, PRICES_FEED, datetime(2026, 12, stamp_day, tzinfo=timezone.utc))
+        refresh_silver(spark, bronze, PRICES, warehouse, since=pull_day(stamp_day))
+
+    pull("2026-01-05", 1)
+    folder = tmp_path / "w" / "silver" / "stg_stock_prices" / "period=2026-01"
+    before = {f.name for f in folder.glob("*.parquet")}
+    pull("2026-02-05", 2)
+    assert {f.name for f in folder.glob("*.parquet")} == before
+    assert read_silver(spark, PRICES, warehouse).count() == 2
+
+
+def test_interrupted_publication_is_finished_by_the_next_refresh(
+    spark, pulls, rebuilt, tmp_path, monkeypatch
+):
+    """The driver dies after staging: the next refresh publishes what was staged, then goes on."""
+    warehouse = Warehouse(str(tmp_path))
+    refresh_silver(spark, pulls, PRICES, warehouse, until=pull_day(2))
+    finish, calls = upsert._finish_pending, []
+
+    def die_when_publishing(*args):
+        calls.append(args)
+        if len(calls) == 2:
+            raise RuntimeError("driver lost")
+        finish(*args)
+
+    monkeypatch.setattr(upsert, "_finish_pending", die_when_publishing)
+    with pytest.raises(RuntimeError):
+        refresh_silver(spark, pulls, PRICES, warehouse, pull_day(3), pull_day(3))
+    monkeypatch.setattr(upsert, "_finish_pending", finish)
+    # Half of the folders were already removed when it died.
+    for folder in list((tmp_path / "silver" / "stg_stock_prices").glob("period=2026-*")):
+        for file in folder.iterdir():
+            file.unlink()
+    refresh_silver(spark, pulls, PRICES, warehouse, pull_day(4), pull_day(4))
+    assert tuples(read_silver(spark, PRICES, warehouse), "*") == rebuilt[PRICES.name]
+
+
+def test_stream_equals_rebuild(spark, pulls, rebuilt, tmp_path):
+    warehouse = Warehouse(f"{tmp_path}/w")
+    for table in (PRICES, MACRO):
+        for _ in range(2):  # a second run finds nothing new
+            stream_silver(
+                spark, pulls, table, warehouse, f"{tmp_path}/{table.name}", max_files_per_trigger=3
+            ).awaitTermination()
+        assert tuples(read_silver(spark, table, warehouse), "*") == rebuilt[table.name]
+
+
+def test_incremental_build_equals_full_build(spark, pulls, rebuilt, tmp_path):
+    seed = tmp_path / "seed.csv"
+    seed.write_text(SEED.format(apple="Technology"))
+    warehouse = Warehouse(f"{tmp_path}/w")
+    refresh_silver(spark, pulls, PRICES, warehouse, until=pull_day(3))
+    refresh_silver(spark, pulls, MACRO, warehouse, until=pull_day(3))
+    config = pipeline.Config(pulls, warehouse.root, str(seed), incremental_since=pull_day(4))
+    tables = pipeline.build(spark, config, run_at=at("2026-01-01"))
+    assert tuples(tables["stg_stock_prices"], "*") == rebuilt[PRICES.name]
+    assert tuples(tables["stg_macro_indicators"], "*") == rebuilt[MACRO.name]
+
+
+def test_build_job(spark, config, capsys):
+    arguments = ["--bronze", config.bronze, "--warehouse", config.warehouse, "--seed", config.seed]
+    assert pipeline.main(arguments) == 0
+    assert "Built company_metadata" in capsys.readouterr().out
+    assert refresh.read_silver(spark, PRICES, Warehouse(config.warehouse)).count() == 30

@@ -33,39 +33,24 @@ def scd2_merge(
 
     Both sides hold one row per key, so no group can grow hot.
     """
-    columns = incoming.columns
     run = F.lit(as_of).cast("timestamp")
-    old = open_rows.select(F.struct(*columns, *META_COLUMNS).alias("old"))
-    new = incoming.select(F.struct(*columns).alias("new"))
+    old = open_rows.select(F.struct(*incoming.columns, *META_COLUMNS).alias("old"))
+    new = incoming.select(F.struct("*").alias("new"))
     joined = old.join(new, F.col(f"old.{key}") == F.col(f"new.{key}"), "full_outer")
 
-    differs = reduce(
-        Column.__or__, [~F.col(f"old.{c}").eqNullSafe(F.col(f"new.{c}")) for c in check_cols]
+    before, after = F.col("old"), F.col("new")
+    differs = reduce(Column.__or__, [~before[c].eqNullSafe(after[c]) for c in check_cols])
+    opened = F.struct(
+        F.col("new.*"),
+        _version_id(after[key], run).alias("dbt_scd_id"),
+        run.alias("dbt_updated_at"),
+        run.alias("dbt_valid_from"),
+        F.lit(None).cast("timestamp").alias("dbt_valid_to"),
     )
-    is_new = F.col("old").isNull()
-    changed = F.col("old").isNotNull() & F.col("new").isNotNull() & differs
-
-    def version(side: str, meta: dict[str, Column]) -> Column:
-        kept = [F.col(f"{side}.{c}").alias(c) for c in columns]
-        return F.struct(*kept, *[meta[c].alias(c) for c in META_COLUMNS])
-
-    never = F.lit(None).cast("timestamp")
-    old_meta = {c: F.col(f"old.{c}") for c in META_COLUMNS}
-    opened = version(
-        "new",
-        {
-            "dbt_scd_id": _version_id(F.col(f"new.{key}"), run),
-            "dbt_updated_at": run,
-            "dbt_valid_from": run,
-            "dbt_valid_to": never,
-        },
-    )
-    kept = version("old", old_meta)
-    closed = version("old", {**old_meta, "dbt_valid_to": run})
     outcome = (
-        F.when(is_new, F.array(opened))
-        .when(changed, F.array(closed, opened))
-        .otherwise(F.array(kept))
+        F.when(before.isNull(), F.array(opened))
+        .when(after.isNotNull() & differs, F.array(before.withField("dbt_valid_to", run), opened))
+        .otherwise(F.array(before))
     )
     return joined.select(F.inline(outcome))
 

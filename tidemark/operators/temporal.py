@@ -34,10 +34,11 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str) ->
     """Left join of each row with the latest right row dated on or before it.
 
     ``right`` has one row per date. Each right row is spread over the days until the next one,
-    which turns the as-of condition into an equality on the day: an ordinary equi-join that
-    Spark can broadcast when small and shuffle when not, and left rows pass through it once.
-    Days after the last right row are clamped to it. Both the window and the day table are
-    bounded by the calendar, not by the number of rows joined.
+    which turns the as-of condition into an equality on the day; days after the last right row
+    are clamped to it. The day table holds one row per calendar day between the first and the
+    last right date, whatever the size of ``left``. With that bound it can be broadcast: left
+    rows are neither shuffled nor sorted, and a day that holds a large share of them is no
+    hotter than any other. The window that finds the next date runs over the right dates only.
     """
     following = F.lead(right_on).over(Window.orderBy(right_on))
     last_day = F.greatest(F.date_sub(F.col("_next"), 1), F.col(right_on))
@@ -45,8 +46,8 @@ def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str) ->
         "_day", F.explode(F.sequence(F.col(right_on), last_day))
     )
     latest = right.agg(F.max(right_on)).scalar()
-    lookup_day = F.least(F.col(left_on), latest)
+    # ``least`` ignores NULLs, but a row without a date has no right row.
+    lookup_day = F.when(F.col(left_on).isNotNull(), F.least(F.col(left_on), latest))
     keyed = left.withColumn("_lookup_day", lookup_day)
-    return keyed.join(by_day, F.col("_lookup_day") == F.col("_day"), "left").drop(
-        "_lookup_day", "_day", "_next"
-    )
+    joined = keyed.join(F.broadcast(by_day), F.col("_lookup_day") == F.col("_day"), "left")
+    return joined.drop("_lookup_day", "_day", "_next")

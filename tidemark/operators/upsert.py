@@ -1,4 +1,4 @@
-"""Incremental upsert into a table partitioned by month."""
+"""Incremental upsert into a table stored by period."""
 
 from __future__ import annotations
 
@@ -9,9 +9,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.dedup import latest_by
-from tidemark.sources.tables import MONTH, read_or_empty, with_month
-
-_PENDING = T.StructType([T.StructField("pending", T.BooleanType())])
+from tidemark.sources.files import exists, mark, unmark
+from tidemark.sources.tables import PERIOD, read_or_empty, with_period
 
 
 def upsert_latest(
@@ -20,56 +19,59 @@ def upsert_latest(
     staging: str,
     keys: Sequence[str],
     date: str,
+    period: str,
     recency: str,
     tie_break: Sequence[str],
 ) -> None:
     """Merge ``updates`` into the table at ``path``; per key the most recent row wins.
 
-    The date is part of the key, so a key never leaves its month: only months with updates are
+    The date is part of the key, so a key never leaves its period: only periods with updates are
     read, merged and replaced. The choice between stored and new row uses the same ordering as a
     full rebuild, so both end with the same rows, and merging the same updates twice changes
     nothing.
 
-    The merged months are first written in full to ``staging``, noted as pending, and published
-    from there, so the months being replaced are never read by the job that replaces them. If
+    The merged periods are first written in full to ``staging``, noted as pending, and published
+    from there, so the periods being replaced are never read by the job that replaces them. If
     the driver dies while publishing, the next call finishes that publication before it reads
     the table again.
     """
     spark = updates.sparkSession
-    stored_schema = T.StructType([*updates.schema.fields, T.StructField(MONTH, T.StringType())])
-    _finish_pending(spark, path, staging, stored_schema)
-
-    fresh_path = f"{staging}/updates"
-    _write_months(with_month(latest_by(updates, keys, recency, tie_break), date), fresh_path)
-    fresh = read_or_empty(spark, fresh_path, stored_schema)
-    # Distinct folder names, at most twelve per calendar year.
-    touched = [row[0] for row in fresh.select(MONTH).distinct().collect()]
+    schema = T.StructType([*updates.schema.fields, T.StructField(PERIOD, T.StringType())])
+    _finish_pending(spark, path, staging, schema)
+
+    fresh = _stage(
+        with_period(latest_by(updates, keys, recency, tie_break), date, period),
+        f"{staging}/updates",
+    )
+    # At most twelve values per calendar year.
+    touched = [row[0] for row in fresh.select(PERIOD).distinct().collect()]
     if not touched:
         return
-    stored = read_or_empty(spark, path, stored_schema).filter(F.col(MONTH).isin(touched))
-    merged = latest_by(stored.unionByName(fresh), [*keys, MONTH], recency, tie_break)
-    _write_months(merged, f"{staging}/merged")
-    _note_pending(spark, staging, True)
-    _finish_pending(spark, path, staging, stored_schema)
-
+    stored = read_or_empty(spark, path, schema).filter(F.col(PERIOD).isin(touched))
+    _stage(
+        latest_by(stored.unionByName(fresh), keys, recency, tie_break),
+        f"{staging}/merged",
+    )
+    mark(spark, f"{staging}/pending")
+    _finish_pending(spark, path, staging, schema)
 
-def _write_months(df: DataFrame, path: str, overwrite: str = "static") -> None:
-    """Write one folder per month; AQE merges small months' files and splits large ones."""
-    df.hint("rebalance", F.col(MONTH)).write.mode("overwrite").option(
-        "partitionOverwriteMode", overwrite
-    ).partitionBy(MONTH).parquet(path)
 
-
-def _note_pending(spark: SparkSession, staging: str, pending: bool) -> None:
-    note = spark.createDataFrame([(pending,)], _PENDING).coalesce(1)
-    note.write.mode("overwrite").parquet(f"{staging}/pending")
+def _stage(rows: DataFrame, path: str) -> DataFrame:
+    rows.write.mode("overwrite").parquet(path)
+    return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
 def _finish_pending(spark: SparkSession, path: str, staging: str, schema: T.StructType) -> None:
-    """Publish merged months that were staged but perhaps not, or not fully, published."""
-    note = read_or_empty(spark, f"{staging}/pending", _PENDING).first()
-    if note is None or not note["pending"]:
+    """Publish merged periods that were staged but perhaps not, or not fully, published.
+
+    Only the folders of those periods are replaced; the rebalance hint brings the rows of a
+    period together, and lets AQE split a period that is too large for one file.
+    """
+    pending = f"{staging}/pending"
+    if not exists(spark, pending):
         return
     merged = spark.read.schema(schema).parquet(f"{staging}/merged")
-    _write_months(merged, path, overwrite="dynamic")
-    _note_pending(spark, staging, False)
+    merged.hint("rebalance", F.col(PERIOD)).write.mode("overwrite").option(
+        "partitionOverwriteMode", "dynamic"
+    ).partitionBy(PERIOD).parquet(path)
+    unmark(spark, pending)

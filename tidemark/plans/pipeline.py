@@ -28,7 +28,14 @@ from tidemark.session import build_session
 from tidemark.sources.bronze import IngestionError, LandingReport, land, read_bronze, read_staged
 from tidemark.sources.seeds import read_seed
 from tidemark.sources.snapshots import SnapshotTable
-from tidemark.sources.tables import MONTH, Warehouse, register_databases, register_views, with_month
+from tidemark.sources.tables import (
+    MONTHLY,
+    PERIOD,
+    Warehouse,
+    register_databases,
+    register_views,
+    with_period,
+)
 
 # Tables that are stored as they are read; the snapshot and its view need its run folders resolved.
 STORED = [
@@ -92,9 +99,11 @@ def build(
     metadata = seed if seed is not None else read_seed(spark, config.seed)
     tables["company_metadata"] = warehouse.replace(metadata, "company_metadata")
 
-    tables["dim_company_snapshot"] = company_snapshot(warehouse).run(
+    snapshot = company_snapshot(warehouse)
+    snapshot.run(
         tables["company_metadata"], run_at or datetime.now(timezone.utc).replace(tzinfo=None)
     )
+    tables["dim_company_snapshot"] = snapshot.history(spark)
     tables["dim_company"] = silver.dim_company(tables["dim_company_snapshot"])
 
     for table in (PRICES, MACRO):
@@ -106,10 +115,12 @@ def build(
         check_table(tables[table.name], table.name)
 
     tables["daily_price_summary"] = warehouse.replace(
-        with_month(gold.daily_price_summary(tables["stg_stock_prices"]), "trade_date"),
+        with_period(
+            gold.daily_price_summary(tables["stg_stock_prices"]), "trade_date", MONTHLY
+        ),
         "daily_price_summary",
-        partition_by=[MONTH],
-    ).drop(MONTH)
+        partition_by=[PERIOD],
+    ).drop(PERIOD)
     tables["sector_performance"] = warehouse.replace(
         gold.sector_performance(tables["daily_price_summary"], tables["dim_company"]),
         "sector_performance",

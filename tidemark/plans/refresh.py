@@ -14,7 +14,7 @@ from tidemark.operators.upsert import upsert_latest
 from tidemark.plans import silver
 from tidemark.schemas import MACRO_FEED, PRICES_FEED, Feed
 from tidemark.sources.bronze import read_bronze
-from tidemark.sources.tables import MONTH, Warehouse, with_month
+from tidemark.sources.tables import MONTHLY, PERIOD, YEARLY, Warehouse, with_period
 
 
 @dataclass(frozen=True)
@@ -26,6 +26,7 @@ class SilverTable:
     parse: Callable[[DataFrame], DataFrame]
     keys: list[str]
     date: str
+    period: str
     tie_break: list[str]
 
 
@@ -35,6 +36,7 @@ PRICES = SilverTable(
     silver.parse_prices,
     silver.PRICE_KEYS,
     "trade_date",
+    MONTHLY,
     silver.PRICE_TIE_BREAK,
 )
 MACRO = SilverTable(
@@ -43,6 +45,7 @@ MACRO = SilverTable(
     silver.parse_macro,
     silver.MACRO_KEYS,
     "observation_date",
+    YEARLY,
     silver.MACRO_TIE_BREAK,
 )
 
@@ -53,7 +56,8 @@ def rebuild_silver(
     """Replace the stored table with one derived from all of bronze."""
     rows = table.parse(read_bronze(spark, bronze, table.feed))
     latest = latest_by(rows, table.keys, silver.RECENCY, table.tie_break)
-    warehouse.replace(with_month(latest, table.date), table.name, partition_by=[MONTH])
+    placed = with_period(latest, table.date, table.period)
+    warehouse.replace(placed, table.name, partition_by=[PERIOD])
 
 
 def merge_bronze(bronze: DataFrame, table: SilverTable, warehouse: Warehouse) -> None:
@@ -64,6 +68,7 @@ def merge_bronze(bronze: DataFrame, table: SilverTable, warehouse: Warehouse) ->
         staging=f"{warehouse.root}/_staging/{table.name}",
         keys=table.keys,
         date=table.date,
+        period=table.period,
         recency=silver.RECENCY,
         tie_break=table.tie_break,
     )
@@ -87,5 +92,5 @@ def refresh_silver(
 
 
 def read_silver(spark: SparkSession, table: SilverTable, warehouse: Warehouse) -> DataFrame:
-    """The stored table without its month folder column."""
-    return warehouse.read(spark, table.name).drop(MONTH)
+    """The stored table without its folder column."""
+    return warehouse.read(spark, table.name).drop(PERIOD)

@@ -5,13 +5,13 @@ from __future__ import annotations
 from dataclasses import dataclass
 from datetime import datetime, timezone
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.functions.payload import first_text, has_key
 from tidemark.schemas import UNKNOWN_ERROR, Feed
+from tidemark.sources.files import exists
 
 # Fixed value: how a partition date is spelled in a file path.
 PARTITION_PATTERN = "ingest_date=([0-9-]+)"
@@ -34,9 +34,8 @@ def read_staged(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
     """
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)(?:_\d+)?\.json$", 1)
     return (
-        spark.read.option("wholetext", True)
-        .option("pathGlobFilter", "*.json")
-        .text(path)
+        spark.read.option("pathGlobFilter", "*.json")
+        .text(path, wholetext=True)
         .select(name.alias(feed.key), F.col("value").alias("raw_payload"))
     )
 
@@ -141,19 +140,23 @@ def read_struct_bronze(spark: SparkSession, bronze: str, feed: Feed) -> DataFram
     return rows.withColumn("raw_payload", F.to_json("raw_payload"))
 
 
-def list_partitions(spark: SparkSession, path: str) -> DataFrame:
-    """Sorted distinct ingestion dates among the Parquet files below ``path``.
-
-    Only file names are listed; no file is opened. Files outside a dated folder are ignored.
-    """
-    files = (
+def _parquet_files(spark: SparkSession, path: str) -> DataFrame:
+    """One row per Parquet file below ``path``; without its content column no file is opened."""
+    return (
         spark.read.format("binaryFile")
         .option("pathGlobFilter", "*.parquet")
         .option("recursiveFileLookup", True)
         .load(path)
         .select("path")
     )
-    dated = files.filter(F.col("path").rlike(PARTITION_PATTERN))
+
+
+def list_partitions(spark: SparkSession, path: str) -> DataFrame:
+    """Sorted distinct ingestion dates among the Parquet files below ``path``.
+
+    Files outside a dated folder are ignored.
+    """
+    dated = _parquet_files(spark, path).filter(F.col("path").rlike(PARTITION_PATTERN))
     return (
         dated.select(F.regexp_extract("path", PARTITION_PATTERN, 1).alias("ingest_date"))
         .distinct()
@@ -163,13 +166,5 @@ def list_partitions(spark: SparkSession, path: str) -> DataFrame:
 
 def bronze_exists(spark: SparkSession, bronze: str, feed: Feed) -> bool:
     """Whether any Parquet file was ever landed for the feed."""
-    try:
-        files = (
-            spark.read.format("binaryFile")
-            .option("pathGlobFilter", "*.parquet")
-            .option("recursiveFileLookup", True)
-            .load(f"{bronze}/{feed.table}")
-        )
-    except AnalysisException:
-        return False
-    return not files.select("path").isEmpty()
+    path = f"{bronze}/{feed.table}"
+    return exists(spark, path) and not _parquet_files(spark, path).isEmpty()

@@ -1,8 +1,8 @@
 """Storage of a type 2 snapshot as plain Parquet folders.
 
 Each run writes one new folder, ``run=T``, holding the versions open after it and the versions it
-closed, then notes itself as completed. A run that dies half way is not noted and leaves the
-previous state readable; repeating it rewrites only its own folder. Versions closed by earlier
+closed. A run whose write did not complete is ignored, so the previous state stays readable;
+repeating it rewrites only its own folder. Versions closed by earlier
 runs are never read or rewritten, so a run costs what the open rows cost, however long the
 history has become.
 """
@@ -18,10 +18,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.scd2 import scd2_merge
+from tidemark.sources.files import children, committed
 from tidemark.sources.tables import read_or_empty
 
 _RUN_FORMAT = "%Y-%m-%dT%H-%M-%S-%f"
-_COMPLETED = T.StructType([T.StructField("run", T.StringType())])
 
 
 @dataclass(frozen=True)
@@ -35,36 +35,36 @@ class SnapshotTable:
         folders = [T.StructField("run", T.StringType()), T.StructField("is_open", T.BooleanType())]
         return read_or_empty(spark, self.path, T.StructType([*self.schema.fields, *folders]))
 
-    def last_run(self, spark: SparkSession, before: str | None = None) -> str:
-        """The latest completed run, optionally before a given one; empty if there is none."""
-        completed = read_or_empty(spark, f"{self.path}/_completed", _COMPLETED)
-        if before is not None:
-            completed = completed.filter(F.col("run") < before)
-        return completed.agg(F.max("run")).first()[0] or ""
+    def runs(self, spark: SparkSession) -> list[str]:
+        """Completed runs, oldest first."""
+        folders = [name for name in children(spark, self.path) if name.startswith("run=")]
+        complete = [name for name in folders if committed(spark, f"{self.path}/{name}")]
+        return sorted(name.removeprefix("run=") for name in complete)
 
-    def open_rows(self, spark: SparkSession, run: str) -> DataFrame:
+    def open_rows(self, spark: SparkSession, run: str | None) -> DataFrame:
         """The versions open after ``run``; both filters are on folders, so only those are read."""
         rows = self._rows(spark).filter(F.col("is_open") & (F.col("run") == run))
         return rows.select(*self.schema.names)
 
     def history(self, spark: SparkSession) -> DataFrame:
         """Every version: those closed by any completed run and those open after the last."""
-        last = self.last_run(spark)
-        run, is_open = F.col("run"), F.col("is_open")
-        current = self._rows(spark).filter((run == last) | (~is_open & (run < last)))
-        return current.select(*self.schema.names)
+        runs = self.runs(spark)
+        last_open = F.col("is_open") & (F.col("run") == (runs[-1] if runs else None))
+        closed = ~F.col("is_open") & F.col("run").isin(runs)
+        return self._rows(spark).filter(last_open | closed).select(*self.schema.names)
 
-    def run(self, incoming: DataFrame, as_of: datetime) -> DataFrame:
-        """Fold ``incoming`` into the snapshot as of the given time; returns the new history."""
+    def run(self, incoming: DataFrame, as_of: datetime) -> None:
+        """Fold ``incoming`` into the snapshot as of the given time.
+
+        Repeating the last run replaces its outcome; a run older than the last is refused.
+        """
         spark, run = incoming.sparkSession, as_of.strftime(_RUN_FORMAT)
-        if self.last_run(spark) > run:
+        done = self.runs(spark)
+        if done and done[-1] > run:
             raise ValueError(f"a snapshot run later than {as_of} has already completed")
-        previous = self.open_rows(spark, self.last_run(spark, before=run))
+        before = [name for name in done if name < run]
+        previous = self.open_rows(spark, before[-1] if before else None)
         decided = scd2_merge(previous, incoming, self.key, self.check_cols, as_of)
-        decided.withColumn("is_open", F.col("dbt_valid_to").isNull()).hint(
-            "rebalance", F.col("is_open")
-        ).write.mode("overwrite").partitionBy("is_open").parquet(f"{self.path}/run={run}")
-        spark.createDataFrame([(run,)], _COMPLETED).coalesce(1).write.mode("append").parquet(
-            f"{self.path}/_completed"
-        )
-        return self.history(spark)
+        decided.withColumn("is_open", F.col("dbt_valid_to").isNull()).write.mode(
+            "overwrite"
+        ).partitionBy("is_open").parquet(f"{self.path}/run={run}")

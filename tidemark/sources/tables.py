@@ -5,11 +5,12 @@ from __future__ import annotations
 from collections.abc import Sequence
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.sources.files import exists
+
 # Which layer a table belongs to, and what consumers call the layers in SQL.
 LAYERS = {
     "stg_stock_prices": "silver",
@@ -28,13 +29,14 @@ DATABASES = {
     "main": "main",
 }
 
-# Folder column of tables stored by date: months, because days would make many tiny files.
-MONTH = "month"
+# Folder column of tables stored by date, and how long a period one folder covers: months for
+# daily prices, years for the few macro observations. Days would make too many small files.
+PERIOD = "period"
+MONTHLY, YEARLY = "yyyy-MM", "yyyy"
 
 
-def with_month(df: DataFrame, date: str) -> DataFrame:
-    month = F.date_format(date, "yyyy-MM")
-    return df.withColumn(MONTH, F.coalesce(month, F.lit("undated")))
+def with_period(df: DataFrame, date: str, period: str) -> DataFrame:
+    return df.withColumn(PERIOD, F.coalesce(F.date_format(date, period), F.lit("undated")))
 
 
 @dataclass(frozen=True)
@@ -69,12 +71,9 @@ class Warehouse:
 
 def read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
     """The rows stored below ``path``, or none if nothing was stored yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
+    if not exists(spark, path):
         return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).parquet(path)
 
 
 def register_views(views: dict[str, DataFrame]) -> None:
