@@ -6,7 +6,7 @@ after writing and parsing payloads, so the two paths share no code.
 
 from __future__ import annotations
 
-from workload.registry import DEFAULT_DIGITS, DIGITS
+from workload.registry import DIGITS
 
 # --- columns as portable text and numbers -------------------------------------------------------
 
@@ -24,7 +24,7 @@ def _exact(*names: str) -> list[str]:
 
 
 def _real(*names: str) -> list[str]:
-    return [f"round({name}, {DIGITS.get(name, DEFAULT_DIGITS)}) AS {name}" for name in names]
+    return [f"round({name}, {DIGITS[name]}) AS {name}" for name in names]
 
 
 def _whole(*names: str) -> list[str]:
@@ -214,11 +214,11 @@ _COMPANY_COLUMNS = [
 ]
 _SUMMARY_COLUMNS = [
     "ticker", *_date("trade_date"), *_exact(*_PRICES), "volume",
-    *_real("ma_7d", "ma_30d", "volatility_30d"), *_exact("daily_change"), *_real("daily_return_pct"),
+    "ma_7d", "ma_30d", *_real("volatility_30d"), *_exact("daily_change"), "daily_return_pct",
 ]
 _SECTOR_COLUMNS = [
     *_date("trade_date"), "sector", "num_companies", *_real("avg_daily_return_pct"),
-    *_whole("total_volume"), *_real("avg_close_price"),
+    *_whole("total_volume"), "avg_close_price",
     *_exact("min_close_price", "max_close_price"),
 ]
 _MACRO_NAMES = ["fed_funds_rate", "cpi", "unemployment_rate", "gdp"]
@@ -357,7 +357,7 @@ SQL: dict[str, str] = {
     "rolling_metrics": _query(
         [
             "ticker", *_date("trade_date"), *_exact("close_price"),
-            *_real("ma_7d", "ma_30d", "volatility_30d"), *_exact("prev_close"),
+            "ma_7d", "ma_30d", *_real("volatility_30d"), *_exact("prev_close"),
         ],
         "rolled",
         *_SUMMARY,
@@ -384,8 +384,7 @@ SQL: dict[str, str] = {
     "scd2_merge": _query(_COMPANY_COLUMNS, "company", COMPANY),
     "top_recent_prices": _query(
         [
-            "ticker", *_date("trade_date"), *_exact("close_price"),
-            *_real("ma_7d", "daily_return_pct"),
+            "ticker", *_date("trade_date"), *_exact("close_price"), "ma_7d", "daily_return_pct",
         ],
         "(SELECT * FROM summary ORDER BY trade_date DESC, ticker LIMIT 10) AS newest",
         *_SUMMARY,
@@ -393,7 +392,7 @@ SQL: dict[str, str] = {
     "ticker_history": _query(
         [
             "ticker", *_date("trade_date"), *_exact("close_price"),
-            *_real("ma_7d", "ma_30d", "volatility_30d", "daily_return_pct"),
+            "ma_7d", "ma_30d", *_real("volatility_30d"), "daily_return_pct",
         ],
         "(SELECT * FROM summary WHERE ticker = 'S7' ORDER BY trade_date DESC LIMIT 10) AS newest",
         *_SUMMARY,

@@ -43,10 +43,9 @@ from workload import feeds
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-# Digits kept of each floating-point result: sums of doubles differ in the last bits with the
-# order of addition, and standard deviations with the algorithm.
-DIGITS = {"volatility_30d": 4}
-DEFAULT_DIGITS = 6
+# Digits kept of floating-point results whose last bits depend on the order of addition or on the
+# algorithm. All other results are exact sums followed by one division, equal to the last bit.
+DIGITS = {"volatility_30d": 4, "market_avg_return": 4, "avg_daily_return_pct": 4}
 
 HISTORY_TICKER = "S7"
 FRESHNESS_DAY = date(2026, 1, 31)
@@ -64,8 +63,8 @@ def portable(df: DataFrame) -> DataFrame:
             value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
         elif isinstance(field.dataType, T.DecimalType):
             value = value.cast("double")
-        elif isinstance(field.dataType, T.DoubleType):
-            value = F.round(value, DIGITS.get(field.name, DEFAULT_DIGITS))
+        elif field.name in DIGITS:
+            value = F.round(value, DIGITS[field.name])
         return value.alias(field.name)
 
     return df.select(*[column(field) for field in df.schema])
