@@ -212,3 +212,11 @@ def test_consumer_queries_sort_and_limit(spark):
     assert len(top) == 10
     history = consumer.ticker_history(summary, "B").collect()
     assert [r["trade_date"].day for r in history] == list(range(14, 4, -1))
+
+
+def test_missing_closes_are_left_out_of_averages(spark):
+    closes = [10, None, 30] + [None] * 8 + [5]
+    rows = daily_price_summary(series(spark, closes)).orderBy("trade_date").collect()
+    assert [r["ma_7d"] for r in rows] == [10, 10, 20, 20, 20, 20, 20, 30, 30, None, None, 5]
+    assert rows[11]["ma_30d"] == 15.0
+    assert daily_price_summary(series(spark, [None])).first()["ma_7d"] is None

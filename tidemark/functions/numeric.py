@@ -2,20 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, WindowSpec
+from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
-def exact_mean(value: Column, frame: WindowSpec | None = None) -> Column:
+def exact_mean(value: Column) -> Column:
     """Mean of a decimal column as double.
 
     The sum stays decimal, so it is exact and the same for every row order; only the final
     division is floating point. (``avg`` on decimal would return a decimal rounded to 8 digits.)
     """
-    total, count = F.sum(value), F.count(value)
-    if frame is not None:
-        total, count = total.over(frame), count.over(frame)
-    return total.cast("double") / count
+    return F.try_divide(F.sum(value).cast("double"), F.count(value))
 
 
 def change_pct(current: Column, previous: Column) -> Column:
