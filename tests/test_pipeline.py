@@ -10,7 +10,10 @@ from helpers import at, bar, day, tuples
 
 from tidemark.operators import upsert
 from tidemark.plans import consumer, pipeline, refresh
+from tidemark.plans.ingest import ingest
+from tidemark.plans.ingest import main as ingest_main
 from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
+from tidemark.quality import suite
 from tidemark.quality.checks import QualityError
 from tidemark.schemas import MACRO_FEED, PRICES_FEED
 from tidemark.sources.bronze import IngestionError, land
@@ -35,7 +38,6 @@ def config(spark, tmp_path):
         bronze=f"{tmp_path}/bronze",
         warehouse=f"{tmp_path}/warehouse",
         seed=f"{tmp_path}/seed.csv",
-        as_of=date(2026, 9, 2),
     )
 
 
@@ -99,16 +101,31 @@ def test_ingest_from_staged_files(spark, tmp_path):
     (prices / "A.json").write_text(json.dumps({"Time Series (Daily)": {"2026-01-05": bar(1)}}))
     (prices / "B.json").write_text(json.dumps({"Note": "limit"}))
     (macro / "GDP.json").write_text(json.dumps({"observations": [{"date": "2026-01-01", "value": "1"}]}))
-    config = pipeline.Config(f"{tmp_path}/bronze", f"{tmp_path}/w", as_of=date(2026, 1, 6))
-    stamp = datetime(2026, 1, 5, 22, tzinfo=timezone.utc)
-    reports = pipeline.ingest(spark, str(prices), str(macro), config, stamp)
+    bronze, stamp = f"{tmp_path}/bronze", datetime(2026, 1, 5, 22, tzinfo=timezone.utc)
+
+    def run(as_of):
+        return ingest(spark, str(prices), str(macro), bronze, stamp, as_of=as_of)
+
+    reports = run(day("2026-01-06"))
     assert [(r.landed, r.rejected) for r in reports] == [(1, 1), (1, 0)]
-    stale = pipeline.Config(config.bronze, config.warehouse, as_of=date(2026, 2, 6))
     with pytest.raises(QualityError, match="days stale"):
-        pipeline.ingest(spark, str(prices), str(macro), stale, stamp)
+        run(day("2026-02-06"))
     (macro / "CPI.json").write_text("{}")
     with pytest.raises(IngestionError):
-        pipeline.ingest(spark, str(prices), str(macro), config, stamp)
+        run(day("2026-01-06"))
+
+
+def test_ingest_job(spark, tmp_path, capsys):
+    prices, macro = tmp_path / "prices", tmp_path / "macro"
+    prices.mkdir(), macro.mkdir()
+    (prices / "A.json").write_text(json.dumps({"Note": "limit"}))
+    arguments = ["--prices", str(prices), "--macro", str(macro), "--bronze", f"{tmp_path}/b"]
+    assert ingest_main(arguments) == 1
+    assert "All 1 responses failed" in capsys.readouterr().out
+    (prices / "B.json").write_text(json.dumps({"Time Series (Daily)": {"2026-01-05": bar(1)}}))
+    (macro / "GDP.json").write_text(json.dumps({"observations": []}))
+    assert ingest_main(arguments) == 0
+    assert "Landed 1 price and 1 macro responses" in capsys.readouterr().out
 
 
 def land_random_days(spark, bronze, days=4, seed=7):
@@ -236,3 +253,11 @@ def test_build_job(spark, config, capsys):
     assert pipeline.main(arguments) == 0
     assert "Built company_metadata" in capsys.readouterr().out
     assert refresh.read_silver(spark, PRICES, Warehouse(config.warehouse)).count() == 30
+    paths = ["--bronze-path", config.bronze, "--warehouse"]
+    limit = ["--max-days-stale", "100000"]
+    assert suite.main([*paths, config.warehouse, *limit]) == 0
+    assert "All quality checks passed" in capsys.readouterr().out
+    assert suite.main([*paths, config.warehouse, *limit, "--min-tickers", "4"]) == 1
+    assert "ticker count" in capsys.readouterr().out
+    assert suite.main([*paths, f"{config.warehouse}/none", *limit]) == 1
+    assert "Table not found" in capsys.readouterr().out

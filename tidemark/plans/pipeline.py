@@ -16,16 +16,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.plans import gold, silver
 from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
-from tidemark.quality.checks import QualityError, check_bronze_freshness, check_table
+from tidemark.quality.checks import QualityError, check_table
 from tidemark.schemas import (
     COMPANY_CHECK_COLUMNS,
     COMPANY_KEY,
     COMPANY_SNAPSHOT,
-    MACRO_FEED,
-    PRICES_FEED,
 )
 from tidemark.session import build_session
-from tidemark.sources.bronze import IngestionError, LandingReport, land, read_bronze, read_staged
 from tidemark.sources.seeds import read_seed
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.tables import (
@@ -53,29 +50,9 @@ class Config:
     bronze: str
     warehouse: str
     seed: str | None = None
-    max_days_stale: int = 3
-    as_of: date | None = None
     incremental_since: date | None = None
 
 
-def ingest(
-    spark: SparkSession,
-    staged_prices: str,
-    staged_macro: str,
-    config: Config,
-    ingested_at: datetime | None = None,
-) -> tuple[LandingReport, LandingReport]:
-    """Land both feeds from staged responses, then gate on freshness."""
-    prices = land(
-        read_staged(spark, staged_prices, PRICES_FEED), config.bronze, PRICES_FEED, ingested_at
-    )
-    macro = land(
-        read_staged(spark, staged_macro, MACRO_FEED), config.bronze, MACRO_FEED, ingested_at
-    )
-    check_bronze_freshness(spark, config.bronze, config.max_days_stale, config.as_of)
-    return prices, macro
-
-
 def company_snapshot(warehouse: Warehouse) -> SnapshotTable:
     return SnapshotTable(
         warehouse.path("dim_company_snapshot"), COMPANY_SNAPSHOT, COMPANY_KEY, COMPANY_CHECK_COLUMNS
@@ -159,7 +136,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     )
     try:
         tables = build(spark, config)
-    except (QualityError, IngestionError) as failure:
+    except QualityError as failure:
         print(f"Build stopped: {failure}")
         return 1
     register_databases(spark, Warehouse(config.warehouse), STORED)
