@@ -78,7 +78,7 @@ def scratch(spark: SparkSession) -> str:
 def stored(df: DataFrame) -> DataFrame:
     """Write a table that several consumers share, and read it back."""
     path = scratch(df.sparkSession)
-    df.hint("rebalance").write.parquet(path)
+    df.write.parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
