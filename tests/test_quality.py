@@ -11,6 +11,7 @@ from tidemark.quality.checks import (
     QualityError,
     check_bronze_freshness,
     check_no_negative_prices,
+    check_report,
     check_table,
     check_ticker_count,
     freshness,
@@ -127,3 +128,16 @@ def test_gate_job_exit_status(spark, tmp_path, capsys):
     assert "days stale" in capsys.readouterr().out
     assert gate.main(["--bronze-path", str(tmp_path), "--max-days-stale", "10"]) == 0
     assert "Freshness OK" in capsys.readouterr().out
+
+
+def test_report_measures_without_raising(spark):
+    prices = tickers(spark, 21).withColumn("low_price", F.lit(-1).cast("decimal(18,4)"))
+    bronze = sample_prices(spark, date(2026, 1, 1))
+    report = check_report(bronze, prices, F.lit(date(2026, 1, 5)))
+    assert tuples(report, "check", "measured", "passed") == [
+        ("freshness", 4, False), ("negative_prices", 22, False), ("ticker_count", 21, False),
+    ]
+    empty = check_report(bronze.limit(0), prices.limit(0), F.lit(date(2026, 1, 5)))
+    assert tuples(empty, "check", "measured", "passed") == [
+        ("freshness", None, False), ("negative_prices", 0, True), ("ticker_count", 0, False),
+    ]

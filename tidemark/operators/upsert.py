@@ -10,7 +10,7 @@ from pyspark.sql import types as T
 
 from tidemark.operators.dedup import latest_by
 from tidemark.sources.files import exists, mark, unmark
-from tidemark.sources.tables import PERIOD, read_or_empty, with_period
+from tidemark.sources.tables import PERIOD, laid_out, read_or_empty, with_period
 
 
 def upsert_latest(
@@ -37,7 +37,7 @@ def upsert_latest(
     """
     spark = updates.sparkSession
     schema = T.StructType([*updates.schema.fields, T.StructField(PERIOD, T.StringType())])
-    _finish_pending(spark, path, staging, schema)
+    _finish_pending(spark, path, staging, schema, keys)
 
     fresh = _stage(
         with_period(latest_by(updates, keys, recency, tie_break), date, period),
@@ -53,7 +53,7 @@ def upsert_latest(
         f"{staging}/merged",
     )
     mark(spark, f"{staging}/pending")
-    _finish_pending(spark, path, staging, schema)
+    _finish_pending(spark, path, staging, schema, keys)
 
 
 def _stage(rows: DataFrame, path: str) -> DataFrame:
@@ -61,17 +61,18 @@ def _stage(rows: DataFrame, path: str) -> DataFrame:
     return rows.sparkSession.read.schema(rows.schema).parquet(path)
 
 
-def _finish_pending(spark: SparkSession, path: str, staging: str, schema: T.StructType) -> None:
+def _finish_pending(
+    spark: SparkSession, path: str, staging: str, schema: T.StructType, keys: Sequence[str]
+) -> None:
     """Publish merged periods that were staged but perhaps not, or not fully, published.
 
-    Only the folders of those periods are replaced; the rebalance hint brings the rows of a
-    period together, and lets AQE split a period that is too large for one file.
+    Only the folders of those periods are replaced.
     """
     pending = f"{staging}/pending"
     if not exists(spark, pending):
         return
     merged = spark.read.schema(schema).parquet(f"{staging}/merged")
-    merged.hint("rebalance", F.col(PERIOD)).write.mode("overwrite").option(
+    laid_out(merged, [PERIOD], keys).write.mode("overwrite").option(
         "partitionOverwriteMode", "dynamic"
     ).partitionBy(PERIOD).parquet(path)
     unmark(spark, pending)

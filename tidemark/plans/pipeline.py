@@ -97,6 +97,7 @@ def build(
         ),
         "daily_price_summary",
         partition_by=[PERIOD],
+        sort_by=["ticker", "trade_date"],
     ).drop(PERIOD)
     tables["sector_performance"] = warehouse.replace(
         gold.sector_performance(tables["daily_price_summary"], tables["dim_company"]),

@@ -57,7 +57,7 @@ def rebuild_silver(
     rows = table.parse(read_bronze(spark, bronze, table.feed))
     latest = latest_by(rows, table.keys, silver.RECENCY, table.tie_break)
     placed = with_period(latest, table.date, table.period)
-    warehouse.replace(placed, table.name, partition_by=[PERIOD])
+    warehouse.replace(placed, table.name, partition_by=[PERIOD], sort_by=table.keys)
 
 
 def merge_bronze(bronze: DataFrame, table: SilverTable, warehouse: Warehouse) -> None:

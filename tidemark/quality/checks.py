@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from datetime import date
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -92,6 +93,32 @@ def negative_prices(prices: DataFrame) -> DataFrame:
     return prices.filter(below_zero).agg(F.count(F.lit(1)).alias("negative_count"))
 
 
+def check_report(
+    bronze: DataFrame,
+    prices: DataFrame,
+    as_of: Column,
+    max_days_stale: int = 3,
+    expected_tickers: tuple[int, int] = (2, 20),
+) -> DataFrame:
+    """Rows (check, measured, passed): all table checks, measured without raising."""
+    fewest, most = expected_tickers
+    measured = {
+        "freshness": freshness(bronze, as_of, max_days_stale).select(
+            F.col("days_stale").cast("bigint").alias("measured"), "passed"
+        ),
+        "ticker_count": latest_ticker_count(prices).select(
+            F.col("ticker_count").alias("measured"),
+            F.col("ticker_count").between(fewest, most).alias("passed"),
+        ),
+        "negative_prices": negative_prices(prices).select(
+            F.col("negative_count").alias("measured"),
+            (F.col("negative_count") == 0).alias("passed"),
+        ),
+    }
+    rows = [df.select(F.lit(name).alias("check"), "*") for name, df in measured.items()]
+    return reduce(DataFrame.unionByName, rows)
+
+
 def check_bronze_freshness(
     spark: SparkSession,
     bronze: str = "data/bronze",

@@ -455,5 +455,26 @@ SQL: dict[str, str] = {
     "incremental_silver": _stocks,
     "stream_silver_prices": _stocks,
     "stream_silver_macro": _indicators,
+    "dq_report": _query(
+        ["*"],
+        """(
+            SELECT 'freshness' AS "check", DATE '2026-01-31' - newest AS measured,
+                   DATE '2026-01-31' - newest <= 3 AS passed
+            FROM (SELECT CAST(max(last_updated_at) AS DATE) AS newest FROM quotes)
+            UNION ALL
+            SELECT 'ticker_count', n, n BETWEEN 2 AND 20 FROM (
+                SELECT count(DISTINCT ticker) AS n FROM quotes
+                WHERE trade_date = (SELECT max(trade_date) FROM quotes))
+            UNION ALL
+            SELECT 'negative_prices', n, n = 0 FROM (
+                SELECT count(*) AS n FROM stocks
+                WHERE least(open_price, high_price, low_price, close_price) < 0))""",
+        *_STOCKS,
+    ),
+    "stored_periods": _query(
+        ["strftime(trade_date, '%Y-%m') AS period", "count(*) AS row_count"],
+        "stocks GROUP BY 1",
+        *_STOCKS,
+    ),
     "medallion_build": _query(["*"], _TABLE_COUNTS, *_MARKET, COMPANY),
 }

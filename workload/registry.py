@@ -19,7 +19,7 @@ from tidemark.operators.scd2 import scd2_history
 from tidemark.operators.temporal import asof_join, pit_join
 from tidemark.plans import consumer, gold, silver
 from tidemark.plans.pipeline import Config, build, company_snapshot
-from tidemark.plans.refresh import MACRO, PRICES, read_silver, refresh_silver
+from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
 from tidemark.quality import checks
 from tidemark.schemas import (
     COMPANY_CHECK_COLUMNS,
@@ -303,6 +303,21 @@ def negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.negative_prices(feeds.quotes(spark, sf_dir).select(*lower.values()))
 
 
+def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All table checks over the feed; the number of tickers is far above the default range."""
+    stocks = stored(prices(spark, sf_dir))
+    bronze = feeds.price_responses(spark, sf_dir)
+    return checks.check_report(bronze, stocks, F.lit(FRESHNESS_DAY))
+
+
+def stored_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows per monthly folder of the rebuilt price table."""
+    warehouse = Warehouse(scratch(spark))
+    rebuild_silver(spark, landed_prices(spark, sf_dir), PRICES, warehouse)
+    stocks = warehouse.read(spark, PRICES.name)
+    return stocks.groupBy("period").agg(F.count(F.lit(1)).alias("row_count"))
+
+
 def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole build, stored layer by layer; rows per table."""
     bronze = scratch(spark)
@@ -357,6 +372,8 @@ QUERIES: dict[str, Query] = {
     "incremental_silver": incremental_silver,
     "stream_silver_prices": stream_prices,
     "stream_silver_macro": stream_macro,
+    "dq_report": check_report,
+    "stored_periods": stored_periods,
     "medallion_build": medallion_build,
 }
 
