@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from datetime import datetime
 
+import pyarrow.parquet as pq
 import pytest
 from helpers import at, day, plan_of, tuples
 from pyspark.sql import functions as F
@@ -16,6 +17,7 @@ from tidemark.schemas import MACRO_FEED, PRICE, PRICES_FEED, STOCK_PRICES
 from tidemark.session import widen
 from tidemark.sources.bronze import append_bronze, read_bronze
 from tidemark.sources.samples import sample_macro, sample_prices
+from tidemark.sources.tables import laid_out
 
 import __spark_entry__ as entry
 
@@ -172,3 +174,62 @@ def test_sector_totals_of_a_hot_day(spark):
     hot = (ROWS + 2) // 3
     assert (row["num_companies"], row["total_volume"]) == (1, hot)
     assert row["avg_close_price"] == sum(range(0, ROWS, 3)) / hot
+
+
+def test_stored_files_are_sorted_within_and_few(spark, tmp_path):
+    """A ticker filter can skip row groups, and a month is one small file, not one per task."""
+    rows = skewed(spark).withColumn("period", F.date_format("trade_date", "yyyy-MM"))
+    laid_out(rows.repartition(16), ["period"], ["ticker", "trade_date"]).write.partitionBy(
+        "period"
+    ).parquet(f"{tmp_path}/t")
+    files = list((tmp_path / "t").glob("period=*/*.parquet"))
+    assert len(files) == len(list((tmp_path / "t").glob("period=*")))
+    for file in files[:3]:
+        stored = pq.read_table(file, columns=["ticker", "trade_date"]).to_pylist()
+        keys = [(row["ticker"], row["trade_date"]) for row in stored]
+        assert keys == sorted(keys)
+
+
+def test_a_hot_period_is_split_over_several_tasks(spark, tmp_path):
+    """A third of all rows fall on one day; no task has to write their whole month alone."""
+    size = "spark.sql.adaptive.advisoryPartitionSizeInBytes"
+    before = spark.conf.get(size)
+    spark.conf.set(size, "256k")
+    try:
+        rows = skewed(spark).withColumns(
+            {"period": F.date_format("trade_date", "yyyy-MM"), "noise": F.md5(F.col("id").cast("string"))}
+        )
+        laid_out(rows.repartition(16), ["period"], ["ticker"]).write.partitionBy("period").parquet(
+            f"{tmp_path}/t"
+        )
+    finally:
+        spark.conf.set(size, before)
+    hot = list((tmp_path / "t" / "period=2026-06").glob("*.parquet"))
+    assert len(hot) > 3
+    assert spark.read.parquet(f"{tmp_path}/t").count() == ROWS
+
+
+def test_pit_join_splits_a_hot_ticker_when_nothing_is_broadcast(spark):
+    settings = {
+        "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "100k",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "64k",
+        "spark.sql.shuffle.partitions": "32",
+    }
+    before = {key: spark.conf.get(key) for key in settings}
+    company = spark.range(501).select(
+        F.when(F.col("id") == 500, "A").otherwise(F.concat(F.lit("T"), F.col("id"))).alias("ticker"),
+        F.lit("Energy").alias("sector"),
+        F.lit(datetime(2020, 1, 1)).alias("valid_from"),
+        F.lit(datetime(9999, 12, 31)).alias("valid_to"),
+    )
+    try:
+        for key, value in settings.items():
+            spark.conf.set(key, value)
+        joined = pit_join(skewed(spark), company, "ticker", "trade_date")
+        totals = joined.groupBy("sector").agg(F.count("id"), F.sum("id"))
+        assert [tuple(row) for row in totals.collect()] == [("Energy", ROWS, ROWS * (ROWS - 1) // 2)]
+        assert "skew=true" in plan_of(totals)
+    finally:
+        for key, value in before.items():
+            spark.conf.set(key, value)
