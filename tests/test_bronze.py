@@ -175,3 +175,14 @@ def test_sample_job_scales_by_ticker_count(spark, tmp_path):
     assert sample_prices(spark, tickers=1000, days=3).count() == 1000
     assert write_samples_main(["--output-root", str(tmp_path), "--ingest-date", "2026-01-15"]) == 0
     assert (tmp_path / "daily_prices_raw" / "ingest_date=2026-01-15").is_dir()
+
+
+def test_landing_nothing(spark, tmp_path):
+    for empty in (
+        responses(spark, PRICES_FEED, [("A", GOOD)]).limit(0),
+        responses(spark, PRICES_FEED, [("A", GOOD)]).filter("ticker = 'B'"),
+        spark.createDataFrame([], "ticker string, raw_payload string"),
+    ):
+        report = land(empty, str(tmp_path), PRICES_FEED, STAMP)
+        assert (report.landed, report.rejected) == (0, 0)
+    assert not bronze_exists(spark, str(tmp_path), PRICES_FEED)

@@ -258,6 +258,6 @@ def test_build_job(spark, config, capsys):
     assert suite.main([*paths, config.warehouse, *limit]) == 0
     assert "All quality checks passed" in capsys.readouterr().out
     assert suite.main([*paths, config.warehouse, *limit, "--min-tickers", "4"]) == 1
-    assert "ticker count" in capsys.readouterr().out
+    assert "3 tickers on" in capsys.readouterr().out
     assert suite.main([*paths, f"{config.warehouse}/none", *limit]) == 1
     assert "Table not found" in capsys.readouterr().out

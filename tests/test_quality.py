@@ -82,7 +82,7 @@ def test_freshness_without_data(spark, tmp_path):
 def test_freshness_without_a_date(spark, tmp_path):
     rows = sample_prices(spark).withColumn("ingested_at", F.lit(None).cast("string"))
     append_bronze(rows, str(tmp_path), PRICES_FEED)
-    with pytest.raises(QualityError, match="Could not determine"):
+    with pytest.raises(QualityError, match="no ingestion date"):
         check_bronze_freshness(spark, str(tmp_path))
 
 
@@ -97,7 +97,7 @@ def test_ticker_count_bounds_are_inclusive(spark, count, passes):
     if passes:
         assert f"{count} tickers" in check_ticker_count(tickers(spark, count))
     else:
-        with pytest.raises(QualityError, match=f"latest date: {count} "):
+        with pytest.raises(QualityError, match=f"^{count} tickers on"):
             check_ticker_count(tickers(spark, count))
 
 
@@ -106,7 +106,7 @@ def test_any_negative_price_is_found(spark, column):
     df = stocks(spark, [("A", "2026-01-05", 0), ("B", "2026-01-05", 1)])
     check_no_negative_prices(df)
     below = df.withColumn(column, F.col(column) - F.when(F.col("ticker") == "A", 1).otherwise(0))
-    with pytest.raises(QualityError, match="Found 1 rows"):
+    with pytest.raises(QualityError, match="1 rows hold"):
         check_no_negative_prices(below.select(df.columns))
 
 
@@ -115,7 +115,7 @@ def test_suite_stops_at_the_first_failure(spark, tmp_path):
     with pytest.raises(QualityError, match="No bronze data"):
         run_checks(spark, str(tmp_path), few)
     append_bronze(sample_prices(spark), str(tmp_path), PRICES_FEED)
-    with pytest.raises(QualityError, match="ticker count"):
+    with pytest.raises(QualityError, match="tickers on"):
         run_checks(spark, str(tmp_path), few)
     assert len(run_checks(spark, str(tmp_path), tickers(spark, 5))) == 3
 

@@ -33,7 +33,7 @@ def upsert_latest(
     The merged periods are first written in full to ``staging``, noted as pending, and published
     from there, so the periods being replaced are never read by the job that replaces them. If
     the driver dies while publishing, the next call finishes that publication before it reads
-    the table again.
+    the table again. A table has one writer at a time.
     """
     spark = updates.sparkSession
     schema = T.StructType([*updates.schema.fields, T.StructField(PERIOD, T.StringType())])

@@ -12,7 +12,12 @@ from pyspark.sql import functions as F
 from tidemark.schemas import NOT_NULL, PRICES_FEED, UNIQUE_KEYS
 from tidemark.sources.bronze import bronze_exists
 
-PRICE_COLUMNS = ["close_price", "open_price", "high_price", "low_price"]
+PRICE_COLUMNS = ["open_price", "high_price", "low_price", "close_price"]
+
+# Wording that jobs and alerts look for.
+NO_DATA = "No bronze data found in {path}"
+STALE = "Latest bronze data ({latest}) is {days} days stale, at most {limit} allowed"
+FRESH = "Freshness OK: latest ingest {latest} ({days} days old)"
 
 
 class QualityError(ValueError):
@@ -87,10 +92,8 @@ def latest_ticker_count(prices: DataFrame) -> DataFrame:
 
 def negative_prices(prices: DataFrame) -> DataFrame:
     """One row: how many rows hold a negative price."""
-    below_zero = F.lit(False)
-    for column in PRICE_COLUMNS:
-        below_zero = below_zero | (F.col(column) < 0)
-    return prices.filter(below_zero).agg(F.count(F.lit(1)).alias("negative_count"))
+    below_zero = [F.col(column) < 0 for column in PRICE_COLUMNS]
+    return prices.filter(reduce(Column.__or__, below_zero)).agg(F.count(F.lit(1)).alias("negative_count"))
 
 
 def check_report(
@@ -127,17 +130,15 @@ def check_bronze_freshness(
 ) -> str:
     """Fail if there is no price data or the latest is older than allowed."""
     if not bronze_exists(spark, bronze, PRICES_FEED):
-        raise QualityError(f"No bronze data found in {bronze}")
+        raise QualityError(NO_DATA.format(path=bronze))
     rows = spark.read.parquet(f"{bronze}/{PRICES_FEED.table}").select("ingested_at")
     found = freshness(rows, F.lit(as_of or date.today()), max_days_stale).first()
-    if found["latest_ingest"] is None:
-        raise QualityError("Could not determine latest ingestion date")
+    latest, days = found["latest_ingest"], found["days_stale"]
+    if latest is None:
+        raise QualityError("Bronze data carries no ingestion date")
     if not found["passed"]:
-        raise QualityError(
-            f"Bronze data is {found['days_stale']} days stale (latest: {found['latest_ingest']}). "
-            f"Maximum allowed: {max_days_stale} days"
-        )
-    return f"Freshness OK: latest ingest {found['latest_ingest']} ({found['days_stale']} days old)"
+        raise QualityError(STALE.format(latest=latest, days=days, limit=max_days_stale))
+    return FRESH.format(latest=latest, days=days)
 
 
 def check_ticker_count(prices: DataFrame, expected_min: int = 2, expected_max: int = 20) -> str:
@@ -145,17 +146,16 @@ def check_ticker_count(prices: DataFrame, expected_min: int = 2, expected_max: i
     count = latest_ticker_count(prices).first()["ticker_count"]
     if not expected_min <= count <= expected_max:
         raise QualityError(
-            f"Unexpected ticker count for latest date: {count} "
-            f"(expected between {expected_min} and {expected_max})"
+            f"{count} tickers on the latest trade date, expected {expected_min} to {expected_max}"
         )
-    return f"Volume check OK: {count} tickers in latest data"
+    return f"Volume OK: {count} tickers on the latest trade date"
 
 
 def check_no_negative_prices(prices: DataFrame) -> str:
     count = negative_prices(prices).first()["negative_count"]
     if count > 0:
-        raise QualityError(f"Found {count} rows with negative prices")
-    return "Price sanity check OK: no negative prices"
+        raise QualityError(f"{count} rows hold a negative price")
+    return "Prices OK: none is negative"
 
 
 def run_checks(

@@ -13,8 +13,9 @@ from tidemark.functions.payload import first_text, has_key
 from tidemark.schemas import UNKNOWN_ERROR, Feed
 from tidemark.sources.files import exists
 
-# Fixed value: how a partition date is spelled in a file path.
+# How a partition date is spelled in a file path, how a rejection begins.
 PARTITION_PATTERN = "ingest_date=([0-9-]+)"
+REJECTION = "Unexpected response for "
 
 
 class IngestionError(Exception):
@@ -43,7 +44,7 @@ def read_staged(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
 def envelope_error(payload: Column, key: Column, feed: Feed) -> Column:
     """NULL for a usable response, else the reason it is rejected."""
     reason = F.coalesce(first_text(payload, *feed.error_fields), F.lit(UNKNOWN_ERROR))
-    message = F.concat(F.lit("Unexpected response for "), key, F.lit(": "), reason)
+    message = F.concat(F.lit(REJECTION), key, F.lit(": "), reason)
     return F.when(~has_key(payload, feed.required), message)
 
 
