@@ -57,10 +57,8 @@ def portable(df: DataFrame) -> DataFrame:
 
     def column(field: T.StructField):
         value = F.col(field.name)
-        if isinstance(field.dataType, T.DateType):
-            value = F.date_format(value, "yyyy-MM-dd")
-        elif isinstance(field.dataType, T.TimestampType):
-            value = F.date_format(value, "yyyy-MM-dd HH:mm:ss")
+        if isinstance(field.dataType, (T.DateType, T.TimestampType)):
+            value = value.cast("string")
         elif isinstance(field.dataType, T.DecimalType):
             value = value.cast("double")
         elif field.name in DIGITS:
