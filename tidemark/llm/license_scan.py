@@ -13,6 +13,7 @@ from .common import ascii_lower, documents, id_and_text
 #: Fixed values of the contract: base phrases and their labels; what lies between words.
 BASE = {"mit license": "mit", "apache license": "apache", "general public license": "gpl"}
 GAP = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
+GAP_ANY_CASE = r"[\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"  # the same before A-Z are lower-cased
 
 
 @dataclass(frozen=True)
@@ -162,30 +163,140 @@ def signatures() -> tuple[Signature, ...]:
     return tuple(sorted(rules, key=lambda rule: rule.priority))
 
 
-def _matches(joined: Column, rule: Column) -> Column:
-    """Word intervals of a rule's matches: starts come from the lengths of what lies between them."""
-    pattern = F.concat(F.lit("(?<= )"), rule["pattern"], F.lit("(?= )"))
-    hits = F.regexp_extract_all(joined, pattern, F.lit(0))
-    parts = F.slice(F.split(joined, pattern, -1), F.lit(1), F.size(hits))
-    spaces = lambda text: F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
-    pieces = F.zip_with(parts, hits, lambda a, b: F.struct(spaces(a).alias("gap"), spaces(b).alias("own")))
-    start = F.struct(F.lit(0).alias("at"), F.array().cast("array<struct<first:int,last:int>>").alias("found"))
+#: How much a kept detection of each priority says about the text being licensed.
+WEIGHT = (1.0, 0.9, 0.6)
 
-    def step(acc: Column, piece: Column) -> Column:
-        first = acc["at"] + piece["gap"]
+
+def _whole(pattern: Column) -> Column:
+    """The pattern between spaces, so that it matches whole words only."""
+    return F.concat(F.lit("(?<= )("), pattern, F.lit(")(?= )"))
+
+
+def _spaces(text: Column) -> Column:
+    return F.length(text) - F.length(F.replace(text, F.lit(" "), F.lit("")))
+
+
+def _base(joined: Column, phrase: str, label: str) -> Column:
+    """How often a base phrase stands in the text, and the words at which it first and last starts."""
+    parts = F.split(joined, f"(?<= ){phrase}(?= )", -1)
+    length = phrase.count(" ")
+    found = F.struct(
+        (F.size(parts) - 1).cast("long").alias("n"),
+        (_spaces(F.get(parts, F.lit(0))) - 1).cast("long").alias("first"),
+        (_spaces(joined) - _spaces(F.element_at(parts, -1)) - length - 1).cast("long").alias("last"),
+        F.lit(label).alias("label"),
+    )
+    return F.when(F.contains(joined, F.lit(f" {phrase} ")), found)
+
+
+def _found(joined: Column, rule: Column) -> Column:
+    """Word intervals [first, last] of a rule's matches, from a copy of the text that marks them."""
+    pattern = _whole(rule["pattern"])
+    marked = F.split(F.regexp_replace(joined, pattern, F.lit("\u0001$1")), " ")
+    starts = F.array_compact(F.transform(marked, lambda w, i: F.when(F.startswith(w, F.lit("\u0001")), i - 1)))
+    spans = F.zip_with(
+        starts,
+        F.regexp_extract_all(joined, pattern, F.lit(1)),
+        lambda first, hit: F.struct(
+            first.alias("first"),
+            (-first - _spaces(hit)).alias("minus_last"),
+            rule["priority"].alias("priority"),
+            rule["label"].alias("label"),
+        ),
+    )
+    return F.when(F.regexp_like(joined, pattern), spans)
+
+
+def _unsuppressed(found: Column) -> Column:
+    """Detections that lie in no other of smaller priority number, nor in a longer one of the same.
+
+    In the order of (first, -last, priority) whatever contains a detection stands before it, so a
+    single pass with the furthest end per priority, and where that one starts, decides.
+    """
+    ends = F.array(*[F.struct(F.lit(-1).alias("last"), F.lit(-1).alias("first")) for _ in WEIGHT])
+    none = F.array().cast("array<struct<first:int,last:int,label:string,priority:int>>")
+
+    def step(acc: Column, x: Column) -> Column:
+        last = -x["minus_last"]
+        inside = F.lit(False)
+        for p in range(len(WEIGHT)):
+            end = F.get(acc["ends"], F.lit(p))
+            longer = (end["last"] > last) | ((end["last"] == last) & (end["first"] < x["first"]))
+            inside = inside | ((x["priority"] > p) & (end["last"] >= last)) | ((x["priority"] == p) & longer)
+        ends = F.transform(
+            acc["ends"],
+            lambda end, p: F.when(
+                (p == x["priority"]) & (last > end["last"]),
+                F.struct(last.alias("last"), x["first"].alias("first")),
+            ).otherwise(end),
+        )
+        own = F.struct(x["first"].alias("first"), last.alias("last"), x["label"].alias("label"), x["priority"].alias("priority"))
         return F.struct(
-            (first + piece["own"]).alias("at"),
-            F.concat(
-                acc["found"],
-                F.array(F.struct((first - 1).cast("int").alias("first"), (first - 1 + piece["own"]).cast("int").alias("last"))),
-            ).alias("found"),
+            ends.alias("ends"),
+            F.when(inside, acc["kept"]).otherwise(F.concat(acc["kept"], F.array(own))).alias("kept"),
         )
 
-    found = F.aggregate(pieces, start, step, lambda acc: acc["found"])
-    return F.transform(
-        found,
-        lambda x: F.struct(
-            x["first"].alias("first"), x["last"].alias("last"),
-            rule["priority"].alias("priority"), rule["label"].alias("label"),
-        ),
+    start = F.struct(ends.alias("ends"), none.alias("kept"))
+    return F.aggregate(F.sort_array(found), start, step, lambda acc: acc["kept"])
+
+
+def license_scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """One row per input row: word counts, base phrases, labels, a score, and the detections kept.
+
+    detections: array of (first word, last word, label, priority). Texts that hold no keyword of a
+    rule are never matched against it. A null or empty text has no words, null positions, empty
+    labels and score 0. Rows are judged one by one, repeated ones too; nothing is shuffled.
+    """
+    rules = signatures()
+    keywords = F.array(*[F.lit(k) for k in sorted({rule.keyword for rule in rules} | {"license"})])
+    table = F.array(
+        *[
+            F.struct(
+                F.lit(rule.label).alias("label"), F.lit(rule.keyword).alias("keyword"),
+                F.lit(rule.pattern).alias("pattern"), F.lit(rule.priority).alias("priority"),
+            )
+            for rule in rules
+        ]
     )
+    text, joined = F.col("text"), F.col("joined")
+    rows = id_and_text(docs, id_col, text_col).select(
+        "doc_id", F.regexp_replace(F.concat(F.lit(" "), text, F.lit(" ")), GAP_ANY_CASE, " ").alias("spaced")
+    )
+    rows = rows.select(
+        "doc_id",
+        "spaced",
+        (_spaces(F.col("spaced")) - 1).cast("long").alias("n_words"),
+        F.array_intersect(F.split(F.lower("spaced"), " "), keywords).alias("keywords"),
+    )
+    rows = rows.select(
+        "doc_id", "n_words", "keywords", F.when(F.size("keywords") > 0, ascii_lower(F.col("spaced"))).alias("joined")
+    )
+    tried = F.filter(table, lambda rule: F.array_contains("keywords", rule["keyword"]))
+    found = F.flatten(F.array_compact(F.transform(tried, lambda rule: _found(joined, rule))))
+    rows = rows.select(
+        "doc_id",
+        "n_words",
+        F.array_compact(F.array(*[_base(joined, phrase, label) for phrase, label in BASE.items()])).alias("base"),
+        F.when(joined.isNotNull(), _unsuppressed(found)).alias("kept"),
+    )
+    base, kept = F.col("base"), F.col("kept")
+    base_labels = F.array_sort(F.array_distinct(base["label"]))
+    weights = F.array(*[F.lit(w) for w in WEIGHT])
+    score = F.array_max(F.transform(kept, lambda x: F.get(weights, x["priority"])))
+    return rows.select(
+        "doc_id",
+        "n_words",
+        F.aggregate(base["n"], F.lit(0).cast("long"), lambda a, n: a + n).alias("n_base"),
+        F.array_min(base["first"]).alias("first_word"),
+        F.array_max(base["last"]).alias("last_word"),
+        F.array_join(base_labels, ",").alias("base_labels"),
+        F.array_join(
+            F.array_sort(F.array_union(base_labels, F.coalesce(kept["label"], F.array().cast("array<string>")))), ","
+        ).alias("labels"),
+        F.greatest(F.coalesce(score, F.lit(0.0)), F.when(F.size(base) > 0, WEIGHT[-1]).otherwise(0.0)).alias("score"),
+        F.coalesce(kept, F.array().cast("array<struct<first:int,last:int,label:string,priority:int>>")).alias("detections"),
+    )
+
+
+def op9_license_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(documents(spark, sf_dir))
