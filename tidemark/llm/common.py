@@ -2,13 +2,18 @@
 
 from __future__ import annotations
 
+import shutil
+import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.session import configure, shared_dir
 
+_shipped: set[str] = set()
+
 WORD_GAP = r"[ \t\n\x0B\f\r]+"  # what lies between words, as a Java pattern
 
 
@@ -16,6 +21,16 @@ def documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     return configure(spark).read.parquet(f"{sf_dir}/documents.parquet")
 
 
+def ship(spark: SparkSession) -> None:
+    """Give the workers this library, once per application: they need not have it installed."""
+    context = spark.sparkContext
+    if context.applicationId not in _shipped:
+        library = Path(__file__).resolve().parents[1]
+        folder = tempfile.mkdtemp(prefix="tidemark-")
+        context.addPyFile(shutil.make_archive(f"{folder}/tidemark_library", "zip", library.parent, library.name))
+        _shipped.add(context.applicationId)
+
+
 def id_and_text(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id long, text string): other columns go, so their names cannot clash; a null text is empty."""
     return docs.select(

@@ -12,7 +12,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import documents, id_and_text, stored
+from .common import documents, id_and_text, ship, stored
 from .word_ids import word_ids
 
 WINDOW = 4096
@@ -173,6 +173,7 @@ def pack(
     come, one document per row. An empty table gives no rows. Other columns are not read.
     """
     spark = docs.sparkSession
+    ship(spark)
     rows = id_and_text(docs, id_col, text_col)
     pieces = stored(rows.mapInArrow(_pieces(vocabulary or default_vocabulary(), window), _PIECE_SCHEMA), "pieces")
     totals = pieces.groupBy("part", "length").agg(F.count(F.lit(1)).alias("n"))
