@@ -2,15 +2,19 @@
 
 from __future__ import annotations
 
+from .byte_bpe import op8_byte_bpe
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .license_scan import op9_license_scan
 from .packing import op7_packing
 from .quality_rules import OP3_SQL, op3_quality_rules
+from .simhash import op2_simhash
 
 QUERIES = {
+    "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
     "op7_packing": op7_packing,
+    "op8_byte_bpe": op8_byte_bpe,
     "op9_license_scan": op9_license_scan,
 }
 
