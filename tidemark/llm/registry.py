@@ -8,6 +8,7 @@ from .license_scan import op9_license_scan
 from .packing import op7_packing
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .simhash import op2_simhash
+from .suffix_dedup import op10_suffix_dedup
 
 QUERIES = {
     "op2_simhash": op2_simhash,
@@ -16,6 +17,7 @@ QUERIES = {
     "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_license_scan": op9_license_scan,
+    "op10_suffix_dedup": op10_suffix_dedup,
 }
 
 SQL = {

@@ -155,30 +155,38 @@ def _flips(fp: Column, masks: list[int]) -> Column:
     return F.transform(F.array(*[F.lit(m).cast("long") for m in masks]), lambda m: fp.bitwiseXOR(m))
 
 
+def _listed(prints: DataFrame, parts: list[tuple[int, tuple[int, ...], list[int]]]) -> DataFrame:
+    """(fp, part, value): each fingerprint under its masked bits, flipped by every mask."""
+
+    def under(part: int, bits: tuple[int, ...], masks: list[int]) -> Column:
+        return F.transform(
+            _flips(_masked(F.col("fp"), bits), masks), lambda v: F.struct(F.lit(part).alias("part"), v.alias("value"))
+        )
+
+    return prints.select("fp", F.explode(F.concat(*[under(*part) for part in parts])).alias("at")).select("fp", "at.*")
+
+
 def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
     """(u, v) between distinct fingerprints ``fp``: connects exactly those within ``distance``.
 
     Buckets are looked up by probes and all members verified. A bucket of more than CROWD members is
     not compared pair by pair. Its members, and whatever probes it, go another exact way: to be within
     2 r bits is to have a common neighbour within r, so each is listed under all values within
-    distance / 2, and whatever meets under one value is linked to the smallest. A value has a bounded number of neighbours, so those groups are small.
+    distance / 2, and whatever meets under one value is linked to the smallest. A value has a
+    bounded number of neighbours, so those groups are small.
     """
     if distance % 2:
         raise ValueError("an even distance is needed: else two neighbours of a value may be a bit too far apart")
     parts = choose_parts(prints, distance)
     fp = F.col("fp")
-    index = prints.select("fp", F.explode(F.array(*[
-        F.struct(F.lit(i).alias("part"), _masked(fp, p.bits).alias("value")) for i, p in enumerate(parts)
-    ])).alias("k")).select("fp", "k.*")
-    probe = prints.select("fp", F.explode(F.concat(*[
-        F.transform(_flips(_masked(fp, p.bits), p.masks()), lambda v, i=i: F.struct(F.lit(i).alias("part"), v.alias("value")))
-        for i, p in enumerate(parts)
-    ])).alias("k")).select("fp", "k.*")
+    index = _listed(prints, [(i, p.bits, [0]) for i, p in enumerate(parts)])
+    probe = _listed(prints, [(i, p.bits, p.masks()) for i, p in enumerate(parts)])
     sizes = index.groupBy("part", "value").agg(F.count(F.lit(1)).alias("n"))
     crowds = stored(sizes.filter(F.col("n") > CROWD).select("part", "value"), "crowds")
     exact = all(p.radius == 0 for p in parts)
-    index, probe = (side.join(crowds, ["part", "value"], "left_anti") for side in (index, probe))
     near = F.bit_count(F.col("u").bitwiseXOR(F.col("v"))) <= distance
+    touched = stored(probe.join(crowds, ["part", "value"], "left_semi").select("fp").distinct(), "crowded")
+    index, probe = (side.join(crowds, ["part", "value"], "left_anti") for side in (index, probe))
     pairs = (
         probe.withColumnRenamed("fp", "u")
         .join(index.withColumnRenamed("fp", "v"), ["part", "value"])
@@ -187,11 +195,6 @@ def links(prints: DataFrame, distance: int = DISTANCE) -> DataFrame:
         .select("u", "v")
     )
     masks = [_signed(sum(1 << b for b in c)) for k in range(distance // 2 + 1) for c in itertools.combinations(range(BITS), k)]
-    tables = {i: [p.bits, p.masks()] for i, p in enumerate(parts)}
-    touched = prints.select("fp", F.explode(F.concat(*[
-        F.transform(_flips(_masked(fp, bits), m), lambda v, i=i: F.struct(F.lit(i).alias("part"), v.alias("value")))
-        for i, (bits, m) in tables.items()
-    ])).alias("k")).select("fp", "k.*").join(crowds, ["part", "value"], "left_semi").select("fp").distinct()
     hubs = (
         touched.select("fp", F.explode(_flips(fp, masks)).alias("hub"))
         .groupBy("hub")
@@ -231,3 +234,13 @@ def simhash(
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash(documents(spark, sf_dir))
+
+
+def drop_near(docs: DataFrame, shingle: int = SHINGLE, distance: int = DISTANCE, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs``, with all columns, whose doc_id is the component_id of their group.
+
+    Rows that share a doc_id stay or go together; rows without one stay, as nothing names them.
+    """
+    found = simhash(docs, shingle, distance, id_col, text_col)
+    gone = stored(found.filter(F.col("doc_id") != F.col("component_id")).select(F.col("doc_id").alias("__id")).distinct(), "near_copies")
+    return docs.join(gone, docs[id_col].cast("long") == gone["__id"], "left_anti")
