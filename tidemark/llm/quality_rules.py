@@ -177,8 +177,13 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
 
 
 def keep_good(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of ``docs`` that the rules keep, with all their columns."""
-    return judge(docs, id_col, text_col).filter("kept").select("row.*")
+    """The rows of ``docs`` that the rules keep, with all their columns.
+
+    A row number holds the filter above the projections: pushed below them it would evaluate the
+    word arrays anew in each of its terms.
+    """
+    judged = judge(docs, id_col, text_col).withColumn("number", F.monotonically_increasing_id())
+    return judged.filter(F.col("kept") & (F.col("number") >= 0)).select("row.*")
 
 
 def op3_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
