@@ -5,6 +5,7 @@ from __future__ import annotations
 from .byte_bpe import op8_byte_bpe
 from .exact_dedup import OP4_SQL, op4_exact_dedup
 from .license_scan import op9_license_scan
+from .lm_scoring import op6_lm_scores
 from .packing import op7_packing
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .simhash import op2_simhash
@@ -14,6 +15,7 @@ QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_lm_scores": op6_lm_scores,
     "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
     "op9_license_scan": op9_license_scan,
