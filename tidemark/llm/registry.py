@@ -10,11 +10,13 @@ from .packing import op7_packing
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .simhash import op2_simhash
 from .suffix_dedup import op10_suffix_dedup
+from .toxicity import op5_toxicity
 
 QUERIES = {
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_toxicity": op5_toxicity,
     "op6_lm_scores": op6_lm_scores,
     "op7_packing": op7_packing,
     "op8_byte_bpe": op8_byte_bpe,
