@@ -2,7 +2,8 @@
 
 Ids are cut into blocks of BLOCK ids. Every block starts from an empty model, so any block decodes
 by itself. Blocks are coded side by side, one array lane each: an array operation serves one step
-of all of them. Models use integers only, so encoder and decoder agree on every machine.
+of all of them. Models use whole numbers only (divisions in floating point are far enough from
+rounding), so encoder and decoder agree on every machine.
 
 The model of a block learns from the ids coded so far, and is brought up to date at the positions
 CUTS, which lie closer together at the start, where there is most to learn:
@@ -20,99 +21,105 @@ from __future__ import annotations
 
 import numpy as np
 
-BLOCK = 4096  # ids in a block
+BLOCK = 2048  # ids in a block
 SLOTS = 1024  # hashed contexts of each order
-CUTS = (0, 64, 128, 256, 512, 1024, 2048, 3072)
+CUTS = (0, 64, 256, 768)
 WEIGHTS = (3, 2, 5)  # evidence of order 0 (constant), 1 and 2 (per occurrence)
-MOST = 40  # occurrences that count as evidence
 WIDTH = 65536  # ids are below
 CHUNK = 16  # lanes modelled together: their tables stay in a core's cache
 
 BITS = 28  # of a coding step's total
 TOTAL = 1 << BITS
-#: 2**BITS divided by the weight of all evidence; 1/64 at least is left to order 0.
-SHARE = (TOTAL // np.maximum(1, np.arange(MOST * sum(WEIGHTS) + 4))) * 63 // 64
+KEY = (1 << 17) - 1  # low bits of an entry: id + 1; the mass stands above
 
 U = np.uint64
 FULL, LOW, KEEP, UPPER, SIXTEEN = U((1 << 48) - 1), U(1 << 32), U((1 << 32) - 1), U(32), U(16)
 
 
-def _contexts(ids: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    one = ids * 40503
-    return one >> 4 & (SLOTS - 1), one + before * 30011 >> 4 & (SLOTS - 1)
+def _contexts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Slots of the contexts of order 1 and 2 in which the ids of each row stand."""
+    one = np.zeros(rows.shape, np.int32)
+    np.multiply(rows[:, :-1], 20507, out=one[:, 1:])
+    two = one.copy()
+    two[:, 2:] += rows[:, :-2] * 11003
+    return one >> 4 & (SLOTS - 1), two >> 4 & (SLOTS - 1)
 
 
-def _all_contexts(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Slots of the contexts in which the ids of each row stand."""
-    last = np.zeros_like(rows)
-    last[:, 1:] = rows[:, :-1]
-    before = np.zeros_like(rows)
-    before[:, 2:] = rows[:, :-2]
-    return _contexts(last, before)
+def _tables(rows: np.ndarray, slots: tuple[np.ndarray, np.ndarray], size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Entries lane x slot of order 1, and of order 2 mixed with the order 1 it implies.
 
+    ``rows``: the ids; those before position ``size`` count.
+    """
+    lanes = rows.shape[0]
+    empty = np.zeros(lanes * SLOTS, np.int64)
+    if not size:
+        return empty, empty
+    offset = (np.arange(lanes, dtype=np.int32) * SLOTS)[:, None]
+    key = (rows[:, :size] + 1).ravel()
+    found = []
+    for order in (0, 1):
+        at = (offset + slots[order][:, :size]).ravel()
+        last = np.zeros(lanes * SLOTS, np.int32)
+        last[at] = key  # of equal places the last one stays
+        total = np.bincount(at, minlength=last.size)
+        match = np.bincount(at[last.take(at) == key], minlength=last.size)
+        found.append((at, last, match, total))
+    (at1, last1, match1, total1), (at2, last2, match2, total2) = found
+    below = np.zeros(lanes * SLOTS, np.int32)
+    below[at2] = at1  # the order 1 context of each order 2 context
+    some1, some2 = np.flatnonzero(total1), np.flatnonzero(total2)
 
-def _followers(rows: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """A table lane x slot: id + 1 that last followed, match, total; packed in 17, 6 and 6 bits."""
-    lanes, n = rows.shape
-    if not n:
-        return np.zeros(lanes * SLOTS, np.int64)
-    at = (np.arange(lanes)[:, None] * SLOTS + slots).ravel()
-    key = rows.ravel() + 1
-    table = np.zeros(lanes * SLOTS, np.int64)
-    table[at] = key  # of equal places the last one stays
-    match = np.bincount(at[table.take(at) == key], minlength=table.size)
-    total = np.bincount(at, minlength=table.size)
-    over = np.maximum(total, MOST)
-    return table << 12 | match * MOST // over << 6 | total * MOST // over
+    def entries(some: np.ndarray, last: np.ndarray, match: np.ndarray, total: np.ndarray) -> np.ndarray:
+        table = empty.copy()
+        mass = match * float(TOTAL * 63 // 64) / (total + WEIGHTS[0])
+        table[some] = mass.astype(np.int64) << 17 | last
+        return table
 
-
-def _mass(one: np.ndarray, two: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Candidate id (-1: none) and its mass, from the entries of both contexts."""
-    key1 = one >> 12
-    key = np.where(two > 0, two >> 12, key1)
-    match = (two >> 6 & 63) * WEIGHTS[2] + (one >> 6 & 63) * WEIGHTS[1] * (key1 == key)
-    total = (two & 63) * WEIGHTS[2] + (one & 63) * WEIGHTS[1] + WEIGHTS[0]
-    return key - 1, match * SHARE.take(total)
+    one = entries(some1, last1[some1], match1[some1] * WEIGHTS[1], total1[some1] * WEIGHTS[1])
+    under = below[some2]
+    key2 = last2[some2]
+    match = match2[some2] * WEIGHTS[2] + match1[under] * WEIGHTS[1] * (last1[under] == key2)
+    total = total2[some2] * WEIGHTS[2] + total1[under] * WEIGHTS[1]
+    return one, entries(some2, key2, match, total)
 
 
 class _Order0:
-    """Shares out of 65536 of the ids in each row of ``rows``, side by side in id order."""
+    """Shares out of 65536 of the ids in each row of ``rows``, side by side in id order.
+
+    Every row has n + 1 places: its n ids, sorted, and one for unseen ids.
+    """
 
     def __init__(self, rows: np.ndarray):
         self.lanes, self.n = rows.shape
         n = self.n
-        self.each = (65536 - 65536 // (2 + n.bit_length() // 2)) // n if n else 0
+        self.each = (65536 - 65536 // (2 + n.bit_length() // 2)) // n if n else 1
         self.top = n * self.each  # where the share of unseen ids begins
-        ids = np.sort(rows.astype(np.uint16), axis=1, kind="stable")
-        ids = np.concatenate([ids, np.zeros((self.lanes, 1), np.uint16)], axis=1).ravel()
-        if not n:
-            self.first = np.zeros(self.lanes, np.int64)
-            self.starts = np.zeros(0, np.int64)
-        else:
-            new = np.empty(ids.size, bool)
-            new[1:] = ids[1:] != ids[:-1]
-            new[:: n + 1] = new[n :: n + 1] = True
-            runs = np.flatnonzero(new)
-            self.first = (runs % (n + 1) * self.each)[np.cumsum(new) - 1]
-            self.starts = runs[runs % (n + 1) != n]
-        self.ids = ids.astype(np.int64)
-        # each row ends with a place of its own for unseen ids
-        size = np.full(ids.size, 65536 - self.top, np.int64)
-        if n:
-            ends = np.append(runs[1:], ids.size)
-            size = ((ends - runs) * self.each)[np.cumsum(new) - 1]
-            size[n :: n + 1] = 65536 - self.top
-        self.size = size
-        self.base = np.arange(self.lanes) * (n + 1)
+        places = np.empty((self.lanes, n + 1), np.uint16)
+        places[:, :n] = rows
+        places[:, :n].sort(axis=1, kind="stable")
+        new = np.ones((self.lanes, n + 1), bool)
+        new[:, 1:n] = places[:, 1:n] != places[:, : max(0, n - 1)]
+        starts = np.flatnonzero(new)
+        runs = np.cumsum(new.ravel(), dtype=np.int32) - 1
+        column = (starts % (n + 1)).astype(np.int32)
+        size = np.diff(starts, append=new.size).astype(np.int32) * self.each
+        last = column == n
+        size[last] = 65536 - self.top
+        self.low = (column * self.each)[runs]
+        self.size = size[runs]
+        self.ids = places.ravel()
+        self.runs = starts[~last], column[~last]
 
     def places(self, rows: np.ndarray, scratch: np.ndarray) -> np.ndarray:
         """The places of ids, row by row; ``scratch``: zeros, lanes x WIDTH, left as they were."""
         flat = scratch.ravel()
-        spots = self.starts // (self.n + 1) * WIDTH + self.ids.take(self.starts)
-        flat[spots] = self.starts - self.starts // (self.n + 1) * (self.n + 1) - self.n
-        found = flat.take(np.arange(self.lanes)[:, None] * WIDTH + rows) + self.n
+        starts, column = self.runs
+        spots = starts // (self.n + 1) * WIDTH + self.ids.take(starts)
+        flat[spots] = column - self.n
+        lane = np.arange(self.lanes)[:, None]
+        found = flat.take(lane * WIDTH + rows)
         flat[spots] = 0
-        return found + self.base[:, None]
+        return found + (lane * (self.n + 1) + self.n)
 
 
 def _spans(steps: int) -> list[tuple[int, int]]:
@@ -124,44 +131,49 @@ def _intervals(rows: np.ndarray, scratch: np.ndarray) -> tuple[np.ndarray, np.nd
     """Start and size, out of TOTAL, of the interval of each id."""
     lanes, steps = rows.shape
     start, size = np.empty((lanes, steps), np.int64), np.empty((lanes, steps), np.int64)
-    slots = _all_contexts(rows)
-    offset = np.arange(lanes)[:, None] * SLOTS
+    slots = _contexts(rows)
+    offset = (np.arange(lanes, dtype=np.int32) * SLOTS)[:, None]
     for a, b in _spans(steps):
         ids = rows[:, a:b]
-        one, two = (_followers(rows[:, :a], s[:, :a]).take(offset + s[:, a:b]) for s in slots)
-        guess, mass = _mass(one, two)
+        one, two = (table.take(offset + s[:, a:b]) for table, s in zip(_tables(rows, slots, a), slots))
+        entry = np.where(two > 0, two, one)
+        mass = entry >> 17
         order0 = _Order0(rows[:, :a])
         at = order0.places(ids, scratch[:lanes])
-        low, share = order0.first.take(at), order0.size.take(at)
+        low, share = order0.low.take(at), order0.size.take(at)
         rest = TOTAL - mass
-        begin = mass + (rest * low >> 16)
-        width = mass + (rest * (low + share) >> 16) - begin
-        unseen = low == order0.top
-        inner = np.where(unseen, width * ids >> 16, 0)
-        width = np.where(unseen, (width * (ids + 1) >> 16) - inner, width)
-        hit = (ids == guess) & (mass > 0)
-        start[:, a:b] = np.where(hit, 0, begin + inner)
-        size[:, a:b] = np.where(hit, mass, width)
+        begin = rest * low >> 16
+        width = (rest * (low + share) >> 16) - begin
+        begin += mass
+        unseen = np.flatnonzero(low == order0.top)
+        fresh, wide = ids.ravel()[unseen].astype(np.int64), width.ravel()[unseen]
+        inner = wide * fresh >> 16
+        begin.ravel()[unseen] += inner
+        width.ravel()[unseen] = (wide * (fresh + 1) >> 16) - inner
+        hit = np.flatnonzero(((entry & KEY) == ids + 1) & (mass > 0))
+        begin.ravel()[hit] = 0
+        width.ravel()[hit] = mass.ravel()[hit]
+        start[:, a:b], size[:, a:b] = begin, width
     return start, size
 
 
 def encode(rows: np.ndarray) -> list[bytes]:
     """The code of each row of ids; the rows are equally long."""
     lanes, steps = rows.shape
-    start, size = np.empty((steps, lanes), U), np.empty((steps, lanes), U)
+    start, size = np.empty((steps, lanes), np.uint32), np.empty((steps, lanes), np.uint32)
     scratch = np.zeros((min(lanes, CHUNK), WIDTH), np.int16)
     for i in range(0, lanes, CHUNK):
-        one, two = _intervals(rows[i : i + CHUNK].astype(np.int64), scratch)
+        one, two = _intervals(rows[i : i + CHUNK].astype(np.int32), scratch)
         start[:, i : i + CHUNK], size[:, i : i + CHUNK] = one.T, two.T
     low, range_ = np.zeros(lanes, U), np.full(lanes, FULL, U)
     out = np.zeros((lanes, steps * 2 + 8), np.uint32)
     flat, base = out.ravel(), np.arange(lanes) * out.shape[1]
     at = base.copy()
-    bits = U(BITS)
+    bits, unit = U(BITS), np.empty(lanes, U)
     for s, z in zip(start, size):
-        unit = range_ >> bits
+        np.right_shift(range_, bits, out=unit)
         low += unit * s
-        range_ = unit * z
+        np.multiply(unit, z, out=range_)
         short = range_ < LOW
         while short.any():
             # a word may exceed 16 bits by a carry, which goes to the word before at the end
@@ -199,42 +211,42 @@ def decode(codes: list[bytes], steps: int) -> np.ndarray:
         value = value << SIXTEEN | flat.take(at)
         at += 1
     bits, range_ = U(BITS), np.full(lanes, FULL, U)
-    rows = np.zeros((lanes, steps), np.int64)
+    rows = np.zeros((lanes, steps), np.int32)
     offset = np.arange(lanes) * SLOTS
-    last = before = np.zeros(lanes, np.int64)
+    one = before = last = np.zeros(lanes, np.int64)  # the last id's hash, that of the one before, the last id
     for a, b in _spans(steps):
-        tables: list[list[np.ndarray]] = [[], []]
         parts = []
         for i in range(0, lanes, CHUNK):
             history = np.ascontiguousarray(rows[i : i + CHUNK, :a])
-            for table, slots in zip(tables, _all_contexts(history)):
-                table.append(_followers(history, slots))
-            parts.append(_Order0(history))
-        table1, table2 = (np.concatenate(table) for table in tables)
-        ids0, first0, size0 = (np.concatenate([getattr(p, k) for p in parts]) for k in ("ids", "first", "size"))
-        base, each, top = np.arange(lanes) * (a + 1), max(1, parts[0].each), parts[0].top
-        done = np.empty((b - a, lanes), np.int64)
+            order0 = _Order0(history)
+            parts.append((*_tables(history, _contexts(history), a), order0.ids, order0.low, order0.size))
+        table1, table2, ids0, low0, size0 = (np.concatenate(columns) for columns in zip(*parts))
+        base, each, top = np.arange(lanes) * (a + 1), order0.each, order0.top
+        done = np.empty((b - a, lanes), np.int32)
         for t in range(b - a):
-            slot1, slot2 = _contexts(last, before)
-            guess, mass = _mass(table1.take(offset + slot1), table2.take(offset + slot2))
+            entry = table2.take(offset + ((one + before) >> 4 & (SLOTS - 1)))
+            entry = np.where(entry > 0, entry, table1.take(offset + (one >> 4 & (SLOTS - 1))))
+            mass = entry >> 17
             unit = range_ >> bits
-            slot = np.minimum(value // unit, U(TOTAL - 1)).astype(np.int64)
+            slot = np.minimum((value / unit).astype(np.int64), TOTAL - 1)
             rest = TOTAL - mass
             beyond = slot - mass
             hit = beyond < 0
-            share = np.maximum(((beyond + 1 << 16) - 1) // rest, 0)
-            place = base + np.minimum(share // each, a)
-            ids, low, own = ids0.take(place), first0.take(place), size0.take(place)
-            begin = mass + (rest * low >> 16)
-            wide = mass + (rest * (low + own) >> 16) - begin
+            share = ((beyond << 16) + 65535) / rest
+            place = base + np.minimum(np.maximum(share, 0).astype(np.int64) // each, a)
+            low, own = low0.take(place), size0.take(place)
+            begin = rest * low >> 16
+            wide = (rest * (low + own) >> 16) - begin
+            begin += mass
+            ids = np.where(hit, (entry & KEY) - 1, ids0.take(place))
             odd = np.flatnonzero((low == top) > hit)
             if odd.size:
-                w = wide[odd]
-                ids[odd] = fresh = ((slot[odd] - begin[odd] + 1 << 16) - 1) // w
+                w, first = wide[odd], begin[odd]
+                fresh = (((slot[odd] - first << 16) + 65535) / w).astype(np.int64)
+                ids[odd] = fresh
                 inner = w * fresh >> 16
-                begin[odd] += inner
+                begin[odd] = first + inner
                 wide[odd] = (w * (fresh + 1) >> 16) - inner
-            ids = np.where(hit, guess, ids)
             begin *= ~hit
             wide = np.where(hit, mass, wide)
             value -= unit * begin.view(U)
@@ -248,6 +260,6 @@ def decode(codes: list[bytes], steps: int) -> np.ndarray:
                 range_ <<= shift
                 short = range_ < LOW
             done[t] = ids
-            last, before = ids, last
+            before, last, one = last * 11003, ids, ids * 20507
         rows[:, a:b] = done.T
     return rows

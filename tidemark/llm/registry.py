@@ -10,9 +10,11 @@ from .packing import op7_packing
 from .quality_rules import OP3_SQL, op3_quality_rules
 from .simhash import op2_simhash
 from .suffix_dedup import op10_suffix_dedup
+from .token_files import op1_token_files
 from .toxicity import op5_toxicity
 
 QUERIES = {
+    "op1_token_files": op1_token_files,
     "op2_simhash": op2_simhash,
     "op3_quality_rules": op3_quality_rules,
     "op4_exact_dedup": op4_exact_dedup,
