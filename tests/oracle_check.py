@@ -49,7 +49,7 @@ def compare(spark, connection, name: str, sf_dir: str) -> str:
 
 
 def main() -> int:
-    sf_dir, names = sys.argv[1], sys.argv[2:] or list(entry.queries())
+    sf_dir, names = sys.argv[1], sys.argv[2:] or list(entry.oracle_sql())
     spark = build_session(
         master="local[8]",
         extra={

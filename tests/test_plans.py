@@ -14,12 +14,12 @@ from tidemark.operators.temporal import asof_join, pit_join
 from tidemark.plans.gold import daily_price_summary, sector_performance
 from tidemark.plans.silver import stg_macro_indicators, stg_stock_prices
 from tidemark.schemas import MACRO_FEED, PRICE, PRICES_FEED, STOCK_PRICES
-from tidemark.session import widen
 from tidemark.sources.bronze import append_bronze, read_bronze
 from tidemark.sources.samples import sample_macro, sample_prices
 from tidemark.sources.tables import laid_out
 
 import __spark_entry__ as entry
+from workload import registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -39,7 +39,7 @@ def stored_prices(spark, tmp_path):
     return spark.read.parquet(path)
 
 
-@pytest.mark.parametrize("name", list(entry.queries()))
+@pytest.mark.parametrize("name", list(registry.registered()))
 def test_every_query_has_sql(name):
     assert name in entry.oracle_sql()
 
@@ -88,19 +88,12 @@ def test_sector_mart_reuses_the_partitioning_of_the_window(spark, stored_prices)
         [("A", "Tech", at("2026-01-01"), at("2027-01-01"))],
         "ticker string, sector string, valid_from timestamp, valid_to timestamp",
     )
-    facts = daily_price_summary(stored_prices).hint("merge")
-    plan = plan_of(sector_performance(facts, company))
+    plan = plan_of(sector_performance(daily_price_summary(stored_prices), company))
     assert "SortMergeJoin" in plan
     # Facts by ticker for the window, the dimension by ticker, the aggregate: no fourth.
     assert plan.count("Exchange hashpartitioning") == 3
 
 
-def test_widen_leaves_wide_inputs_alone(spark):
-    wide = spark.range(100, numPartitions=64)
-    assert widen(wide) is wide
-    assert widen(spark.range(100, numPartitions=1)).rdd.getNumPartitions() == 8
-
-
 # --- skew: one key holds a third of all rows or more --------------------------------------------
 
 ROWS = 200_000

@@ -135,7 +135,7 @@ def test_an_unfinished_run_is_ignored(spark, tmp_path):
     table = SnapshotTable(f"{tmp_path}/snap", COMPANY_SNAPSHOT, "ticker", COMPANY_CHECK_COLUMNS)
     table.run(seed(spark, [("A", "Tech")]), at("2026-01-01"))
     table.run(seed(spark, [("A", "Health")]), at("2026-02-01"))
-    (tmp_path / "snap" / "run=2026-02-01T00-00-00-000000" / "_SUCCESS").unlink()
+    (tmp_path / "snap" / "run=2026-02-01T00-00-00-000000" / "_COMPLETE").unlink()
     assert tuples(table.history(spark), *SPAN) == [("A", "Tech", at("2026-01-01"), None)]
     table.run(seed(spark, [("A", "Health")]), at("2026-02-01"))
     assert tuples(table.history(spark), "sector") == [("Health",), ("Tech",)]

@@ -17,5 +17,5 @@ def exact_mean(value: Column) -> Column:
 
 def change_pct(current: Column, previous: Column) -> Column:
     """Percentage change, NULL where there is no positive previous value."""
-    now, before = current.cast("double"), previous.cast("double")
-    return F.when(previous > 0, (now - before) / before * 100)
+    change = (current - previous).cast("double")  # exact before it becomes floating point
+    return F.when(previous > 0, change / previous.cast("double") * 100)

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidemark.functions.numeric import exact_mean
@@ -22,19 +22,28 @@ def pivot_series(indicators: DataFrame, columns: Mapping[str, str] = MACRO_COLUM
     )
 
 
-def market_daily(summary: DataFrame) -> DataFrame:
-    """One row per trade date over all tickers; NULL returns do not count."""
+def _tickers(unique: bool) -> Column:
+    """How many tickers; rows that are known to hold each ticker once a day need no distinct count,
+    which would send every row through a shuffle by (date, ticker) before the one by date."""
+    return F.count("ticker") if unique else F.count_distinct("ticker")
+
+
+def market_daily(summary: DataFrame, unique: bool = False) -> DataFrame:
+    """One row per trade date over all tickers; NULL returns do not count.
+
+    ``unique``: the caller has tested that (ticker, trade_date) is unique.
+    """
     return summary.groupBy("trade_date").agg(
         F.avg("daily_return_pct").alias("market_avg_return"),
         F.sum("volume").alias("market_total_volume"),
-        F.count_distinct("ticker").alias("num_tickers"),
+        _tickers(unique).alias("num_tickers"),
     )
 
 
-def sector_daily(classified: DataFrame) -> DataFrame:
-    """One row per (trade date, sector)."""
+def sector_daily(classified: DataFrame, unique: bool = False) -> DataFrame:
+    """One row per (trade date, sector); ``unique`` as for ``market_daily``."""
     return classified.groupBy("trade_date", "sector").agg(
-        F.count_distinct("ticker").alias("num_companies"),
+        _tickers(unique).alias("num_companies"),
         F.avg("daily_return_pct").alias("avg_daily_return_pct"),
         F.sum("volume").alias("total_volume"),
         exact_mean(F.col("close_price")).alias("avg_close_price"),

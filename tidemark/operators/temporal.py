@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.session import materialized
+
 
 def pit_join(
     facts: DataFrame,
@@ -33,21 +35,27 @@ def pit_join(
 def asof_join(left: DataFrame, right: DataFrame, left_on: str, right_on: str) -> DataFrame:
     """Left join of each row with the latest right row dated on or before it.
 
-    ``right`` has one row per date. Each right row is spread over the days until the next one,
-    which turns the as-of condition into an equality on the day; days after the last right row
-    are clamped to it. The day table holds one row per calendar day between the first and the
-    last right date, whatever the size of ``left``. With that bound it can be broadcast: left
-    rows are neither shuffled nor sorted, and a day that holds a large share of them is no
-    hotter than any other. The window that finds the next date runs over the right dates only.
+    ``right`` must have one row per date; ValueError if it has not. It is evaluated once, into the
+    shared folder. Each right row is spread over the days until the next one, which turns the as-of
+    condition into an equality on the day; days after the last right row are clamped to it. The day
+    table holds one row per calendar day between the first and the last right date, whatever the
+    size of ``left``. No side is forced: Spark broadcasts the day table if it is under its threshold
+    and else shuffles both by day, where AQE can split hot days. The window that finds the next date
+    runs over the right dates only.
     """
+    right = materialized(right.filter(F.col(right_on).isNotNull()))
+    rows, dates, latest = right.agg(
+        F.count(F.lit(1)), F.count_distinct(right_on), F.max(right_on)
+    ).first()
+    if rows != dates:
+        raise ValueError(f"{rows} rows for {dates} values of {right_on}: one row per date is needed")
     following = F.lead(right_on).over(Window.orderBy(right_on))
     last_day = F.greatest(F.date_sub(F.col("_next"), 1), F.col(right_on))
     by_day = right.withColumn("_next", following).withColumn(
         "_day", F.explode(F.sequence(F.col(right_on), last_day))
     )
-    latest = right.agg(F.max(right_on)).scalar()
     # ``least`` ignores NULLs, but a row without a date has no right row.
-    lookup_day = F.when(F.col(left_on).isNotNull(), F.least(F.col(left_on), latest))
+    lookup_day = F.when(F.col(left_on).isNotNull(), F.least(F.col(left_on), F.lit(latest).cast("date")))
     keyed = left.withColumn("_lookup_day", lookup_day)
-    joined = keyed.join(F.broadcast(by_day), F.col("_lookup_day") == F.col("_day"), "left")
+    joined = keyed.join(by_day, F.col("_lookup_day") == F.col("_day"), "left")
     return joined.drop("_lookup_day", "_day", "_next")

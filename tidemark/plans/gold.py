@@ -30,18 +30,31 @@ def daily_price_summary(prices: DataFrame) -> DataFrame:
     )
 
 
-def sector_performance(summary: DataFrame, company: DataFrame) -> DataFrame:
-    """Daily aggregates per sector, by the sector each company had on that day."""
+def sector_performance(
+    summary: DataFrame, company: DataFrame, unique: bool = False, by_ticker: bool = True
+) -> DataFrame:
+    """Daily aggregates per sector, by the sector each company had on that day.
+
+    ``unique``: (ticker, trade_date) has been tested to be unique in ``summary``. ``by_ticker``:
+    its rows are still partitioned and sorted by ticker, as the rolling window leaves them; a merge
+    join then shuffles the dimension only. Rows read back from storage are not.
+    """
     facts = summary.select("ticker", "trade_date", "close_price", "daily_return_pct", "volume")
     versions = company.select("ticker", "sector", "valid_from", "valid_to")
-    return sector_daily(pit_join(facts, versions, key="ticker", date="trade_date"))
+    facts = facts.hint("merge") if by_ticker else facts
+    return sector_daily(pit_join(facts, versions, key="ticker", date="trade_date"), unique)
+
 
+def macro_market_correlation(
+    summary: DataFrame, indicators: DataFrame, unique: bool = False
+) -> DataFrame:
+    """Market aggregates per day beside the latest macro observation up to that day.
 
-def macro_market_correlation(summary: DataFrame, indicators: DataFrame) -> DataFrame:
-    """Market aggregates per day beside the latest macro observation up to that day."""
+    ``unique`` as for ``sector_performance``.
+    """
     macro = pivot_series(indicators).withColumnRenamed("observation_date", "macro_observation_date")
     return asof_join(
-        market_daily(summary), macro, left_on="trade_date", right_on="macro_observation_date"
+        market_daily(summary, unique), macro, left_on="trade_date", right_on="macro_observation_date"
     ).select(
         "trade_date",
         "market_avg_return",

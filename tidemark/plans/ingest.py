@@ -15,7 +15,7 @@ from pyspark.sql import SparkSession
 
 from tidemark.quality.checks import QualityError, check_bronze_freshness
 from tidemark.schemas import MACRO_FEED, PRICES_FEED
-from tidemark.session import build_session
+from tidemark.session import build_session, configure
 from tidemark.sources.bronze import IngestionError, LandingReport, land, read_staged
 
 
@@ -29,6 +29,7 @@ def ingest(
     as_of: date | None = None,
 ) -> tuple[LandingReport, LandingReport]:
     """Land prices, then macro series, then check freshness; any of them may stop the run."""
+    configure(spark)
     prices = land(read_staged(spark, staged_prices, PRICES_FEED), bronze, PRICES_FEED, ingested_at)
     macro = land(read_staged(spark, staged_macro, MACRO_FEED), bronze, MACRO_FEED, ingested_at)
     check_bronze_freshness(spark, bronze, max_days_stale, as_of)

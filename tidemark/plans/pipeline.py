@@ -2,7 +2,7 @@
 
 Run as a job::
 
-    python -m tidemark.plans.pipeline --bronze DIR --seed FILE --warehouse DIR [--incremental]
+    python -m tidemark.plans.pipeline --bronze DIR --seed FILE --warehouse DIR [--since DAY]
 """
 
 from __future__ import annotations
@@ -13,16 +13,17 @@ from dataclasses import dataclass
 from datetime import date, datetime, timezone
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tidemark.plans import gold, silver
 from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
-from tidemark.quality.checks import QualityError, check_table
+from tidemark.quality.checks import QualityError, check_table, not_null, unique_combination
 from tidemark.schemas import (
     COMPANY_CHECK_COLUMNS,
     COMPANY_KEY,
     COMPANY_SNAPSHOT,
 )
-from tidemark.session import build_session
+from tidemark.session import build_session, configure
 from tidemark.sources.seeds import read_seed
 from tidemark.sources.snapshots import SnapshotTable
 from tidemark.sources.tables import (
@@ -30,6 +31,7 @@ from tidemark.sources.tables import (
     PERIOD,
     Warehouse,
     register_databases,
+    register_query,
     register_views,
     with_period,
 )
@@ -59,6 +61,20 @@ def company_snapshot(warehouse: Warehouse) -> SnapshotTable:
     )
 
 
+def check_seed(metadata: DataFrame) -> None:
+    """A company without a ticker, or with two rows, would multiply versions and then facts."""
+    for test in (
+        not_null(metadata, "company_metadata", [COMPANY_KEY]),
+        unique_combination(metadata, "company_metadata", [COMPANY_KEY]),
+    ):
+        failed = test.filter(~F.col("passed")).first()
+        if failed is not None:
+            raise QualityError(
+                f"{failed['check']} failed on company_metadata({failed['column']}): "
+                f"{failed['failures']} failures"
+            )
+
+
 def build(
     spark: SparkSession,
     config: Config,
@@ -70,17 +86,21 @@ def build(
     Every table is written before the next step reads it, so its lineage ends in files and the
     loss of an executor never reaches back beyond the current step.
     """
+    configure(spark)
     warehouse = Warehouse(config.warehouse)
     tables: dict[str, DataFrame] = {}
 
     metadata = seed if seed is not None else read_seed(spark, config.seed)
     tables["company_metadata"] = warehouse.replace(metadata, "company_metadata")
 
+    check_seed(tables["company_metadata"])
     snapshot = company_snapshot(warehouse)
     snapshot.run(
         tables["company_metadata"], run_at or datetime.now(timezone.utc).replace(tzinfo=None)
     )
     tables["dim_company_snapshot"] = snapshot.history(spark)
+    if tables["dim_company_snapshot"].isEmpty() and not tables["company_metadata"].isEmpty():
+        raise QualityError("the company snapshot is empty after a run over a seed that is not")
     tables["dim_company"] = silver.dim_company(tables["dim_company_snapshot"])
 
     for table in (PRICES, MACRO):
@@ -99,17 +119,23 @@ def build(
         partition_by=[PERIOD],
         sort_by=["ticker", "trade_date"],
     ).drop(PERIOD)
-    tables["sector_performance"] = warehouse.replace(
-        gold.sector_performance(tables["daily_price_summary"], tables["dim_company"]),
-        "sector_performance",
-    )
-    tables["macro_market_correlation"] = warehouse.replace(
-        gold.macro_market_correlation(
-            tables["daily_price_summary"], tables["stg_macro_indicators"]
+    # The test of its key is what lets the two marts count tickers instead of distinct ones.
+    check_table(tables["daily_price_summary"], "daily_price_summary")
+    marts = {
+        "sector_performance": gold.sector_performance(
+            tables["daily_price_summary"], tables["dim_company"], unique=True, by_ticker=False
         ),
-        "macro_market_correlation",
-    )
-    for name in ("daily_price_summary", "sector_performance", "macro_market_correlation"):
+        "macro_market_correlation": gold.macro_market_correlation(
+            tables["daily_price_summary"], tables["stg_macro_indicators"], unique=True
+        ),
+    }
+    for name, mart in marts.items():
+        tables[name] = warehouse.replace(
+            with_period(mart, "trade_date", MONTHLY),
+            name,
+            partition_by=[PERIOD],
+            sort_by=["trade_date"],
+        ).drop(PERIOD)
         check_table(tables[name], name)
 
     register_views(tables)
@@ -141,6 +167,8 @@ def main(argv: Sequence[str] | None = None) -> int:
         print(f"Build stopped: {failure}")
         return 1
     register_databases(spark, Warehouse(config.warehouse), STORED)
+    for name in ("dim_company_snapshot", "dim_company"):
+        register_query(spark, name, tables[name])
     print(f"Built {', '.join(sorted(tables))}")
     return 0
 

@@ -13,7 +13,7 @@ from tidemark.operators.dedup import latest_by
 from tidemark.operators.upsert import upsert_latest
 from tidemark.plans import silver
 from tidemark.schemas import MACRO_FEED, PRICES_FEED, Feed
-from tidemark.sources.bronze import read_bronze
+from tidemark.sources.bronze import read_any_bronze
 from tidemark.sources.tables import MONTHLY, PERIOD, YEARLY, Warehouse, with_period
 
 
@@ -54,7 +54,7 @@ def rebuild_silver(
     spark: SparkSession, bronze: str, table: SilverTable, warehouse: Warehouse
 ) -> None:
     """Replace the stored table with one derived from all of bronze."""
-    rows = table.parse(read_bronze(spark, bronze, table.feed))
+    rows = table.parse(read_any_bronze(spark, bronze, table.feed, warehouse.root))
     latest = latest_by(rows, table.keys, silver.RECENCY, table.tie_break)
     placed = with_period(latest, table.date, table.period)
     warehouse.replace(placed, table.name, partition_by=[PERIOD], sort_by=table.keys)
@@ -64,7 +64,7 @@ def merge_bronze(bronze: DataFrame, table: SilverTable, warehouse: Warehouse) ->
     """Merge the given bronze rows into the stored silver table."""
     upsert_latest(
         table.parse(bronze),
-        path=warehouse.path(table.name),
+        path=warehouse.location(bronze.sparkSession, table.name),
         staging=f"{warehouse.root}/_staging/{table.name}",
         keys=table.keys,
         date=table.date,
@@ -83,7 +83,7 @@ def refresh_silver(
     until: date | None = None,
 ) -> None:
     """Merge the days ingested in ``[since, until]``; only their bronze folders are read."""
-    rows = read_bronze(spark, bronze, table.feed)
+    rows = read_any_bronze(spark, bronze, table.feed, warehouse.root)
     if since is not None:
         rows = rows.filter(F.col("ingest_date") >= F.lit(since))
     if until is not None:

@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.schemas import NOT_NULL, PRICES_FEED, UNIQUE_KEYS
+from tidemark.session import configure
 from tidemark.sources.bronze import bronze_exists
 
 PRICE_COLUMNS = ["open_price", "high_price", "low_price", "close_price"]
@@ -129,6 +130,7 @@ def check_bronze_freshness(
     as_of: date | None = None,
 ) -> str:
     """Fail if there is no price data or the latest is older than allowed."""
+    configure(spark)
     if not bronze_exists(spark, bronze, PRICES_FEED):
         raise QualityError(NO_DATA.format(path=bronze))
     rows = spark.read.parquet(f"{bronze}/{PRICES_FEED.table}").select("ingested_at")

@@ -23,7 +23,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     parser.add_argument("--max-tickers", type=int, default=20)
     args = parser.parse_args(argv)
     spark = build_session("tidemark-checks")
-    table = Warehouse(args.warehouse).path("stg_stock_prices")
+    table = Warehouse(args.warehouse).location(spark, "stg_stock_prices")
     try:
         if not exists(spark, table):
             check_bronze_freshness(spark, args.bronze_path, args.max_days_stale)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, SparkSession
@@ -59,12 +60,8 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
-def widen(df: DataFrame) -> DataFrame:
-    """Spread a scan that has fewer partitions than the session has task slots.
-
-    A file that is one row group is read by one task, and so would everything up to the next
-    shuffle be. Inputs large enough to fill the slots by themselves are returned as they are, so
-    no shuffle is added where it would cost anything.
-    """
-    slots = df.sparkSession.sparkContext.defaultParallelism
-    return df.repartition(slots) if df.rdd.getNumPartitions() < slots else df
+def materialized(df: DataFrame) -> DataFrame:
+    """Evaluate once: write to the shared folder and read back. Survives the loss of executors."""
+    path = f"{shared_dir(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -11,7 +11,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.payload import first_text, has_key
 from tidemark.schemas import UNKNOWN_ERROR, Feed
-from tidemark.sources.files import exists
+from tidemark.sources.files import children, exists, mark
 
 # How a partition date is spelled in a file path, how a rejection begins.
 PARTITION_PATTERN = "ingest_date=([0-9-]+)"
@@ -141,6 +141,39 @@ def read_struct_bronze(spark: SparkSession, bronze: str, feed: Feed) -> DataFram
     return rows.withColumn("raw_payload", F.to_json("raw_payload"))
 
 
+def text_bronze(spark: SparkSession, bronze: str, feed: Feed, target: str) -> None:
+    """Turn struct payloads into text, day by day, each day with its own schema.
+
+    A day costs what its own fields cost, however many days there are. Days that ``target`` already
+    holds are left alone; a day counts as converted once it is marked, so an interrupted one is
+    written again.
+    """
+    for day in sorted(children(spark, f"{bronze}/{feed.table}")):
+        if not day.startswith("ingest_date=") or exists(spark, f"{target}/_converted/{day}"):
+            continue
+        rows = spark.read.option("mergeSchema", True).parquet(f"{bronze}/{feed.table}/{day}")
+        if not isinstance(rows.schema["raw_payload"].dataType, T.StringType):
+            rows = rows.withColumn("raw_payload", F.to_json("raw_payload"))
+        rows.select(*feed.columns).write.mode("overwrite").parquet(f"{target}/{feed.table}/{day}")
+        mark(spark, f"{target}/_converted/{day}")
+
+
+def read_any_bronze(spark: SparkSession, bronze: str, feed: Feed, root: str) -> DataFrame:
+    """Scan a feed whose payloads are text, or structs that differ from day to day.
+
+    A feed is of one kind, so its first day tells which. Text versions of structs are kept below
+    ``root`` and extended by new days.
+    """
+    days = [d for d in sorted(children(spark, f"{bronze}/{feed.table}")) if d.startswith("ingest_date=")]
+    if days:
+        first = spark.read.parquet(f"{bronze}/{feed.table}/{days[0]}").schema
+        if not isinstance(first["raw_payload"].dataType, T.StringType):
+            target = f"{root}/_text_bronze/{feed.table}"
+            text_bronze(spark, bronze, feed, target)
+            bronze = target
+    return read_bronze(spark, bronze, feed)
+
+
 def _parquet_files(spark: SparkSession, path: str) -> DataFrame:
     """One row per Parquet file below ``path``; without its content column no file is opened."""
     return (

@@ -35,6 +35,7 @@ def unmark(spark: SparkSession, path: str) -> None:
     system.delete(location, False)
 
 
-def committed(spark: SparkSession, path: str) -> bool:
-    """Whether a Spark write to this folder ran to completion."""
-    return exists(spark, f"{path}/_SUCCESS")
+def remove(spark: SparkSession, path: str) -> None:
+    """Remove a folder of a table with all it holds."""
+    system, location = _located(spark, path)
+    system.delete(location, True)

@@ -1,10 +1,10 @@
 """Storage of a type 2 snapshot as plain Parquet folders.
 
-Each run writes one new folder, ``run=T``, holding the versions open after it and the versions it
-closed. A run whose write did not complete is ignored, so the previous state stays readable;
-repeating it rewrites only its own folder. Versions closed by earlier
-runs are never read or rewritten, so a run costs what the open rows cost, however long the
-history has become.
+Each run that changes something writes one new folder, ``run=T``, holding the versions open after it
+and the versions it closed, and marks it as complete with a file of its own, whatever the committer
+leaves behind. A run whose write did not complete is ignored, so the previous state stays readable.
+Versions closed by earlier runs are never read or rewritten, and the open rows of only two runs are
+kept, so storage grows with the changes and a run costs what the open rows cost.
 """
 
 from __future__ import annotations
@@ -18,8 +18,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.scd2 import scd2_merge
-from tidemark.sources.files import children, committed
-from tidemark.sources.tables import read_or_empty
+from tidemark.sources.files import children, exists, mark, remove
+from tidemark.sources.tables import laid_out, read_or_empty
 
 _RUN_FORMAT = "%Y-%m-%dT%H-%M-%S-%f"
 
@@ -35,11 +35,16 @@ class SnapshotTable:
         folders = [T.StructField("run", T.StringType()), T.StructField("is_open", T.BooleanType())]
         return read_or_empty(spark, self.path, T.StructType([*self.schema.fields, *folders]))
 
+    def _folders(self, spark: SparkSession) -> list[str]:
+        names = [name for name in children(spark, self.path) if name.startswith("run=")]
+        return sorted(name.removeprefix("run=") for name in names)
+
     def runs(self, spark: SparkSession) -> list[str]:
-        """Completed runs, oldest first."""
-        folders = [name for name in children(spark, self.path) if name.startswith("run=")]
-        complete = [name for name in folders if committed(spark, f"{self.path}/{name}")]
-        return sorted(name.removeprefix("run=") for name in complete)
+        """Completed runs that changed something, oldest first."""
+        return [run for run in self._folders(spark) if exists(spark, self._marker(run))]
+
+    def _marker(self, run: str) -> str:
+        return f"{self.path}/run={run}/_COMPLETE"
 
     def open_rows(self, spark: SparkSession, run: str | None) -> DataFrame:
         """The versions open after ``run``; both filters are on folders, so only those are read."""
@@ -47,24 +52,46 @@ class SnapshotTable:
         return rows.select(*self.schema.names)
 
     def history(self, spark: SparkSession) -> DataFrame:
-        """Every version: those closed by any completed run and those open after the last."""
+        """Every version: those closed by any completed run and those open after the last.
+
+        Runs that did not complete are removed before the next one begins, so the only one there
+        can be is later than the last that did.
+        """
         runs = self.runs(spark)
-        last_open = F.col("is_open") & (F.col("run") == (runs[-1] if runs else None))
-        closed = ~F.col("is_open") & F.col("run").isin(runs)
-        return self._rows(spark).filter(last_open | closed).select(*self.schema.names)
+        last = runs[-1] if runs else None
+        rows = self._rows(spark).filter(F.col("run") <= last)
+        return rows.filter(~F.col("is_open") | (F.col("run") == last)).select(*self.schema.names)
 
     def run(self, incoming: DataFrame, as_of: datetime) -> None:
-        """Fold ``incoming`` into the snapshot as of the given time.
+        """Fold ``incoming``, one row per key, into the snapshot as of the given time.
 
-        Repeating the last run replaces its outcome; a run older than the last is refused.
+        Repeating the last run replaces its outcome; a run older than the last is refused. A run that
+        opens and closes nothing stores nothing. The open rows of the last two runs are kept, older
+        ones are in the files of the run that closed them.
         """
         spark, run = incoming.sparkSession, as_of.strftime(_RUN_FORMAT)
         done = self.runs(spark)
         if done and done[-1] > run:
             raise ValueError(f"a snapshot run later than {as_of} has already completed")
         before = [name for name in done if name < run]
+        for name in self._folders(spark):
+            if name not in before:
+                remove(spark, f"{self.path}/run={name}")
         previous = self.open_rows(spark, before[-1] if before else None)
         decided = scd2_merge(previous, incoming, self.key, self.check_cols, as_of)
-        decided.withColumn("is_open", F.col("dbt_valid_to").isNull()).write.mode(
-            "overwrite"
-        ).partitionBy("is_open").parquet(f"{self.path}/run={run}")
+        folder = f"{self.path}/run={run}"
+        laid_out(
+            decided.withColumn("is_open", F.col("dbt_valid_to").isNull()), ["is_open"], [self.key]
+        ).write.mode("overwrite").option("partitionOverwriteMode", "static").partitionBy(
+            "is_open"
+        ).parquet(folder)
+        moment = F.lit(as_of).cast("timestamp")
+        changed = self._rows(spark).filter(F.col("run") == run).filter(
+            ~F.col("is_open") | (F.col("dbt_valid_from") == moment)
+        )
+        if before and changed.isEmpty():
+            remove(spark, folder)
+            return
+        mark(spark, self._marker(run))
+        for old in before[:-1]:
+            remove(spark, f"{self.path}/run={old}/is_open=true")

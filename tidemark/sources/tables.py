@@ -1,4 +1,4 @@
-"""Where tables live: one folder per layer, replaced in full on every run."""
+"""Where tables live: one folder per layer; a full refresh writes a new version, then publishes it."""
 
 from __future__ import annotations
 
@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.files import exists
+from tidemark.sources.files import children, exists, mark, remove, unmark
 
 # Which layer a table belongs to, and what consumers call the layers in SQL.
 LAYERS = {
@@ -48,8 +48,16 @@ class Warehouse:
     def path(self, table: str) -> str:
         return f"{self.root}/{LAYERS[table]}/{table}"
 
+    def versions(self, spark: SparkSession, table: str) -> list[str]:
+        """Published versions, oldest first."""
+        return sorted(children(spark, f"{self.path(table)}/_published"))
+
+    def location(self, spark: SparkSession, table: str) -> str:
+        """Folder of the newest published version, or of the first one to come."""
+        return f"{self.path(table)}/{(self.versions(spark, table) or ['v00000000'])[-1]}"
+
     def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.path(table))
+        return spark.read.parquet(self.location(spark, table))
 
     def replace(
         self,
@@ -58,12 +66,29 @@ class Warehouse:
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
     ) -> DataFrame:
-        """Rebuild a table in full and return the stored rows."""
+        """Rebuild a table in full and return the stored rows.
+
+        The rows go to a version folder of their own, which becomes the table's once it is complete:
+        a job that fails half way leaves the old rows readable. The version before stays for readers
+        that have already begun; older ones are removed. A table has one writer at a time.
+        """
+        spark, path = df.sparkSession, self.path(table)
+        done = self.versions(spark, table)
+        version = f"v{int(done[-1][1:]) + 1 if done else 0:08d}"
         writer = laid_out(df, partition_by, sort_by).write.mode("overwrite")
+        # whatever the session is set to: periods that are gone must go from the table too
+        writer = writer.option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(self.path(table))
-        return self.read(df.sparkSession, table)
+        writer.parquet(f"{path}/{version}")
+        if not any("=" in name for name in children(spark, f"{path}/{version}")) and partition_by:
+            # no rows, no folders: an empty file keeps the schema
+            df.limit(0).coalesce(1).write.mode("append").parquet(f"{path}/{version}")
+        mark(spark, f"{path}/_published/{version}")
+        for old in done[:-1]:
+            unmark(spark, f"{path}/_published/{old}")
+            remove(spark, f"{path}/{old}")
+        return self.read(spark, table)
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
@@ -92,14 +117,29 @@ def register_views(views: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
+def register_query(spark: SparkSession, table: str, rows: DataFrame) -> None:
+    """Make rows queryable as ``<database>.<table>`` that no single folder holds.
+
+    A catalog view cannot be defined over a data frame, so the rows are stored under that name.
+    """
+    database = DATABASES[LAYERS[table]]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").saveAsTable(
+        f"{database}.{table}"
+    )
+
+
 def register_databases(spark: SparkSession, warehouse: Warehouse, tables: Sequence[str]) -> None:
-    """Make stored tables queryable as ``<database>.<table>``, one database per layer."""
+    """Make stored tables queryable as ``<database>.<table>``, one database per layer.
+
+    The names stand for the versions published now; register again after a rebuild.
+    """
     for table in tables:
         database = DATABASES[LAYERS[table]]
         location = f"{warehouse.root}/{LAYERS[table]}"
         name = f"{database}.{table}"
         spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
         spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{warehouse.path(table)}'")
+        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{warehouse.location(spark, table)}'")
         if any(column.isPartition for column in spark.catalog.listColumns(name)):
             spark.catalog.recoverPartitions(name)

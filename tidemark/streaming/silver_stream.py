@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql.streaming import StreamingQuery
 
 from tidemark.plans.refresh import SilverTable, merge_bronze
+from tidemark.session import configure
 from tidemark.sources.tables import Warehouse
 
 
@@ -24,6 +25,8 @@ def stream_silver(
     the order of files; no watermark is used, so no late row is ever dropped.
     """
 
+    configure(spark)
+
     def merge(batch: DataFrame, _batch_id: int) -> None:
         merge_bronze(batch, table, warehouse)
 

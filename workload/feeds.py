@@ -24,7 +24,6 @@ from tidemark.schemas import (
     PRICE_SERIES_KEY,
     PRICES_FEED,
 )
-from tidemark.session import widen
 
 FIRST_PULL = "2026-01-01"
 PULL_DAYS = 28
@@ -55,7 +54,7 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     lines = table(spark, sf_dir, "lineitem").select(
         "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
     )
-    return widen(lines).select(
+    return lines.select(
         F.concat(F.lit("S"), F.col("l_suppkey")).alias("ticker"),
         F.col("l_shipdate").cast("date").alias("trade_date"),
         (close - spread).cast(PRICE).alias("open_price"),
@@ -91,18 +90,18 @@ def price_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 def macro_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``fred_series_raw``: each response reports its month and restates the month before.
 
-    GDP is quarterly and dated mid month, so on those dates it is the only series. Orders without
-    a priority report a missing value, every seventh of them one that is no number.
+    GDP is quarterly and dated in the middle of the quarter's first month, so on those dates it is
+    the only series. Orders without a priority report a missing value, every seventh of them one that is no number.
     """
-    orders = widen(
-        table(spark, sf_dir, "orders").select(
-            "o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"
-        )
-    ).withColumn("ordered", F.col("o_orderdate").cast("date"))
+    orders = (
+        table(spark, sf_dir, "orders")
+        .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
+        .withColumn("ordered", F.col("o_orderdate").cast("date"))
+    )
     series = F.create_map(*[F.lit(x) for pair in MACRO_SERIES.items() for x in pair])
     start = F.trunc("ordered", "month")
     quarterly = F.col("o_orderpriority") == "5-LOW"
-    dated = F.when(quarterly, F.date_add(start, 14)).otherwise(start)
+    dated = F.when(quarterly, F.date_add(F.trunc("ordered", "quarter"), 14)).otherwise(start)
     before = F.when(quarterly, F.add_months(dated, -3)).otherwise(F.add_months(dated, -1))
     price = F.col("o_totalprice").cast(PRICE)
     unspecified = F.col("o_orderpriority") == "4-NOT SPECIFIED"
@@ -118,8 +117,7 @@ def macro_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     payload = F.struct(F.array(*observation).alias(OBSERVATIONS_KEY))
     ingested_at = _pulled_at("o_orderkey", F.pmod(F.col("o_custkey"), F.lit(24)))
     return (
-        orders.filter(~quarterly | F.month("ordered").isin(1, 4, 7, 10))
-        .select(
+        orders.select(
             series[F.col("o_orderpriority")].alias("series_id"),
             F.to_json(payload).alias("raw_payload"),
             ingested_at.alias("ingested_at"),
@@ -159,7 +157,7 @@ def company_snapshots(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_price_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Price responses of which four in five are error envelopes of different kinds."""
-    orders = widen(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     reason, kind = F.col("o_orderpriority"), F.col("o_orderkey") % 5
     payload = (
         F.when(kind == 0, F.to_json(F.struct(F.create_map().alias(PRICE_SERIES_KEY))))
@@ -178,7 +176,7 @@ def mixed_price_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def mixed_macro_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Macro responses of which two in three are error envelopes."""
-    orders = widen(table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority"))
+    orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey", "o_orderpriority")
     kind = F.col("o_orderkey") % 3
     payload = (
         F.when(kind == 0, F.lit('{"observations": []}'))

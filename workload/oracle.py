@@ -77,9 +77,8 @@ rolled AS (
 ),
 summary AS (
     SELECT *, close_price - prev_close AS daily_change,
-           CASE WHEN prev_close > 0 THEN
-               (CAST(close_price AS DOUBLE) - CAST(prev_close AS DOUBLE))
-               / CAST(prev_close AS DOUBLE) * 100 END AS daily_return_pct
+           CASE WHEN prev_close > 0 THEN (close_price - prev_close) / prev_close * 100 END
+               AS daily_return_pct
     FROM rolled
 )"""
 
@@ -88,7 +87,8 @@ ordered AS (
     SELECT o_orderkey, o_orderpriority,
            CASE o_orderpriority WHEN '1-URGENT' THEN 'FEDFUNDS' WHEN '2-HIGH' THEN 'CPIAUCSL'
                 WHEN '5-LOW' THEN 'GDP' ELSE 'UNRATE' END AS series_id,
-           CAST(date_trunc('month', o_orderdate) AS DATE) AS first_day,
+           CAST(date_trunc(CASE o_orderpriority WHEN '5-LOW' THEN 'quarter' ELSE 'month' END, o_orderdate)
+                AS DATE) AS first_day,
            CAST(o_totalprice AS DECIMAL(18,4)) AS price,
            CAST(DATE '2026-01-01' + CAST(o_orderkey % 28 AS INTEGER) AS TIMESTAMP)
                + to_hours(CAST(o_custkey % 24 AS INTEGER)) AS last_updated_at
@@ -98,7 +98,6 @@ reported AS (
     SELECT *, CASE WHEN series_id = 'GDP' THEN first_day + 14 ELSE first_day END AS dated,
            CASE WHEN series_id = 'GDP' THEN 3 ELSE 1 END AS step
     FROM ordered
-    WHERE series_id <> 'GDP' OR month(first_day) IN (1, 4, 7, 10)
 ),
 observed AS (
     SELECT series_id, CAST(dated AS DATE) AS observation_date, price AS value, last_updated_at
@@ -312,18 +311,36 @@ _JSON = """
            CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
     FROM events"""
 
-_TABLE_COUNTS = """(
-    SELECT 'company_metadata' AS "table", count(*) AS row_count FROM supplier
-    UNION ALL SELECT 'dim_company_snapshot', count(*) FROM supplier
-    UNION ALL SELECT 'dim_company', count(*) FROM supplier
-    UNION ALL SELECT 'stg_stock_prices', count(*) FROM stocks
-    UNION ALL SELECT 'stg_macro_indicators', count(*) FROM indicators
-    UNION ALL SELECT 'daily_price_summary', count(*) FROM summary
-    UNION ALL SELECT 'macro_market_correlation', count(*) FROM market
-    UNION ALL SELECT 'sector_performance', count(*) FROM (
-        SELECT DISTINCT trade_date, sector
+_BUILT = """(
+    WITH valued AS (
+        SELECT summary.trade_date, recorded.sector, daily_return_pct, volume
         FROM summary JOIN recorded ON summary.ticker = recorded.ticker
-        WHERE effective_date = DATE '1995-01-01' AND trade_date >= DATE '1998-01-01'))"""
+        WHERE effective_date = DATE '1995-01-01' AND trade_date >= DATE '1998-01-01'
+    ), counts AS (
+        SELECT 'company_metadata' AS name, count(*) AS n FROM supplier
+        UNION ALL SELECT 'dim_company_snapshot', count(*) FROM supplier
+        UNION ALL SELECT 'dim_company', count(*) FROM supplier
+        UNION ALL SELECT 'stg_stock_prices', count(*) FROM stocks
+        UNION ALL SELECT 'stg_macro_indicators', count(*) FROM indicators
+        UNION ALL SELECT 'daily_price_summary', count(*) FROM summary
+        UNION ALL SELECT 'macro_market_correlation', count(*) FROM market
+        UNION ALL SELECT 'sector_performance', count(DISTINCT (trade_date, sector)) FROM valued
+    )
+    SELECT 'daily_price_summary' AS "table", ticker AS name,
+           strftime(trade_date, '%Y-%m-%d') AS trade_date, daily_return_pct AS return_pct,
+           CAST(volume AS BIGINT) AS volume, CAST(1 AS BIGINT) AS n
+    FROM summary
+    UNION ALL
+    SELECT 'sector_performance', sector, strftime(trade_date, '%Y-%m-%d'),
+           round(avg(daily_return_pct), 6), CAST(sum(volume) AS BIGINT), count(*)
+    FROM valued GROUP BY trade_date, sector
+    UNION ALL
+    SELECT 'macro_market_correlation', strftime(macro_observation_date, '%Y-%m-%d'),
+           strftime(trade_date, '%Y-%m-%d'), round(market_avg_return, 6),
+           CAST(market_total_volume AS BIGINT), num_tickers
+    FROM market
+    UNION ALL
+    SELECT 'rows', name, NULL, NULL, NULL, n FROM counts)"""
 
 _SNAPSHOT_COLUMNS = [
     "ticker", "company_name", "sector", "exchange", *_date("effective_date"),
@@ -476,5 +493,5 @@ SQL: dict[str, str] = {
         "stocks GROUP BY 1",
         *_STOCKS,
     ),
-    "medallion_build": _query(["*"], _TABLE_COUNTS, *_MARKET, COMPANY),
+    "medallion_build": _query(["*"], _BUILT, *_MARKET, COMPANY),
 }

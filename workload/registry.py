@@ -45,7 +45,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 # Digits kept of floating-point results whose last bits depend on the order of addition or on the
 # algorithm. All other results are exact sums followed by one division, equal to the last bit.
-DIGITS = {"volatility_30d": 4, "market_avg_return": 4, "avg_daily_return_pct": 4}
+DIGITS = {"volatility_30d": 6, "market_avg_return": 6, "avg_daily_return_pct": 6}
 
 HISTORY_TICKER = "S7"
 FRESHNESS_DAY = date(2026, 1, 31)
@@ -105,10 +105,7 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # The rolling window leaves the facts partitioned and sorted by ticker, which is what a merge
-    # join needs: they are neither shuffled again nor ever taken for a side to broadcast.
-    facts = summary(spark, sf_dir).hint("merge")
-    return gold.sector_performance(facts, company(spark, sf_dir))
+    return gold.sector_performance(summary(spark, sf_dir), company(spark, sf_dir))
 
 
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -317,18 +314,33 @@ def stored_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole build, stored layer by layer; rows per table."""
+    """The whole build, stored layer by layer: values of the three marts, rows of every table."""
     bronze = scratch(spark)
     append_bronze(feeds.price_responses(spark, sf_dir), bronze, PRICES_FEED)
     append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
     seed = feeds.company_seed(spark, sf_dir, F.lit(feeds.SNAPSHOT_YEARS.start))
     config = Config(bronze=bronze, warehouse=scratch(spark))
     tables = build(spark, config, run_at=datetime(1998, 1, 1), seed=seed)
+    days = tables["daily_price_summary"].select(
+        F.lit("daily_price_summary").alias("table"), F.col("ticker").alias("name"), "trade_date",
+        F.col("daily_return_pct").alias("return_pct"), "volume", F.lit(1).cast("long").alias("n"),
+    )
+    sector = tables["sector_performance"].select(
+        F.lit("sector_performance"), "sector", "trade_date",
+        F.round("avg_daily_return_pct", 6), "total_volume", "num_companies",
+    )
+    market_days = tables["macro_market_correlation"].select(
+        F.lit("macro_market_correlation"), F.col("macro_observation_date").cast("string"),
+        "trade_date", F.round("market_avg_return", 6), "market_total_volume", "num_tickers",
+    )
     counts = [
-        df.agg(F.lit(name).alias("table"), F.count(F.lit(1)).alias("row_count"))
+        df.agg(
+            F.lit("rows"), F.lit(name), F.lit(None).cast("date"), F.lit(None).cast("double"),
+            F.lit(None).cast("long"), F.count(F.lit(1)),
+        )
         for name, df in tables.items()
-    ]
-    return reduce(DataFrame.unionByName, counts)
+    ]
+    return reduce(DataFrame.union, [days, sector, market_days, *counts])
 
 
 QUERIES: dict[str, Query] = {
