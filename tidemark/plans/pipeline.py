@@ -119,8 +119,9 @@ def build(
         partition_by=[PERIOD],
         sort_by=["ticker", "trade_date"],
     ).drop(PERIOD)
-    # The test of its key is what lets the two marts count tickers instead of distinct ones.
     check_table(tables["daily_price_summary"], "daily_price_summary")
+    # The summary has one row per silver price, whose key (ticker, trade_date) has been tested, and a
+    # price matches one company version at most: the marts can count tickers plainly.
     marts = {
         "sector_performance": gold.sector_performance(
             tables["daily_price_summary"], tables["dim_company"], unique=True, by_ticker=False

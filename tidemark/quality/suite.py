@@ -5,42 +5,36 @@
 
 from __future__ import annotations
 
-import argparse
 from collections.abc import Sequence
 
+from pyspark.sql import SparkSession
+
 from tidemark.quality.checks import QualityError, check_bronze_freshness, run_checks
-from tidemark.session import build_session
+from tidemark.quality.gate import bronze_arguments, exit_status
 from tidemark.sources.files import exists
 from tidemark.sources.tables import Warehouse
 
 
 def main(argv: Sequence[str] | None = None) -> int:
-    parser = argparse.ArgumentParser(description="Run all data-quality checks")
-    parser.add_argument("--bronze-path", default="data/bronze")
+    parser = bronze_arguments("Check bronze and the stored price table")
     parser.add_argument("--warehouse", default="data/warehouse")
-    parser.add_argument("--max-days-stale", type=int, default=3)
     parser.add_argument("--min-tickers", type=int, default=2)
     parser.add_argument("--max-tickers", type=int, default=20)
     args = parser.parse_args(argv)
-    spark = build_session("tidemark-checks")
-    table = Warehouse(args.warehouse).location(spark, "stg_stock_prices")
-    try:
+
+    def checks(spark: SparkSession) -> Sequence[str]:
+        table = Warehouse(args.warehouse).location(spark, "stg_stock_prices")
         if not exists(spark, table):
             check_bronze_freshness(spark, args.bronze_path, args.max_days_stale)
             raise QualityError(f"Table not found: {table}")
-        for message in run_checks(
-            spark,
-            args.bronze_path,
-            spark.read.parquet(table),
-            args.max_days_stale,
-            (args.min_tickers, args.max_tickers),
-        ):
-            print(message)
-    except QualityError as failure:
-        print(f"Quality check failed: {failure}")
-        return 1
-    print("All quality checks passed")
-    return 0
+        prices = spark.read.parquet(table)
+        tickers = (args.min_tickers, args.max_tickers)
+        return [
+            *run_checks(spark, args.bronze_path, prices, args.max_days_stale, tickers),
+            "All quality checks passed",
+        ]
+
+    return exit_status("suite", checks)
 
 
 if __name__ == "__main__":

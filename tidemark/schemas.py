@@ -53,6 +53,7 @@ class Feed:
         return T.StructType([*fields, T.StructField("ingest_date", T.DateType())])
 
 
+# Names that stored responses carry, and what each feed tolerates.
 PRICES_FEED = Feed(
     table="daily_prices_raw",
     key="ticker",
@@ -114,7 +115,7 @@ MACRO_INDICATORS = T.StructType(
     ]
 )
 
-# Columns that must never be NULL, and keys that must never repeat, per table.
+# Columns that must never be NULL, and keys that must never repeat, per table.
 NOT_NULL = {
     "stg_stock_prices": [
         "ticker", "trade_date", "open_price", "high_price", "low_price", "close_price", "volume",

@@ -26,6 +26,9 @@ from tidemark.sources.bronze import append_bronze
 SAMPLE_TICKERS = ["AAPL", "MSFT", "GOOGL"]
 SAMPLE_FIRST_DAY = date(2026, 8, 20)
 SAMPLE_DAYS = 10
+FIRST_OPEN, OPEN_STEP, SPREAD, CLOSE_GAIN = 150.0, 2, 2, 1
+FIRST_VOLUME, VOLUME_STEP = 1_000_000, 10_000
+SAMPLE_INFORMATION = "Daily Prices"
 SAMPLE_OBSERVATIONS = {
     "CPIAUCSL": [("2026-01-01", "300.0"), ("2026-02-01", "301.0"), ("2026-03-01", "302.0")],
     "UNRATE": [("2026-01-01", "3.8"), ("2026-02-01", "3.7"), ("2026-03-01", "3.9")],
@@ -67,8 +70,9 @@ def sample_prices(
         named = spark.createDataFrame([(t,) for t in tickers], "ticker string")
 
     def bar(i):
-        base = F.lit(150.0) + i * 2
-        values = [base, base + 2, base - 2, base + 1, F.lit(1_000_000) + i * 10_000]
+        base = F.lit(FIRST_OPEN) + i * OPEN_STEP
+        volume = F.lit(FIRST_VOLUME) + i * VOLUME_STEP
+        values = [base, base + SPREAD, base - SPREAD, base + CLOSE_GAIN, volume]
         named_values = zip(PRICE_BAR_FIELDS.values(), values, strict=True)
         return F.struct(*[value.cast("string").alias(field) for field, value in named_values])
 
@@ -77,7 +81,7 @@ def sample_prices(
 
     series = F.map_from_entries(F.transform(F.sequence(F.lit(0), F.lit(days - 1)), entry))
     meta = F.struct(
-        F.lit("Daily Prices").alias("1. Information"), F.col("ticker").alias("2. Symbol")
+        F.lit(SAMPLE_INFORMATION).alias("1. Information"), F.col("ticker").alias("2. Symbol")
     )
     payload = F.struct(meta.alias("Meta Data"), series.alias(PRICE_SERIES_KEY))
     return _stamp(

@@ -293,6 +293,13 @@ _LANDING = """
            count(*) AS responses, count(DISTINCT o_custkey) AS tickers
     FROM orders GROUP BY ALL"""
 
+_MACRO_LANDING = """
+    SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'landed' ELSE 'rejected' END AS outcome,
+           CASE WHEN o_orderkey % 3 = 0 THEN 'fred' END AS source,
+           CASE o_orderkey % 3 WHEN 1 THEN o_orderpriority WHEN 2 THEN 'Unknown error' END AS error,
+           count(*) AS responses, count(DISTINCT o_custkey) AS series, true AS run_failed
+    FROM orders GROUP BY ALL"""
+
 _BRONZE_SCAN = """
     SELECT strftime(DATE '2026-01-01' + CAST(l_orderkey % 28 AS INTEGER), '%Y-%m-%d')
                AS ingest_date,
@@ -441,6 +448,7 @@ SQL: dict[str, str] = {
     ),
     "bronze_envelope": _ENVELOPES,
     "bronze_landing": _LANDING,
+    "macro_landing": _MACRO_LANDING,
     "bronze_partitions": _PARTITIONS,
     "bronze_scan": _BRONZE_SCAN,
     "seed_load": _query(
@@ -472,6 +480,7 @@ SQL: dict[str, str] = {
     "incremental_silver": _stocks,
     "stream_silver_prices": _stocks,
     "stream_silver_macro": _indicators,
+    "stream_micro_batches": _indicators,
     "dq_report": _query(
         ["*"],
         """(

@@ -29,6 +29,7 @@ from tidemark.schemas import (
 )
 from tidemark.session import configure, shared_dir
 from tidemark.sources.bronze import (
+    IngestionError,
     append_bronze,
     land,
     list_partitions,
@@ -212,6 +213,31 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def macro_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Land macro responses that hold failures: all are stored or set aside, and the run fails."""
+    bronze, moment = scratch(spark), datetime.fromisoformat("2026-01-05T22:15:00+00:00")
+    try:
+        land(feeds.mixed_macro_responses(spark, sf_dir), bronze, MACRO_FEED, moment)
+        failed = False
+    except IngestionError:
+        failed = True
+    good = read_bronze(spark, bronze, MACRO_FEED).select(
+        F.lit("landed").alias("outcome"), "series_id", "source", F.lit(None).cast("string").alias("error")
+    )
+    bad = read_rejected(spark, bronze, MACRO_FEED).select(
+        F.lit("rejected").alias("outcome"),
+        "series_id",
+        F.lit(None).cast("string").alias("source"),
+        F.substring_index("error", ": ", -1).alias("error"),
+    )
+    return (
+        good.unionByName(bad)
+        .groupBy("outcome", "source", "error")
+        .agg(F.count(F.lit(1)).alias("responses"), F.count_distinct("series_id").alias("series"))
+        .withColumn("run_failed", F.lit(failed))
+    )
+
+
 def landed_prices(spark: SparkSession, sf_dir: str) -> str:
     bronze = scratch(spark)
     append_bronze(feeds.price_responses(spark, sf_dir), bronze, PRICES_FEED)
@@ -252,6 +278,15 @@ def stream_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, MACRO, warehouse)
 
 
+def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The macro stream in several micro-batches, which must not show in the result."""
+    bronze, warehouse = scratch(spark), Warehouse(scratch(spark))
+    append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
+    stream = stream_silver(spark, bronze, MACRO, warehouse, scratch(spark), max_files_per_trigger=10)
+    stream.awaitTermination()
+    return read_silver(spark, MACRO, warehouse)
+
+
 def stream_prices(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, warehouse = landed_prices(spark, sf_dir), Warehouse(scratch(spark))
     stream_silver(spark, bronze, PRICES, warehouse, scratch(spark)).awaitTermination()
@@ -371,6 +406,7 @@ QUERIES: dict[str, Query] = {
     "company_history": lambda s, d: consumer.company_history(company(s, d), HISTORY_TICKER),
     "bronze_envelope": envelopes,
     "bronze_landing": bronze_landing,
+    "macro_landing": macro_landing,
     "bronze_partitions": bronze_partitions,
     "bronze_scan": bronze_scan,
     "seed_load": seed_load,
@@ -382,6 +418,7 @@ QUERIES: dict[str, Query] = {
     "incremental_silver": incremental_silver,
     "stream_silver_prices": stream_prices,
     "stream_silver_macro": stream_macro,
+    "stream_micro_batches": stream_batches,
     "dq_report": check_report,
     "stored_periods": stored_periods,
     "medallion_build": medallion_build,
