@@ -333,10 +333,7 @@ def _covered(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     )
     texts = _texts(docs, text_col).mapInArrow(_pack, "k1 long, k2 long, text binary")
     # copies of a text are one: any of them will do
-    cut = (
-        texts.join(wanted, ["k1", "k2"])
-        .mapInArrow(_cut_spans(length), _SPAN_ROWS)
-    )
+    cut = texts.join(stored(wanted, "wanted"), ["k1", "k2"]).mapInArrow(_cut_spans(length), _SPAN_ROWS)
     crowds = spans.filter(F.col("spans") > CROWD).select("id", F.lit(True).alias("crowd"))
     cut = stored(cut, "span_texts").dropDuplicates(["id"])
     crowd = cut.join(crowds, "id", "left_semi")
@@ -346,13 +343,14 @@ def _covered(docs: DataFrame, text_col: str, length: int) -> DataFrame:
     part = found.join(spans.select("id", "gram", "span"), "id").select("gram", "span", "low", "high")
     ranges = stored(whole.union(part), "repeated_offsets")
     place = F.col("start") + F.col("lo")
-    return (
+    covered = (
         anchors.join(ranges, ["gram", "span"])
         .select("k1", "k2", (place - F.col("high")).alias("first"), (place - F.col("low") + length).alias("last"))
         .distinct()
         .groupBy("k1", "k2")
         .agg(F.sort_array(F.collect_list(F.struct("first", "last"))).alias("ranges"))
     )
+    return stored(covered, "covered")  # read back, so that a join with many copies of a text can be split
 
 
 def _merge(ranges: list[dict]) -> list[tuple[int, int]]:
