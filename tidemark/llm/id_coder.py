@@ -26,7 +26,7 @@ SLOTS = 1024  # hashed contexts of each order
 CUTS = (0, 64, 256, 768)
 WEIGHTS = (3, 2, 5)  # evidence of order 0 (constant), 1 and 2 (per occurrence)
 WIDTH = 65536  # ids are below
-CHUNK = 16  # lanes modelled together: their tables stay in a core's cache
+CHUNK = 64  # lanes modelled together, for the sake of the caches
 
 BITS = 28  # of a coding step's total
 TOTAL = 1 << BITS
@@ -86,7 +86,8 @@ def _tables(rows: np.ndarray, slots: tuple[np.ndarray, np.ndarray], size: int) -
 class _Order0:
     """Shares out of 65536 of the ids in each row of ``rows``, side by side in id order.
 
-    Every row has n + 1 places: its n ids, sorted, and one for unseen ids.
+    Every row has n + 1 places: its n ids, sorted, and one for unseen ids. ``entries`` holds for each
+    place the id (16 bits), where its share begins (17) and the share (17).
     """
 
     def __init__(self, rows: np.ndarray):
@@ -105,9 +106,9 @@ class _Order0:
         size = np.diff(starts, append=new.size).astype(np.int32) * self.each
         last = column == n
         size[last] = 65536 - self.top
-        self.low = (column * self.each)[runs]
-        self.size = size[runs]
         self.ids = places.ravel()
+        shares = size.astype(np.int64) << 33 | (column * self.each).astype(np.int64) << 16
+        self.entries = shares[runs] | self.ids
         self.runs = starts[~last], column[~last]
 
     def places(self, rows: np.ndarray, scratch: np.ndarray) -> np.ndarray:
@@ -140,7 +141,8 @@ def _intervals(rows: np.ndarray, scratch: np.ndarray) -> tuple[np.ndarray, np.nd
         mass = entry >> 17
         order0 = _Order0(rows[:, :a])
         at = order0.places(ids, scratch[:lanes])
-        low, share = order0.low.take(at), order0.size.take(at)
+        place = order0.entries.take(at)
+        low, share = place >> 16 & 0x1FFFF, place >> 33
         rest = TOTAL - mass
         begin = rest * low >> 16
         width = (rest * (low + share) >> 16) - begin
@@ -174,16 +176,22 @@ def encode(rows: np.ndarray) -> list[bytes]:
         np.right_shift(range_, bits, out=unit)
         low += unit * s
         np.multiply(unit, z, out=range_)
+        # a word may exceed 16 bits by a carry, which goes to the word before at the end
         short = range_ < LOW
-        while short.any():
-            # a word may exceed 16 bits by a carry, which goes to the word before at the end
-            flat[at] = low >> UPPER
-            at += short
-            shift = short * SIXTEEN
-            low &= KEEP | (short - U(1))
-            low <<= shift
-            range_ <<= shift
-            short = range_ < LOW
+        flat[at] = low >> UPPER
+        at += short
+        shift = short * SIXTEEN
+        low &= KEEP | (short - U(1))
+        low <<= shift
+        range_ <<= shift
+        more = np.flatnonzero(range_ < LOW)
+        while more.size:
+            own = low[more]
+            flat[at[more]] = own >> UPPER
+            at[more] += 1
+            low[more] = (own & KEEP) << SIXTEEN
+            range_[more] <<= SIXTEEN
+            more = more[range_[more] < LOW]
     for _ in range(3):
         flat[at] = low >> UPPER
         at += 1
@@ -219,8 +227,8 @@ def decode(codes: list[bytes], steps: int) -> np.ndarray:
         for i in range(0, lanes, CHUNK):
             history = np.ascontiguousarray(rows[i : i + CHUNK, :a])
             order0 = _Order0(history)
-            parts.append((*_tables(history, _contexts(history), a), order0.ids, order0.low, order0.size))
-        table1, table2, ids0, low0, size0 = (np.concatenate(columns) for columns in zip(*parts))
+            parts.append((*_tables(history, _contexts(history), a), order0.entries))
+        table1, table2, entries0 = (np.concatenate(columns) for columns in zip(*parts))
         base, each, top = np.arange(lanes) * (a + 1), order0.each, order0.top
         done = np.empty((b - a, lanes), np.int32)
         for t in range(b - a):
@@ -234,11 +242,12 @@ def decode(codes: list[bytes], steps: int) -> np.ndarray:
             hit = beyond < 0
             share = ((beyond << 16) + 65535) / rest
             place = base + np.minimum(np.maximum(share, 0).astype(np.int64) // each, a)
-            low, own = low0.take(place), size0.take(place)
+            place = entries0.take(place)
+            low, own = place >> 16 & 0x1FFFF, place >> 33
             begin = rest * low >> 16
             wide = (rest * (low + own) >> 16) - begin
             begin += mass
-            ids = np.where(hit, (entry & KEY) - 1, ids0.take(place))
+            ids = np.where(hit, (entry & KEY) - 1, place & 0xFFFF)
             odd = np.flatnonzero((low == top) > hit)
             if odd.size:
                 w, first = wide[odd], begin[odd]
@@ -252,13 +261,17 @@ def decode(codes: list[bytes], steps: int) -> np.ndarray:
             value -= unit * begin.view(U)
             range_ = unit * wide.view(U)
             short = range_ < LOW
-            while short.any():
-                shift = short * SIXTEEN
-                value <<= shift
-                value += flat.take(np.minimum(at, end)) * short
-                at += short
-                range_ <<= shift
-                short = range_ < LOW
+            shift = short * SIXTEEN
+            value <<= shift
+            value += flat.take(np.minimum(at, end)) * short
+            at += short
+            range_ <<= shift
+            more = np.flatnonzero(range_ < LOW)
+            while more.size:
+                value[more] = (value[more] << SIXTEEN) + flat[np.minimum(at[more], end[more])]
+                at[more] += 1
+                range_[more] <<= SIXTEEN
+                more = more[range_[more] < LOW]
             done[t] = ids
             before, last, one = last * 11003, ids, ids * 20507
         rows[:, a:b] = done.T

@@ -5,7 +5,7 @@ feed. Numbers are little-endian.
 
     header     4 bytes "TID1", documents u32, blocks u32, ids u64, crc32 of the directory u32
     directory  per document doc_id i64, then per document 1 if it has none u8, then ids u32
-    block      ids u32, bytes of code u32, crc32 of the ids as u32 u32, code (see id_coder)
+    block      ids u32, bytes of code u32, crc32 of the code and then the ids u32, code (see id_coder)
 """
 
 from __future__ import annotations
@@ -26,7 +26,7 @@ from .word_ids import as_array, word_ids
 
 MAGIC = b"TID1"
 HEADER, ENTRY = struct.Struct("<4sIIQI"), struct.Struct("<III")
-GROUP_IDS = 2048 * BLOCK  # ids from which on a group is closed
+GROUP_IDS = 3072 * BLOCK  # ids from which on a group is closed
 GROUPS_PER_FILE = 8
 
 
@@ -47,7 +47,7 @@ def write_group(doc_ids: list[int | None], counts: list[int], ids: np.ndarray) -
     parts = [HEADER.pack(MAGIC, len(doc_ids), lanes, ids.size, zlib.crc32(directory)), directory]
     for i, code in enumerate(encode(rows.reshape(lanes, steps))):
         own = ids[i * BLOCK : (i + 1) * BLOCK].astype("<u4")
-        parts += [ENTRY.pack(own.size, len(code), zlib.crc32(own)), code]
+        parts += [ENTRY.pack(own.size, len(code), zlib.crc32(own, zlib.crc32(code))), code]
     return b"".join(parts)
 
 
@@ -73,8 +73,8 @@ def read_groups(content: bytes) -> Iterator[tuple[list[int | None], np.ndarray,
             checks.append(check)
             at += length
         rows = decode(codes, min(BLOCK, n_ids)).astype("<u4")
-        for row, size, check in zip(rows, sizes, checks):
-            if zlib.crc32(row[:size].tobytes()) != check:
+        for row, size, code, check in zip(rows, sizes, codes, checks):
+            if zlib.crc32(row[:size].tobytes(), zlib.crc32(code)) != check:
                 raise ValueError("damaged block")
         at += 1  # the line feed
         yield doc_ids, counts, rows.ravel()[:n_ids]
