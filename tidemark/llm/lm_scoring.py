@@ -266,7 +266,7 @@ def _filter(rows: DataFrame, least: int, members: int, clear: int) -> Filter:
     """Build segments where their keys are; only the finished filter, of bounded size, is collected."""
     each = max(1, min(MAX_BYTES * 8, members * KEY_BITS) // 64 // SEGMENTS)
     words = np.zeros((SEGMENTS, each), U)
-    for row in rows.mapInArrow(_build(least, each, clear), "segment int, bits binary").toLocalIterator():
+    for row in rows.mapInArrow(_build(least, each, clear), "segment int, bits binary").collect():
         words[row["segment"]] = np.frombuffer(row["bits"], U)
     return Filter(words.ravel(), least)
 
@@ -343,7 +343,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     total = n_tokens + n_words + 1
     bound = counts.filter("c > 1").orderBy(F.desc("c")).limit(HEAD).agg(F.min("c")).first()[0] or 1
-    head = {r["word"].encode(): r["c"] for r in counts.filter(F.col("c") > bound).toLocalIterator()}
+    head = {r["word"].encode(): r["c"] for r in counts.filter(F.col("c") > bound).collect()}
 
     level = F.floor(F.log2("c") * STEPS + 1e-9) + 1
     members = counts.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0]
