@@ -83,6 +83,33 @@ def test_lm_edge_cases(spark):
     assert lm_scoring.lm_scores(spark.createDataFrame([], SCHEMA)).collect() == []
 
 
+def test_word_filter_grows_with_its_members(spark):
+    rng = np.random.default_rng(2)
+    sizes = []
+    for n in (2_000, 200_000):
+        keys = rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
+        own = lm_scoring.Filter.of(keys, lm_scoring.levels(rng.geometric(0.3, n)))
+        strangers = rng.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
+        assert (own.levels(strangers) == 0).mean() > 0.9
+        sizes.append(own.words.size)
+    assert sizes[1] > 90 * sizes[0]
+
+
+def test_unseen_words_score_low_and_segments_do_not_matter(spark, words, monkeypatch):
+    rng = random.Random(8)
+    held = [i for i in range(400) if lm_scoring.held_out(i)][:2]
+    texts = {i: prose(rng, 60, words) for i in range(400)}
+    texts[held[0]], texts[held[1]] = "unseen1 unseen2 unseen3", " ".join(words[:3])
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    totals = []
+    for tokens_each in (1 << 20, 16):
+        monkeypatch.setattr(lm_scoring, "SEGMENT_KEYS", tokens_each)
+        score = {r.doc_id: r.score for r in lm_scoring.lm_scores(docs).collect()}
+        assert len(score) == 400 and score[held[1]] > score[held[0]] + 3
+        totals.append(sum(score.values()))
+    assert totals[0] == pytest.approx(totals[1], rel=0.01)
+
+
 INSULTS = ["idiot", "moron", "stupid"]
 
 

@@ -1,14 +1,17 @@
 """Language-model scores from log-frequency Bloom filters.
 
 A filter holds quantised counts: a key of level q is a member under (key, 1) to (key, q), where level
-q stands for counts from 2**((q - 1) / STEPS) on. A count is read by probing levels until one is
-missing. Filters are cut into segments by key, so each is built by one task from the keys that are
-dealt to it, and are broadcast. Their size is at most MAX_BYTES: if a corpus has more n-grams, the
-least count that is held rises.
-
-The score interpolates words and word pairs: P(w | h) = c(h, w) / c(h) + rest(h) * P(w). c(h, w) and
-c(h) come from probes, rest(h) is the share of pairs that no filter holds, among contexts of the level
-of c(h), and P(w) = (c(w) + 1) / (N + V + 1).
+q stands for counts from THRESHOLDS[q - 1] on. A count is read by probing levels until one is missing.
+
+Every word and every pair of words of the training texts is held, those seen once too. Filters are cut
+into segments by key, whose number grows with the tokens, and never gathered: each chunk of texts sends
+its distinct keys, with their counts in training texts, to the task that owns the segment; that task
+adds them up, sizes its segment by the members counted, probes it and sends a level back for each key.
+
+The score interpolates words and word pairs: P(w | h) = max(c(h, w) - D, 0) / c(h) + rest(h) * P(w).
+c(h, w) and c(h) come from probes, D = n1 / (n1 + 2 n2) from the exact numbers of pairs seen once and
+twice, rest(h) is D * distinct pairs / pairs over all contexts of the level of c(h), the share that D
+takes away, and P(w) = (c(w) + 1) / (N + V + 1).
 """
 
 from __future__ import annotations
@@ -27,14 +30,16 @@ from pyspark.sql import functions as F
 from .common import documents, id_and_text, ship, stored
 
 END = "\n"  # the end of a text: no word holds white space
-SEGMENTS = 256  # of a filter, a power of two
+SEGMENTS = 256  # of a filter, at least; a power of two
+SEGMENT_KEYS = 1 << 20  # tokens for each segment, at most: its task holds no more keys
 STEPS = 3  # levels for each doubling of a count
 KEY_BITS = 12  # bits of the filter for each member
-MAX_BYTES = 48 << 20  # of a filter
 HEAD = 150_000  # most frequent words, whose exact counts are broadcast
 CHUNK = 400_000  # words handled together
 
 U = np.uint64
+#: The least count of each level: rounded up, steps of small counts fall together.
+THRESHOLDS = np.unique(np.ceil(2 ** (np.arange(62 * STEPS) / STEPS) - 1e-6).astype(np.int64))
 
 
 def held_out(doc_id: int | None) -> bool:
@@ -63,21 +68,35 @@ def pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
 
 
 def levels(counts: np.ndarray) -> np.ndarray:
-    return 1 + np.floor(np.log2(np.maximum(counts, 1)) * STEPS + 1e-9).astype(np.int64)
+    return np.searchsorted(THRESHOLDS, np.maximum(counts, 1), side="right")
 
 
 def count_of(level: np.ndarray) -> np.ndarray:
     """The middle of the counts of a level; level 0: none."""
-    low, high = np.ceil(2 ** ((level - 1) / STEPS) - 1e-6), np.ceil(2 ** (level / STEPS) - 1e-6) - 1
+    low, high = THRESHOLDS[level - 1], THRESHOLDS[np.minimum(level, THRESHOLDS.size - 1)] - 1
     return np.where(level > 0, (low + np.maximum(low, high)) / 2, 0)
 
 
+def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
+    return ((keys >> U(32)) * U(segments) >> U(32)).astype(np.int64)
+
+
 class Filter:
     """A Bloom filter whose members set six bits of one 64-bit word each."""
 
-    def __init__(self, words: np.ndarray, least: int):
-        self.words, self.least = words, least
-        self.each = words.size // SEGMENTS
+    def __init__(self, words: np.ndarray, first: int, segments: int = SEGMENTS):
+        self.words, self.first, self.segments = words, first, segments
+        self.each = words.size // segments
+
+    @classmethod
+    def of(cls, keys: np.ndarray, top: np.ndarray) -> Filter:
+        """One segment, as large as its members need: each key under the levels 1 to ``top``."""
+        each = max(1, -(-int(top.sum()) * KEY_BITS // 64))
+        bits = np.zeros(each, U)
+        for level in range(1, int(top.max(initial=0)) + 1):
+            at, own = cls.places(keys[top >= level], level, each)
+            np.bitwise_or.at(bits, at, own)
+        return cls(bits, 1, 1)
 
     @staticmethod
     def places(keys: np.ndarray, level: np.ndarray | int, each: int) -> tuple[np.ndarray, np.ndarray]:
@@ -91,14 +110,12 @@ class Filter:
     def levels(self, keys: np.ndarray) -> np.ndarray:
         """The level of each key's count: probes go on for the keys that were members so far."""
         found = np.zeros(keys.size, np.int64)
-        left, level = np.arange(keys.size), 1
-        base = (keys >> U(56)).astype(np.int64) * self.each
-        # the level of the least count held is the first that is set
-        start = int(levels(np.array([self.least]))[0])
-        while left.size:
-            at, bits = self.places(keys[left], start + level - 1, self.each)
+        left, level = np.arange(keys.size), self.first
+        base = segment_of(keys, self.segments) * self.each
+        while left.size and level < THRESHOLDS.size:
+            at, bits = self.places(keys[left], level, self.each)
             left = left[self.words[base[left] + at] & bits == bits]
-            found[left] = start + level - 1
+            found[left] = level
             level += 1
         return found
 
@@ -149,181 +166,213 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield flush(counts)
 
 
-def _dealt(keys: np.ndarray, counts: np.ndarray) -> Iterator[pa.RecordBatch]:
-    """Sorted keys, one row for each segment that has any."""
-    cuts = np.searchsorted(keys >> U(56), np.arange(SEGMENTS + 1).astype(U))
-    some = np.flatnonzero(np.diff(cuts))
-    yield pa.RecordBatch.from_arrays(
-        [
-            pa.array(some.astype(np.int32)),
-            pa.array([keys[cuts[i] : cuts[i + 1]].tobytes() for i in some], pa.binary()),
-            pa.array([counts[cuts[i] : cuts[i + 1]].astype("<u4").tobytes() for i in some], pa.binary()),
-        ],
-        names=["segment", "keys", "counts"],
+def _batch(kinds: dict[str, pa.DataType], size: int, **columns) -> pa.RecordBatch:
+    """Columns that are not given are null."""
+    return pa.RecordBatch.from_arrays(
+        [pa.array(columns[name], kind) if name in columns else pa.nulls(size, kind) for name, kind in kinds.items()],
+        names=list(kinds),
     )
 
 
-_DEALT = "segment int, keys binary, counts binary"
+def _packed(x: np.ndarray) -> bytes:
+    """Whole numbers in as few bytes each as the largest needs, equal bytes side by side: they compress."""
+    width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
 
 
-def _deal_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for batch in batches:
-        keys = word_keys([w.encode() for w in batch["word"].to_pylist()])
-        order = np.argsort(keys)
-        yield from _dealt(keys[order], np.minimum(batch["c"].to_numpy()[order], 2**32 - 1))
+def _unpacked(data: bytes) -> np.ndarray:
+    width = data[0]
+    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
+    x = np.zeros((planes.shape[1], 8), np.uint8)
+    x[:, :width] = planes.T
+    return x.view("<u8").ravel()
+
 
+_CODED = "row long, sizes binary, codes binary, keys binary, train binary"
+_PREPARED = _CODED + ", doc_id long, n_tokens long, known long, base double, word string, times long"
+_PREPARED_KINDS = dict.fromkeys(["row"], pa.int64()) | dict.fromkeys(["sizes", "codes", "keys", "train"], pa.binary())
+_PREPARED_KINDS |= dict.fromkeys(["doc_id", "n_tokens", "known"], pa.int64())
+_PREPARED_KINDS |= {"base": pa.float64(), "word": pa.string(), "times": pa.int64()}
 
-def _count_pairs(words: Broadcast) -> Callable:
-    """Pairs of training texts, counted by chunk; and how many pairs stand in contexts of each level."""
+
+def _prepare(exact_counts: Broadcast) -> Callable:
+    """A row for each document with the exact counts of head words, one for each other word of it, and
+    one for each chunk: its tokens as places among its distinct keys, which are in order."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for texts in _training(batches):
-            codes, distinct, sizes = _coded(texts)
-            keys = word_keys(distinct)
-            inside = np.ones(codes.size, bool)
-            inside[np.cumsum(sizes)[:-1]] = False  # a text's first word follows none
-            second = np.flatnonzero(inside[1:]) + 1
-            pairs = pair_keys(keys[codes[second - 1]], keys[codes[second]])
-            # the low byte of a key makes room for the level of its context
-            pairs = pairs & U(0xFFFFFFFFFFFFFF00) | words.value.levels(keys)[codes[second - 1]].astype(U)
-            yield from _dealt(*np.unique(pairs, return_counts=True))
+        head = exact_counts.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for ids, texts in _chunks(batch):
+                codes, distinct, sizes = _coded(texts)
+                ends = np.cumsum(sizes)
+                starts = ends - sizes
+                exact = np.array([head.get(w, -1) for w in distinct])[codes]
+                known = np.add.reduceat((exact >= 0).astype(np.int64), starts)
+                base = np.add.reduceat(np.where(exact >= 0, np.log10(np.maximum(exact, 0) + 1.0), 0), starts)
+                tail = np.flatnonzero(exact < 0)
+                document = np.searchsorted(ends, tail, side="right")
+                both, times = np.unique(document * len(distinct) + codes[tail], return_counts=True)
+                names = [distinct[i].decode() for i in (both % len(distinct)).tolist()]
+                rows = row + np.arange(len(ids))
+                yield _batch(_PREPARED_KINDS, len(ids), row=rows, doc_id=ids, n_tokens=sizes, known=known, base=base)
+                yield _batch(_PREPARED_KINDS, both.size, row=rows[both // len(distinct)], word=names, times=times)
+                keys = word_keys(distinct)
+                order = np.argsort(keys)
+                place = np.empty(order.size, np.int32)
+                place[order] = np.arange(order.size)
+                train = np.array([not held_out(doc_id) for doc_id in ids], np.uint8)
+                coded = {"sizes": sizes, "codes": place[codes], "keys": keys[order], "train": train}
+                yield _batch(_PREPARED_KINDS, 1, row=[row], **{name: [_packed(own)] for name, own in coded.items()})
+                row += len(ids)
 
     return run
 
 
-def _merge_counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows sorted by segment: the counts of equal keys added up, one row per segment."""
-
-    def flush(segment: int, keys: list, counts: list) -> pa.RecordBatch:
-        joined, n = np.concatenate(keys), np.concatenate(counts).astype(np.int64)
-        order = np.argsort(joined, kind="stable")
-        joined, n = joined[order], n[order]
-        first = np.flatnonzero(np.concatenate([[True], joined[1:] != joined[:-1]]))
-        n = np.add.reduceat(n, first)
-        joined = joined[first]
-        context = (joined & U(0xFF)).astype(np.int64)
-        level = levels(n)
-        table = np.zeros((256, 128), np.int64)  # context level x level: pairs counted
-        np.add.at(table, (context, np.minimum(level, 127)), n)
-        sizes = np.bincount(np.minimum(n, 64), minlength=65)  # keys by count, 64 and more together
-        more = n > 1
-        return pa.RecordBatch.from_arrays(
-            [
-                pa.array([segment], pa.int32()), pa.array([joined[more].tobytes()], pa.binary()),
-                pa.array([np.minimum(n[more], 2**32 - 1).astype("<u4").tobytes()], pa.binary()),
-                pa.array([table.ravel().tolist()], pa.list_(pa.int64())), pa.array([sizes.tolist()], pa.list_(pa.int64())),
-            ],
-            names=["segment", "keys", "counts", "mass", "sizes"],
-        )
-
-    segment, keys, counts = None, [], []
+def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int, list[dict]]]:
+    """The rows of each value of ``key``, by which the rows are sorted."""
+    last, group = None, []
     for batch in batches:
-        for s, k, c in zip(*(batch[name].to_pylist() for name in ("segment", "keys", "counts"))):
-            if s != segment and keys:
-                yield flush(segment, keys, counts)
-                keys, counts = [], []
-            segment = s
-            keys.append(np.frombuffer(k, "<u8"))
-            counts.append(np.frombuffer(c, "<u4"))
-    if keys:
-        yield flush(segment, keys, counts)
-
+        for row in batch.to_pylist():
+            if row[key] != last and group:
+                yield last, group
+                group = []
+            last = row[key]
+            group.append(row)
+    if group:
+        yield last, group
+
+
+class _Chunk:
+    """A chunk of coded texts and the levels found for its distinct words, and pairs if they are known."""
+
+    def __init__(self, rows: list[dict]):
+        head = rows[0]
+        self.keys = _unpacked(head["keys"])
+        self.sizes, self.codes, self.train = (_unpacked(head[name]).astype(np.int64) for name in ("sizes", "codes", "train"))
+        words, pairs = (b"".join(r["levels"] for r in rows if r["kind"] == kind) for kind in (0, 1))
+        self.word_levels, self.pair_levels = np.frombuffer(words, "u1").astype(np.int64), np.frombuffer(pairs, "u1").astype(np.int64)
+        self.starts = np.cumsum(self.sizes) - self.sizes
+
+    def of_training(self) -> np.ndarray:
+        """1 for each token of a training text, else 0."""
+        return np.repeat(self.train, self.sizes)
+
+    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(second token of each pair, distinct pairs in order, the place of each pair among them)"""
+        inside = np.ones(self.codes.size, bool)
+        inside[self.starts] = False  # a text's first word follows none
+        second = np.flatnonzero(inside)
+        first = self.codes[second - 1]
+        pairs = pair_keys(self.keys[first], self.keys[self.codes[second]])
+        # the low byte of a key makes room for the level of its context
+        pairs = pairs & U(0xFFFFFFFFFFFFFF00) | self.word_levels[first].astype(U)
+        return second, *np.unique(pairs, return_inverse=True)
+
+
+_DEALT = "segment int, chunk long, keys binary, counts binary"
+
+
+def _dealt(chunk: int, keys: np.ndarray, counts: np.ndarray, segments: int) -> pa.RecordBatch:
+    """Sorted keys, one row for each segment that has any."""
+    cuts = np.searchsorted(segment_of(keys, segments), np.arange(segments + 1))
+    some = np.flatnonzero(np.diff(cuts))
+    counts = counts.astype(np.int64)
+    return pa.RecordBatch.from_arrays(
+        [
+            pa.array(some.astype(np.int32)),
+            pa.array(np.full(some.size, chunk, np.int64)),
+            pa.array([_packed(keys[cuts[i] : cuts[i + 1]]) for i in some], pa.binary()),
+            pa.array([_packed(counts[cuts[i] : cuts[i + 1]]) for i in some], pa.binary()),
+        ],
+        names=["segment", "chunk", "keys", "counts"],
+    )
 
-def _build(least: int, each: int, clear: int) -> Callable:
-    """Rows sorted by segment to the words of each segment; ``clear``: low bits that are no key."""
 
+def _deal_words(segments: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def flush(segment: int, bits: np.ndarray) -> pa.RecordBatch:
-            return pa.RecordBatch.from_arrays([pa.array([segment], pa.int32()), pa.array([bits.tobytes()], pa.binary())], names=["segment", "bits"])
+        for row, own in _groups(batches, "row"):
+            chunk = _Chunk([r | {"kind": -1} for r in own])
+            counts = np.bincount(chunk.codes, chunk.of_training(), chunk.keys.size)
+            yield _dealt(row, chunk.keys, counts, segments)
 
-        segment, bits = None, np.zeros(each, U)
-        start = int(levels(np.array([least]))[0])
-        for batch in batches:
-            for s, k, c in zip(*(batch[name].to_pylist() for name in ("segment", "keys", "counts"))):
-                if s != segment and segment is not None:
-                    yield flush(segment, bits)
-                    bits = np.zeros(each, U)
-                segment = s
-                keys, n = np.frombuffer(k, "<u8") >> U(clear) << U(clear), np.frombuffer(c, "<u4")
-                top, level = levels(n), start
-                member = n >= least
-                while member.any():
-                    at, own = Filter.places(keys[member], level, each)
-                    np.bitwise_or.at(bits, at, own)
-                    level += 1
-                    member &= top >= level
-        if segment is not None:
-            yield flush(segment, bits)
+    return run
+
+
+def _deal_pairs(segments: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, own in _groups(batches, "row"):
+            chunk = _Chunk(own)
+            second, pairs, place = chunk.pairs()
+            yield _dealt(row, pairs, np.bincount(place, chunk.of_training()[second], pairs.size), segments)
 
     return run
 
 
-def _by_segment(rows: DataFrame) -> DataFrame:
-    return rows.repartition("segment").sortWithinPartitions("segment")
+_FOUND = "chunk long, segment int, levels binary, stats array<long>"
 
 
-def _filter(rows: DataFrame, least: int, members: int, clear: int) -> Filter:
-    """Build segments where their keys are; only the finished filter, of bounded size, is collected."""
-    each = max(1, min(MAX_BYTES * 8, members * KEY_BITS) // 64 // SEGMENTS)
-    words = np.zeros((SEGMENTS, each), U)
-    for row in rows.mapInArrow(_build(least, each, clear), "segment int, bits binary").collect():
-        words[row["segment"]] = np.frombuffer(row["bits"], U)
-    return Filter(words.ravel(), least)
+def _probe(clear: int) -> Callable:
+    """Rows sorted by segment to the levels of their keys; ``clear``: low bits that are no key.
 
+    If there are such bits, they are the level of a pair's context, and one more row has the distinct
+    training pairs and all training pairs by that level, and the pairs seen once and twice.
+    """
 
-def _score(model: Broadcast) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        m = model.value
-        words, pairs, rest, head, total = m["words"], m["pairs"], m["rest"], m["head"], m["total"]
-        row = TaskContext.get().partitionId() << 40
-        for batch in batches:
-            for ids, texts in _chunks(batch):
-                codes, distinct, sizes = _coded(texts)
-                keys = word_keys(distinct)
-                level = words.levels(keys)
-                count = count_of(level)
-                alone = (count + 1) / total
-                ends = np.cumsum(sizes)
-                starts = ends - sizes
-                p = alone[codes]
-                inside = np.ones(codes.size, bool)
-                inside[starts] = False
-                second = np.flatnonzero(inside)
-                first = codes[second - 1]
-                own = pairs.levels(pair_keys(keys[first], keys[codes[second]]) >> U(8) << U(8))
-                seen = np.where(count[first] > 0, count_of(own) / np.maximum(count[first], 1), 0)
-                p[second] = np.minimum(seen + rest[np.minimum(level[first], 255)] * p[second], 1.0)
-                score = np.add.reduceat(np.log10(p), starts)
-                exact = np.array([head.get(w, -1) for w in distinct])[codes]
-                known = np.add.reduceat((exact >= 0).astype(np.int64), starts)
-                base = np.add.reduceat(np.where(exact >= 0, np.log10(np.maximum(exact, 0) + 1.0), 0), starts)
-                tail = np.flatnonzero(exact < 0)
-                document = np.searchsorted(ends, tail, side="right")
-                both, times = np.unique(document * len(distinct) + codes[tail], return_counts=True)
-                names = np.array([w.decode() for w in distinct], object)[both % len(distinct)]
-                n, k = len(ids), both.size
-                rows = row + np.arange(n)
-                row += n
-
-                empty = pa.nulls(k, pa.int64())
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(np.concatenate([rows, rows[both // len(distinct)]])),
-                        pa.concat_arrays([pa.array(ids, pa.int64()), empty]),
-                        pa.concat_arrays([pa.array(sizes, pa.int64()), empty]),
-                        pa.concat_arrays([pa.array(known, pa.int64()), empty]),
-                        pa.concat_arrays([pa.array(base, pa.float64()), pa.nulls(k, pa.float64())]),
-                        pa.concat_arrays([pa.array(score, pa.float64()), pa.nulls(k, pa.float64())]),
-                        pa.concat_arrays([pa.nulls(n, pa.string()), pa.array(names, pa.string())]),
-                        pa.array(np.concatenate([np.zeros(n, np.int64), times])),
-                    ],
-                    names=["row", "doc_id", "n_tokens", "known", "base", "score", "word", "times"],
-                )
+        for segment, rows in _groups(batches, "segment"):
+            own = [_unpacked(r["keys"]) for r in rows]
+            keys, place = np.unique(np.concatenate(own), return_inverse=True)
+            counts = np.concatenate([_unpacked(r["counts"]) for r in rows])
+            total = np.bincount(place, counts).astype(np.int64)  # exact below 2**53
+            held = keys >> U(clear) << U(clear)
+            found = Filter.of(held, levels(total) * (total > 0)).levels(held).astype(np.uint8)[place]
+            cuts = np.cumsum([0, *(k.size for k in own)])
+            chunks = [r["chunk"] for r in rows]
+            back = [found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            stats = [None] * len(rows)
+            if clear:
+                context = (keys & U((1 << clear) - 1)).astype(np.int64)
+                types, tokens = np.bincount(context[total > 0], minlength=256), np.bincount(context, total, 256).astype(np.int64)
+                chunks, back = [*chunks, None], [*back, None]
+                stats.append([*types.tolist(), *tokens.tolist(), int((total == 1).sum()), int((total == 2).sum())])
+            kinds = [(chunks, pa.int64()), ([segment] * len(chunks), pa.int32()), (back, pa.binary()), (stats, pa.list_(pa.int64()))]
+            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in kinds], names=["chunk", "segment", "levels", "stats"])
 
     return run
 
 
-_SCORED = "row long, doc_id long, n_tokens long, known long, base double, score double, word string, times long"
+def _found(dealt: DataFrame, clear: int, name: str) -> DataFrame:
+    by_segment = dealt.repartition("segment").sortWithinPartitions("segment")
+    return stored(by_segment.mapInArrow(_probe(clear), _FOUND), name)
+
+
+def _with_levels(coded: DataFrame, *found: DataFrame) -> DataFrame:
+    """Each chunk followed by its levels, of words and then of pairs, in the order of its keys."""
+    none = F.lit(None).cast("binary")
+    rows = coded.select("*", F.lit(-1).alias("kind"), F.lit(-1).alias("segment"), none.alias("levels"))
+    for kind, own in enumerate(found):
+        rows = rows.union(own.filter("chunk is not null").select("chunk", *[none] * 4, F.lit(kind), "segment", "levels"))
+    return rows.repartition("row").sortWithinPartitions("row", "kind", "segment")
+
+
+def _score(discount: float, rest: np.ndarray, total: int) -> Callable:
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for row, own in _groups(batches, "row"):
+            chunk = _Chunk(own)
+            level = chunk.word_levels
+            count = count_of(level)
+            p = ((count + 1) / total)[chunk.codes]
+            second, _, place = chunk.pairs()
+            first = chunk.codes[second - 1]
+            left = np.maximum(count_of(chunk.pair_levels[place]) - discount, 0)
+            seen = np.where(count[first] > 0, left / np.maximum(count[first], 1), 0)
+            p[second] = np.minimum(seen + rest[level[first]] * p[second], 1.0)
+            score = np.add.reduceat(np.log10(p), chunk.starts)
+            rows = row + np.arange(chunk.sizes.size)
+            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(score)], names=["row", "score"])
+
+    return run
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -345,54 +394,41 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     bound = counts.filter("c > 1").orderBy(F.desc("c")).limit(HEAD).agg(F.min("c")).first()[0] or 1
     head = {r["word"].encode(): r["c"] for r in counts.filter(F.col("c") > bound).collect()}
 
-    level = F.floor(F.log2("c") * STEPS + 1e-9) + 1
-    members = counts.agg(F.coalesce(F.sum(level), F.lit(0))).first()[0]
-    dealt = _by_segment(counts.mapInArrow(_deal_words, _DEALT))
-    words = _filter(dealt, 1, int(members), 0)
-
-    context = spark.sparkContext
-    pairs = _by_segment(rows.mapInArrow(_count_pairs(context.broadcast(words)), _DEALT))
-    merged = stored(
-        pairs.mapInArrow(_merge_counts, _DEALT + ", mass array<long>, sizes array<long>"), "pair_counts"
+    prepared = stored(rows.mapInArrow(_prepare(spark.sparkContext.broadcast(head)), _PREPARED), "prepared")
+    every = prepared.agg(F.sum("n_tokens")).first()[0] or 0
+    segments = max(SEGMENTS, 1 << (max(every - 1, 0) // SEGMENT_KEYS).bit_length())
+    coded = prepared.filter("keys is not null").select("row", "sizes", "codes", "keys", "train")
+    words = _found(coded.mapInArrow(_deal_words(segments), _DEALT), 0, "word_levels")
+    pairs = _found(_with_levels(coded, words).mapInArrow(_deal_pairs(segments), _DEALT), 8, "pair_levels")
+    stats = np.zeros(514)
+    for r in pairs.select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
+        stats[r["pos"]] = r["n"]
+    types, tokens_of, (once, twice) = stats[:256], stats[256:512], stats[512:]
+    discount = float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95))
+    rest = np.divide(discount * types, tokens_of, out=np.ones(256), where=tokens_of > 0)
+
+    scores = _with_levels(coded, words, pairs).mapInArrow(_score(discount, rest, total), "row long, score double")
+    tail = prepared.filter("word is not null").join(counts, "word").select(
+        "row", "times", (F.col("times") * F.log10(F.col("c") + 1.0)).alias("part"), F.lit(0.0).alias("score")
     )
-    sums = merged.select(F.posexplode("mass")).groupBy("pos").agg(F.sum("col").alias("n")).filter("n > 0").collect()
-    mass = np.zeros((256, 128))
-    for r in sums:
-        mass[r["pos"] // 128, r["pos"] % 128] = r["n"]
-    sizes = np.zeros(65)
-    for r in merged.select(F.posexplode("sizes")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
-        sizes[r["pos"]] = r["n"]
-    # the least count whose members fit the filter
-    least = 2
-    member_levels = levels(np.arange(65))
-    while least < 64 and (sizes[least:] * (member_levels[least:] - member_levels[least] + 1)).sum() * KEY_BITS > MAX_BYTES * 8:
-        least += 1
-    members = int((sizes[least:] * (member_levels[least:] - member_levels[least] + 1)).sum()) + 1
-    pair_filter = _filter(_by_segment(merged.select("segment", "keys", "counts")), least, members, 8)
-    first_level = int(levels(np.array([least]))[0])
-    every = mass.sum(axis=1)
-    rest = 1 - np.divide(mass[:, first_level:].sum(axis=1), every, out=np.zeros(256), where=every > 0)
-    rest = np.maximum(rest, 0.02)
-
-    model = context.broadcast({"words": words, "pairs": pair_filter, "rest": rest, "head": head, "total": total})
-    scored = stored(rows.mapInArrow(_score(model), _SCORED), "scores")
-    tail = (
-        scored.filter("word is not null")
-        .join(counts, "word")
+    sums = (
+        scores.select("row", F.lit(0).cast("long").alias("times"), F.lit(0.0).alias("part"), "score")
+        .union(tail)
         .groupBy("row")
-        .agg(F.sum("times").alias("tail_known"), F.sum(F.col("times") * F.log10(F.col("c") + 1.0)).alias("tail_base"))
+        .agg(F.sum("times").alias("tail_known"), F.sum("part").alias("tail_base"), F.sum("score").alias("score"))
     )
     out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
     return (
-        scored.filter("word is null")
-        .join(tail, "row", "left")
+        prepared.filter("n_tokens is not null")
+        .select("row", "doc_id", "n_tokens", "known", "base")
+        .join(sums, "row")
         .select(
             "doc_id",
             F.coalesce(out, F.lit(False)).alias("held_out"),
             "n_tokens",
-            (F.col("known") + F.coalesce("tail_known", F.lit(0))).alias("n_known"),
+            (F.col("known") + F.col("tail_known")).alias("n_known"),
             F.lit(n_tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + F.coalesce("tail_base", F.lit(0.0)) - F.col("n_tokens") * math.log10(total)).alias("base_score"),
+            (F.col("base") + F.col("tail_base") - F.col("n_tokens") * math.log10(total)).alias("base_score"),
             "score",
         )
     )
