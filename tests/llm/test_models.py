@@ -110,6 +110,18 @@ def test_unseen_words_score_low_and_segments_do_not_matter(spark, words, monkeyp
     assert totals[0] == pytest.approx(totals[1], rel=0.01)
 
 
+def test_pairs_seen_once_are_held(spark, words):
+    rng = random.Random(12)
+    held, train = [next(i for i in range(99) if lm_scoring.held_out(i) == side) for side in (True, False)]
+    others = {i: prose(rng, 60, words) for i in range(100, 400)}
+    scores = []
+    for order in (["zza", "zzb", "zzc", "zzd", "zze"], ["zzb", "zze", "zza", "zzd", "zzc"]):
+        texts = {held: "zza zzb zzc zzd zze", train: " ".join(order)} | others
+        rows = lm_scoring.lm_scores(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()
+        scores.append(next(r.score for r in rows if r.doc_id == held))
+    assert scores[0] > scores[1] + 3  # the same words; pairs that were seen once, or never
+
+
 INSULTS = ["idiot", "moron", "stupid"]
 
 
