@@ -155,6 +155,18 @@ def test_toxicity(spark, labelled):
         assert rows[len(texts) + k].predicted == int(k < len(disguised)), text
 
 
+def test_disguised_words_beside_single_letters_and_in_long_runs(spark, labelled):
+    texts, labels = labelled
+    disguised = [
+        "you are a m o r o n", "a s t u p i d", "y o u i d i o t", "l.a-m.o.r.o.n", "la_lo-me.ri_so-ta.ne_1d10t.lo_me-ta",
+        "l a m e l o r i s o t a n e r u l i m o s t u p i d l a", "m" + "0" * 40 + "r0n", "lo_" * 20 + "1d10t",
+    ]
+    clean = ["l a m e l o r i s o t a n e r u l i", "a b c d e f g h", "la_lo-me.ri_so-ta.ne_1.lo_me-ta", "x1" * 200_000]
+    docs = spark.createDataFrame([*enumerate(texts), *((1000 + i, f"la {d} na") for i, d in enumerate(disguised + clean))], "doc_id long, text string")
+    rows = {r.doc_id: r.predicted for r in toxicity.toxicity(docs, spark.createDataFrame(labels, "doc_id long, toxic int")).collect()}
+    assert {d: rows[1000 + i] for i, d in enumerate(disguised + clean)} == {**dict.fromkeys(disguised, 1), **dict.fromkeys(clean, 0)}
+
+
 def test_held_out_labels_teach_nothing(spark, labelled):
     texts, labels = labelled
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

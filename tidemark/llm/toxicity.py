@@ -2,7 +2,8 @@
 
 Disguised words are read as the output of a noisy channel: letters may have been written as digits or
 symbols, repeated, or spaced out. A lattice of what each character may stand for is decoded by Viterbi
-under a character trigram model of the whole corpus. The restored text is scored by words and word
+under a character trigram model of the whole corpus; each separator may be dropped or be a space, so
+letters written one by one fall into words. The restored text is scored by words and word
 beginnings whose share of toxic documents, among labelled training rows, is certainly high.
 """
 
@@ -36,13 +37,14 @@ LEET = {
     "0": "o", "1": "il", "2": "z", "3": "e", "4": "a", "5": "s", "6": "g", "7": "t", "8": "b", "9": "g",
     "@": "a", "$": "s", "!": "i", "|": "il", "+": "t", "€": "e", "£": "l",
 }
-SUBSTITUTED, DROPPED, REPEATED, LITERAL = math.log(0.3), math.log(0.3), math.log(0.3), math.log(0.001)
+SUBSTITUTED, DROPPED, KEPT, REPEATED, LITERAL = math.log(0.3), math.log(0.3), math.log(0.3), math.log(0.3), math.log(0.001)
+REMEMBERED = 64  # characters at most of a word whose decoding is cached
 
 _LEET = "".join(map(re.escape, LEET))
 #: A word with a disguised letter beside a real one; letters one by one; a letter three times or more.
 DISGUISED = re.compile(
-    rf"(?<!\w)(?=[a-z{_LEET}.*_-]*[a-z])(?=[a-z.*_-]*[{_LEET}*])[a-z{_LEET}.*_-]{{3,32}}(?!\w)"
-    r"|(?<!\w)[a-z0-9@$!](?:[ .*_-]+[a-z0-9@$!](?!\w)){3,24}"
+    rf"(?<!\w)(?=[a-z{_LEET}.*_-]*[a-z])(?=[a-z.*_-]*[{_LEET}*])[a-z{_LEET}.*_-]{{3,}}(?!\w)"
+    r"|(?<!\w)[a-z0-9@$!](?:[ .*_-]+[a-z0-9@$!](?!\w)){3,}"
     r"|(?<!\w)[a-z]*([a-z])\1\1[a-z]*(?!\w)"
 )
 WORD = re.compile(r"[^\W\d_]+")
@@ -77,9 +79,11 @@ class Decoder:
         word = match.group()
         found = self.cache.get(word)
         if found is None:
-            if len(self.cache) > 100_000:
-                self.cache.clear()
-            found = self.cache[word] = self.decode(word)
+            found = self.decode(word)
+            if len(word) <= REMEMBERED:
+                if len(self.cache) > 100_000:
+                    self.cache.clear()
+                self.cache[word] = found
         return found
 
     @staticmethod
@@ -92,27 +96,33 @@ class Decoder:
             cost = 0.0 if char in _ORDER else SUBSTITUTED
             options = [(c * k, cost + (0.0 if k == times else REPEATED)) for c in letters for k in (1, 2) if k <= times]
             if char in " .*_-":
-                options.append(("", DROPPED))
+                options += [("", DROPPED), (" ", KEPT)]
             if char == "*":
                 options += [(c, SUBSTITUTED + math.log(1 / 26)) for c in "aeiou"]
             steps.append(options or [(char, LITERAL)])
         return steps
 
     def decode(self, word: str) -> str:
-        best: dict[tuple[int, int], tuple[float, str]] = {(0, 0): (0.0, "")}
+        # by the last two letters: log probability, and the path back as (letters, path before)
+        best: dict[tuple[int, int], tuple[float, tuple | None]] = {(0, 0): (0.0, None)}
         for options in self.lattice(word):
-            step: dict[tuple[int, int], tuple[float, str]] = {}
-            for state, (so_far, out) in best.items():
+            step: dict[tuple[int, int], tuple[float, tuple | None]] = {}
+            for state, (so_far, path) in best.items():
                 for chars, cost in options:
                     (a, b), p = state, so_far + cost
                     for c in chars:
                         code = _ORDER.get(c, 27)
                         p += self.log[a][b][code]
-                        a, b = b, code
+                        a, b = (b, code) if code else (0, 0)  # a word begins as a text does
                     if (a, b) not in step or p > step[a, b][0]:
-                        step[a, b] = (p, out + chars)
+                        step[a, b] = (p, (chars, path) if chars else path)
             best = step
-        return max((p + self.log[a][b][0], out) for (a, b), (p, out) in best.items())[1]
+        path = max(best.items(), key=lambda item: item[1][0] + self.log[item[0][0]][item[0][1]][0])[1][1]
+        out = []
+        while path:
+            chars, path = path
+            out.append(chars)
+        return "".join(reversed(out))
 
 
 def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
