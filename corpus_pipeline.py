@@ -13,6 +13,9 @@ from tidemark.llm.simhash import drop_near
 from tidemark.llm.suffix_dedup import drop_repeats
 
 
+REPEAT_BYTES = 250  # repeated strings that go: 50 words of four letters and a space
+
+
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality rules reject go."""
     return keep_good(docs)
@@ -29,8 +32,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def repeats(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Long strings that stand in several places go; n_chars follows the text."""
-    return drop_repeats(docs).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
+    """Passages of some 50 words that stand in several places go; n_chars follows the text."""
+    return drop_repeats(docs, REPEAT_BYTES).withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
 
 
 def packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
