@@ -8,8 +8,7 @@ from decimal import Decimal
 import pytest
 from helpers import at, bar, day, tuples
 
-from tidemark.operators import upsert
-from tidemark.plans import consumer, pipeline, refresh
+from tidemark.plans import consumer, marts, pipeline, refresh, silver
 from tidemark.plans.ingest import ingest
 from tidemark.plans.ingest import main as ingest_main
 from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
@@ -19,14 +18,15 @@ from tidemark.schemas import MACRO_FEED, PRICES_FEED
 from tidemark.sources.bronze import IngestionError, land
 from tidemark.sources.files import exists
 from tidemark.sources.samples import write_samples
-from tidemark.sources.tables import Warehouse, register_databases
+from tidemark.sources import tables as tables_module
+from tidemark.sources.tables import Warehouse
 from tidemark.streaming.silver_stream import stream_silver
 
 SEED = (
     "ticker,company_name,sector,exchange,effective_date\n"
-    "AAPL,Apple Inc.,{apple},NASDAQ,2026-08-01\n"
-    "MSFT,Microsoft Corp.,Technology,NASDAQ,2026-08-01\n"
-    "GOOGL,Alphabet Inc.,Communication Services,NASDAQ,2026-08-01\n"
+    "AAPL,Orchard Works,{apple},NASDAQ,2026-08-01\n"
+    "MSFT,Small Panes,Technology,NASDAQ,2026-08-01\n"
+    "GOOGL,Long Number,Communication Services,NASDAQ,2026-08-01\n"
 )
 
 
@@ -58,13 +58,17 @@ def test_whole_build(spark, config, tmp_path):
     assert (last["gdp"], last["cpi"]) == (Decimal(27500), None)
     # Consumers find the tables by plain name and by layer.
     assert spark.sql("SELECT count(*) FROM daily_price_summary WHERE ticker = 'AAPL'").first()[0] == 10
-    register_databases(spark, Warehouse(config.warehouse), pipeline.STORED)
+    pipeline.register_tables(spark, Warehouse(config.warehouse))
     assert spark.table("main_silver.stg_stock_prices").count() == 30
     assert spark.table("main_gold.sector_performance").count() == 20
+    assert spark.table("main_silver.dim_company").count() == 3
 
     # A company changes sector; the next build keeps history and reclassifies from that day on.
     (tmp_path / "seed.csv").write_text(SEED.format(apple="Health Care"))
     tables = pipeline.build(spark, config, run_at=at("2026-08-25T12:00:00"))
+    # The registered names answer with the new rows.
+    for name in ("main_gold.sector_performance", "main_silver.dim_company", "main.dim_company_snapshot"):
+        assert tuples(spark.table(name), "*") == tuples(tables[name.split(".")[1]], "*")
     versions = consumer.company_history(tables["dim_company"], "AAPL").collect()
     assert [(v["sector"], v["is_current"]) for v in versions] == [
         ("Technology", False), ("Health Care", True),
@@ -92,6 +96,7 @@ def test_a_failed_test_stops_the_build(spark, config):
         pipeline.build(spark, config, run_at=at("2026-08-01"))
     warehouse = Warehouse(config.warehouse)
     assert exists(spark, warehouse.path("stg_stock_prices"))
+    assert not warehouse.versions(spark, "stg_stock_prices")
     assert not exists(spark, warehouse.path("daily_price_summary"))
 
 
@@ -193,37 +198,46 @@ def test_refresh_leaves_other_periods_alone(spark, tmp_path):
         refresh_silver(spark, bronze, PRICES, warehouse, since=pull_day(stamp_day))
 
     pull("2026-01-05", 1)
-    folder = tmp_path / "w" / "silver" / "stg_stock_prices" / "period=2026-01"
+    folder = tmp_path / "w" / "silver" / "stg_stock_prices" / "v=r00000000" / "period=2026-01"
     before = {f.name for f in folder.glob("*.parquet")}
     pull("2026-02-05", 2)
-    assert {f.name for f in folder.glob("*.parquet")} == before
+    assert before and {f.name for f in folder.glob("*.parquet")} == before
+    assert f"v=r00000000/{folder.name}" in warehouse.version(spark, PRICES.name).folders
     assert read_silver(spark, PRICES, warehouse).count() == 2
 
 
-def test_interrupted_publication_is_finished_by_the_next_refresh(
-    spark, pulls, rebuilt, tmp_path, monkeypatch
-):
-    """The driver dies after staging: the next refresh publishes what was staged, then goes on."""
+def test_a_refresh_that_dies_leaves_nothing_behind(spark, pulls, rebuilt, tmp_path, monkeypatch):
+    """The driver dies after writing, before publishing. Rows then come by a rebuild or a refresh."""
     warehouse = Warehouse(str(tmp_path))
     refresh_silver(spark, pulls, PRICES, warehouse, until=pull_day(2))
-    finish, calls = upsert._finish_pending, []
-
-    def die_when_publishing(*args):
-        calls.append(args)
-        if len(calls) == 2:
-            raise RuntimeError("driver lost")
-        finish(*args)
-
-    monkeypatch.setattr(upsert, "_finish_pending", die_when_publishing)
-    with pytest.raises(RuntimeError):
-        refresh_silver(spark, pulls, PRICES, warehouse, pull_day(3), pull_day(3))
-    monkeypatch.setattr(upsert, "_finish_pending", finish)
-    # Half of the folders were already removed when it died.
-    for folder in list((tmp_path / "silver" / "stg_stock_prices").glob("period=2026-*")):
-        for file in folder.iterdir():
-            file.unlink()
-    refresh_silver(spark, pulls, PRICES, warehouse, pull_day(4), pull_day(4))
-    assert tuples(read_silver(spark, PRICES, warehouse), "*") == rebuilt[PRICES.name]
+    before = tuples(read_silver(spark, PRICES, warehouse), "*")
+
+    def die(*_):
+        raise RuntimeError("driver lost")
+
+    write = tables_module.write_text
+    for then in (rebuild_silver, refresh_silver):
+        monkeypatch.setattr(tables_module, "write_text", die)
+        with pytest.raises(RuntimeError):
+            refresh_silver(spark, pulls, PRICES, warehouse, pull_day(1), pull_day(1))
+        monkeypatch.setattr(tables_module, "write_text", write)
+        assert tuples(read_silver(spark, PRICES, warehouse), "*") == before
+        then(spark, pulls, PRICES, warehouse)
+        before = tuples(read_silver(spark, PRICES, warehouse), "*")
+        assert before == rebuilt[PRICES.name]
+
+
+def test_a_table_that_fails_its_test_keeps_its_version(spark, pulls, tmp_path):
+    warehouse = Warehouse(f"{tmp_path}/w")
+    refresh_silver(spark, pulls, PRICES, warehouse, until=pull_day(2), tested=True)
+    version = warehouse.version(spark, PRICES.name)
+    broken = {"Time Series (Daily)": {"2026-08-20": {k: v for k, v in bar(1).items() if k != "1. open"}}}
+    landed = spark.createDataFrame([("ZZZ", json.dumps(broken))], "ticker string, raw_payload string")
+    land(landed, f"{tmp_path}/b", PRICES_FEED, datetime(2026, 12, 9, tzinfo=timezone.utc))
+    for write in (refresh_silver, rebuild_silver):
+        with pytest.raises(QualityError, match="open_price"):
+            write(spark, f"{tmp_path}/b", PRICES, warehouse, tested=True)
+        assert warehouse.version(spark, PRICES.name) == version
 
 
 def test_stream_equals_rebuild(spark, pulls, rebuilt, tmp_path):
@@ -248,6 +262,67 @@ def test_incremental_build_equals_full_build(spark, pulls, rebuilt, tmp_path):
     assert tuples(tables["stg_macro_indicators"], "*") == rebuilt[MACRO.name]
 
 
+MARTS = ["daily_price_summary", "sector_performance", "macro_market_correlation"]
+
+
+def companies(spark, sector="Technology", extra=()):
+    rows = [(t, t, sector if t == "A" else "Energy", "NASDAQ", day("2025-01-01")) for t in ("A", "B", *extra)]
+    return spark.createDataFrame(rows, "ticker string, company_name string, sector string, exchange string, effective_date date")
+
+
+@pytest.mark.parametrize("days", [[1, 2, 3, 4], [4, 2, 1, 3]])
+def test_refreshed_marts_equal_rebuilt_ones(spark, pulls, tmp_path, days):
+    """Any order of days; companies that move and come in between; feeds refreshed at different times."""
+    warehouse, full = Warehouse(f"{tmp_path}/w"), Warehouse(f"{tmp_path}/full")
+    stages = [("2025-01-01", "Technology", ()), ("2025-01-01", "Technology", ()), ("2026-01-01", "Health Care", ()), ("2026-06-02", "Energy", ("C",))]
+    for n, (run_at, sector, extra) in enumerate(stages):
+        seed = companies(spark, sector, extra)
+        snapshot = pipeline.company_snapshot(warehouse)
+        snapshot.run(seed, at(run_at))
+        refresh_silver(spark, pulls, PRICES, warehouse, pull_day(days[n]), pull_day(days[n]))
+        if n != 2:
+            refresh_silver(spark, pulls, MACRO, warehouse, pull_day(days[n]), pull_day(days[n]))
+        company = silver.dim_company(snapshot.history(spark))
+        found = marts.build_marts(spark, warehouse, snapshot, company, incremental=True)
+        for table in (PRICES, MACRO):  # the same silver rows, all marts anew
+            full.replace(warehouse.read(spark, table.name), table.name, ["period"])
+        expected = marts.build_marts(spark, full, snapshot, company, incremental=False)
+        for name in MARTS:
+            assert tuples(found[name], "*") == tuples(expected[name], "*"), (n, name)
+
+
+def test_marts_keep_months_that_nothing_changes(spark, tmp_path):
+    warehouse, bronze = Warehouse(f"{tmp_path}/w"), f"{tmp_path}/b"
+    snapshot = pipeline.company_snapshot(warehouse)
+    snapshot.run(companies(spark), at("2025-01-01"))
+    company = silver.dim_company(snapshot.history(spark))
+
+    def pull(series, stamp_day):
+        rows = spark.createDataFrame([("A", json.dumps({"Time Series (Daily)": series}))], "ticker string, raw_payload string")
+        land(rows, bronze, PRICES_FEED, datetime(2026, 12, stamp_day, tzinfo=timezone.utc))
+        refresh_silver(spark, bronze, PRICES, warehouse, since=pull_day(stamp_day))
+        found = marts.build_marts(spark, warehouse, snapshot, company, incremental=True)
+        return {name: warehouse.version(spark, name).folder_of() for name in MARTS}, found
+
+    rebuild_silver(spark, pulled_macro(spark, bronze), MACRO, warehouse)
+    months = {f"2026-{m:02d}-{d:02d}": bar(10 + m) for m in range(1, 6) for d in range(1, 21)}
+    first, _ = pull(months, 1)
+    second, found = pull({"2026-02-20": bar(99)}, 2)
+    for name in MARTS:
+        stays = {period for period in first[name] if first[name][period] == second[name].get(period)}
+        # 30-row frames reach from February 20 through March (20 rows) to April 9, returns to March 1
+        assert stays == {"2026-01", "2026-05"} | (set() if name == "daily_price_summary" else {"2026-04"}), name
+    third, _ = pull({"2026-02-20": bar(99)}, 3)  # the same bar once more: nothing depends on it
+    assert all(third[name] == second[name] for name in MARTS)
+    assert found["daily_price_summary"].filter("trade_date = '2026-02-20'").first()["close_price"] == 99
+
+
+def pulled_macro(spark, bronze):
+    rows = [("GDP", json.dumps({"observations": [{"date": "2026-01-01", "value": "1"}]}))]
+    land(spark.createDataFrame(rows, "series_id string, raw_payload string"), bronze, MACRO_FEED, datetime(2026, 12, 1, tzinfo=timezone.utc))
+    return bronze
+
+
 def test_build_job(spark, config, capsys):
     arguments = ["--bronze", config.bronze, "--warehouse", config.warehouse, "--seed", config.seed]
     assert pipeline.main(arguments) == 0

@@ -14,7 +14,7 @@ from tidemark.plans.silver import (
     stg_stock_prices,
 )
 from tidemark.schemas import COMPANY_SNAPSHOT, MACRO_INDICATORS, PRICES_FEED, STOCK_PRICES
-from tidemark.sources.bronze import read_struct_bronze
+from tidemark.sources.bronze import read_any_bronze
 
 
 def fields(schema):
@@ -109,7 +109,7 @@ def test_struct_payloads_whose_keys_differ_by_day(spark, tmp_path):
             payload.alias("raw_payload"),
             F.lit(f"{ingest}T00:00:00").alias("ingested_at"),
         ).write.parquet(f"{tmp_path}/{PRICES_FEED.table}/ingest_date={ingest}")
-    bronze = read_struct_bronze(spark, str(tmp_path), PRICES_FEED)
+    bronze = read_any_bronze(spark, str(tmp_path), PRICES_FEED, f"{tmp_path}/w")
     assert parse_prices(bronze).count() == 4
     assert tuples(stg_stock_prices(bronze), "trade_date", "last_updated_at") == [
         (day("2026-01-05"), at("2026-01-06")),

@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
-from datetime import date, datetime, timezone
+import json
+import random
+from datetime import date, datetime, timedelta, timezone
 
 import pytest
-from helpers import at, bar, day, plan_of
+from helpers import at, bar, day, plan_of, tuples
 from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
-from tidemark.operators.temporal import asof_join
+from tidemark.operators.temporal import asof_join, asof_join_ranged, pit_join, pit_join_bucketed
 from tidemark.plans import pipeline
 from tidemark.plans.gold import macro_market_correlation, sector_performance
 from tidemark.plans.refresh import PRICES, read_silver, rebuild_silver, refresh_silver
@@ -17,7 +19,8 @@ from tidemark.quality.checks import QualityError
 from tidemark.schemas import PRICES_FEED
 from tidemark.sources import bronze as bronze_module
 from tidemark.sources.samples import write_samples
-from tidemark.sources.tables import PERIOD, Warehouse, register_databases, register_query
+from tidemark.streaming.silver_stream import stream_silver
+from tidemark.sources.tables import KEPT_VERSIONS, PERIOD, Warehouse
 
 SEED = "ticker string, company_name string, sector string, exchange string, effective_date date"
 COMPANIES = [(t, t, "Technology", "NASDAQ", date(2026, 1, 1)) for t in ("AAPL", "MSFT", "GOOGL")]
@@ -73,6 +76,17 @@ def test_a_failed_refresh_leaves_the_old_rows(spark, tmp_path):
     assert warehouse.replace(spark.range(5), "sector_performance").count() == 5
 
 
+def test_old_versions_and_their_folders_go(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path))
+    name, path = "daily_price_summary", tmp_path / "gold" / "daily_price_summary"
+    warehouse.replace(spark.createDataFrame([(0, "a"), (0, "b")], f"x int, {PERIOD} string"), name, [PERIOD])
+    for x in range(KEPT_VERSIONS + 2):
+        warehouse.replace_periods(spark.createDataFrame([(x, "b")], f"x int, {PERIOD} string"), name, ["b"])
+    assert len(warehouse.versions(spark, name)) == KEPT_VERSIONS
+    assert sorted(map(tuple, warehouse.read(spark, name).collect())) == [(0, "a"), (KEPT_VERSIONS + 1, "b")]
+    assert len(list(path.glob("v=*/period=a"))) == 1 and len(list(path.glob("v=*/period=b"))) == KEPT_VERSIONS
+
+
 def test_unchanged_snapshot_runs_store_nothing(spark, tmp_path):
     table = pipeline.company_snapshot(Warehouse(str(tmp_path)))
     seed = spark.createDataFrame(COMPANIES, SEED)
@@ -91,9 +105,7 @@ def test_repeated_or_missing_seed_keys_stop_the_build(spark, samples, tmp_path):
 
 def test_consumers_find_every_table_by_name(spark, samples, tmp_path):
     tables = built(spark, samples, tmp_path)
-    register_databases(spark, Warehouse(str(tmp_path)), pipeline.STORED)
-    for name in ("dim_company_snapshot", "dim_company"):
-        register_query(spark, name, tables[name])
+    pipeline.register_tables(spark, Warehouse(str(tmp_path)))
     query = "SELECT ticker, dbt_valid_from FROM main.dim_company_snapshot WHERE ticker = 'AAPL'"
     assert spark.sql(query).count() == 1
     assert spark.table("main_silver.dim_company").count() == 3
@@ -126,14 +138,47 @@ def test_struct_bronze_goes_through_the_product(spark, tmp_path, monkeypatch):
         return {(str(r.trade_date), int(r.close_price)) for r in rows}
 
     assert found() == expected
-    # a new day costs its own conversion only
-    converted = []
-    mark = bronze_module.mark
-    monkeypatch.setattr(bronze_module, "mark", lambda s, path: (converted.append(path), mark(s, path)))
+    # new files cost their own conversion only, also those of a day that is known
+    looked_at, by_schema = [], bronze_module.by_schema
+
+    def counted(session, table, files):
+        looked_at.extend(files)
+        return by_schema(session, table, files)
+
+    monkeypatch.setattr(bronze_module, "by_schema", counted)
     struct_day(spark, root, "2026-01-04", ["2026-01-02", "2026-01-03"], 40)
     refresh_silver(spark, root, PRICES, warehouse, since=date(2026, 1, 4))
     assert found() == expected - {("2026-01-02", 30)} | {("2026-01-02", 40), ("2026-01-03", 41)}
-    assert len(converted) == 2 - 1 and converted[0].endswith("ingest_date=2026-01-04")
+    assert {file.split("/")[0] for file in looked_at} == {"ingest_date=2026-01-04"}
+    looked_at.clear()
+    text_day(spark, root, "2026-01-04", {"2026-01-05": bar(50)})
+    refresh_silver(spark, root, PRICES, warehouse, since=date(2026, 1, 4))
+    assert found() == expected - {("2026-01-02", 30)} | {("2026-01-02", 40), ("2026-01-03", 41), ("2026-01-05", 50)}
+    assert len(looked_at) == 1
+    # the stream reads the same files, whatever they hold, and ends with the same rows
+    streamed = Warehouse(f"{tmp_path}/s")
+    for _ in range(2):
+        stream_silver(spark, root, PRICES, streamed, f"{tmp_path}/checkpoint", max_files_per_trigger=2).awaitTermination()
+    assert tuples(read_silver(spark, PRICES, streamed), "*") == tuples(read_silver(spark, PRICES, warehouse), "*")
+
+
+def text_day(spark, root, ingested, series):
+    rows = [("AAPL", json.dumps({"Time Series (Daily)": series}), f"{ingested}T02:00:00", "s", "f")]
+    names = "ticker string, raw_payload string, ingested_at string, source string, api_function string"
+    spark.createDataFrame(rows, names).coalesce(1).write.mode("append").parquet(f"{root}/{PRICES_FEED.table}/ingest_date={ingested}")
+
+
+def test_schemas_are_read_once_per_kind(spark, tmp_path):
+    root, table = f"{tmp_path}/bronze", f"{tmp_path}/bronze/{PRICES_FEED.table}"
+    for n in range(1, 5):
+        struct_day(spark, root, f"2026-01-0{n}", ["2025-12-30"] if n % 2 else ["2025-12-31"], n)
+    text_day(spark, root, "2026-01-05", {"2026-01-05": bar(50)})
+    text_day(spark, root, "2026-01-01", {"2026-01-05": bar(60)})  # beside structs
+    files = bronze_module.bronze_files(spark, root, PRICES_FEED)
+    groups = bronze_module.by_schema(spark, table, files)
+    assert len(groups) == 3 and sum(len(own) for _, own in groups) == len(files)
+    rows = bronze_module.read_files(spark, table, PRICES_FEED, groups)
+    assert rows.count() == 10 and plan_of(rows).count("FileScan") == 3
 
 
 def test_marts_over_stored_tables_shuffle_once(spark, samples, tmp_path):
@@ -165,3 +210,33 @@ def test_asof_join_above_the_broadcast_threshold(spark):
         assert sorted(map(str, joined.collect())) == expected and len(expected) == 3000
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+
+
+def test_ranged_asof_join_equals_a_search(spark):
+    """Ties on both sides, hot times, times before all right rows, missing times, empty sides."""
+    rng = random.Random(5)
+    base = datetime(2026, 1, 1)
+    right = [(None if rng.random() < 0.1 else base + timedelta(seconds=rng.randint(100, 900)), i) for i in range(300)]
+    left = [(None if rng.random() < 0.1 else base + timedelta(seconds=rng.choice([500, rng.randint(0, 1000)])), i) for i in range(900)]
+    of = {r: max(i for t, i in right if t == r) for r, _ in right if r is not None}
+    expected = sorted((i, *((best := max((r for r in of if t is not None and r <= t), default=None)), of.get(best))) for t, i in left)
+    lefts = spark.createDataFrame(left, "t timestamp, id int").repartition(5)
+    rights = spark.createDataFrame(right, "r timestamp, v int").repartition(5)
+    joined = asof_join_ranged(lefts, rights, "t", "r", ["v"])
+    assert joined.columns == ["t", "id", "r", "v"]
+    assert sorted((r.id, r.r, r.v) for r in joined.collect()) == expected
+    assert "SinglePartition" not in plan_of(joined)
+    assert asof_join_ranged(lefts, rights.limit(0), "t", "r").filter("v IS NULL AND r IS NULL").count() == 900
+    assert asof_join_ranged(lefts.limit(0), rights, "t", "r").isEmpty()
+
+
+def test_bucketed_join_equals_the_plain_one_and_meets_few_versions(spark):
+    days = spark.range(4000).select(F.date_add(F.lit("2015-01-01").cast("date"), (F.col("id") % 1400).cast("int")).alias("d"), F.lit("k").alias("key"), "id")
+    start = F.date_add(F.lit("2014-06-01").cast("date"), F.col("id").cast("int"))
+    # a day each, one of them a year, and one that is open
+    ends = F.when(F.col("id") == 40, F.date_add(start, 365)).when(F.col("id") == 999, F.lit("9999-12-31").cast("date")).otherwise(F.date_add(start, 1))
+    versions = spark.range(1000).select(F.lit("k").alias("key"), start.alias("valid_from"), ends.alias("valid_to"), F.col("id").alias("version"))
+    joined = pit_join_bucketed(days, versions, "key", "d", days=16)
+    assert tuples(joined, "*") == tuples(pit_join(days, versions, "key", "d").select(*joined.columns), "*")
+    spans = versions.filter("valid_to > DATE'2015-01-01'").groupBy(F.floor(F.unix_date("valid_from") / 16)).count()
+    assert spans.agg(F.max("count")).first()[0] <= 16

@@ -2,77 +2,43 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
-from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
-from pyspark.sql import types as T
+from pyspark.sql import DataFrame
 
 from tidemark.operators.dedup import latest_by
-from tidemark.sources.files import exists, mark, unmark
-from tidemark.sources.tables import PERIOD, laid_out, read_or_empty, with_period
+from tidemark.session import materialized
+from tidemark.sources.tables import PERIOD, Warehouse, with_period
 
 
 def upsert_latest(
     updates: DataFrame,
-    path: str,
-    staging: str,
+    warehouse: Warehouse,
+    table: str,
     keys: Sequence[str],
     date: str,
     period: str,
     recency: str,
     tie_break: Sequence[str],
+    audit: Callable[[DataFrame], None] | None = None,
 ) -> None:
-    """Merge ``updates`` into the table at ``path``; per key the most recent row wins.
+    """Merge ``updates`` into a stored table; per key the most recent row wins.
 
     The date is part of the key, so a key never leaves its period: only periods with updates are
-    read, merged and replaced. The choice between stored and new row uses the same ordering as a
-    full rebuild, so both end with the same rows, and merging the same updates twice changes
-    nothing.
-
-    The merged periods are first written in full to ``staging``, noted as pending, and published
-    from there, so the periods being replaced are never read by the job that replaces them. If
-    the driver dies while publishing, the next call finishes that publication before it reads
-    the table again. A table has one writer at a time.
+    read, merged and written, to a new version that takes over all others. The choice between stored
+    and new row uses the same ordering as a full rebuild, so both end with the same rows, and merging
+    the same updates twice changes nothing. Nothing that is published is ever written to, so a merge
+    that dies leaves no trace that a later merge or rebuild could meet.
     """
     spark = updates.sparkSession
-    schema = T.StructType([*updates.schema.fields, T.StructField(PERIOD, T.StringType())])
-    _finish_pending(spark, path, staging, schema, keys)
-
-    fresh = _stage(
-        with_period(latest_by(updates, keys, recency, tie_break), date, period),
-        f"{staging}/updates",
-    )
+    fresh = materialized(with_period(latest_by(updates, keys, recency, tie_break), date, period))
     # At most twelve values per calendar year.
-    touched = [row[0] for row in fresh.select(PERIOD).distinct().collect()]
-    if not touched:
-        return
-    stored = read_or_empty(spark, path, schema).filter(F.col(PERIOD).isin(touched))
-    _stage(
-        latest_by(stored.unionByName(fresh), keys, recency, tie_break),
-        f"{staging}/merged",
-    )
-    mark(spark, f"{staging}/pending")
-    _finish_pending(spark, path, staging, schema, keys)
-
-
-def _stage(rows: DataFrame, path: str) -> DataFrame:
-    rows.write.mode("overwrite").parquet(path)
-    return rows.sparkSession.read.schema(rows.schema).parquet(path)
-
-
-def _finish_pending(
-    spark: SparkSession, path: str, staging: str, schema: T.StructType, keys: Sequence[str]
-) -> None:
-    """Publish merged periods that were staged but perhaps not, or not fully, published.
-
-    Only the folders of those periods are replaced.
-    """
-    pending = f"{staging}/pending"
-    if not exists(spark, pending):
+    touched = {row[0] for row in fresh.select(PERIOD).distinct().collect()}
+    if warehouse.version(spark, table) is None:
+        merged = fresh
+    elif touched:
+        stored = warehouse.read(spark, table, touched)
+        merged = latest_by(stored.unionByName(fresh), keys, recency, tie_break)
+    else:
         return
-    merged = spark.read.schema(schema).parquet(f"{staging}/merged")
-    laid_out(merged, [PERIOD], keys).write.mode("overwrite").option(
-        "partitionOverwriteMode", "dynamic"
-    ).partitionBy(PERIOD).parquet(path)
-    unmark(spark, pending)
+    warehouse.replace_periods(merged, table, touched, sort_by=keys, audit=audit)

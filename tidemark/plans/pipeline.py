@@ -15,9 +15,10 @@ from datetime import date, datetime, timezone
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.plans import gold, silver
+from tidemark.plans import silver
+from tidemark.plans.marts import build_marts
 from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
-from tidemark.quality.checks import QualityError, check_table, not_null, unique_combination
+from tidemark.quality.checks import QualityError, not_null, unique_combination
 from tidemark.schemas import (
     COMPANY_CHECK_COLUMNS,
     COMPANY_KEY,
@@ -26,17 +27,9 @@ from tidemark.schemas import (
 from tidemark.session import build_session, configure
 from tidemark.sources.seeds import read_seed
 from tidemark.sources.snapshots import SnapshotTable
-from tidemark.sources.tables import (
-    MONTHLY,
-    PERIOD,
-    Warehouse,
-    register_databases,
-    register_query,
-    register_views,
-    with_period,
-)
+from tidemark.sources.tables import Warehouse, register_databases, register_view, register_views
 
-# Tables that are stored as they are read; the snapshot and its view need its run folders resolved.
+# Tables that are stored by version; the snapshot has run folders of its own.
 STORED = [
     "company_metadata",
     "stg_stock_prices",
@@ -57,8 +50,17 @@ class Config:
 
 def company_snapshot(warehouse: Warehouse) -> SnapshotTable:
     return SnapshotTable(
-        warehouse.path("dim_company_snapshot"), COMPANY_SNAPSHOT, COMPANY_KEY, COMPANY_CHECK_COLUMNS
-    )
+        warehouse.path("dim_company_snapshot"), COMPANY_SNAPSHOT, COMPANY_KEY, COMPANY_CHECK_COLUMNS,
+        warehouse.published("dim_company_snapshot"),
+    )
+
+
+def register_tables(spark: SparkSession, warehouse: Warehouse) -> None:
+    """Make every table queryable under its full name, for good: the names are views that find the
+    newest published state whenever they are queried."""
+    register_databases(spark, warehouse, STORED)
+    register_view(spark, "dim_company_snapshot", company_snapshot(warehouse).query())
+    register_view(spark, "dim_company", silver.DIM_COMPANY_SQL)
 
 
 def check_seed(metadata: DataFrame) -> None:
@@ -81,9 +83,11 @@ def build(
     run_at: datetime | None = None,
     seed: DataFrame | None = None,
 ) -> dict[str, DataFrame]:
-    """Seed, snapshot, silver and its tests, gold and its tests; returns the tables by name.
+    """Seed, snapshot, silver, gold; returns the tables by name.
 
-    Every table is written before the next step reads it, so its lineage ends in files and the
+    A table is written, tested, and published if it passes; one that fails stops the build and leaves
+    its last version in place. With ``incremental_since`` silver merges the days ingested from then
+    on, and the marts change where rows they depend on have changed. Every table is written before the next step reads it, so its lineage ends in files and the
     loss of an executor never reaches back beyond the current step.
     """
     configure(spark)
@@ -105,39 +109,13 @@ def build(
 
     for table in (PRICES, MACRO):
         if config.incremental_since is None:
-            rebuild_silver(spark, config.bronze, table, warehouse)
+            rebuild_silver(spark, config.bronze, table, warehouse, tested=True)
         else:
-            refresh_silver(spark, config.bronze, table, warehouse, since=config.incremental_since)
+            refresh_silver(spark, config.bronze, table, warehouse, since=config.incremental_since, tested=True)
         tables[table.name] = read_silver(spark, table, warehouse)
-        check_table(tables[table.name], table.name)
-
-    tables["daily_price_summary"] = warehouse.replace(
-        with_period(
-            gold.daily_price_summary(tables["stg_stock_prices"]), "trade_date", MONTHLY
-        ),
-        "daily_price_summary",
-        partition_by=[PERIOD],
-        sort_by=["ticker", "trade_date"],
-    ).drop(PERIOD)
-    check_table(tables["daily_price_summary"], "daily_price_summary")
-    # The summary has one row per silver price, whose key (ticker, trade_date) has been tested, and a
-    # price matches one company version at most: the marts can count tickers plainly.
-    marts = {
-        "sector_performance": gold.sector_performance(
-            tables["daily_price_summary"], tables["dim_company"], unique=True, by_ticker=False
-        ),
-        "macro_market_correlation": gold.macro_market_correlation(
-            tables["daily_price_summary"], tables["stg_macro_indicators"], unique=True
-        ),
-    }
-    for name, mart in marts.items():
-        tables[name] = warehouse.replace(
-            with_period(mart, "trade_date", MONTHLY),
-            name,
-            partition_by=[PERIOD],
-            sort_by=["trade_date"],
-        ).drop(PERIOD)
-        check_table(tables[name], name)
+
+    incremental = config.incremental_since is not None
+    tables |= build_marts(spark, warehouse, snapshot, tables["dim_company"], incremental)
 
     register_views(tables)
     return tables
@@ -152,7 +130,7 @@ def main(argv: Sequence[str] | None = None) -> int:
         "--since",
         type=date.fromisoformat,
         default=None,
-        help="merge only days ingested from here on into silver, instead of rebuilding it",
+        help="merge only days ingested from here on, instead of rebuilding silver and gold",
     )
     args = parser.parse_args(argv)
     spark = build_session("tidemark-build")
@@ -167,9 +145,7 @@ def main(argv: Sequence[str] | None = None) -> int:
     except QualityError as failure:
         print(f"Build stopped: {failure}")
         return 1
-    register_databases(spark, Warehouse(config.warehouse), STORED)
-    for name in ("dim_company_snapshot", "dim_company"):
-        register_query(spark, name, tables[name])
+    register_tables(spark, Warehouse(config.warehouse))
     print(f"Built {', '.join(sorted(tables))}")
     return 0
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 from datetime import date
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -12,6 +13,7 @@ from pyspark.sql import functions as F
 from tidemark.operators.dedup import latest_by
 from tidemark.operators.upsert import upsert_latest
 from tidemark.plans import silver
+from tidemark.quality.checks import check_table
 from tidemark.schemas import MACRO_FEED, PRICES_FEED, Feed
 from tidemark.sources.bronze import read_any_bronze
 from tidemark.sources.tables import MONTHLY, PERIOD, YEARLY, Warehouse, with_period
@@ -51,26 +53,34 @@ MACRO = SilverTable(
 
 
 def rebuild_silver(
-    spark: SparkSession, bronze: str, table: SilverTable, warehouse: Warehouse
+    spark: SparkSession, bronze: str, table: SilverTable, warehouse: Warehouse, tested: bool = False
 ) -> None:
-    """Replace the stored table with one derived from all of bronze."""
+    """Replace the stored table with one derived from all of bronze; ``tested`` as for a merge."""
     rows = table.parse(read_any_bronze(spark, bronze, table.feed, warehouse.root))
     latest = latest_by(rows, table.keys, silver.RECENCY, table.tie_break)
     placed = with_period(latest, table.date, table.period)
-    warehouse.replace(placed, table.name, partition_by=[PERIOD], sort_by=table.keys)
+    audit = partial(check_table, table=table.name) if tested else None
+    warehouse.replace(placed, table.name, partition_by=[PERIOD], sort_by=table.keys, audit=audit)
 
 
-def merge_bronze(bronze: DataFrame, table: SilverTable, warehouse: Warehouse) -> None:
-    """Merge the given bronze rows into the stored silver table."""
+def merge_bronze(
+    bronze: DataFrame, table: SilverTable, warehouse: Warehouse, tested: bool = False
+) -> None:
+    """Merge the given bronze rows into the stored silver table.
+
+    ``tested``: the merged periods have to pass the table's tests, or they are not published. Periods
+    that are taken over have passed them, and a key never lies in two periods.
+    """
     upsert_latest(
         table.parse(bronze),
-        path=warehouse.location(bronze.sparkSession, table.name),
-        staging=f"{warehouse.root}/_staging/{table.name}",
+        warehouse,
+        table.name,
         keys=table.keys,
         date=table.date,
         period=table.period,
         recency=silver.RECENCY,
         tie_break=table.tie_break,
+        audit=partial(check_table, table=table.name) if tested else None,
     )
 
 
@@ -81,6 +91,7 @@ def refresh_silver(
     warehouse: Warehouse,
     since: date | None = None,
     until: date | None = None,
+    tested: bool = False,
 ) -> None:
     """Merge the days ingested in ``[since, until]``; only their bronze folders are read."""
     rows = read_any_bronze(spark, bronze, table.feed, warehouse.root)
@@ -88,7 +99,7 @@ def refresh_silver(
         rows = rows.filter(F.col("ingest_date") >= F.lit(since))
     if until is not None:
         rows = rows.filter(F.col("ingest_date") <= F.lit(until))
-    merge_bronze(rows, table, warehouse)
+    merge_bronze(rows, table, warehouse, tested)
 
 
 def read_silver(spark: SparkSession, table: SilverTable, warehouse: Warehouse) -> DataFrame:

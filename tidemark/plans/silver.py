@@ -75,3 +75,11 @@ def dim_company(snapshot: DataFrame) -> DataFrame:
         F.coalesce(valid_to, F.lit(OPEN_END).cast("timestamp")).alias("valid_to"),
         valid_to.isNull().alias("is_current"),
     )
+
+
+# The same view as catalog text, over the snapshot's full name.
+DIM_COMPANY_SQL = f"""
+SELECT ticker, company_name, sector, exchange, effective_date, dbt_valid_from AS valid_from,
+       coalesce(dbt_valid_to, TIMESTAMP '{OPEN_END}') AS valid_to, dbt_valid_to IS NULL AS is_current
+FROM main.dim_company_snapshot
+"""

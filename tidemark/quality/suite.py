@@ -11,7 +11,6 @@ from pyspark.sql import SparkSession
 
 from tidemark.quality.checks import QualityError, check_bronze_freshness, run_checks
 from tidemark.quality.gate import bronze_arguments, exit_status
-from tidemark.sources.files import exists
 from tidemark.sources.tables import Warehouse
 
 
@@ -23,11 +22,11 @@ def main(argv: Sequence[str] | None = None) -> int:
     args = parser.parse_args(argv)
 
     def checks(spark: SparkSession) -> Sequence[str]:
-        table = Warehouse(args.warehouse).location(spark, "stg_stock_prices")
-        if not exists(spark, table):
+        warehouse = Warehouse(args.warehouse)
+        if not warehouse.versions(spark, "stg_stock_prices"):
             check_bronze_freshness(spark, args.bronze_path, args.max_days_stale)
-            raise QualityError(f"Table not found: {table}")
-        prices = spark.read.parquet(table)
+            raise QualityError(f"Table not found: {warehouse.path('stg_stock_prices')}")
+        prices = warehouse.read(spark, "stg_stock_prices")
         tickers = (args.min_tickers, args.max_tickers)
         return [
             *run_checks(spark, args.bronze_path, prices, args.max_days_stale, tickers),

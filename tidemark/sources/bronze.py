@@ -2,21 +2,31 @@
 
 from __future__ import annotations
 
+import json
+import uuid
+from collections.abc import Sequence
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from datetime import datetime, timezone
+from functools import reduce
 
+from py4j.protocol import Py4JJavaError
+from pyspark.errors import PySparkException
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.functions.payload import first_text, has_key
+from tidemark.functions.payload import first_text, has_key, payload_text
 from tidemark.schemas import UNKNOWN_ERROR, Feed
-from tidemark.sources.files import children, exists, mark
+from tidemark.sources.files import children, exists, read_text, write_text
 
 # How a partition date is spelled in a file path, how a rejection begins.
 PARTITION_PATTERN = "ingest_date=([0-9-]+)"
 REJECTION = "Unexpected response for "
 
+SCHEMA_READERS = 8  # days whose schemas are read at the same time
+SCHEMAS_AT_ONCE = 32  # schemas that one job turns into text
+
 
 class IngestionError(Exception):
     """A landing run failed under its feed's failure policy."""
@@ -129,49 +139,90 @@ def read_bronze(spark: SparkSession, bronze: str, feed: Feed) -> DataFrame:
     return spark.read.schema(feed.schema).parquet(f"{bronze}/{feed.table}")
 
 
-def read_struct_bronze(spark: SparkSession, bronze: str, feed: Feed) -> DataFrame:
-    """Scan bronze whose payload was written as a nested struct that differs from day to day.
+def bronze_files(spark: SparkSession, bronze: str, feed: Feed) -> list[str]:
+    """Files of the feed's dated folders, by their path below the feed's table."""
+    if not exists(spark, f"{bronze}/{feed.table}"):
+        return []
+    found = _parquet_files(spark, f"{bronze}/{feed.table}").filter(F.col("path").rlike(PARTITION_PATTERN))
+    below = F.regexp_extract("path", f"({PARTITION_PATTERN}.*)$", 1)
+    return sorted(row[0] for row in found.select(below).collect())
 
-    The schemas are merged, then each payload is turned back into text. ``to_json`` leaves out
-    fields that are NULL, so each row gets exactly the keys it was landed with.
-    """
-    rows = spark.read.option("mergeSchema", True).parquet(f"{bronze}/{feed.table}")
-    if isinstance(rows.schema["raw_payload"].dataType, T.StringType):
-        return rows
-    return rows.withColumn("raw_payload", F.to_json("raw_payload"))
+
+def _schemas(spark: SparkSession, table: str, files: list[str]) -> list[tuple[T.StructType, list[str]]]:
+    """The files with their common schema, or each with its own where they have none in common."""
+    try:
+        reader = spark.read.option("mergeSchema", True).option("basePath", table)
+        return [(reader.parquet(*[f"{table}/{file}" for file in files]).schema, files)]
+    except (PySparkException, Py4JJavaError):  # schemas that cannot be merged
+        if len(files) == 1:
+            raise
+        return [found for file in files for found in _schemas(spark, table, [file])]
+
+
+def by_schema(spark: SparkSession, table: str, files: Sequence[str]) -> list[tuple[T.StructType, list[str]]]:
+    """Files grouped by schema. The schemas of several days are read at the same time."""
+    days: dict[str, list[str]] = {}
+    for file in files:
+        days.setdefault(file.rpartition("/")[0], []).append(file)
+    with ThreadPoolExecutor(SCHEMA_READERS) as readers:
+        found = readers.map(lambda day: _schemas(spark, table, day), days.values())
+        groups: dict[str, tuple[T.StructType, list[str]]] = {}
+        for schema, own in (pair for pairs in found for pair in pairs):
+            groups.setdefault(schema.json(), (schema, []))[1].extend(own)
+    return list(groups.values())
+
+
+def _is_text(schema: T.StructType) -> bool:
+    return isinstance(schema["raw_payload"].dataType, T.StringType)
 
 
-def text_bronze(spark: SparkSession, bronze: str, feed: Feed, target: str) -> None:
-    """Turn struct payloads into text, day by day, each day with its own schema.
+def read_files(spark: SparkSession, table: str, feed: Feed, groups: Sequence[tuple[T.StructType, list[str]]]) -> DataFrame:
+    """Rows of grouped files with their payload as text: one scan per schema.
 
-    A day costs what its own fields cost, however many days there are. Days that ``target`` already
-    holds are left alone; a day counts as converted once it is marked, so an interrupted one is
-    written again.
+    ``to_json`` leaves out fields that are NULL, so each row gets exactly the keys it was landed with.
     """
-    for day in sorted(children(spark, f"{bronze}/{feed.table}")):
-        if not day.startswith("ingest_date=") or exists(spark, f"{target}/_converted/{day}"):
-            continue
-        rows = spark.read.option("mergeSchema", True).parquet(f"{bronze}/{feed.table}/{day}")
-        if not isinstance(rows.schema["raw_payload"].dataType, T.StringType):
-            rows = rows.withColumn("raw_payload", F.to_json("raw_payload"))
-        rows.select(*feed.columns).write.mode("overwrite").parquet(f"{target}/{feed.table}/{day}")
-        mark(spark, f"{target}/_converted/{day}")
+    if not groups:
+        return spark.createDataFrame([], feed.schema)
+    parts = []
+    for schema, files in groups:
+        rows = spark.read.schema(schema).option("basePath", table).parquet(*[f"{table}/{file}" for file in files])
+        text = rows.withColumn("raw_payload", payload_text(rows))
+        known = [F.col(f.name) if f.name in schema.names else F.lit(None).alias(f.name) for f in feed.schema]
+        parts.append(text.select(*[c.cast(f.dataType).alias(f.name) for c, f in zip(known, feed.schema)]))
+    return reduce(DataFrame.unionByName, parts)
 
 
 def read_any_bronze(spark: SparkSession, bronze: str, feed: Feed, root: str) -> DataFrame:
-    """Scan a feed whose payloads are text, or structs that differ from day to day.
+    """Scan a feed whose payloads are text, or structs that differ from file to file, or both.
 
-    A feed is of one kind, so its first day tells which. Text versions of structs are kept below
-    ``root`` and extended by new days.
+    Which files are known to hold text is noted below ``root``. Structs are turned into text there
+    once, one scan per schema, some schemas at a time; a batch counts when its note is written. So a
+    scan looks at the schemas of new files only, whatever day they belong to, and has one branch for
+    text and one for former structs, however many schemas there are. A feed without structs is read
+    as it is.
     """
-    days = [d for d in sorted(children(spark, f"{bronze}/{feed.table}")) if d.startswith("ingest_date=")]
-    if days:
-        first = spark.read.parquet(f"{bronze}/{feed.table}/{days[0]}").schema
-        if not isinstance(first["raw_payload"].dataType, T.StringType):
-            target = f"{root}/_text_bronze/{feed.table}"
-            text_bronze(spark, bronze, feed, target)
-            bronze = target
-    return read_bronze(spark, bronze, feed)
+    table, target = f"{bronze}/{feed.table}", f"{root}/_text_bronze/{feed.table}"
+    files = bronze_files(spark, bronze, feed)
+    noted = [json.loads(read_text(spark, f"{target}/noted/{n}")) for n in children(spark, f"{target}/noted")]
+    known = {file for note in noted for file in note["files"]}
+    groups = by_schema(spark, table, [file for file in files if file not in known])
+    structs = [group for group in groups if not _is_text(group[0])]
+    batches = [structs[i : i + SCHEMAS_AT_ONCE] for i in range(0, len(structs), SCHEMAS_AT_ONCE)]
+    for batch in [[group for group in groups if _is_text(group[0])], *batches]:
+        if batch:
+            note = {"files": [file for _, own in batch for file in own], "folder": None}
+            if not _is_text(batch[0][0]):
+                note["folder"] = f"batch-{uuid.uuid4().hex}"
+                converted = read_files(spark, table, feed, batch).hint("rebalance", F.col("ingest_date"))
+                converted.write.partitionBy("ingest_date").parquet(f"{target}/{note['folder']}")
+            write_text(spark, f"{target}/noted/{uuid.uuid4().hex}.json", json.dumps(note))
+            noted.append(note)
+    folders = [note["folder"] for note in noted if note["folder"]]
+    if not folders:
+        return read_bronze(spark, bronze, feed)
+    texts = sorted({file for note in noted if not note["folder"] for file in note["files"]} & set(files))
+    rows = reduce(DataFrame.unionByName, [spark.read.schema(feed.schema).parquet(f"{target}/{f}") for f in folders])
+    return rows.unionByName(read_files(spark, table, feed, [(feed.schema, texts)])) if texts else rows
 
 
 def _parquet_files(spark: SparkSession, path: str) -> DataFrame:

@@ -39,3 +39,25 @@ def remove(spark: SparkSession, path: str) -> None:
     """Remove a folder of a table with all it holds."""
     system, location = _located(spark, path)
     system.delete(location, True)
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    """Write a small file so that it appears whole or not at all."""
+    system, location = _located(spark, path)
+    begun = location.suffix(".tmp")
+    stream = system.create(begun, True)
+    stream.write(text.encode())
+    stream.close()
+    system.delete(location, False)
+    if not system.rename(begun, location):
+        raise OSError(f"{path} could not be written")
+
+
+def read_text(spark: SparkSession, path: str) -> str:
+    """The contents of a small file."""
+    system, location = _located(spark, path)
+    stream = system.open(location)
+    try:
+        return bytes(stream.readAllBytes()).decode()
+    finally:
+        stream.close()

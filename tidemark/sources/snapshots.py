@@ -9,6 +9,7 @@ kept, so storage grows with the changes and a run costs what the open rows cost.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Sequence
 from dataclasses import dataclass
 from datetime import datetime
@@ -18,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidemark.operators.scd2 import scd2_merge
-from tidemark.sources.files import children, exists, mark, remove
+from tidemark.sources.files import children, exists, mark, remove, write_text
 from tidemark.sources.tables import laid_out, read_or_empty
 
 _RUN_FORMAT = "%Y-%m-%dT%H-%M-%S-%f"
@@ -30,6 +31,13 @@ class SnapshotTable:
     schema: T.StructType
     key: str
     check_cols: Sequence[str]
+    published: str | None = None  # where the last run is noted for catalog views
+
+    def query(self) -> str:
+        """``history`` as the text of a view, which finds the last noted run when it is queried."""
+        last = f"(SELECT max(run) FROM json.`{self.published}/*.json`)"
+        columns = ", ".join(f"`{name}`" for name in self.schema.names)
+        return f"SELECT {columns} FROM parquet.`{self.path}` WHERE run <= {last} AND (NOT is_open OR run = {last})"
 
     def _rows(self, spark: SparkSession) -> DataFrame:
         folders = [T.StructField("run", T.StringType()), T.StructField("is_open", T.BooleanType())]
@@ -93,5 +101,7 @@ class SnapshotTable:
             remove(spark, folder)
             return
         mark(spark, self._marker(run))
+        if self.published:
+            write_text(spark, f"{self.published}/last.json", json.dumps({"run": run}))
         for old in before[:-1]:
             remove(spark, f"{self.path}/run={old}/is_open=true")

@@ -1,15 +1,16 @@
-"""Where tables live: one folder per layer; a full refresh writes a new version, then publishes it."""
+"""Where tables live: one folder per layer; every write is a new version, published when it is whole."""
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+import json
+from collections.abc import Callable, Collection, Mapping, Sequence
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.sources.files import children, exists, mark, remove, unmark
+from tidemark.sources.files import children, exists, read_text, remove, unmark, write_text
 
 # Which layer a table belongs to, and what consumers call the layers in SQL.
 LAYERS = {
@@ -39,25 +40,74 @@ def with_period(df: DataFrame, date: str, period: str) -> DataFrame:
     return df.withColumn(PERIOD, F.coalesce(F.date_format(date, period), F.lit("undated")))
 
 
+KEPT_VERSIONS = 8  # of a table; what depends on an older one is built anew
+
+
+@dataclass(frozen=True)
+class Version:
+    """A published state of a table: the folders that hold its rows, and what it was built from."""
+
+    name: str
+    schema: T.StructType
+    folders: list[str]
+    sources: dict[str, str]
+
+    def folder_of(self) -> dict[str, str]:
+        """Period -> folder; the whole table is the one period "" if it is stored without periods."""
+        return {folder.partition(f"/{PERIOD}=")[2]: folder for folder in self.folders}
+
+
 @dataclass(frozen=True)
 class Warehouse:
-    """Table locations below one root folder."""
+    """Tables below one root folder.
+
+    Rows lie in folders that never change once they are written, ``v=<version>/period=<period>``. A
+    version is a small file that lists its folders: publishing it is one rename, so readers find the
+    state before or the state after, and a writer that dies has published nothing. A refresh lists
+    the folders of untouched periods again instead of copying them. A table has one writer at a time.
+    """
 
     root: str
 
     def path(self, table: str) -> str:
         return f"{self.root}/{LAYERS[table]}/{table}"
 
+    def published(self, table: str) -> str:
+        return f"{self.root}/published/{table}"
+
     def versions(self, spark: SparkSession, table: str) -> list[str]:
-        """Published versions, oldest first."""
-        return sorted(children(spark, f"{self.path(table)}/_published"))
+        """Names of published versions, oldest first."""
+        return sorted(n.removesuffix(".json") for n in children(spark, self.published(table)) if n.endswith(".json"))
 
-    def location(self, spark: SparkSession, table: str) -> str:
-        """Folder of the newest published version, or of the first one to come."""
-        return f"{self.path(table)}/{(self.versions(spark, table) or ['v00000000'])[-1]}"
+    def version(self, spark: SparkSession, table: str, name: str | None = None) -> Version | None:
+        """The version of that name, or the newest; None if there is none."""
+        names = self.versions(spark, table)
+        if not names or (name is not None and name not in names):
+            return None
+        stored = json.loads(read_text(spark, f"{self.published(table)}/{name or names[-1]}.json"))
+        schema = T.StructType.fromJson(stored["schema"])
+        return Version(stored["version"], schema, stored["folders"], stored["sources"])
 
-    def read(self, spark: SparkSession, table: str) -> DataFrame:
-        return spark.read.parquet(self.location(spark, table))
+    def read(
+        self,
+        spark: SparkSession,
+        table: str,
+        periods: Collection[str] | None = None,
+        version: Version | None = None,
+    ) -> DataFrame:
+        """Rows of the newest version, or of the one given; only folders of ``periods`` if given."""
+        version = version or self.version(spark, table)
+        if version is None:
+            raise FileNotFoundError(f"no version of {table} has been published below {self.root}")
+        folders = [f for period, f in version.folder_of().items() if periods is None or period in periods]
+        return self._rows(spark, table, version.schema, folders)
+
+    def _rows(self, spark: SparkSession, table: str, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
+        if not folders:
+            return spark.createDataFrame([], schema)
+        placed = T.StructType([*schema.fields, T.StructField("v", T.StringType())])
+        reader = spark.read.schema(placed).option("basePath", self.path(table))
+        return reader.parquet(*[f"{self.path(table)}/{folder}" for folder in folders]).select(*schema.names)
 
     def replace(
         self,
@@ -65,30 +115,92 @@ class Warehouse:
         table: str,
         partition_by: Sequence[str] = (),
         sort_by: Sequence[str] = (),
+        sources: Mapping[str, str] | None = None,
+        audit: Callable[[DataFrame], None] | None = None,
     ) -> DataFrame:
         """Rebuild a table in full and return the stored rows.
 
-        The rows go to a version folder of their own, which becomes the table's once it is complete:
-        a job that fails half way leaves the old rows readable. The version before stays for readers
-        that have already begun; older ones are removed. A table has one writer at a time.
+        ``audit`` gets the written rows before they are published; if it raises, the version before
+        stays the newest one.
         """
+        return self._publish(df, table, partition_by, sort_by, [], sources, audit)
+
+    def replace_periods(
+        self,
+        df: DataFrame,
+        table: str,
+        periods: Collection[str],
+        sort_by: Sequence[str] = (),
+        sources: Mapping[str, str] | None = None,
+        audit: Callable[[DataFrame], None] | None = None,
+    ) -> DataFrame:
+        """Replace all rows of ``periods`` by ``df``; the folders of other periods are taken over."""
+        current = self.version(df.sparkSession, table)
+        others = current.folder_of() if current else {}
+        kept = [folder for period, folder in others.items() if period not in periods]
+        return self._publish(df, table, [PERIOD], sort_by, kept, sources, audit)
+
+    def _publish(
+        self,
+        df: DataFrame,
+        table: str,
+        partition_by: Sequence[str],
+        sort_by: Sequence[str],
+        kept: Sequence[str],
+        sources: Mapping[str, str] | None,
+        audit: Callable[[DataFrame], None] | None,
+    ) -> DataFrame:
         spark, path = df.sparkSession, self.path(table)
-        done = self.versions(spark, table)
-        version = f"v{int(done[-1][1:]) + 1 if done else 0:08d}"
-        writer = laid_out(df, partition_by, sort_by).write.mode("overwrite")
-        # whatever the session is set to: periods that are gone must go from the table too
-        writer = writer.option("partitionOverwriteMode", "static")
+        names = self.versions(spark, table)
+        name = f"r{int(names[-1][1:]) + 1 if names else 0:08d}"
+        # whatever the session is set to; the folder holds at most what a writer left that died
+        writer = laid_out(df, partition_by, sort_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{path}/{version}")
-        if not any("=" in name for name in children(spark, f"{path}/{version}")) and partition_by:
-            # no rows, no folders: an empty file keeps the schema
-            df.limit(0).coalesce(1).write.mode("append").parquet(f"{path}/{version}")
-        mark(spark, f"{path}/_published/{version}")
-        for old in done[:-1]:
-            unmark(spark, f"{path}/_published/{old}")
-            remove(spark, f"{path}/{old}")
-        return self.read(spark, table)
+        writer.parquet(f"{path}/v={name}")
+        written = [f"v={name}"]
+        if partition_by:
+            found = children(spark, f"{path}/v={name}")
+            written = sorted(f"v={name}/{child}" for child in found if child.startswith(f"{PERIOD}="))
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+        if audit:
+            audit(self._rows(spark, table, schema, written))
+        version = Version(name, schema, [*kept, *written], dict(sources or {}))
+        text = {"version": name, "schema": schema.jsonValue(), "folders": version.folders, "sources": version.sources}
+        write_text(spark, f"{self.published(table)}/{name}.json", json.dumps(text))
+        self._forget(spark, table, [*names, name])
+        return self.read(spark, table, version=version)
+
+    def _forget(self, spark: SparkSession, table: str, names: Sequence[str]) -> None:
+        """Remove versions beyond KEPT_VERSIONS, and folders that none of the others lists."""
+        old = [self.version(spark, table, name) for name in names[:-KEPT_VERSIONS]]
+        if not old:
+            return
+        kept = {f for name in names[-KEPT_VERSIONS:] for f in self.version(spark, table, name).folders}
+        for version in old:
+            unmark(spark, f"{self.published(table)}/{version.name}.json")
+            for folder in version.folders:
+                if folder not in kept:
+                    remove(spark, f"{self.path(table)}/{folder}")
+
+    def changed(
+        self, spark: SparkSession, table: str, since: str | None, keys: Sequence[str], columns: Sequence[str]
+    ) -> DataFrame | None:
+        """Keys whose ``columns`` differ between version ``since`` and the newest one, and ``gone``,
+        true for keys that are no more; None if that version is not kept. Only folders that one of
+        the two versions lists are read, one row per key on both sides."""
+        before = self.version(spark, table, since) if since else None
+        after = self.version(spark, table)
+        if before is None or after is None:
+            return None
+        value = F.struct(*columns)
+        old, new = (
+            self._rows(spark, table, own.schema, [f for f in own.folders if f not in other.folders])
+            .select(*keys, value.alias(name))
+            for own, other, name in ((before, after, "_old"), (after, before, "_new"))
+        )
+        joined = old.join(new, list(keys), "full_outer")
+        return joined.filter(~F.col("_old").eqNullSafe(F.col("_new"))).select(*keys, F.col("_new").isNull().alias("gone"))
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
@@ -117,29 +229,28 @@ def register_views(views: dict[str, DataFrame]) -> None:
         df.createOrReplaceTempView(name)
 
 
-def register_query(spark: SparkSession, table: str, rows: DataFrame) -> None:
-    """Make rows queryable as ``<database>.<table>`` that no single folder holds.
-
-    A catalog view cannot be defined over a data frame, so the rows are stored under that name.
-    """
-    database = DATABASES[LAYERS[table]]
-    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
-    rows.write.mode("overwrite").option("partitionOverwriteMode", "static").saveAsTable(
-        f"{database}.{table}"
-    )
-
-
 def register_databases(spark: SparkSession, warehouse: Warehouse, tables: Sequence[str]) -> None:
     """Make stored tables queryable as ``<database>.<table>``, one database per layer.
 
-    The names stand for the versions published now; register again after a rebuild.
+    The names are catalog views whose text finds the newest version when it is queried, so they go on
+    to hold after rebuilds and refreshes without being registered again. Versions and periods are
+    folder columns, so only the folders that the version lists are read.
     """
     for table in tables:
-        database = DATABASES[LAYERS[table]]
-        location = f"{warehouse.root}/{LAYERS[table]}"
-        name = f"{database}.{table}"
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {database} LOCATION '{location}'")
-        spark.sql(f"DROP TABLE IF EXISTS {name}")
-        spark.sql(f"CREATE TABLE {name} USING parquet LOCATION '{warehouse.location(spark, table)}'")
-        if any(column.isPartition for column in spark.catalog.listColumns(name)):
-            spark.catalog.recoverPartitions(name)
+        columns = ", ".join(f"`{n}`" for n in warehouse.version(spark, table).schema.names if n != PERIOD)
+        versions = f"json.`{warehouse.published(table)}/*.json`"
+        periods = PERIOD in warehouse.version(spark, table).schema.names
+        folder = f"concat('v=', v, '/{PERIOD}=', {PERIOD})" if periods else "concat('v=', v)"
+        register_view(
+            spark,
+            table,
+            f"SELECT {columns} FROM parquet.`{warehouse.path(table)}` WHERE {folder} IN (SELECT explode(folders) "
+            f"FROM {versions} WHERE version = (SELECT max(version) FROM {versions}))",
+        )
+
+
+def register_view(spark: SparkSession, table: str, query: str) -> None:
+    """A catalog view under the full name that consumers use."""
+    database = DATABASES[LAYERS[table]]
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+    spark.sql(f"CREATE OR REPLACE VIEW {database}.{table} AS {query}")

@@ -13,7 +13,7 @@ which makes the same (ticker, day) arrive several times, as overlapping API pull
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.schemas import (
@@ -186,3 +186,55 @@ def mixed_macro_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return orders.select(
         F.concat(F.lit("M"), F.col("o_custkey")).alias("series_id"), payload.alias("raw_payload")
     )
+
+
+def mixed_macro_bronze(spark: SparkSession, sf_dir: str, path: str) -> None:
+    """Macro responses landed as text on one day in four, else as structs of three kinds."""
+    payload = f"{OBSERVATIONS_KEY} array<struct<date:string,value:string>>"
+    rows = macro_responses(spark, sf_dir).withColumn("kind", F.dayofmonth("ingest_date") % 4)
+    parsed = F.from_json("raw_payload", payload)
+    points = parsed[OBSERVATIONS_KEY]
+    noted = F.transform(points, lambda p: F.struct(p["value"], p["date"], F.lit("final").alias("status")))
+    kinds = [
+        F.col("raw_payload"),
+        parsed,
+        F.struct(F.lit("lin").alias("units"), points.alias(OBSERVATIONS_KEY)),
+        F.struct(noted.alias(OBSERVATIONS_KEY), F.lit(1).alias("count")),
+    ]
+    for kind, column in enumerate(kinds):
+        landed = rows.filter(F.col("kind") == kind).withColumn("raw_payload", column).drop("kind")
+        landed.hint("rebalance", F.col("ingest_date")).write.mode("append").partitionBy("ingest_date").parquet(
+            f"{path}/{MACRO_FEED.table}"
+        )
+
+
+def status_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders per status and day, valid until the status has its next day: thousands of versions a key."""
+    daily = (
+        table(spark, sf_dir, "orders")
+        .groupBy(F.col("o_orderstatus").alias("status"), F.col("o_orderdate").cast("date").alias("valid_from"))
+        .agg(F.count(F.lit(1)).alias("placed"))
+    )
+    following = F.lead("valid_from").over(Window.partitionBy("status").orderBy("valid_from"))
+    return daily.withColumn("valid_to", F.coalesce(following, F.lit("9999-12-31").cast("date")))
+
+
+def shipped_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Line items with one of the order statuses, a third each."""
+    statuses = F.array(F.lit("F"), F.lit("O"), F.lit("P"))
+    return table(spark, sf_dir, "lineitem").select(
+        "l_orderkey", "l_linenumber", statuses[(F.col("l_orderkey") % 3).cast("int")].alias("status"),
+        F.col("l_shipdate").cast("date").alias("day"),
+    )
+
+
+def placed_orders(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders with a time of day during the weeks of the events; a third of them at one and the same."""
+    key = F.col("o_orderkey")
+    second = F.when(key % 3 == 0, F.lit(1_000_000)).otherwise(key * 7919 % 2_764_800)
+    start = F.unix_timestamp(F.lit("2023-12-31 00:00:00").cast("timestamp"))
+    return table(spark, sf_dir, "orders").select("o_orderkey", F.timestamp_seconds(start + second).alias("placed_at"))
+
+
+def events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return table(spark, sf_dir, "events").select(F.col("ts").cast("timestamp").alias("ts"), "event_id", "event_type")

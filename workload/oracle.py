@@ -318,6 +318,26 @@ _JSON = """
            CAST(json_extract_string(props, '$.k') AS BIGINT) AS k
     FROM events"""
 
+_MARTS = """(
+    WITH valued AS (
+        SELECT summary.trade_date, recorded.sector, daily_return_pct, volume
+        FROM summary JOIN recorded ON summary.ticker = recorded.ticker
+        WHERE effective_date = DATE '1995-01-01' AND trade_date >= DATE '1998-01-01'
+    )
+    SELECT 'daily_price_summary' AS "table", ticker AS name,
+           strftime(trade_date, '%Y-%m-%d') AS trade_date, daily_return_pct AS return_pct,
+           CAST(volume AS BIGINT) AS volume, CAST(1 AS BIGINT) AS n
+    FROM summary
+    UNION ALL
+    SELECT 'sector_performance', sector, strftime(trade_date, '%Y-%m-%d'),
+           round(avg(daily_return_pct), 6), CAST(sum(volume) AS BIGINT), count(*)
+    FROM valued GROUP BY trade_date, sector
+    UNION ALL
+    SELECT 'macro_market_correlation', strftime(macro_observation_date, '%Y-%m-%d'),
+           strftime(trade_date, '%Y-%m-%d'), round(market_avg_return, 6),
+           CAST(market_total_volume AS BIGINT), num_tickers
+    FROM market)"""
+
 _BUILT = """(
     WITH valued AS (
         SELECT summary.trade_date, recorded.sector, daily_return_pct, volume
@@ -503,4 +523,28 @@ SQL: dict[str, str] = {
         *_STOCKS,
     ),
     "medallion_build": _query(["*"], _BUILT, *_MARKET, COMPANY),
+    "incremental_gold": _query(["*"], _MARTS, *_MARKET, COMPANY),
+    "asof_intraday": """
+        SELECT o_orderkey, strftime(placed_at, '%Y-%m-%d %H:%M:%S') AS placed_at, event_id, event_type
+        FROM (SELECT o_orderkey, TIMESTAMP '2023-12-31'
+                     + to_seconds(CASE WHEN o_orderkey % 3 = 0 THEN 1000000 ELSE o_orderkey * 7919 % 2764800 END) AS placed_at
+              FROM orders) AS placed
+        ASOF LEFT JOIN (SELECT ts, max(event_id) AS event_id, arg_max(event_type, event_id) AS event_type
+                        FROM events GROUP BY ts) AS latest ON placed.placed_at >= latest.ts""",
+    "pit_join_versions": """
+        WITH daily AS (
+            SELECT o_orderstatus AS status, CAST(o_orderdate AS DATE) AS valid_from, count(*) AS placed
+            FROM orders GROUP BY ALL
+        ), versions AS (
+            SELECT *, coalesce(lead(valid_from) OVER (PARTITION BY status ORDER BY valid_from), DATE '9999-12-31') AS valid_to
+            FROM daily
+        ), lines AS (
+            SELECT l_orderkey, l_linenumber, ['F', 'O', 'P'][CAST(l_orderkey % 3 AS INTEGER) + 1] AS status, CAST(l_shipdate AS DATE) AS day
+            FROM lineitem
+        )
+        SELECT l_orderkey, l_linenumber, lines.status, strftime(day, '%Y-%m-%d') AS day, placed,
+               strftime(valid_from, '%Y-%m-%d') AS valid_from
+        FROM lines JOIN versions ON lines.status = versions.status AND day >= valid_from AND day < valid_to""",
+    "struct_bronze_silver": _indicators,
+    "struct_bronze_stream": _indicators,
 }

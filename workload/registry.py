@@ -16,8 +16,9 @@ from tidemark.operators.aggregates import market_daily, pivot_series
 from tidemark.operators.dedup import latest_by
 from tidemark.operators.rolling import rolling_metrics
 from tidemark.operators.scd2 import scd2_history
-from tidemark.operators.temporal import asof_join, pit_join
+from tidemark.operators.temporal import asof_join, asof_join_ranged, pit_join, pit_join_bucketed
 from tidemark.plans import consumer, gold, silver
+from tidemark.plans.marts import build_marts
 from tidemark.plans.pipeline import Config, build, company_snapshot
 from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
 from tidemark.quality import checks
@@ -171,6 +172,18 @@ def asof(spark: SparkSession, sf_dir: str) -> DataFrame:
     return asof_join(orders, pivot_series(indicators(spark, sf_dir)), "day", "observation_date")
 
 
+def pit_versions(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every line item with the version of its status that was valid on its day."""
+    lines, versions = feeds.shipped_lines(spark, sf_dir), feeds.status_versions(spark, sf_dir)
+    return pit_join_bucketed(lines, versions, "status", "day").drop("valid_to")
+
+
+def asof_intraday(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every order with the last event up to its time of day."""
+    orders, events = feeds.placed_orders(spark, sf_dir), feeds.events(spark, sf_dir)
+    return asof_join_ranged(orders, events, "placed_at", "ts", ["event_id"]).drop("ts")
+
+
 def scd2_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One stored snapshot run per year."""
     table = company_snapshot(Warehouse(scratch(spark)))
@@ -271,6 +284,23 @@ def incremental_silver(spark: SparkSession, sf_dir: str) -> DataFrame:
     return read_silver(spark, PRICES, warehouse)
 
 
+def struct_bronze(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Silver from bronze whose days hold text or structs of three kinds, in two refreshes."""
+    bronze, warehouse = scratch(spark), Warehouse(scratch(spark))
+    feeds.mixed_macro_bronze(spark, sf_dir, bronze)
+    refresh_silver(spark, bronze, MACRO, warehouse, since=date(2026, 1, 16))
+    refresh_silver(spark, bronze, MACRO, warehouse, until=SPLIT_DAY)
+    return read_silver(spark, MACRO, warehouse)
+
+
+def struct_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same folder through the stream."""
+    bronze, warehouse = scratch(spark), Warehouse(scratch(spark))
+    feeds.mixed_macro_bronze(spark, sf_dir, bronze)
+    stream_silver(spark, bronze, MACRO, warehouse, scratch(spark), max_files_per_trigger=15).awaitTermination()
+    return read_silver(spark, MACRO, warehouse)
+
+
 def stream_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, warehouse = scratch(spark), Warehouse(scratch(spark))
     append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
@@ -348,14 +378,8 @@ def stored_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     return stocks.groupBy("period").agg(F.count(F.lit(1)).alias("row_count"))
 
 
-def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """The whole build, stored layer by layer: values of the three marts, rows of every table."""
-    bronze = scratch(spark)
-    append_bronze(feeds.price_responses(spark, sf_dir), bronze, PRICES_FEED)
-    append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
-    seed = feeds.company_seed(spark, sf_dir, F.lit(feeds.SNAPSHOT_YEARS.start))
-    config = Config(bronze=bronze, warehouse=scratch(spark))
-    tables = build(spark, config, run_at=datetime(1998, 1, 1), seed=seed)
+def mart_values(tables: dict[str, DataFrame]) -> DataFrame:
+    """The rows of the three marts side by side."""
     days = tables["daily_price_summary"].select(
         F.lit("daily_price_summary").alias("table"), F.col("ticker").alias("name"), "trade_date",
         F.col("daily_return_pct").alias("return_pct"), "volume", F.lit(1).cast("long").alias("n"),
@@ -368,6 +392,33 @@ def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit("macro_market_correlation"), F.col("macro_observation_date").cast("string"),
         "trade_date", F.round("market_avg_return", 6), "market_total_volume", "num_tickers",
     )
+    return reduce(DataFrame.union, [days, sector, market_days])
+
+
+def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Marts built over the later pulls, then refreshed by the earlier ones, must equal a full build."""
+    bronze, warehouse = scratch(spark), Warehouse(scratch(spark))
+    append_bronze(feeds.price_responses(spark, sf_dir), bronze, PRICES_FEED)
+    append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
+    snapshot = company_snapshot(warehouse)
+    snapshot.run(feeds.company_seed(spark, sf_dir, F.lit(feeds.SNAPSHOT_YEARS.start)), datetime(1998, 1, 1))
+    company = silver.dim_company(snapshot.history(spark))
+    found = {}
+    for since, until in ((date(2026, 1, 8), None), (None, date(2026, 1, 7))):
+        for table in (PRICES, MACRO):
+            refresh_silver(spark, bronze, table, warehouse, since, until)
+        found = build_marts(spark, warehouse, snapshot, company, incremental=True)
+    return mart_values(found)
+
+
+def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The whole build, stored layer by layer: values of the three marts, rows of every table."""
+    bronze = scratch(spark)
+    append_bronze(feeds.price_responses(spark, sf_dir), bronze, PRICES_FEED)
+    append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
+    seed = feeds.company_seed(spark, sf_dir, F.lit(feeds.SNAPSHOT_YEARS.start))
+    config = Config(bronze=bronze, warehouse=scratch(spark))
+    tables = build(spark, config, run_at=datetime(1998, 1, 1), seed=seed)
     counts = [
         df.agg(
             F.lit("rows"), F.lit(name), F.lit(None).cast("date"), F.lit(None).cast("double"),
@@ -375,7 +426,7 @@ def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
         )
         for name, df in tables.items()
     ]
-    return reduce(DataFrame.union, [days, sector, market_days, *counts])
+    return reduce(DataFrame.union, [mart_values(tables), *counts])
 
 
 QUERIES: dict[str, Query] = {
@@ -422,6 +473,11 @@ QUERIES: dict[str, Query] = {
     "dq_report": check_report,
     "stored_periods": stored_periods,
     "medallion_build": medallion_build,
+    "incremental_gold": incremental_gold,
+    "asof_intraday": asof_intraday,
+    "pit_join_versions": pit_versions,
+    "struct_bronze_silver": struct_bronze,
+    "struct_bronze_stream": struct_stream,
 }
 
 
