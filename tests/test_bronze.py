@@ -21,6 +21,7 @@ from tidemark.sources.bronze import (
 from tidemark.sources.samples import main as write_samples_main
 from tidemark.sources.samples import sample_macro, sample_prices, write_samples
 from tidemark.sources.seeds import read_seed
+from tidemark.streaming.landing_stream import stream_landing, stream_staged
 
 GOOD = {"Meta Data": {"2. Symbol": "A"}, "Time Series (Daily)": {}}
 STAMP = datetime(2026, 1, 5, 22, 15, tzinfo=timezone.utc)
@@ -186,3 +187,42 @@ def test_landing_nothing(spark, tmp_path):
         report = land(empty, str(tmp_path), PRICES_FEED, STAMP)
         assert (report.landed, report.rejected) == (0, 0)
     assert not bronze_exists(spark, str(tmp_path), PRICES_FEED)
+
+
+def test_a_batch_that_is_tried_again_lands_once(spark, tmp_path):
+    """Whatever part of it was written before; repeats within a batch stay, another day is another day."""
+    bronze, first, second = str(tmp_path), datetime(2026, 1, 5, 1, tzinfo=timezone.utc), datetime(2026, 1, 5, 9, tzinfo=timezone.utc)
+    good, bad = '{"Time Series (Daily)": {}}', '{"Note": "limit"}'
+    rows = [("A", good), ("A", good), ("B", good), ("C", bad), (None, bad), ("D", None)]
+    batch = spark.createDataFrame(rows, "ticker string, raw_payload string")
+
+    def counts():
+        return read_bronze(spark, bronze, PRICES_FEED).count(), read_rejected(spark, bronze, PRICES_FEED).count()
+
+    land(batch.filter("ticker IN ('B', 'C')"), bronze, PRICES_FEED, first, once=True)
+    for stamp in (first, second):
+        report = land(batch, bronze, PRICES_FEED, stamp, once=True)
+        assert (report.landed, report.rejected) == (3, 3) and counts() == (3, 3)
+    land(batch, bronze, PRICES_FEED, datetime(2026, 1, 6, tzinfo=timezone.utc), once=True)
+    assert counts() == (6, 6)
+
+
+def test_staged_files_land_as_a_stream(spark, tmp_path):
+    """Two sinks, counts over all batches, the policy on those counts, and nothing twice."""
+    staged, bronze, moment = tmp_path / "staged", f"{tmp_path}/b", datetime(2026, 1, 5, tzinfo=timezone.utc)
+    staged.mkdir()
+    for name in "ABCDE":
+        payload = '{"observations": []}' if name < "D" else '{"error_message": "no"}'
+        (staged / f"{name}_221500.json").write_text(payload)
+
+    def run():
+        arriving = stream_staged(spark, str(staged), MACRO_FEED, max_files_per_trigger=2)
+        return stream_landing(arriving, bronze, MACRO_FEED, f"{tmp_path}/checkpoint", moment)
+
+    with pytest.raises(IngestionError, match="2 responses failed"):
+        run()
+    assert sorted(r.series_id for r in read_bronze(spark, bronze, MACRO_FEED).collect()) == ["A", "B", "C"]
+    assert sorted(r.series_id for r in read_rejected(spark, bronze, MACRO_FEED).collect()) == ["D", "E"]
+    (staged / "F.json").write_text('{"observations": []}')
+    report = run()
+    assert (report.landed, report.rejected) == (1, 0)

@@ -12,7 +12,7 @@ from pyspark.errors import PySparkException
 from pyspark.sql import functions as F
 
 from tidemark.operators.temporal import asof_join, asof_join_ranged, pit_join, pit_join_bucketed
-from tidemark.plans import pipeline
+from tidemark.plans import consumer, pipeline
 from tidemark.plans.gold import macro_market_correlation, sector_performance
 from tidemark.plans.refresh import PRICES, read_silver, rebuild_silver, refresh_silver
 from tidemark.quality.checks import QualityError
@@ -20,7 +20,7 @@ from tidemark.schemas import PRICES_FEED
 from tidemark.sources import bronze as bronze_module
 from tidemark.sources.samples import write_samples
 from tidemark.streaming.silver_stream import stream_silver
-from tidemark.sources.tables import KEPT_VERSIONS, PERIOD, Warehouse
+from tidemark.sources.tables import KEPT_VERSIONS, MONTHLY, PERIOD, Warehouse, with_period
 
 SEED = "ticker string, company_name string, sector string, exchange string, effective_date date"
 COMPANIES = [(t, t, "Technology", "NASDAQ", date(2026, 1, 1)) for t in ("AAPL", "MSFT", "GOOGL")]
@@ -240,3 +240,20 @@ def test_bucketed_join_equals_the_plain_one_and_meets_few_versions(spark):
     assert tuples(joined, "*") == tuples(pit_join(days, versions, "key", "d").select(*joined.columns), "*")
     spans = versions.filter("valid_to > DATE'2015-01-01'").groupBy(F.floor(F.unix_date("valid_from") / 16)).count()
     assert spans.agg(F.max("count")).first()[0] <= 16
+
+
+def test_newest_rows_open_few_folders(spark, tmp_path):
+    """The limit is filled from the newest folders; undated rows come last."""
+    warehouse = Warehouse(str(tmp_path))
+    days = spark.range(400).select(
+        F.date_add(F.lit("2025-01-01").cast("date"), F.col("id").cast("int")).alias("trade_date"), F.lit("A").alias("ticker"),
+        *[F.lit(1.0).alias(n) for n in ("close_price", "ma_7d", "daily_return_pct")],
+    )
+    rows = with_period(days.unionByName(days.limit(1).withColumn("trade_date", F.lit(None).cast("date"))), "trade_date", MONTHLY)
+    warehouse.replace(rows, "daily_price_summary", [PERIOD])
+    whole = tuples(consumer.top_recent_prices(warehouse.read(spark, "daily_price_summary")), "*")
+    newest = warehouse.newest(spark, "daily_price_summary", 10)
+    assert len({file.split("period=")[1].split("/")[0] for file in newest.inputFiles()}) <= 2
+    assert tuples(consumer.top_recent_prices(newest), "*") == whole
+    everything = warehouse.newest(spark, "daily_price_summary", 1000)
+    assert everything.count() == 401

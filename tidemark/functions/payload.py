@@ -53,3 +53,20 @@ def first_text(payload: Column, *keys: str) -> Column:
 def integral(text: Column) -> Column:
     """Text to bigint, accepting spellings such as 5.7 or 1e3 by rounding to a whole number."""
     return text.cast(T.DecimalType(38, 0)).cast("bigint")
+
+
+def variant_bars(bronze: DataFrame, *carried: str) -> DataFrame:
+    """``carried`` columns with (day, bar), the bar as VARIANT: no field of a bar has to be declared.
+
+    The payload is parsed once into VARIANT; the days are its keys. A payload that is not valid JSON
+    fails the job, as with ``daily_bars``.
+    """
+    parsed = F.parse_json(payload_text(bronze))
+    series = bronze.select(*carried, F.variant_get(parsed, f'$["{PRICE_SERIES_KEY}"]', "variant").alias("_series"))
+    days = bronze.sparkSession.tvf.variant_explode(F.col("_series").outer())
+    return series.lateralJoin(days).select(*carried, F.col("key").alias("day"), F.col("value").alias("bar"))
+
+
+def variant_text(bar: Column, field: str) -> Column:
+    """A field of a VARIANT bar as text, whatever JSON type it has."""
+    return F.variant_get(bar, f'$["{field}"]', "string")

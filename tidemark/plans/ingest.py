@@ -28,10 +28,13 @@ def ingest(
     max_days_stale: int = 3,
     as_of: date | None = None,
 ) -> tuple[LandingReport, LandingReport]:
-    """Land prices, then macro series, then check freshness; any of them may stop the run."""
+    """Land prices, then macro series, then check freshness; any of them may stop the run.
+
+    A run that is tried again on the same day lands what it has not landed yet.
+    """
     configure(spark)
-    prices = land(read_staged(spark, staged_prices, PRICES_FEED), bronze, PRICES_FEED, ingested_at)
-    macro = land(read_staged(spark, staged_macro, MACRO_FEED), bronze, MACRO_FEED, ingested_at)
+    prices = land(read_staged(spark, staged_prices, PRICES_FEED), bronze, PRICES_FEED, ingested_at, once=True)
+    macro = land(read_staged(spark, staged_macro, MACRO_FEED), bronze, MACRO_FEED, ingested_at, once=True)
     check_bronze_freshness(spark, bronze, max_days_stale, as_of)
     return prices, macro
 

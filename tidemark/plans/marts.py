@@ -24,11 +24,13 @@ from tidemark.quality.checks import check_table
 from tidemark.schemas import PRICE_BAR_FIELDS
 from tidemark.session import materialized
 from tidemark.sources.snapshots import SnapshotTable
-from tidemark.sources.tables import MONTHLY, PERIOD, Warehouse, with_period
+from tidemark.sources.tables import MONTHLY, PERIOD, YEARLY, Warehouse, with_period
 
 SUMMARY, SECTORS, MARKET = "daily_price_summary", "sector_performance", "macro_market_correlation"
 COMPANY = "dim_company_snapshot"
 SORTED_BY = {SUMMARY: ["ticker", "trade_date"], SECTORS: ["trade_date"], MARKET: ["trade_date"]}
+# The daily marts hold few rows a day, whatever the size of the summary.
+PERIOD_OF = {SUMMARY: MONTHLY, SECTORS: YEARLY, MARKET: YEARLY}
 FRAME = 29  # rows before a row that its metrics look at
 # What the daily marts take from the summary.
 FACTS = ["close_price", "daily_return_pct", "volume"]
@@ -42,20 +44,20 @@ def _facts(spark: SparkSession, warehouse: Warehouse, periods=None) -> DataFrame
     return _stored(spark, warehouse, SUMMARY, periods)
 
 
-def _periods(dates: DataFrame) -> set[str]:
-    """The months of some dates; at most twelve a year."""
-    return {row[0] for row in with_period(dates, "trade_date", MONTHLY).select(PERIOD).distinct().collect()}
+def _periods(dates: DataFrame, name: str) -> set[str]:
+    """The periods of some dates in a mart; at most twelve a year."""
+    return {row[0] for row in with_period(dates, "trade_date", PERIOD_OF[name]).select(PERIOD).distinct().collect()}
 
 
 def _rebuild(warehouse: Warehouse, name: str, rows: DataFrame, sources: dict[str, str]) -> None:
-    placed = with_period(rows, "trade_date", MONTHLY)
+    placed = with_period(rows, "trade_date", PERIOD_OF[name])
     warehouse.replace(placed, name, [PERIOD], SORTED_BY[name], sources, partial(check_table, table=name))
 
 
 def _put(spark: SparkSession, warehouse: Warehouse, name: str, rows: DataFrame, replaced: DataFrame, keys: list[str], sources: dict[str, str]) -> None:
-    """``rows`` instead of the stored rows whose ``keys`` are in ``replaced``; months without any stay."""
-    placed = materialized(with_period(rows, "trade_date", MONTHLY))
-    periods = _periods(replaced.select("trade_date"))
+    """``rows`` instead of the stored rows whose ``keys`` are in ``replaced``; periods without any stay."""
+    placed = with_period(rows, "trade_date", PERIOD_OF[name])
+    periods = _periods(replaced.select("trade_date"), name)
     others = without_keys(warehouse.read(spark, name, periods), replaced, keys)
     warehouse.replace_periods(
         others.unionByName(placed), name, periods, SORTED_BY[name], sources, partial(check_table, table=name)
@@ -113,7 +115,7 @@ def _daily(
         _rebuild(warehouse, name, mart(_facts(spark, warehouse)), sources)
         return
     touched = materialized(reduce(DataFrame.union, days).distinct())
-    facts = _facts(spark, warehouse, _periods(touched)).join(touched, "trade_date", "left_semi")
+    facts = _facts(spark, warehouse, _periods(touched, SUMMARY)).join(touched, "trade_date", "left_semi")
     _put(spark, warehouse, name, mart(facts), touched, ["trade_date"], sources)
 
 

@@ -2,10 +2,19 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.functions.payload import daily_bars, integral, observations, payload_text
+from tidemark.functions.payload import (
+    daily_bars,
+    integral,
+    observations,
+    payload_text,
+    variant_bars,
+    variant_text,
+)
 from tidemark.operators.dedup import latest_by
 from tidemark.schemas import MISSING_VALUE, OPEN_END, PRICE, PRICE_BAR_FIELDS
 
@@ -23,18 +32,21 @@ def parse_prices(bronze: DataFrame) -> DataFrame:
         F.col("ingested_at").cast("timestamp").alias(RECENCY),
         F.explode(daily_bars(payload_text(bronze))).alias("day", "bar"),
     )
-    prices = {
-        name: F.col("bar")[field].cast(PRICE)
-        for name, field in PRICE_BAR_FIELDS.items()
-        if name != "volume"
-    }
-    return bars.select(
-        "ticker",
-        F.col("day").cast("date").alias("trade_date"),
-        *[expression.alias(name) for name, expression in prices.items()],
-        integral(F.col("bar")[PRICE_BAR_FIELDS["volume"]]).alias("volume"),
-        RECENCY,
-    )
+    return _typed_bars(bars, lambda field: F.col("bar")[field])
+
+
+def parse_variant_prices(bronze: DataFrame) -> DataFrame:
+    """``parse_prices`` by way of VARIANT, without a declared payload schema."""
+    timed = bronze.withColumn(RECENCY, F.col("ingested_at").cast("timestamp"))
+    bars = variant_bars(timed, "ticker", RECENCY)
+    return _typed_bars(bars, lambda field: variant_text(F.col("bar"), field))
+
+
+def _typed_bars(bars: DataFrame, text: Callable[[str], Column]) -> DataFrame:
+    """Typed columns of (ticker, day, bar); ``text`` gives a field of the bar as text."""
+    prices = [text(field).cast(PRICE).alias(name) for name, field in PRICE_BAR_FIELDS.items() if name != "volume"]
+    volume = integral(text(PRICE_BAR_FIELDS["volume"])).alias("volume")
+    return bars.select("ticker", F.col("day").cast("date").alias("trade_date"), *prices, volume, RECENCY)
 
 
 def stg_stock_prices(bronze: DataFrame) -> DataFrame:

@@ -43,18 +43,19 @@ def read_staged(spark: SparkSession, path: str, feed: Feed) -> DataFrame:
 
     A name may carry a time after an underscore (``AAPL_221500.json``).
     """
+    return staged_responses(spark.read.option("pathGlobFilter", "*.json").text(path, wholetext=True), feed)
+
+
+def staged_responses(files: DataFrame, feed: Feed) -> DataFrame:
+    """(key, payload) of staged files, in a batch or a stream."""
     name = F.regexp_extract(F.col("_metadata.file_name"), r"^(.+?)(?:_\d+)?\.json$", 1)
-    return (
-        spark.read.option("pathGlobFilter", "*.json")
-        .text(path, wholetext=True)
-        .select(name.alias(feed.key), F.col("value").alias("raw_payload"))
-    )
+    return files.select(name.alias(feed.key), F.col("value").alias("raw_payload"))
 
 
 def envelope_error(payload: Column, key: Column, feed: Feed) -> Column:
     """NULL for a usable response, else the reason it is rejected."""
     reason = F.coalesce(first_text(payload, *feed.error_fields), F.lit(UNKNOWN_ERROR))
-    message = F.concat(F.lit(REJECTION), key, F.lit(": "), reason)
+    message = F.concat(F.lit(REJECTION), F.coalesce(key, F.lit("")), F.lit(": "), reason)
     return F.when(~has_key(payload, feed.required), message)
 
 
@@ -86,34 +87,59 @@ def append_bronze(rows: DataFrame, bronze: str, feed: Feed) -> None:
     ).parquet(f"{bronze}/{feed.table}")
 
 
+def _digest() -> Column:
+    return F.coalesce(F.sha2("raw_payload", 256), F.lit(""))
+
+
+def _not_among(responses: DataFrame, stored: DataFrame, feed: Feed) -> DataFrame:
+    """Responses whose content is not stored for their key. Only digests of one day are compared."""
+    known = stored.select(F.col(feed.key).alias("_key"), _digest().alias("_digest")).distinct()
+    same = F.col(feed.key).eqNullSafe(F.col("_key")) & (_digest() == F.col("_digest"))
+    return responses.join(known, same, "left_anti")
+
+
 def land(
     responses: DataFrame,
     bronze: str,
     feed: Feed,
     ingested_at: datetime | None = None,
+    once: bool = False,
+    policy: bool = True,
 ) -> LandingReport:
     """Append usable responses to bronze, set the others aside, then apply the failure policy.
 
     Outcomes are counted while the good rows are written; the responses are read again only if
     there is something to set aside.
+
+    ``once``: responses whose content has been landed, or set aside, for their key on the day of
+    ``ingested_at`` are left out, so a batch that is tried again, after whatever part of it was
+    written, ends up there once; the report still counts all its responses. A batch that repeats a
+    response by itself keeps the repeats. ``policy``: False leaves the policy to the caller.
     """
-    stamp = ingested_at or datetime.now(timezone.utc)
+    spark = responses.sparkSession
+    stamp = (ingested_at or datetime.now(timezone.utc)).astimezone(timezone.utc)
     outcome = Observation()
     failed = F.col("error").isNotNull()
     checked = with_envelope_error(responses, feed)
     counted = checked.observe(
         outcome, F.count_if(~failed).alias("landed"), F.count_if(failed).alias("rejected")
     )
-    append_bronze(bronze_rows(counted.filter(~failed), feed, stamp), bronze, feed)
+    good, bad = counted.filter(~failed), checked.filter(failed)
+    if once and exists(spark, f"{bronze}/{feed.table}"):
+        today = read_bronze(spark, bronze, feed).filter(F.col("ingest_date") == F.lit(stamp.date()))
+        good = _not_among(good, today, feed)
+    append_bronze(bronze_rows(good, feed, stamp), bronze, feed)
     report = LandingReport(**outcome.get)
     if report.rejected:
-        rejected = checked.filter(failed).withColumn(
-            "ingested_at", F.lit(stamp.astimezone(timezone.utc).isoformat())
-        )
+        if once and exists(spark, f"{bronze}/_rejected/{feed.table}"):
+            today = read_rejected(spark, bronze, feed).filter(F.col("ingested_at").startswith(stamp.date().isoformat()))
+            bad = _not_among(bad, today, feed)
+        rejected = bad.withColumn("ingested_at", F.lit(stamp.isoformat()))
         rejected.select(feed.key, "raw_payload", "error", "ingested_at").write.mode(
             "append"
         ).parquet(f"{bronze}/_rejected/{feed.table}")
-    apply_failure_policy(report, feed)
+    if policy:
+        apply_failure_policy(report, feed)
     return report
 
 

@@ -34,10 +34,11 @@ DATABASES = {
 # daily prices, years for the few macro observations. Days would make too many small files.
 PERIOD = "period"
 MONTHLY, YEARLY = "yyyy-MM", "yyyy"
+UNDATED = "undated"
 
 
 def with_period(df: DataFrame, date: str, period: str) -> DataFrame:
-    return df.withColumn(PERIOD, F.coalesce(F.date_format(date, period), F.lit("undated")))
+    return df.withColumn(PERIOD, F.coalesce(F.date_format(date, period), F.lit(UNDATED)))
 
 
 KEPT_VERSIONS = 8  # of a table; what depends on an older one is built anew
@@ -102,6 +103,22 @@ class Warehouse:
         folders = [f for period, f in version.folder_of().items() if periods is None or period in periods]
         return self._rows(spark, table, version.schema, folders)
 
+    def newest(self, spark: SparkSession, table: str, rows: int) -> DataFrame:
+        """The newest periods that together hold ``rows`` rows, or all of them.
+
+        Names of periods are in the order of their dates, so what consumers ask of the newest rows is
+        in these folders; undated rows come last. Folders are opened newest first, twice as many at a
+        time, until there are enough.
+        """
+        periods = self.version(spark, table).folder_of()
+        order = sorted((p for p in periods if p != UNDATED), reverse=True) + [p for p in periods if p == UNDATED]
+        number = 1
+        while True:
+            found = self.read(spark, table, order[:number])
+            if number >= len(order) or found.limit(rows).count() >= rows:
+                return found
+            number *= 2
+
     def _rows(self, spark: SparkSession, table: str, schema: T.StructType, folders: Sequence[str]) -> DataFrame:
         if not folders:
             return spark.createDataFrame([], schema)

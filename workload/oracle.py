@@ -293,6 +293,16 @@ _LANDING = """
            count(*) AS responses, count(DISTINCT o_custkey) AS tickers
     FROM orders GROUP BY ALL"""
 
+# The same, where equal responses have been landed once.
+_LANDING_ONCE = """
+    SELECT outcome, '2026-01-05T22:15:00+00:00' AS ingested_at,
+           CASE WHEN outcome = 'landed' THEN 'TIME_SERIES_DAILY' END AS api_function,
+           CASE WHEN outcome = 'landed' THEN '2026-01-05' END AS ingest_date,
+           count(*) AS responses, count(DISTINCT o_custkey) AS tickers
+    FROM (SELECT DISTINCT o_custkey, o_orderkey % 5 AS kind, CASE WHEN o_orderkey % 5 = 0 THEN 'landed' ELSE 'rejected' END AS outcome,
+                 CASE WHEN o_orderkey % 5 IN (1, 2, 3) THEN o_orderpriority END AS reason FROM orders)
+    GROUP BY ALL"""
+
 _MACRO_LANDING = """
     SELECT CASE WHEN o_orderkey % 3 = 0 THEN 'landed' ELSE 'rejected' END AS outcome,
            CASE WHEN o_orderkey % 3 = 0 THEN 'fred' END AS source,
@@ -548,3 +558,11 @@ SQL: dict[str, str] = {
     "struct_bronze_silver": _indicators,
     "struct_bronze_stream": _indicators,
 }
+
+SQL |= {
+    "bronze_landing_retry": _LANDING_ONCE,
+    "stream_landing": _LANDING_ONCE,
+    "recent_prices_stored": SQL["top_recent_prices"],
+    "dq_volume_stored": SQL["dq_volume"],
+    "variant_bars": SQL["price_bars"],
+}

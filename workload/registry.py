@@ -39,7 +39,8 @@ from tidemark.sources.bronze import (
     with_envelope_error,
 )
 from tidemark.sources.seeds import read_seed
-from tidemark.sources.tables import Warehouse
+from tidemark.sources.tables import MONTHLY, PERIOD, Warehouse, with_period
+from tidemark.streaming.landing_stream import stream_landing
 from tidemark.streaming.silver_stream import stream_silver
 from workload import feeds
 
@@ -209,6 +210,32 @@ def bronze_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Land a mix of usable and failed responses, then count what went where."""
     bronze, moment = scratch(spark), datetime.fromisoformat("2026-01-05T22:15:00+00:00")
     land(feeds.mixed_price_responses(spark, sf_dir), bronze, PRICES_FEED, moment)
+    return landed_counts(spark, bronze)
+
+
+def bronze_landing_retry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same batch three times, the first time only a part of it: every response is there once."""
+    bronze, moment = scratch(spark), datetime.fromisoformat("2026-01-05T22:15:00+00:00")
+    responses = stored(feeds.mixed_price_responses(spark, sf_dir).distinct())
+    land(responses.filter("hash(ticker) % 3 = 0"), bronze, PRICES_FEED, moment, once=True)
+    for _ in range(2):
+        land(responses, bronze, PRICES_FEED, moment, once=True)
+    return landed_counts(spark, bronze)
+
+
+def landing_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same responses as a stream of files, in several micro-batches; a second run finds nothing."""
+    bronze, moment, staged, checkpoint = scratch(spark), datetime.fromisoformat("2026-01-05T22:15:00+00:00"), scratch(spark), scratch(spark)
+    responses = feeds.mixed_price_responses(spark, sf_dir).distinct()
+    responses.repartition(6, "ticker").write.parquet(staged)
+    for _ in range(2):
+        arriving = spark.readStream.schema(responses.schema).option("maxFilesPerTrigger", 2).parquet(staged)
+        stream_landing(arriving, bronze, PRICES_FEED, checkpoint, moment)
+    return landed_counts(spark, bronze)
+
+
+def landed_counts(spark: SparkSession, bronze: str) -> DataFrame:
+    """What went where."""
     good = read_bronze(spark, bronze, PRICES_FEED).select(
         F.lit("landed").alias("outcome"), "ticker", "ingested_at", "api_function", "ingest_date"
     )
@@ -370,6 +397,29 @@ def check_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return checks.check_report(bronze, stocks, F.lit(FRESHNESS_DAY))
 
 
+def stored_prices(spark: SparkSession, sf_dir: str) -> Warehouse:
+    """A warehouse with the price table and the summary over it."""
+    warehouse = Warehouse(scratch(spark))
+    rebuild_silver(spark, landed_prices(spark, sf_dir), PRICES, warehouse)
+    daily = gold.daily_price_summary(read_silver(spark, PRICES, warehouse))
+    warehouse.replace(with_period(daily, "trade_date", MONTHLY), "daily_price_summary", [PERIOD])
+    return warehouse
+
+
+def recent_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The newest rows, from the newest period folders."""
+    return consumer.top_recent_prices(stored_prices(spark, sf_dir).newest(spark, "daily_price_summary", 10))
+
+
+def volume_stored(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tickers on the latest day, from the newest period folder."""
+    return checks.latest_ticker_count(stored_prices(spark, sf_dir).newest(spark, PRICES.name, 1))
+
+
+def variant_price_bars(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return silver.parse_variant_prices(feeds.price_responses(spark, sf_dir))
+
+
 def stored_periods(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Rows per monthly folder of the rebuilt price table."""
     warehouse = Warehouse(scratch(spark))
@@ -474,6 +524,11 @@ QUERIES: dict[str, Query] = {
     "stored_periods": stored_periods,
     "medallion_build": medallion_build,
     "incremental_gold": incremental_gold,
+    "bronze_landing_retry": bronze_landing_retry,
+    "stream_landing": landing_stream,
+    "recent_prices_stored": recent_stored,
+    "dq_volume_stored": volume_stored,
+    "variant_bars": variant_price_bars,
     "asof_intraday": asof_intraday,
     "pit_join_versions": pit_versions,
     "struct_bronze_silver": struct_bronze,
