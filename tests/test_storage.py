@@ -20,7 +20,7 @@ from tidemark.schemas import PRICES_FEED
 from tidemark.sources import bronze as bronze_module
 from tidemark.sources.samples import write_samples
 from tidemark.streaming.silver_stream import stream_silver
-from tidemark.sources.tables import KEPT_VERSIONS, MONTHLY, PERIOD, Warehouse, with_period
+from tidemark.sources.tables import KEPT_VERSIONS, MONTHLY, PERIOD, Warehouse, register_databases, with_period
 
 SEED = "ticker string, company_name string, sector string, exchange string, effective_date date"
 COMPANIES = [(t, t, "Technology", "NASDAQ", date(2026, 1, 1)) for t in ("AAPL", "MSFT", "GOOGL")]
@@ -112,6 +112,18 @@ def test_consumers_find_every_table_by_name(spark, samples, tmp_path):
     assert spark.table("main_gold.sector_performance").count() == tables["sector_performance"].count()
 
 
+def test_an_empty_table_has_a_name_too(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path))
+    empty = spark.createDataFrame([], f"trade_date date, sector string, {PERIOD} string")
+    assert warehouse.replace(empty, "sector_performance", [PERIOD]).isEmpty()
+    register_databases(spark, warehouse, ["sector_performance"])
+    assert spark.table("main_gold.sector_performance").count() == 0
+    rows = spark.createDataFrame([(day("2026-01-05"), "Energy", "2026")], empty.schema)
+    warehouse.replace_periods(rows, "sector_performance", ["2026"])
+    assert spark.table("main_gold.sector_performance").columns == ["trade_date", "sector"]
+    assert spark.table("main_gold.sector_performance").count() == 1
+
+
 def struct_day(spark, root, ingested, days, close):
     """One day's responses with the bars of their days as fields of a struct."""
     bars = F.struct(*[

@@ -180,6 +180,11 @@ class Warehouse:
             found = children(spark, f"{path}/v={name}")
             written = sorted(f"v={name}/{child}" for child in found if child.startswith(f"{PERIOD}="))
         schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+        if not written and not kept:
+            # no rows, no folders: an empty file tells catalog views the schema
+            written = [f"v={name}/{PERIOD}={UNDATED}"]
+            empty = spark.createDataFrame([], schema).drop(PERIOD)
+            empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{written[0]}")
         if audit:
             audit(self._rows(spark, table, schema, written))
         version = Version(name, schema, [*kept, *written], dict(sources or {}))
