@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import json
 import random
-from datetime import date, datetime, timedelta, timezone
+from datetime import date, datetime, timedelta
 
 import pytest
 from helpers import at, bar, day, plan_of, tuples
