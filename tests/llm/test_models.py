@@ -60,20 +60,69 @@ def test_pairs_help_where_text_is_predictable(spark, words):
 
 def test_filter_never_reads_too_low_a_level():
     rng = np.random.default_rng(1)
-    keys = rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
-    counts = rng.geometric(0.01, keys.size)
-    each = 64
-    bits = np.zeros(lm_scoring.SEGMENTS * each, np.uint64)
-    base = (keys >> np.uint64(56)).astype(np.int64) * each
-    top = lm_scoring.levels(counts)
-    for level in range(1, top.max() + 1):
-        member = top >= level
-        at, own = lm_scoring.Filter.places(keys[member], level, each)
-        np.bitwise_or.at(bits, base[member] + at, own)
-    found = lm_scoring.Filter(bits, 1).levels(keys)
-    assert (found >= top).all() and (found == top).mean() > 0.9
+    keys = np.unique(rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2) + np.uint64(1))
+    top = lm_scoring.levels(rng.geometric(0.01, keys.size))
+    more = lm_scoring.levels(rng.geometric(0.1, keys.size))
+    segment = lm_scoring.segment_of(keys, 16)
+    parts = [lm_scoring.Filter.of((keys[segment == i], top[segment == i], 0), (keys[segment == i], more[segment == i], 512)).words for i in range(16)]
+    whole = lm_scoring.Filter(parts)
     strangers = rng.integers(0, 2**63, 3000).astype(np.uint64) * np.uint64(2)
-    assert (lm_scoring.Filter(bits, 1).levels(strangers) == 0).mean() > 0.9
+    for own, added in ((top, 0), (more, 512)):
+        found = whole.levels(keys, added)
+        assert (found >= own).all() and (found == own).mean() > 0.9
+        assert (whole.levels(strangers, added) == 0).mean() > 0.9
+
+
+def test_scores_are_absolute_discounting(spark, words):
+    """Brute force with exact counts, rounded to levels, beside filters so wide that few false members are left."""
+    rng = random.Random(21)
+    texts = [None, "", "a", "never seen before", *(prose(rng, 30, words) for _ in range(200)), "a b " * 30_000]
+    split = [[*re.findall(r"[^\x20\x09-\x0D]+", lower(t or "")), None] for t in texts]
+    train = [own for i, own in enumerate(split) if not lm_scoring.held_out(i)]
+    single = Counter(w for own in train for w in own)
+    pairs = Counter(p for own in train for p in zip(own, own[1:]))
+    successors = Counter(first for first, _ in pairs)
+    once, twice = (sum(n == k for n in pairs.values()) for k in (1, 2))
+    discount = min(max(once / (once + 2 * twice), 0.05), 0.95)
+    total = sum(single.values()) + len(single) + 1
+
+    def level(n):
+        return float(lm_scoring.count_of(lm_scoring.levels(np.array([n])))[0]) if n else 0.0
+
+    close = []
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    rows = lm_scoring.lm_scores(docs, key_bits=128).collect()
+    for r in rows:
+        own = split[r.doc_id]
+        expected = math.log10((level(single[own[0]]) + 1) / total)
+        for first, second in zip(own, own[1:]):
+            p, c = (level(single[second]) + 1) / total, level(single[first])
+            if c:
+                p = max(level(pairs[first, second]) - discount, 0) / c + min(discount * level(successors[first]) / c, 1) * p
+            expected += math.log10(min(p, 1.0))
+        close.append(math.isclose(r.score, expected, rel_tol=1e-9))
+        assert r.score == pytest.approx(expected, rel=0.05)
+    assert len(rows) == len(texts) and sum(close) > 0.95 * len(rows)
+
+
+def test_broadcast_filters_and_segments_in_place_give_the_same_scores(spark, words, monkeypatch):
+    rng = random.Random(22)
+    texts = [None, "", "only once", *(prose(rng, 40, words) for _ in range(150)), "x y z " * 40_000]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(5)
+    ways = []
+    for limit in (lm_scoring.BROADCAST, 0):
+        monkeypatch.setattr(lm_scoring, "BROADCAST", limit)
+        ways.append(sorted(map(tuple, lm_scoring.lm_scores(docs).collect())))
+    assert len(ways[0]) == len(texts)
+    for one, two in zip(*ways):
+        assert one[:5] == two[:5] and one[5:] == pytest.approx(two[5:], rel=1e-9)
+
+
+def test_long_words_are_not_collected(spark, monkeypatch):
+    monkeypatch.setattr(lm_scoring, "HEAD_BYTES", 3)
+    docs = spark.createDataFrame([(i, "abc abcdefgh abc longerword") for i in range(40)], "doc_id long, text string")
+    for r in lm_scoring.lm_scores(docs).collect():
+        assert r.n_known == r.n_tokens == 5
 
 
 def test_lm_edge_cases(spark):
@@ -88,7 +137,7 @@ def test_word_filter_grows_with_its_members(spark):
     sizes = []
     for n in (2_000, 200_000):
         keys = rng.integers(0, 2**63, n).astype(np.uint64) * np.uint64(2)
-        own = lm_scoring.Filter.of(keys, lm_scoring.levels(rng.geometric(0.3, n)))
+        own = lm_scoring.Filter.of((keys, lm_scoring.levels(rng.geometric(0.3, n)), 0))
         strangers = rng.integers(0, 2**63, 5000).astype(np.uint64) * np.uint64(2) + np.uint64(1)
         assert (own.levels(strangers) == 0).mean() > 0.9
         sizes.append(own.words.size)

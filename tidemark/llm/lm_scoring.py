@@ -1,17 +1,21 @@
-"""Language-model scores from log-frequency Bloom filters.
+"""Language-model scores from log-frequency Bloom filters that workers probe.
 
 A filter holds quantised counts: a key of level q is a member under (key, 1) to (key, q), where level
 q stands for counts from THRESHOLDS[q - 1] on. A count is read by probing levels until one is missing.
-
-Every word and every pair of words of the training texts is held, those seen once too. Filters are cut
-into segments by key, whose number grows with the tokens, and never gathered: each chunk of texts sends
-its distinct keys, with their counts in training texts, to the task that owns the segment; that task
-adds them up, sizes its segment by the members counted, probes it and sends a level back for each key.
-
-The score interpolates words and word pairs: P(w | h) = max(c(h, w) - D, 0) / c(h) + rest(h) * P(w).
-c(h, w) and c(h) come from probes, D = n1 / (n1 + 2 n2) from the exact numbers of pairs seen once and
-twice, rest(h) is D * distinct pairs / pairs over all contexts of the level of c(h), the share that D
-takes away, and P(w) = (c(w) + 1) / (N + V + 1).
+Two filters hold every word with its count and its number of distinct successors, and every pair of
+words with its count, those seen once too. Both are cut into segments by key, whose number grows with
+the tokens and whose size grows with their members: one task counts and writes a segment.
+
+Filters of BROADCAST bytes or less, as measured after they are written, go to all workers, which probe
+them for the texts they read; no text is shuffled. Larger ones stay in the shared folder: the distinct
+keys of each chunk of texts are sent to the segments that own them, and levels come back. Both ways
+probe the same bits, so scores do not depend on the way taken.
+
+The score is absolute discounting: P(w | h) = max(c(h, w) - D, 0) / c(h) + D * t(h) / c(h) * P(w), with
+t(h) the distinct successors of h, D = n1 / (n1 + 2 n2) from the exact numbers of pairs seen once and
+twice, and P(w) = (c(w) + 1) / (N + V + 1), which leaves one share for unseen words. The probabilities
+after a history sum to one but for the rounding of counts to levels and false members; where that
+takes one above 1, it is 1.
 """
 
 from __future__ import annotations
@@ -24,7 +28,7 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import Broadcast, TaskContext
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import documents, id_and_text, ship, stored
@@ -33,9 +37,13 @@ END = "\n"  # the end of a text: no word holds white space
 SEGMENTS = 256  # of a filter, at least; a power of two
 SEGMENT_KEYS = 1 << 20  # tokens for each segment, at most: its task holds no more keys
 STEPS = 3  # levels for each doubling of a count
-KEY_BITS = 12  # bits of the filter for each member
+KEY_BITS = 12  # bits of the filter for each member, unless the caller wants fewer false members
+BROADCAST = 128 << 20  # bytes of both filters up to which they are broadcast
 HEAD = 150_000  # most frequent words, whose exact counts are broadcast
+HEAD_BYTES = 64  # of such a word, at most; counts of longer ones are joined
 CHUNK = 400_000  # words handled together
+SUCCESSORS = 512  # added to the levels that stand for numbers of successors
+FIRST_BITS = 40  # of a first word's key, beside a pair
 
 U = np.uint64
 #: The least count of each level: rounded up, steps of small counts fall together.
@@ -82,39 +90,42 @@ def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
 
 
 class Filter:
-    """A Bloom filter whose members set six bits of one 64-bit word each."""
+    """A Bloom filter in segments; a member sets six bits of one 64-bit word of its segment."""
 
-    def __init__(self, words: np.ndarray, first: int, segments: int = SEGMENTS):
-        self.words, self.first, self.segments = words, first, segments
-        self.each = words.size // segments
+    def __init__(self, segments: list[np.ndarray]):
+        self.sizes = np.array([own.size for own in segments])
+        self.begin = np.cumsum(self.sizes) - self.sizes
+        self.words = np.concatenate(segments)
 
     @classmethod
-    def of(cls, keys: np.ndarray, top: np.ndarray) -> Filter:
-        """One segment, as large as its members need: each key under the levels 1 to ``top``."""
-        each = max(1, -(-int(top.sum()) * KEY_BITS // 64))
+    def of(cls, *members: tuple[np.ndarray, np.ndarray, int], key_bits: int = KEY_BITS) -> Filter:
+        """One segment, as large as its members need: (keys, their levels, a number added to these)."""
+        each = max(1, -(-sum(int(top.sum()) for _, top, _ in members) * key_bits // 64))
         bits = np.zeros(each, U)
-        for level in range(1, int(top.max(initial=0)) + 1):
-            at, own = cls.places(keys[top >= level], level, each)
-            np.bitwise_or.at(bits, at, own)
-        return cls(bits, 1, 1)
+        for keys, top, more in members:
+            for level in range(1, int(top.max(initial=0)) + 1):
+                at, own = cls.places(keys[top >= level], level + more, each)
+                np.bitwise_or.at(bits, at, own)
+        return cls([bits])
 
     @staticmethod
-    def places(keys: np.ndarray, level: np.ndarray | int, each: int) -> tuple[np.ndarray, np.ndarray]:
+    def places(keys: np.ndarray, level: int, each: np.ndarray | int) -> tuple[np.ndarray, np.ndarray]:
         """Word of its segment and bits of each member."""
         h = _mix(keys ^ np.asarray(level, U) * U(0xA24BAED4963EE407))
         bits = U(1) << (h & U(63))
         for shift in (6, 12, 18, 24, 30):
             bits = bits | U(1) << (h >> U(shift) & U(63))
-        return ((h >> U(36)) * U(each) >> U(28)).astype(np.int64), bits
+        return ((h >> U(36)) * np.asarray(each, U) >> U(28)).astype(np.int64), bits
 
-    def levels(self, keys: np.ndarray) -> np.ndarray:
+    def levels(self, keys: np.ndarray, more: int = 0) -> np.ndarray:
         """The level of each key's count: probes go on for the keys that were members so far."""
         found = np.zeros(keys.size, np.int64)
-        left, level = np.arange(keys.size), self.first
-        base = segment_of(keys, self.segments) * self.each
+        left, level = np.arange(keys.size), 1
+        segment = segment_of(keys, self.sizes.size)
+        begin, sizes = self.begin[segment], self.sizes[segment]
         while left.size and level < THRESHOLDS.size:
-            at, bits = self.places(keys[left], level, self.each)
-            left = left[self.words[base[left] + at] & bits == bits]
+            at, bits = self.places(keys[left], level + more, sizes[left])
+            left = left[self.words[begin[left] + at] & bits == bits]
             found[left] = level
             level += 1
         return found
@@ -168,10 +179,14 @@ def _count_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _batch(kinds: dict[str, pa.DataType], size: int, **columns) -> pa.RecordBatch:
     """Columns that are not given are null."""
-    return pa.RecordBatch.from_arrays(
-        [pa.array(columns[name], kind) if name in columns else pa.nulls(size, kind) for name, kind in kinds.items()],
-        names=list(kinds),
-    )
+
+    def column(name: str, kind: pa.DataType) -> pa.Array:
+        own = columns.get(name)
+        if own is None:
+            return pa.nulls(size, kind)
+        return own if isinstance(own, pa.Array) else pa.array(own, kind)
+
+    return pa.RecordBatch.from_arrays([column(name, kind) for name, kind in kinds.items()], names=list(kinds))
 
 
 def _packed(x: np.ndarray) -> bytes:
@@ -188,43 +203,109 @@ def _unpacked(data: bytes) -> np.ndarray:
     return x.view("<u8").ravel()
 
 
-_CODED = "row long, sizes binary, codes binary, keys binary, train binary"
-_PREPARED = _CODED + ", doc_id long, n_tokens long, known long, base double, word string, times long"
-_PREPARED_KINDS = dict.fromkeys(["row"], pa.int64()) | dict.fromkeys(["sizes", "codes", "keys", "train"], pa.binary())
-_PREPARED_KINDS |= dict.fromkeys(["doc_id", "n_tokens", "known"], pa.int64())
-_PREPARED_KINDS |= {"base": pa.float64(), "word": pa.string(), "times": pa.int64()}
+class _Chunk:
+    """Texts as places among their distinct words, whose keys are in order."""
+
+    def __init__(self, keys: np.ndarray, sizes: np.ndarray, codes: np.ndarray):
+        self.keys, self.sizes, self.codes = keys, sizes, codes
+        self.starts = np.cumsum(sizes) - sizes
+        inside = np.ones(codes.size, bool)
+        inside[self.starts] = False  # a text's first word follows none
+        self.second = np.flatnonzero(inside)
+        self.first = codes[self.second - 1]
+        pairs = pair_keys(keys[self.first], keys[codes[self.second]])
+        self.pairs, self.index, self.place = np.unique(pairs, return_index=True, return_inverse=True)
+
+    @classmethod
+    def of(cls, codes: np.ndarray, distinct: list[bytes], sizes: np.ndarray) -> _Chunk:
+        keys = word_keys(distinct)
+        order = np.argsort(keys)
+        place = np.empty(order.size, np.int64)
+        place[order] = np.arange(order.size)
+        return cls(keys[order], sizes, place[codes])
+
+    def scores(self, word: np.ndarray, successors: np.ndarray, pair: np.ndarray, model: tuple[float, int]) -> np.ndarray:
+        """Of each text, from the levels of its distinct words, of their successors, and of its pairs."""
+        discount, total = model
+        count = count_of(word)
+        p = ((count + 1) / total)[self.codes]
+        history = np.maximum(count, 1)
+        rest = np.where(count > 0, np.minimum(discount * count_of(successors) / history, 1.0), 1.0)
+        seen = np.maximum(count_of(pair[self.place]) - discount, 0)
+        seen = np.where(count[self.first] > 0, seen / history[self.first], 0)
+        p[self.second] = np.minimum(seen + rest[self.first] * p[self.second], 1.0)
+        return np.add.reduceat(np.log10(p), self.starts)
+
+
+_DEALT = "segment int, kind int, keys binary, counts binary, firsts binary"
+_DEALT_KINDS = {"segment": pa.int32(), "kind": pa.int32()} | dict.fromkeys(["keys", "counts", "firsts"], pa.binary())
+WORDS, TYPES, PAIRS = 0, 1, 2  # kinds of rows, and of levels
+
+
+def _dealt(kind: int, segments: int, keys: np.ndarray, counts: np.ndarray, firsts: np.ndarray | None = None) -> pa.RecordBatch:
+    """Sorted keys, one row for each segment that has any. The keys of TYPES are beginnings of keys."""
+    whole = keys << U(64 - FIRST_BITS) if kind == TYPES else keys
+    cuts = np.searchsorted(segment_of(whole, segments), np.arange(segments + 1))
+    some = np.flatnonzero(np.diff(cuts))
+
+    def cut(x: np.ndarray) -> list[bytes]:
+        return [_packed(x[cuts[i] : cuts[i + 1]]) for i in some]
+
+    columns = {"segment": some, "kind": np.full(some.size, kind), "keys": cut(keys), "counts": cut(counts.astype(np.int64))}
+    if firsts is not None:
+        columns["firsts"] = cut(firsts)
+    return _batch(_DEALT_KINDS, some.size, **columns)
+
 
+def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys in order, their summed counts, where each is first)"""
+    distinct, index, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    return distinct, np.bincount(place, np.concatenate(counts), distinct.size).astype(np.int64), index
 
-def _prepare(exact_counts: Broadcast) -> Callable:
-    """A row for each document with the exact counts of head words, one for each other word of it, and
-    one for each chunk: its tokens as places among its distinct keys, which are in order."""
 
+def _deal_words(segments: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        head = exact_counts.value
-        row = TaskContext.get().partitionId() << 40
+        held: list[pa.RecordBatch] = []
+
+        def flush() -> pa.RecordBatch:
+            own = pa.Table.from_batches(held)
+            keys = word_keys([w.encode() for w in own["word"].to_pylist()])
+            order = np.argsort(keys)
+            return _dealt(WORDS, segments, keys[order], own["c"].to_numpy()[order])
+
         for batch in batches:
-            for ids, texts in _chunks(batch):
-                codes, distinct, sizes = _coded(texts)
-                ends = np.cumsum(sizes)
-                starts = ends - sizes
-                exact = np.array([head.get(w, -1) for w in distinct])[codes]
-                known = np.add.reduceat((exact >= 0).astype(np.int64), starts)
-                base = np.add.reduceat(np.where(exact >= 0, np.log10(np.maximum(exact, 0) + 1.0), 0), starts)
-                tail = np.flatnonzero(exact < 0)
-                document = np.searchsorted(ends, tail, side="right")
-                both, times = np.unique(document * len(distinct) + codes[tail], return_counts=True)
-                names = [distinct[i].decode() for i in (both % len(distinct)).tolist()]
-                rows = row + np.arange(len(ids))
-                yield _batch(_PREPARED_KINDS, len(ids), row=rows, doc_id=ids, n_tokens=sizes, known=known, base=base)
-                yield _batch(_PREPARED_KINDS, both.size, row=rows[both // len(distinct)], word=names, times=times)
-                keys = word_keys(distinct)
-                order = np.argsort(keys)
-                place = np.empty(order.size, np.int32)
-                place[order] = np.arange(order.size)
-                train = np.array([not held_out(doc_id) for doc_id in ids], np.uint8)
-                coded = {"sizes": sizes, "codes": place[codes], "keys": keys[order], "train": train}
-                yield _batch(_PREPARED_KINDS, 1, row=[row], **{name: [_packed(own)] for name, own in coded.items()})
-                row += len(ids)
+            held.append(batch)
+            if sum(b.num_rows for b in held) > CHUNK:
+                yield flush()
+                held = []
+        if sum(b.num_rows for b in held):
+            yield flush()
+
+    return run
+
+
+def _deal_pairs(segments: int) -> Callable:
+    """The distinct pairs of training texts, summed over several chunks."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        keys, counts, firsts = [], [], []
+
+        def flush() -> pa.RecordBatch:
+            distinct, n, index = _merged(keys, counts)
+            return _dealt(PAIRS, segments, distinct, n, np.concatenate(firsts)[index])
+
+        for texts in _training(batches):
+            chunk = _Chunk.of(*_coded(texts))
+            if not chunk.pairs.size:
+                continue
+            keys.append(chunk.pairs)
+            counts.append(np.bincount(chunk.place))
+            firsts.append(chunk.keys[chunk.first[chunk.index]] >> U(64 - FIRST_BITS))
+            if sum(k.size for k in keys) > 8 * CHUNK:
+                yield flush()
+                keys, counts, firsts = [], [], []
+        if keys:
+            yield flush()
 
     return run
 
@@ -243,145 +324,175 @@ def _groups(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[tuple[int,
         yield last, group
 
 
-class _Chunk:
-    """A chunk of coded texts and the levels found for its distinct words, and pairs if they are known."""
-
-    def __init__(self, rows: list[dict]):
-        head = rows[0]
-        self.keys = _unpacked(head["keys"])
-        self.sizes, self.codes, self.train = (_unpacked(head[name]).astype(np.int64) for name in ("sizes", "codes", "train"))
-        words, pairs = (b"".join(r["levels"] for r in rows if r["kind"] == kind) for kind in (0, 1))
-        self.word_levels, self.pair_levels = np.frombuffer(words, "u1").astype(np.int64), np.frombuffer(pairs, "u1").astype(np.int64)
-        self.starts = np.cumsum(self.sizes) - self.sizes
-
-    def of_training(self) -> np.ndarray:
-        """1 for each token of a training text, else 0."""
-        return np.repeat(self.train, self.sizes)
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(second token of each pair, distinct pairs in order, the place of each pair among them)"""
-        inside = np.ones(self.codes.size, bool)
-        inside[self.starts] = False  # a text's first word follows none
-        second = np.flatnonzero(inside)
-        first = self.codes[second - 1]
-        pairs = pair_keys(self.keys[first], self.keys[self.codes[second]])
-        # the low byte of a key makes room for the level of its context
-        pairs = pairs & U(0xFFFFFFFFFFFFFF00) | self.word_levels[first].astype(U)
-        return second, *np.unique(pairs, return_inverse=True)
+_BUILT = _DEALT + ", bits binary, once long, twice long"
+_BUILT_KINDS = _DEALT_KINDS | {"bits": pa.binary(), "once": pa.int64(), "twice": pa.int64()}
 
 
-_DEALT = "segment int, chunk long, keys binary, counts binary"
+def _build_pairs(segments: int, key_bits: int) -> Callable:
+    """Rows sorted by segment to the segment's bits, and to the successors it counts for first words."""
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment, rows in _groups(batches, "segment"):
+            keys, counts, index = _merged([_unpacked(r["keys"]) for r in rows], [_unpacked(r["counts"]) for r in rows])
+            firsts, types = np.unique(np.concatenate([_unpacked(r["firsts"]) for r in rows])[index], return_counts=True)
+            bits = Filter.of((keys, levels(counts), 0), key_bits=key_bits).words.tobytes()
+            once, twice = int((counts == 1).sum()), int((counts == 2).sum())
+            yield _batch(_BUILT_KINDS, 1, segment=[segment], kind=[PAIRS], bits=[bits], once=[once], twice=[twice])
+            dealt = _dealt(TYPES, segments, firsts, types)
+            yield _batch(_BUILT_KINDS, dealt.num_rows, **{name: dealt[name] for name in _DEALT_KINDS})
 
-def _dealt(chunk: int, keys: np.ndarray, counts: np.ndarray, segments: int) -> pa.RecordBatch:
-    """Sorted keys, one row for each segment that has any."""
-    cuts = np.searchsorted(segment_of(keys, segments), np.arange(segments + 1))
-    some = np.flatnonzero(np.diff(cuts))
-    counts = counts.astype(np.int64)
-    return pa.RecordBatch.from_arrays(
-        [
-            pa.array(some.astype(np.int32)),
-            pa.array(np.full(some.size, chunk, np.int64)),
-            pa.array([_packed(keys[cuts[i] : cuts[i + 1]]) for i in some], pa.binary()),
-            pa.array([_packed(counts[cuts[i] : cuts[i + 1]]) for i in some], pa.binary()),
-        ],
-        names=["segment", "chunk", "keys", "counts"],
-    )
+    return run
 
 
-def _deal_words(segments: int) -> Callable:
+def _build_words(key_bits: int) -> Callable:
+    """Rows sorted by segment to the segment's bits: counts, and successors under levels of their own."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, own in _groups(batches, "row"):
-            chunk = _Chunk([r | {"kind": -1} for r in own])
-            counts = np.bincount(chunk.codes, chunk.of_training(), chunk.keys.size)
-            yield _dealt(row, chunk.keys, counts, segments)
+        for segment, rows in _groups(batches, "segment"):
+            parts = []
+            for kind in (WORDS, TYPES):
+                own = [r for r in rows if r["kind"] == kind]
+                none = [np.zeros(0, U)]
+                parts.append(_merged([*none, *(_unpacked(r["keys"]) for r in own)], [*none, *(_unpacked(r["counts"]) for r in own)]))
+            (keys, counts, _), (firsts, types, _) = parts
+            begin = keys >> U(64 - FIRST_BITS)
+            at = np.searchsorted(firsts, begin)
+            more = np.append(types, 0)[at] * (np.append(firsts, U(1) << U(63))[at] == begin)
+            members = (keys, levels(counts), 0), (keys, levels(more) * (more > 0), SUCCESSORS)
+            bits = Filter.of(*members, key_bits=key_bits).words.tobytes()
+            yield _batch(_BUILT_KINDS, 1, segment=[segment], kind=[WORDS], bits=[bits])
 
     return run
 
 
-def _deal_pairs(segments: int) -> Callable:
+def _by_segment(rows: DataFrame, *then: str) -> DataFrame:
+    return rows.repartition("segment").sortWithinPartitions("segment", *then)
+
+
+def _filter(rows: list, segments: int) -> Filter:
+    own = {r["segment"]: np.frombuffer(r["bits"], U) for r in rows}
+    return Filter([own.get(i, np.zeros(1, U)) for i in range(segments)])
+
+
+_PREPARED = "row long, doc_id long, n_tokens long, known long, base double, score double, word string, times long"
+_PREPARED += ", keys binary, sizes binary, codes binary"
+_PREPARED_KINDS = dict.fromkeys(["row", "doc_id", "n_tokens", "known"], pa.int64())
+_PREPARED_KINDS |= {"base": pa.float64(), "score": pa.float64(), "word": pa.string(), "times": pa.int64()}
+_PREPARED_KINDS |= dict.fromkeys(["keys", "sizes", "codes"], pa.binary())
+
+
+def _prepare(head_counts: Broadcast, filters: Broadcast | None, model: tuple[float, int]) -> Callable:
+    """A row for each document with the exact counts of head words, one for each other word of it, and,
+    where no filters are broadcast to score the documents, one for each chunk."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for row, own in _groups(batches, "row"):
-            chunk = _Chunk(own)
-            second, pairs, place = chunk.pairs()
-            yield _dealt(row, pairs, np.bincount(place, chunk.of_training()[second], pairs.size), segments)
+        head = head_counts.value
+        row = TaskContext.get().partitionId() << 40
+        for batch in batches:
+            for ids, texts in _chunks(batch):
+                codes, distinct, sizes = _coded(texts)
+                ends = np.cumsum(sizes)
+                starts = ends - sizes
+                exact = np.array([head.get(w, -1) for w in distinct])[codes]
+                known = np.add.reduceat((exact >= 0).astype(np.int64), starts)
+                base = np.add.reduceat(np.where(exact >= 0, np.log10(np.maximum(exact, 0) + 1.0), 0), starts)
+                tail = np.flatnonzero(exact < 0)
+                document = np.searchsorted(ends, tail, side="right")
+                both, times = np.unique(document * len(distinct) + codes[tail], return_counts=True)
+                names = [distinct[i].decode() for i in (both % len(distinct)).tolist()]
+                rows = row + np.arange(len(ids))
+                own = {"row": rows, "doc_id": ids, "n_tokens": sizes, "known": known, "base": base}
+                chunk = _Chunk.of(codes, distinct, sizes)
+                if filters:
+                    words, pairs = filters.value
+                    found = words.levels(chunk.keys), words.levels(chunk.keys, SUCCESSORS), pairs.levels(chunk.pairs)
+                    own["score"] = chunk.scores(*found, model)
+                else:
+                    coded = {name: [_packed(getattr(chunk, name))] for name in ("keys", "sizes", "codes")}
+                    yield _batch(_PREPARED_KINDS, 1, row=[row], **coded)
+                yield _batch(_PREPARED_KINDS, len(ids), **own)
+                yield _batch(_PREPARED_KINDS, both.size, row=rows[both // len(distinct)], word=names, times=times)
+                row += len(ids)
 
     return run
 
 
-_FOUND = "chunk long, segment int, levels binary, stats array<long>"
+_ASKED_KINDS = {"chunk": pa.int64(), "segment": pa.int32(), "kind": pa.int32(), "keys": pa.binary()}
+_ASKED = "chunk long, segment int, kind int, keys binary"
+_FOUND_KINDS = _ASKED_KINDS | {"levels": pa.binary()}
+_FOUND = _ASKED + ", levels binary"
 
 
-def _probe(clear: int) -> Callable:
-    """Rows sorted by segment to the levels of their keys; ``clear``: low bits that are no key.
+def _chunk(row: dict) -> _Chunk:
+    return _Chunk(_unpacked(row["keys"]), *(_unpacked(row[name]).astype(np.int64) for name in ("sizes", "codes")))
 
-    If there are such bits, they are the level of a pair's context, and one more row has the distinct
-    training pairs and all training pairs by that level, and the pairs seen once and twice.
-    """
+
+def _ask(segments: int) -> Callable:
+    """The distinct words and pairs of each chunk, by segment."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for segment, rows in _groups(batches, "segment"):
-            own = [_unpacked(r["keys"]) for r in rows]
-            keys, place = np.unique(np.concatenate(own), return_inverse=True)
-            counts = np.concatenate([_unpacked(r["counts"]) for r in rows])
-            total = np.bincount(place, counts).astype(np.int64)  # exact below 2**53
-            held = keys >> U(clear) << U(clear)
-            found = Filter.of(held, levels(total) * (total > 0)).levels(held).astype(np.uint8)[place]
-            cuts = np.cumsum([0, *(k.size for k in own)])
-            chunks = [r["chunk"] for r in rows]
-            back = [found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
-            stats = [None] * len(rows)
-            if clear:
-                context = (keys & U((1 << clear) - 1)).astype(np.int64)
-                types, tokens = np.bincount(context[total > 0], minlength=256), np.bincount(context, total, 256).astype(np.int64)
-                chunks, back = [*chunks, None], [*back, None]
-                stats.append([*types.tolist(), *tokens.tolist(), int((total == 1).sum()), int((total == 2).sum())])
-            kinds = [(chunks, pa.int64()), ([segment] * len(chunks), pa.int32()), (back, pa.binary()), (stats, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([pa.array(x, kind) for x, kind in kinds], names=["chunk", "segment", "levels", "stats"])
+        for batch in batches:
+            for row in batch.to_pylist():
+                chunk = _chunk(row)
+                for kind, keys in ((WORDS, chunk.keys), (PAIRS, chunk.pairs)):
+                    dealt = _dealt(kind, segments, keys, np.zeros(keys.size))
+                    own = {name: dealt[name] for name in ("segment", "kind", "keys")}
+                    yield _batch(_ASKED_KINDS, dealt.num_rows, chunk=[row["row"]] * dealt.num_rows, **own)
 
     return run
 
 
-def _found(dealt: DataFrame, clear: int, name: str) -> DataFrame:
-    by_segment = dealt.repartition("segment").sortWithinPartitions("segment")
-    return stored(by_segment.mapInArrow(_probe(clear), _FOUND), name)
-
+def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Rows sorted by segment, its bits first, to the levels of the keys that were asked for."""
+    for segment, rows in _groups(batches, "segment"):
+        own = {r["kind"]: Filter([np.frombuffer(r["bits"], U)]) for r in rows if r["chunk"] is None}
+        chunks, kinds, back = [], [], []
+        for r in rows:
+            if r["chunk"] is None:
+                continue
+            keys, bits = _unpacked(r["keys"]), own.get(r["kind"], Filter([np.zeros(1, U)]))
+            for kind, more in [(WORDS, 0), (TYPES, SUCCESSORS)] if r["kind"] == WORDS else [(PAIRS, 0)]:
+                chunks.append(r["chunk"])
+                kinds.append(kind)
+                back.append(bits.levels(keys, more).astype(np.uint8).tobytes())
+        yield _batch(_FOUND_KINDS, len(chunks), chunk=chunks, segment=[segment] * len(chunks), kind=kinds, levels=back)
 
-def _with_levels(coded: DataFrame, *found: DataFrame) -> DataFrame:
-    """Each chunk followed by its levels, of words and then of pairs, in the order of its keys."""
-    none = F.lit(None).cast("binary")
-    rows = coded.select("*", F.lit(-1).alias("kind"), F.lit(-1).alias("segment"), none.alias("levels"))
-    for kind, own in enumerate(found):
-        rows = rows.union(own.filter("chunk is not null").select("chunk", *[none] * 4, F.lit(kind), "segment", "levels"))
-    return rows.repartition("row").sortWithinPartitions("row", "kind", "segment")
 
+def _score_chunks(model: tuple[float, int]) -> Callable:
+    """Each chunk, followed by its levels in the order of its keys, to the scores of its texts."""
 
-def _score(discount: float, rest: np.ndarray, total: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, own in _groups(batches, "row"):
-            chunk = _Chunk(own)
-            level = chunk.word_levels
-            count = count_of(level)
-            p = ((count + 1) / total)[chunk.codes]
-            second, _, place = chunk.pairs()
-            first = chunk.codes[second - 1]
-            left = np.maximum(count_of(chunk.pair_levels[place]) - discount, 0)
-            seen = np.where(count[first] > 0, left / np.maximum(count[first], 1), 0)
-            p[second] = np.minimum(seen + rest[level[first]] * p[second], 1.0)
-            score = np.add.reduceat(np.log10(p), chunk.starts)
-            rows = row + np.arange(chunk.sizes.size)
-            yield pa.RecordBatch.from_arrays([pa.array(rows), pa.array(score)], names=["row", "score"])
+            chunk = _chunk(own[0])
+            found = [b"".join(r["levels"] for r in own if r["kind"] == kind) for kind in (WORDS, TYPES, PAIRS)]
+            score = chunk.scores(*(np.frombuffer(x, np.uint8).astype(np.int64) for x in found), model)
+            yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(score.size)), pa.array(score)], names=["row", "score"])
 
     return run
 
 
-def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _scores_by_segment(coded: DataFrame, built: list[DataFrame], segments: int, model: tuple[float, int]) -> DataFrame:
+    """(row, score) where filters are too large to be broadcast."""
+    none = F.lit(None)
+    asked = coded.mapInArrow(_ask(segments), _ASKED).withColumn("bits", none.cast("binary"))
+    for own in built:
+        asked = asked.union(own.select(none.cast("long"), "segment", "kind", none.cast("binary"), "bits"))
+    found = stored(_by_segment(asked, F.col("chunk").asc_nulls_first()).mapInArrow(_probe, _FOUND), "levels")
+    rows = coded.select("row", "keys", "sizes", "codes", F.lit(-1).alias("kind"), F.lit(-1).alias("segment"), none.cast("binary").alias("levels"))
+    rows = rows.union(found.select("chunk", *[none.cast("binary")] * 3, "kind", "segment", "levels"))
+    by_chunk = rows.repartition("row").sortWithinPartitions("row", "kind", "segment")
+    return by_chunk.mapInArrow(_score_chunks(model), "row long, score double")
+
+
+def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_bits: int = KEY_BITS) -> DataFrame:
     """One row per input row: (doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score).
 
     Counts are learnt from all rows that are not held out (held_out()). A null or empty text is its
-    end alone. A row without doc_id trains; repeated rows count each time. Without any training row
-    N and V are 0 and every count is 0. base_score uses exact counts: those of the most frequent
-    words, fewer than HEAD, are broadcast, the others are joined by word.
+    end alone; a very long one is scored whole, in the memory of one task. A row without doc_id
+    trains; repeated rows count each time. Columns other than the two are ignored. Without any
+    training row N and V are 0 and every count is 0. base_score uses exact counts: those of the most
+    frequent words, fewer than HEAD and none longer than HEAD_BYTES, are broadcast, the others are
+    joined by word.
     """
     spark = docs.sparkSession
     ship(spark)
@@ -391,45 +502,49 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
     n_tokens, n_words = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count(F.lit(1))).first()
     total = n_tokens + n_words + 1
-    bound = counts.filter("c > 1").orderBy(F.desc("c")).limit(HEAD).agg(F.min("c")).first()[0] or 1
-    head = {r["word"].encode(): r["c"] for r in counts.filter(F.col("c") > bound).collect()}
-
-    prepared = stored(rows.mapInArrow(_prepare(spark.sparkContext.broadcast(head)), _PREPARED), "prepared")
-    every = prepared.agg(F.sum("n_tokens")).first()[0] or 0
-    segments = max(SEGMENTS, 1 << (max(every - 1, 0) // SEGMENT_KEYS).bit_length())
-    coded = prepared.filter("keys is not null").select("row", "sizes", "codes", "keys", "train")
-    words = _found(coded.mapInArrow(_deal_words(segments), _DEALT), 0, "word_levels")
-    pairs = _found(_with_levels(coded, words).mapInArrow(_deal_pairs(segments), _DEALT), 8, "pair_levels")
-    stats = np.zeros(514)
-    for r in pairs.select(F.posexplode("stats")).groupBy("pos").agg(F.sum("col").alias("n")).collect():
-        stats[r["pos"]] = r["n"]
-    types, tokens_of, (once, twice) = stats[:256], stats[256:512], stats[512:]
-    discount = float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95))
-    rest = np.divide(discount * types, tokens_of, out=np.ones(256), where=tokens_of > 0)
-
-    scores = _with_levels(coded, words, pairs).mapInArrow(_score(discount, rest, total), "row long, score double")
-    tail = prepared.filter("word is not null").join(counts, "word").select(
-        "row", "times", (F.col("times") * F.log10(F.col("c") + 1.0)).alias("part"), F.lit(0.0).alias("score")
-    )
-    sums = (
-        scores.select("row", F.lit(0).cast("long").alias("times"), F.lit(0.0).alias("part"), "score")
-        .union(tail)
-        .groupBy("row")
-        .agg(F.sum("times").alias("tail_known"), F.sum("part").alias("tail_base"), F.sum("score").alias("score"))
+    short = counts.filter(F.octet_length("word") <= HEAD_BYTES)
+    bound = short.filter("c > 1").orderBy(F.desc("c")).limit(HEAD).agg(F.min("c")).first()[0] or 1
+    head = {r["word"].encode(): r["c"] for r in short.filter(F.col("c") > bound).collect()}
+
+    segments = max(SEGMENTS, 1 << (max(n_tokens - 1, 0) // SEGMENT_KEYS).bit_length())
+    dealt = rows.mapInArrow(_deal_pairs(segments), _DEALT)
+    pairs = stored(_by_segment(dealt).mapInArrow(_build_pairs(segments, key_bits), _BUILT), "pair_filter")
+    types = pairs.filter(F.col("kind") == TYPES).select(*_DEALT_KINDS)
+    words = counts.mapInArrow(_deal_words(segments), _DEALT).union(types)
+    words = stored(_by_segment(words).mapInArrow(_build_words(key_bits), _BUILT), "word_filter")
+    built = [words, pairs.filter(F.col("kind") == PAIRS)]
+    size, once, twice = built[0].union(built[1]).agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in (F.octet_length("bits"), "once", "twice")]).first()
+    model = float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95)), total
+
+    filters = None
+    if size <= BROADCAST:
+        filters = spark.sparkContext.broadcast([_filter(own.select("segment", "bits").collect(), segments) for own in built])
+    prepared = stored(rows.mapInArrow(_prepare(spark.sparkContext.broadcast(head), filters, model), _PREPARED), "prepared")
+    parts = prepared.filter("word is not null").join(counts, "word").select(
+        "row", "times", (F.col("times") * F.log10(F.col("c") + 1.0)).alias("part"), F.lit(0.0).alias("more")
     )
+    if not filters:
+        coded = prepared.filter("keys is not null").select("row", "keys", "sizes", "codes")
+        scores = _scores_by_segment(coded, built, segments, model)
+        parts = parts.union(scores.select("row", F.lit(0).cast("long"), F.lit(0.0), "score"))
+    sums = parts.groupBy("row").agg(*[F.sum(name).alias(name) for name in ("times", "part", "more")])
     out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
+
+    def added(name: str) -> Column:
+        return F.coalesce(F.col(name), F.lit(0))
+
     return (
         prepared.filter("n_tokens is not null")
-        .select("row", "doc_id", "n_tokens", "known", "base")
-        .join(sums, "row")
+        .select("row", "doc_id", "n_tokens", "known", "base", "score")
+        .join(sums, "row", "left")
         .select(
             "doc_id",
             F.coalesce(out, F.lit(False)).alias("held_out"),
             "n_tokens",
-            (F.col("known") + F.col("tail_known")).alias("n_known"),
+            (F.col("known") + added("times")).alias("n_known"),
             F.lit(n_tokens).cast("long").alias("train_tokens"),
-            (F.col("base") + F.col("tail_base") - F.col("n_tokens") * math.log10(total)).alias("base_score"),
-            "score",
+            (F.col("base") + added("part") - F.col("n_tokens") * math.log10(total)).alias("base_score"),
+            (added("score") + added("more")).alias("score"),
         )
     )
 
