@@ -61,6 +61,18 @@ def test_quality_keeps_clean_rows_whole(docs):
     assert 10 not in ids and 0 not in ids and 12 in ids
 
 
+def test_quality_judges_stop_words_by_share_and_script(spark):
+    russian = " ".join(f"слово{i} и ещё" for i in range(40))
+    junk = " ".join(["a", *(f"qx{chr(97 + i % 26)}{chr(97 + i // 26)}zv" for i in range(120))])
+    prose = " ".join(f"the thing{chr(97 + i % 26)}{chr(97 + i // 26)} of" for i in range(200))
+    uri = f"{prose} data:image/png;base64,{'QkJ' * 340}"
+    mostly = f"{prose} {'QkJ' * 40_000}"
+    texts = [russian, junk, prose, uri, mostly]
+    rows = quality_rules.quality_rules(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")).collect()
+    assert [r.kept for r in sorted(rows, key=lambda r: r.doc_id)] == [True, False, True, True, False]
+    assert rows[0].stop_word_ratio is None and not any(r.base_failed for r in rows)
+
+
 def test_quality_sql(spark, docs):
     unique = docs.filter("doc_id is not null").dropDuplicates(["doc_id"])
     connection = duckdb.connect()

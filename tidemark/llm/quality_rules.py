@@ -19,28 +19,33 @@ STOP_WORDS = (
     "the of and to in a is that for on with as was at by it this are be from "
     "der die das und ist von den mit ein zu auf für im nicht "
     "de la el que en los las un una por con no es y se del "
-    "le les des et est une du qui dans pour pas sur au il"
+    "le les des et est une du qui dans pour pas sur au il "
+    "di che per non della sono os uma não para het een van niet"
 ).split()
 STOP_WORDS = sorted({*STOP_WORDS, *(word.capitalize() for word in STOP_WORDS)})
 
 GAP = r"[ \t\n\x0B\f\r]"
+LATIN = "[A-Za-zÀ-ÖØ-öø-ɏ]"  # the script of the stop words
+LONG_WORD = 1000  # characters of a word that is no prose
+
 
 @dataclass(frozen=True)
 class Rule:
-    """``metric`` must lie in [low, high]; an open side is None."""
+    """``metric`` must lie in [low, high]; an open side is None. A metric that is null has no say."""
 
     metric: str
     low: float | None = None
     high: float | None = None
 
 
-#: A document is kept if every metric is inside its limits. A ratio without a denominator is 0.
+#: A document is kept if every metric is inside its limits. A ratio without a denominator is 0; that of
+#: stop words is null where less than half of the words with letters have one of LATIN.
 RULES = (
     Rule("mean_word_length", 1.5, 20.0),
-    Rule("longest_word", None, 1000),
+    Rule("long_word_ratio", None, 0.5),
     Rule("symbol_word_ratio", None, 0.5),
     Rule("letter_word_ratio", 0.5, None),
-    Rule("stop_words", 1, None),
+    Rule("stop_word_ratio", 0.02, None),
     Rule("duplicate_line_ratio", None, 0.3),
     Rule("ellipsis_line_ratio", None, 0.5),
     Rule("bullet_line_ratio", None, 0.95),
@@ -115,7 +120,6 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     )
     n_words = F.size(words).cast("long")
     n_lines, compact = F.size("lines"), F.col("compact")
-    stop = F.array(*[F.lit(w) for w in STOP_WORDS])
     counted = base.select(
         "row",
         "doc_id",
@@ -125,18 +129,23 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
         (n_lines - F.size(F.array_distinct("lines"))).cast("long").alias("n_dup_lines"),
         F.coalesce(_covered(starts), F.lit(0)).cast("long").alias("n_repeat_words"),
         F.size(F.filter(words, lambda w: w.rlike(r"\p{L}"))).alias("letter_words"),
-        F.size(F.array_intersect(words, stop)).alias("stop_words"),
-        F.coalesce(F.array_max(F.transform(words, F.length)), F.lit(0)).alias("longest_word"),
+        F.size(F.filter(words, lambda w: w.rlike(LATIN))).alias("latin_words"),
+        F.size(F.filter(words, lambda w: w.isin(STOP_WORDS))).cast("long").alias("stop_words"),
+        F.coalesce(F.length(F.array_join(F.filter(words, lambda w: F.length(w) > LONG_WORD), "")), F.lit(0)).alias("long_chars"),
         F.size(F.filter("lines", lambda x: x.rlike(rf"(\.\.\.|…){GAP}*\z"))).alias("ellipsis_lines"),
         F.size(F.filter("lines", lambda x: x.rlike(rf"^{GAP}*[-*•·–]{GAP}"))).alias("bullet_lines"),
         n_lines.alias("n_lines"),
     )
     return counted.select(
         *["row", "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"],
-        *["stop_words", "longest_word"],
+        "stop_words",
         _ratio(F.col("word_chars"), F.col("n_words")).alias("mean_word_length"),
         _ratio(F.col("n_symbols"), F.col("n_words")).alias("symbol_word_ratio"),
+        _ratio(F.col("long_chars"), F.col("word_chars")).alias("long_word_ratio"),
         _ratio(F.col("letter_words"), F.col("n_words")).alias("letter_word_ratio"),
+        F.when(2 * F.col("latin_words") >= F.col("letter_words"), _ratio(F.col("stop_words"), F.col("n_words"))).alias(
+            "stop_word_ratio"
+        ),
         _ratio(F.col("n_dup_lines"), F.col("n_lines")).alias("duplicate_line_ratio"),
         _ratio(F.col("ellipsis_lines"), F.col("n_lines")).alias("ellipsis_line_ratio"),
         _ratio(F.col("bullet_lines"), F.col("n_lines")).alias("bullet_line_ratio"),
@@ -148,9 +157,9 @@ def compile_rules(rules: tuple[Rule, ...] = RULES) -> Column:
     verdict = F.lit(True)
     for rule in rules:
         if rule.low is not None:
-            verdict = verdict & (F.col(rule.metric) >= rule.low)
+            verdict = verdict & F.coalesce(F.col(rule.metric) >= rule.low, F.lit(True))
         if rule.high is not None:
-            verdict = verdict & (F.col(rule.metric) <= rule.high)
+            verdict = verdict & F.coalesce(F.col(rule.metric) <= rule.high, F.lit(True))
     return verdict
 
 
@@ -171,7 +180,8 @@ def quality_rules(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     """One row per input row: counts, ratios, base_failed and kept.
 
     A null or empty text has no words and fails the base rules. A null doc_id stays null. Repeated
-    rows are judged one by one; an empty table gives no rows. Nothing is shuffled.
+    rows are judged one by one; an empty table gives no rows. A very long text is judged whole, in the
+    memory of one task. Columns other than the two are ignored. Nothing is shuffled.
     """
     return judge(docs, id_col, text_col).drop("row")
 
@@ -194,9 +204,9 @@ def _verdict_sql() -> str:
     sides = []
     for rule in RULES:
         if rule.low is not None:
-            sides.append(f"{rule.metric} >= {rule.low}")
+            sides.append(f"coalesce({rule.metric} >= {rule.low}, TRUE)")
         if rule.high is not None:
-            sides.append(f"{rule.metric} <= {rule.high}")
+            sides.append(f"coalesce({rule.metric} <= {rule.high}, TRUE)")
     return " AND ".join(sides)
 
 
@@ -227,8 +237,9 @@ def judged_sql(source: str) -> str:
              len(regexp_extract_all(t, '{SYMBOLS}')) AS n_symbols,
              len(lines) - len(list_distinct(lines)) AS n_dup_lines,
              len(list_filter(words, lambda x: regexp_matches(x, '\\p{{L}}'))) AS letter_words,
-             len(list_intersect(words, [{stop}])) AS stop_words,
-             coalesce(list_max(list_transform(words, lambda x: length(x))), 0)::INT AS longest_word,
+             len(list_filter(words, lambda x: regexp_matches(x, '{LATIN}'))) AS latin_words,
+             len(list_filter(words, lambda x: x IN ({stop})))::BIGINT AS stop_words,
+             coalesce(list_sum(list_transform(list_filter(words, lambda x: length(x) > {LONG_WORD}), lambda x: length(x))), 0) AS long_chars,
              len(list_filter(lines, lambda x: regexp_matches(x, '(\\.\\.\\.|…){GAP}*\\z'))) AS ellipsis_lines,
              len(list_filter(lines, lambda x: regexp_matches(x, '^{GAP}*[-*•·–]{GAP}'))) AS bullet_lines,
              len(lines) AS n_lines
@@ -237,10 +248,13 @@ def judged_sql(source: str) -> str:
       SELECT doc_id, n_words::BIGINT AS n_words, coalesce(chars, 0)::BIGINT AS word_chars,
              n_symbols::BIGINT AS n_symbols, n_dup_lines::BIGINT AS n_dup_lines,
              coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
-             stop_words::INT AS stop_words, longest_word,
+             stop_words,
              CASE WHEN n_words > 0 THEN chars / n_words::DOUBLE ELSE 0 END AS mean_word_length,
              CASE WHEN n_words > 0 THEN n_symbols / n_words::DOUBLE ELSE 0 END AS symbol_word_ratio,
+             CASE WHEN chars > 0 THEN long_chars / chars::DOUBLE ELSE 0 END AS long_word_ratio,
              CASE WHEN n_words > 0 THEN letter_words / n_words::DOUBLE ELSE 0 END AS letter_word_ratio,
+             CASE WHEN 2 * latin_words >= letter_words
+                  THEN CASE WHEN n_words > 0 THEN stop_words / n_words::DOUBLE ELSE 0 END END AS stop_word_ratio,
              CASE WHEN n_lines > 0 THEN n_dup_lines / n_lines::DOUBLE ELSE 0 END AS duplicate_line_ratio,
              CASE WHEN n_lines > 0 THEN ellipsis_lines / n_lines::DOUBLE ELSE 0 END AS ellipsis_line_ratio,
              CASE WHEN n_lines > 0 THEN bullet_lines / n_lines::DOUBLE ELSE 0 END AS bullet_line_ratio
