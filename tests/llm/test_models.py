@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import itertools
 import math
 import random
 import re
@@ -216,6 +217,30 @@ def test_disguised_words_beside_single_letters_and_in_long_runs(spark, labelled)
     assert {d: rows[1000 + i] for i, d in enumerate(disguised + clean)} == {**dict.fromkeys(disguised, 1), **dict.fromkeys(clean, 0)}
 
 
+@pytest.mark.parametrize("word", ["1d10t", "m.0.r", "a-b c", "st*p1d", "aaab!!", "|_|7", "l...l", "é1é", "s t u", "****"])
+def test_decoding_finds_the_best_of_all_readings(word):
+    for seed in range(5):
+        rng = np.random.default_rng(seed)
+        decoder = toxicity.Decoder(rng.geometric(0.02, toxicity._LETTERS**3) * (rng.random(toxicity._LETTERS**3) < 0.3))
+        readings = Counter()
+        for path in itertools.product(*decoder.lattice(word)):
+            text = "".join(chars for chars, _ in path)
+            a, b, p = 0, 0, sum(cost for _, cost in path)
+            for c in text:
+                code = toxicity._ORDER.get(c, 27)
+                p += decoder.log[a][b][code]
+                a, b = (b, code) if code else (0, 0)
+            p += decoder.log[a][b][0]
+            readings[text] = max(readings.get(text, -math.inf), p)
+        best = max(readings.values())
+        assert readings[decoder.decode(word)] == pytest.approx(best, abs=1e-9)
+
+
+def test_features_of_very_long_words_are_their_beginnings():
+    assert toxicity.features("moron") == ["moron", "moro~"]
+    assert toxicity.features("x" * 50) == ["xxxx~", "xxxxx~", "xxxxxx~"]
+
+
 def test_held_out_labels_teach_nothing(spark, labelled):
     texts, labels = labelled
     docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")

@@ -24,8 +24,7 @@ from pyspark.sql import functions as F
 from .common import documents, id_and_text, ship, stored
 
 SAMPLE = 40_000  # labelled rows at most that the classifier is fitted on, in the order of a hash
-CANDIDATES = 200_000  # features at most that are counted in all sampled rows
-FEATURES = 50_000  # features at most that the classifier holds
+FEATURE_LETTERS = 40  # of a word, at most, that is a feature whole; of a longer one, its beginnings are
 PREFIXES = (4, 5, 6)  # letters of word beginnings
 LEAST_TOXIC = 4  # toxic sampled rows that must show a feature
 LEAST_SHARE = 0.6  # of a feature's rows, by its lower bound
@@ -140,32 +139,39 @@ def _trigrams(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def features(word: str) -> list[str]:
-    return [word, *(f"{word[:k]}~" for k in PREFIXES if len(word) > k)]
+    """The word and its beginnings; of a word of more than FEATURE_LETTERS the beginnings alone."""
+    return [*([word] if len(word) <= FEATURE_LETTERS else []), *(f"{word[:k]}~" for k in PREFIXES if len(word) > k)]
 
 
 def _words(decoder: Decoder, text: str) -> set[str]:
     return set(WORD.findall(decoder.restore(text.lower())))
 
 
-def _count_features(decoder: Broadcast, wanted: Broadcast | None) -> Callable:
-    """How many rows show each feature, toxic ones apart; of toxic rows only if none are ``wanted``."""
+def _count_features(decoder: Broadcast) -> Callable:
+    """How many rows show each feature, toxic ones apart."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = Decoder(decoder.value)
         toxic, every = Counter(), Counter()
+
+        def flush() -> pa.RecordBatch:
+            names = list(every)
+            counts = [[toxic[f] for f in names], [every[f] for f in names]]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(names, pa.string()), *(pa.array(c, pa.int64()) for c in counts)], names=["feature", "toxic", "rows"]
+            )
+
         for batch in batches:
             for text, label in zip(batch["text"].to_pylist(), batch["toxic"].to_pylist()):
                 found = {f for word in _words(own, text) for f in features(word)}
-                if wanted is not None:
-                    found &= wanted.value
                 every.update(found)
                 if label:
                     toxic.update(found)
-        names = list(every)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(names, pa.string()), pa.array([toxic[f] for f in names], pa.int64()), pa.array([every[f] for f in names], pa.int64())],
-            names=["feature", "toxic", "rows"],
-        )
+                if len(every) > 500_000:
+                    yield flush()
+                    toxic.clear()
+                    every.clear()
+        yield flush()
 
     return run
 
@@ -229,20 +235,14 @@ def toxicity(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_co
         .limit(SAMPLE)
     )
     sample = stored(rows.join(F.broadcast(learnt), F.col("doc_id") == F.col("id")).select("text", "toxic"), "labelled")
-    kinds = "feature string, toxic long, rows long"
-
-    def summed(part: DataFrame, wanted: Broadcast | None) -> DataFrame:
-        found = part.mapInArrow(_count_features(trigrams, wanted), kinds)
-        return found.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows"))
-
-    likely = summed(sample.filter("toxic = 1"), None).filter(F.col("toxic") >= LEAST_TOXIC)
-    wanted = {r["feature"] for r in likely.orderBy(F.desc("toxic"), "feature").limit(CANDIDATES).collect()}
-    weights: dict[str, float] = {}
-    for r in summed(sample, spark.sparkContext.broadcast(wanted)).collect():
-        share = lower_bound(r["toxic"], r["rows"])
-        if r["toxic"] >= LEAST_TOXIC and share >= LEAST_SHARE:
-            weights[r["feature"]] = share
-    weights = dict(sorted(weights.items(), key=lambda item: (-item[1], item[0]))[:FEATURES])
+    found = sample.mapInArrow(_count_features(trigrams), "feature string, toxic long, rows long")
+    summed = found.groupBy("feature").agg(F.sum("toxic").alias("toxic"), F.sum("rows").alias("rows"))
+    # Each feature is certain only if LEAST_TOXIC of SAMPLE rows show it: the words of the toxic rows bound their number
+    weights = {
+        r["feature"]: share
+        for r in summed.filter(F.col("toxic") >= LEAST_TOXIC).filter(F.col("toxic") >= LEAST_SHARE * F.col("rows")).toLocalIterator()
+        if (share := lower_bound(r["toxic"], r["rows"])) >= LEAST_SHARE
+    }
 
     model = {"trigrams": counts, "weights": weights, "rest": 0.0}
     plain = sample.select(F.col("toxic").cast("long").alias("doc_id"), "text")
