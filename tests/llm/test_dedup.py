@@ -206,3 +206,9 @@ def test_pipeline_stages(spark, tmp_path):
         lengths[r.doc_id] += r.length
     assert set(lengths) == ids(before)
     assert corpus_pipeline.run(spark, str(tmp_path)).count() == after.count()
+
+
+def test_repeats_shorter_than_an_anchor_are_refused(spark):
+    docs = spark.createDataFrame([(1, "a")], "doc_id long, text string")
+    with pytest.raises(ValueError):
+        suffix_dedup.suffix_dedup(docs, length=suffix_dedup.GRAM - 1)

@@ -83,6 +83,9 @@ _ANCHORS = "k1 long, k2 long, gram long, span long, start int, lo int, hi int"
 
 
 def _anchors(length: int) -> Callable:
+    if length < GRAM:
+        raise ValueError(f"repeated strings of {length} bytes hold no anchor of {GRAM} bytes")
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import xxhash
 
@@ -391,6 +394,7 @@ def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id",
     same document or any other. Strings are judged on the texts as they came. A null text is empty;
     texts shorter than ``length`` stay whole. Equal texts, whatever their doc_ids, are each other's
     repeats, so rows that repeat a longer text go whole. An empty table gives no rows.
+    A ``length`` below that of an anchor, GRAM bytes, is refused with a ValueError.
     """
     ship(docs.sparkSession)
     keyed = _texts(docs, text_col, docs[id_col].cast("long").alias("doc_id"))
