@@ -119,6 +119,15 @@ def test_broadcast_filters_and_segments_in_place_give_the_same_scores(spark, wor
         assert one[:5] == two[:5] and one[5:] == pytest.approx(two[5:], rel=1e-9)
 
 
+@pytest.mark.parametrize("segments", [256, 1 << 20, 1 << 26])
+def test_keys_survive_the_way_to_their_segment(segments):
+    keys = np.sort(np.random.default_rng(5).integers(0, 2**63, 500).astype(np.uint64) * np.uint64(2))
+    keys = lm_scoring.trimmed(keys, segments)
+    batch = lm_scoring._dealt(lm_scoring.WORDS, segments, keys, np.ones(500))
+    back = [lm_scoring._keys(r["keys"], r["segment"], segments) for r in batch.to_pylist()]
+    assert (np.concatenate(back) == keys).all()
+
+
 def test_long_words_are_not_collected(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "HEAD_BYTES", 3)
     docs = spark.createDataFrame([(i, "abc abcdefgh abc longerword") for i in range(40)], "doc_id long, text string")

@@ -44,6 +44,7 @@ HEAD_BYTES = 64  # of such a word, at most; counts of longer ones are joined
 CHUNK = 400_000  # words handled together
 SUCCESSORS = 512  # added to the levels that stand for numbers of successors
 FIRST_BITS = 40  # of a first word's key, beside a pair
+KEPT_BITS = 40  # of a key, below those that name its segment: a segment holds far fewer keys than these tell apart
 
 U = np.uint64
 #: The least count of each level: rounded up, steps of small counts fall together.
@@ -89,6 +90,20 @@ def segment_of(keys: np.ndarray, segments: int) -> np.ndarray:
     return ((keys >> U(32)) * U(segments) >> U(32)).astype(np.int64)
 
 
+def _below(segments: int) -> int:
+    """Bits of a key below those that name its segment."""
+    return 65 - segments.bit_length()
+
+
+def _dropped(segments: int) -> np.uint64:
+    """Low bits of a key that are dropped."""
+    return U(max(0, _below(segments) - KEPT_BITS))
+
+
+def trimmed(keys: np.ndarray, segments: int) -> np.ndarray:
+    return keys >> _dropped(segments) << _dropped(segments)
+
+
 class Filter:
     """A Bloom filter in segments; a member sets six bits of one 64-bit word of its segment."""
 
@@ -206,23 +221,23 @@ def _unpacked(data: bytes) -> np.ndarray:
 class _Chunk:
     """Texts as places among their distinct words, whose keys are in order."""
 
-    def __init__(self, keys: np.ndarray, sizes: np.ndarray, codes: np.ndarray):
+    def __init__(self, keys: np.ndarray, sizes: np.ndarray, codes: np.ndarray, segments: int):
         self.keys, self.sizes, self.codes = keys, sizes, codes
         self.starts = np.cumsum(sizes) - sizes
         inside = np.ones(codes.size, bool)
         inside[self.starts] = False  # a text's first word follows none
         self.second = np.flatnonzero(inside)
         self.first = codes[self.second - 1]
-        pairs = pair_keys(keys[self.first], keys[codes[self.second]])
+        pairs = trimmed(pair_keys(keys[self.first], keys[codes[self.second]]), segments)
         self.pairs, self.index, self.place = np.unique(pairs, return_index=True, return_inverse=True)
 
     @classmethod
-    def of(cls, codes: np.ndarray, distinct: list[bytes], sizes: np.ndarray) -> _Chunk:
-        keys = word_keys(distinct)
+    def of(cls, codes: np.ndarray, distinct: list[bytes], sizes: np.ndarray, segments: int) -> _Chunk:
+        keys = trimmed(word_keys(distinct), segments)
         order = np.argsort(keys)
         place = np.empty(order.size, np.int64)
         place[order] = np.arange(order.size)
-        return cls(keys[order], sizes, place[codes])
+        return cls(keys[order], sizes, place[codes], segments)
 
     def scores(self, word: np.ndarray, successors: np.ndarray, pair: np.ndarray, model: tuple[float, int]) -> np.ndarray:
         """Of each text, from the levels of its distinct words, of their successors, and of its pairs."""
@@ -251,12 +266,18 @@ def _dealt(kind: int, segments: int, keys: np.ndarray, counts: np.ndarray, first
     def cut(x: np.ndarray) -> list[bytes]:
         return [_packed(x[cuts[i] : cuts[i + 1]]) for i in some]
 
-    columns = {"segment": some, "kind": np.full(some.size, kind), "keys": cut(keys), "counts": cut(counts.astype(np.int64))}
+    short = keys if kind == TYPES else (keys & U((1 << _below(segments)) - 1)) >> _dropped(segments)
+    columns = {"segment": some, "kind": np.full(some.size, kind), "keys": cut(short), "counts": cut(counts.astype(np.int64))}
     if firsts is not None:
         columns["firsts"] = cut(firsts)
     return _batch(_DEALT_KINDS, some.size, **columns)
 
 
+def _keys(data: bytes, segment: int, segments: int) -> np.ndarray:
+    """The keys that _dealt() packed for a segment."""
+    return U(segment << _below(segments)) | _unpacked(data) << _dropped(segments)
+
+
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys in order, their summed counts, where each is first)"""
     distinct, index, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
@@ -269,7 +290,7 @@ def _deal_words(segments: int) -> Callable:
 
         def flush() -> pa.RecordBatch:
             own = pa.Table.from_batches(held)
-            keys = word_keys([w.encode() for w in own["word"].to_pylist()])
+            keys = trimmed(word_keys([w.encode() for w in own["word"].to_pylist()]), segments)
             order = np.argsort(keys)
             return _dealt(WORDS, segments, keys[order], own["c"].to_numpy()[order])
 
@@ -295,7 +316,7 @@ def _deal_pairs(segments: int) -> Callable:
             return _dealt(PAIRS, segments, distinct, n, np.concatenate(firsts)[index])
 
         for texts in _training(batches):
-            chunk = _Chunk.of(*_coded(texts))
+            chunk = _Chunk.of(*_coded(texts), segments)
             if not chunk.pairs.size:
                 continue
             keys.append(chunk.pairs)
@@ -333,7 +354,9 @@ def _build_pairs(segments: int, key_bits: int) -> Callable:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for segment, rows in _groups(batches, "segment"):
-            keys, counts, index = _merged([_unpacked(r["keys"]) for r in rows], [_unpacked(r["counts"]) for r in rows])
+            keys, counts, index = _merged(
+                [_keys(r["keys"], segment, segments) for r in rows], [_unpacked(r["counts"]) for r in rows]
+            )
             firsts, types = np.unique(np.concatenate([_unpacked(r["firsts"]) for r in rows])[index], return_counts=True)
             bits = Filter.of((keys, levels(counts), 0), key_bits=key_bits).words.tobytes()
             once, twice = int((counts == 1).sum()), int((counts == 2).sum())
@@ -344,7 +367,7 @@ def _build_pairs(segments: int, key_bits: int) -> Callable:
     return run
 
 
-def _build_words(key_bits: int) -> Callable:
+def _build_words(segments: int, key_bits: int) -> Callable:
     """Rows sorted by segment to the segment's bits: counts, and successors under levels of their own."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -353,7 +376,8 @@ def _build_words(key_bits: int) -> Callable:
             for kind in (WORDS, TYPES):
                 own = [r for r in rows if r["kind"] == kind]
                 none = [np.zeros(0, U)]
-                parts.append(_merged([*none, *(_unpacked(r["keys"]) for r in own)], [*none, *(_unpacked(r["counts"]) for r in own)]))
+                keys = (_unpacked(r["keys"]) if kind == TYPES else _keys(r["keys"], segment, segments) for r in own)
+                parts.append(_merged([*none, *keys], [*none, *(_unpacked(r["counts"]) for r in own)]))
             (keys, counts, _), (firsts, types, _) = parts
             begin = keys >> U(64 - FIRST_BITS)
             at = np.searchsorted(firsts, begin)
@@ -381,7 +405,7 @@ _PREPARED_KINDS |= {"base": pa.float64(), "score": pa.float64(), "word": pa.stri
 _PREPARED_KINDS |= dict.fromkeys(["keys", "sizes", "codes"], pa.binary())
 
 
-def _prepare(head_counts: Broadcast, filters: Broadcast | None, model: tuple[float, int]) -> Callable:
+def _prepare(head_counts: Broadcast, filters: Broadcast | None, segments: int, model: tuple[float, int]) -> Callable:
     """A row for each document with the exact counts of head words, one for each other word of it, and,
     where no filters are broadcast to score the documents, one for each chunk."""
 
@@ -402,7 +426,7 @@ def _prepare(head_counts: Broadcast, filters: Broadcast | None, model: tuple[flo
                 names = [distinct[i].decode() for i in (both % len(distinct)).tolist()]
                 rows = row + np.arange(len(ids))
                 own = {"row": rows, "doc_id": ids, "n_tokens": sizes, "known": known, "base": base}
-                chunk = _Chunk.of(codes, distinct, sizes)
+                chunk = _Chunk.of(codes, distinct, sizes, segments)
                 if filters:
                     words, pairs = filters.value
                     found = words.levels(chunk.keys), words.levels(chunk.keys, SUCCESSORS), pairs.levels(chunk.pairs)
@@ -423,8 +447,8 @@ _FOUND_KINDS = _ASKED_KINDS | {"levels": pa.binary()}
 _FOUND = _ASKED + ", levels binary"
 
 
-def _chunk(row: dict) -> _Chunk:
-    return _Chunk(_unpacked(row["keys"]), *(_unpacked(row[name]).astype(np.int64) for name in ("sizes", "codes")))
+def _chunk(row: dict, segments: int) -> _Chunk:
+    return _Chunk(_unpacked(row["keys"]), *(_unpacked(row[name]).astype(np.int64) for name in ("sizes", "codes")), segments)
 
 
 def _ask(segments: int) -> Callable:
@@ -433,7 +457,7 @@ def _ask(segments: int) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for row in batch.to_pylist():
-                chunk = _chunk(row)
+                chunk = _chunk(row, segments)
                 for kind, keys in ((WORDS, chunk.keys), (PAIRS, chunk.pairs)):
                     dealt = _dealt(kind, segments, keys, np.zeros(keys.size))
                     own = {name: dealt[name] for name in ("segment", "kind", "keys")}
@@ -442,28 +466,35 @@ def _ask(segments: int) -> Callable:
     return run
 
 
-def _probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _probe(segments: int) -> Callable:
     """Rows sorted by segment, its bits first, to the levels of the keys that were asked for."""
-    for segment, rows in _groups(batches, "segment"):
-        own = {r["kind"]: Filter([np.frombuffer(r["bits"], U)]) for r in rows if r["chunk"] is None}
-        chunks, kinds, back = [], [], []
-        for r in rows:
-            if r["chunk"] is None:
-                continue
-            keys, bits = _unpacked(r["keys"]), own.get(r["kind"], Filter([np.zeros(1, U)]))
-            for kind, more in [(WORDS, 0), (TYPES, SUCCESSORS)] if r["kind"] == WORDS else [(PAIRS, 0)]:
-                chunks.append(r["chunk"])
-                kinds.append(kind)
-                back.append(bits.levels(keys, more).astype(np.uint8).tobytes())
-        yield _batch(_FOUND_KINDS, len(chunks), chunk=chunks, segment=[segment] * len(chunks), kind=kinds, levels=back)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for segment, rows in _groups(batches, "segment"):
+            own = {r["kind"]: Filter([np.frombuffer(r["bits"], U)]) for r in rows if r["chunk"] is None}
+            chunks, kinds, back = [], [], []
+            for kind, more in ((WORDS, 0), (TYPES, SUCCESSORS), (PAIRS, 0)):
+                base = PAIRS if kind == PAIRS else WORDS
+                asked = [r for r in rows if r["chunk"] is not None and r["kind"] == base]
+                if not asked:
+                    continue
+                keys = [_keys(r["keys"], segment, segments) for r in asked]
+                found = own.get(base, Filter([np.zeros(1, U)])).levels(np.concatenate(keys), more).astype(np.uint8)
+                cuts = np.cumsum([0, *(k.size for k in keys)])
+                chunks += [r["chunk"] for r in asked]
+                kinds += [kind] * len(asked)
+                back += [found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+            yield _batch(_FOUND_KINDS, len(chunks), chunk=chunks, segment=[segment] * len(chunks), kind=kinds, levels=back)
+
+    return run
 
 
-def _score_chunks(model: tuple[float, int]) -> Callable:
+def _score_chunks(segments: int, model: tuple[float, int]) -> Callable:
     """Each chunk, followed by its levels in the order of its keys, to the scores of its texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, own in _groups(batches, "row"):
-            chunk = _chunk(own[0])
+            chunk = _chunk(own[0], segments)
             found = [b"".join(r["levels"] for r in own if r["kind"] == kind) for kind in (WORDS, TYPES, PAIRS)]
             score = chunk.scores(*(np.frombuffer(x, np.uint8).astype(np.int64) for x in found), model)
             yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(score.size)), pa.array(score)], names=["row", "score"])
@@ -477,11 +508,11 @@ def _scores_by_segment(coded: DataFrame, built: list[DataFrame], segments: int,
     asked = coded.mapInArrow(_ask(segments), _ASKED).withColumn("bits", none.cast("binary"))
     for own in built:
         asked = asked.union(own.select(none.cast("long"), "segment", "kind", none.cast("binary"), "bits"))
-    found = stored(_by_segment(asked, F.col("chunk").asc_nulls_first()).mapInArrow(_probe, _FOUND), "levels")
+    found = stored(_by_segment(asked, F.col("chunk").asc_nulls_first()).mapInArrow(_probe(segments), _FOUND), "levels")
     rows = coded.select("row", "keys", "sizes", "codes", F.lit(-1).alias("kind"), F.lit(-1).alias("segment"), none.cast("binary").alias("levels"))
     rows = rows.union(found.select("chunk", *[none.cast("binary")] * 3, "kind", "segment", "levels"))
     by_chunk = rows.repartition("row").sortWithinPartitions("row", "kind", "segment")
-    return by_chunk.mapInArrow(_score_chunks(model), "row long, score double")
+    return by_chunk.mapInArrow(_score_chunks(segments, model), "row long, score double")
 
 
 def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", key_bits: int = KEY_BITS) -> DataFrame:
@@ -511,7 +542,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     pairs = stored(_by_segment(dealt).mapInArrow(_build_pairs(segments, key_bits), _BUILT), "pair_filter")
     types = pairs.filter(F.col("kind") == TYPES).select(*_DEALT_KINDS)
     words = counts.mapInArrow(_deal_words(segments), _DEALT).union(types)
-    words = stored(_by_segment(words).mapInArrow(_build_words(key_bits), _BUILT), "word_filter")
+    words = stored(_by_segment(words).mapInArrow(_build_words(segments, key_bits), _BUILT), "word_filter")
     built = [words, pairs.filter(F.col("kind") == PAIRS)]
     size, once, twice = built[0].union(built[1]).agg(*[F.coalesce(F.sum(x), F.lit(0)) for x in (F.octet_length("bits"), "once", "twice")]).first()
     model = float(np.clip(once / max(once + 2 * twice, 1), 0.05, 0.95)), total
@@ -519,7 +550,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     filters = None
     if size <= BROADCAST:
         filters = spark.sparkContext.broadcast([_filter(own.select("segment", "bits").collect(), segments) for own in built])
-    prepared = stored(rows.mapInArrow(_prepare(spark.sparkContext.broadcast(head), filters, model), _PREPARED), "prepared")
+    prepared = stored(rows.mapInArrow(_prepare(spark.sparkContext.broadcast(head), filters, segments, model), _PREPARED), "prepared")
     parts = prepared.filter("word is not null").join(counts, "word").select(
         "row", "times", (F.col("times") * F.log10(F.col("c") + 1.0)).alias("part"), F.lit(0.0).alias("more")
     )
