@@ -1,6 +1,6 @@
 from __future__ import annotations
 
-from datetime import datetime
+from datetime import datetime, timedelta
 
 import pytest
 from helpers import at, day, plan_of, tuples
@@ -124,11 +124,55 @@ def test_stored_snapshot(spark, tmp_path):
         ("B", "Tech", one, None),
     ]
     assert tuples(table.history(spark), *SPAN) == expected
-    # Repeating the last run has no further effect; an older one is refused.
+    # Repeating the last run has no further effect; repeating an older one is refused.
     table.run(seed(spark, [("A", "Energy"), ("B", "Tech")]), three)
     assert tuples(table.history(spark), *SPAN) == expected
     with pytest.raises(ValueError, match="later"):
-        table.run(seed(spark, [("A", "Tech")]), at("2026-01-15"))
+        table.run(seed(spark, [("A", "Tech")]), two)
+
+
+@settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(runs, st.randoms(use_true_random=False))
+def test_runs_in_any_order_leave_the_same_versions(spark, tmp_path_factory, runs, random):
+    table = SnapshotTable(
+        str(tmp_path_factory.mktemp("late") / "snap"), COMPANY_SNAPSHOT, "ticker", COMPANY_CHECK_COLUMNS
+    )
+    snapshots = [(datetime(2026, month, 1), rows) for month, rows in enumerate(runs, start=1)]
+    schema = StructType([*COMPANY_SEED.fields, StructField("run_at", TimestampType())])
+    recorded = [(t, f"{t} Inc.", s, "X", day("2026-01-01"), m) for m, rows in snapshots for t, s in rows.items()]
+    replay = scd2_history(spark.createDataFrame(recorded, schema), "ticker", COMPANY_CHECK_COLUMNS, "run_at")
+    random.shuffle(snapshots)
+    for moment, rows in snapshots:
+        table.run(seed(spark, list(rows.items())), moment)
+    history = table.history(spark)
+    assert tuples(replay.select(history.columns), "*") == tuples(history, "*")
+
+
+def test_a_late_run_reaches_views_and_dies_without_a_trace(spark, tmp_path):
+    table = SnapshotTable(
+        f"{tmp_path}/snap", COMPANY_SNAPSHOT, "ticker", COMPANY_CHECK_COLUMNS, f"{tmp_path}/published"
+    )
+    one, two, three = at("2026-01-01"), at("2026-02-01"), at("2026-03-01")
+    table.run(seed(spark, [("A", "Tech")]), one)
+    table.run(seed(spark, [("A", "Tech")]), three)  # changes nothing, but is when A was seen again
+    table.run(seed(spark, [("A", "Energy")]), two)
+    expected = [("A", "Energy", two, three), ("A", "Tech", one, two), ("A", "Tech", three, None)]
+    assert tuples(table.history(spark), *SPAN) == expected
+    assert tuples(spark.sql(table.query()), *SPAN) == expected
+    with pytest.raises(ValueError, match="completed"):
+        table.run(seed(spark, [("A", "Tech")]), one)
+    # had the late run died before it completed, readers would see the state before it
+    late = table.runs(spark)[-1]
+    (tmp_path / "snap" / f"run={late}" / "_COMPLETE").unlink()
+    assert tuples(table.history(spark), *SPAN) == [("A", "Tech", one, None)]
+    (tmp_path / "snap" / f"run={late}" / "_COMPLETE").touch()
+    # the next run builds on the spliced versions and removes what lies before them
+    four = three + timedelta(days=1)
+    table.run(seed(spark, [("A", "Health")]), four)
+    expected[2:] = [("A", "Health", four, None), ("A", "Tech", three, four)]
+    assert tuples(table.history(spark), *SPAN) == sorted(expected, key=str)
+    assert tuples(spark.sql(table.query()), *SPAN) == sorted(expected, key=str)
+    assert len(table.runs(spark)) == 2
 
 
 def test_an_unfinished_run_is_ignored(spark, tmp_path):

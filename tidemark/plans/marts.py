@@ -23,7 +23,7 @@ from tidemark.plans.refresh import MACRO, PRICES, read_silver
 from tidemark.quality.checks import check_table
 from tidemark.schemas import PRICE_BAR_FIELDS
 from tidemark.session import materialized
-from tidemark.sources.snapshots import SnapshotTable
+from tidemark.sources.snapshots import SnapshotTable, time_of
 from tidemark.sources.tables import MONTHLY, PERIOD, YEARLY, Warehouse, with_period
 
 SUMMARY, SECTORS, MARKET = "daily_price_summary", "sector_performance", "macro_market_correlation"
@@ -86,13 +86,13 @@ def _changed_days(spark: SparkSession, warehouse: Warehouse, built: dict[str, st
 
 
 def _days_of_companies(spark: SparkSession, warehouse: Warehouse, snapshot: SnapshotTable, built: dict[str, str]) -> DataFrame | None:
-    """Days from the first snapshot run on that came after the one the mart was built from."""
+    """Days from the earliest snapshot run on that completed after the one the mart was built from."""
     runs, last = snapshot.runs(spark), built.get(COMPANY)
     if last not in runs:
         return None
-    later = [run for run in runs if run > last]
+    first = min((time_of(run)[:10] for run in runs if run > last), default=None)
     days = _facts(spark, warehouse).select("trade_date")
-    return days.filter(F.col("trade_date") >= F.lit(later[0][:10]).cast("date") if later else F.lit(False)).distinct()
+    return days.filter(F.col("trade_date") >= F.lit(first).cast("date") if first else F.lit(False)).distinct()
 
 
 def _days_of_macro(spark: SparkSession, warehouse: Warehouse, built: dict[str, str]) -> DataFrame | None:

@@ -436,6 +436,7 @@ SQL: dict[str, str] = {
     "market_daily": _query(_DAILY_COLUMNS, "daily", *_SUMMARY, DAILY),
     "scd2_snapshot": _query(_SNAPSHOT_COLUMNS, "snapshot", COMPANY),
     "scd2_merge": _query(_COMPANY_COLUMNS, "company", COMPANY),
+    "scd2_late_runs": _query(_COMPANY_COLUMNS, "company", COMPANY),
     "top_recent_prices": _query(
         [
             "ticker", *_date("trade_date"), *_exact("close_price"), "ma_7d", "daily_return_pct",

@@ -193,6 +193,15 @@ def scd2_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return silver.dim_company(table.history(spark))
 
 
+def scd2_late_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The same runs in another order: the last year first, then the others backwards by turns."""
+    table = company_snapshot(Warehouse(scratch(spark)))
+    years = sorted(feeds.SNAPSHOT_YEARS, reverse=True)
+    for year in years[::2] + years[1::2]:
+        table.run(feeds.company_seed(spark, sf_dir, F.lit(year)), datetime(year, 1, 1))
+    return silver.dim_company(table.history(spark))
+
+
 def envelopes(spark: SparkSession, sf_dir: str) -> DataFrame:
     parts = [
         with_envelope_error(responses, feed).select(
@@ -498,6 +507,7 @@ QUERIES: dict[str, Query] = {
     "market_daily": lambda s, d: market_daily(summary(s, d)),
     "scd2_snapshot": snapshot,
     "scd2_merge": scd2_runs,
+    "scd2_late_runs": scd2_late_runs,
     "top_recent_prices": lambda s, d: consumer.top_recent_prices(summary(s, d)),
     "ticker_history": lambda s, d: consumer.ticker_history(summary(s, d), HISTORY_TICKER),
     "sector_ranking": lambda s, d: consumer.sector_ranking(sectors(s, d)),
