@@ -140,6 +140,10 @@ def test_suffix_dedup(spark, monkeypatch, crowd, chunk):
     expected = brute_repeats({i: (t or "").encode() for i, t in enumerate(texts)}, 400)
     rows = suffix_dedup.suffix_dedup(docs).collect()
     assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in rows} == expected
+    both = suffix_dedup.suffix_dedup(docs, shorter=90).collect()
+    assert {r.doc_id: (r.n_bytes, r.n_removed, r.n_spans, r.kept_sha256) for r in both} == expected
+    shorter = brute_repeats({i: (t or "").encode() for i, t in enumerate(texts)}, 90)
+    assert {r.doc_id: r.n_repeated for r in both} == {doc_id: own[1] for doc_id, own in shorter.items()}
     kept = suffix_dedup.drop_repeats(docs)
     assert kept.columns == docs.columns
     for r in kept.collect():

@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from .common import documents, ship, stored
 
 LENGTH = 400  # bytes
+SHORTER = 250  # bytes of repeated strings that are reported too: 50 words of four letters and a space
 GRAM = 64  # bytes of an anchor
 CROWD = 2000  # spans of a gram that one task sorts
 CHUNK = 1 << 20  # bytes hashed together, and rows x 50 sorted together
@@ -374,40 +375,60 @@ def _without(text: bytes, ranges: list[tuple[int, int]]) -> bytes:
     return b"".join([*kept, text[at:]])
 
 
-def _report(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    unpacker = zstandard.ZstdDecompressor()
-    for batch in batches:
-        rows = []
-        for doc_id, packed, ranges in zip(*(batch[c].to_pylist() for c in ("doc_id", "text", "ranges"))):
-            text, merged = unpacker.decompress(packed), _merge(ranges or [])
-            kept = _without(text, merged)
-            rows.append((doc_id, len(text), len(text) - len(kept), len(merged), hashlib.sha256(kept).hexdigest()))
-        types = [pa.int64()] * 4 + [pa.string()]
-        columns = zip(*rows) if rows else [[]] * 5
-        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256"])
+_REPORT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string"
+
+
+def _report(shorter: bool) -> Callable:
+    """The counts of each text; with ``shorter`` ranges, how many bytes those cover too."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        unpacker = zstandard.ZstdDecompressor()
+        for batch in batches:
+            columns: list[list] = [[] for _ in range(5 + shorter)]
+            for doc_id, packed, *found in zip(*(column.to_pylist() for column in batch.columns)):
+                text, merged = unpacker.decompress(packed), [_merge(ranges or []) for ranges in found]
+                kept = _without(text, merged[0])
+                row = [doc_id, len(text), len(text) - len(kept), len(merged[0]), hashlib.sha256(kept).hexdigest()]
+                row += [sum(last - first for first, last in ranges) for ranges in merged[1:]]
+                for column, value in zip(columns, row):
+                    column.append(value)
+            types = [*[pa.int64()] * 4, pa.string(), pa.int64()]
+            names = ["doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256", "n_repeated"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(columns, types)], names=names[: len(columns)])
+
+    return run
 
 
-def suffix_dedup(docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def suffix_dedup(
+    docs: DataFrame, length: int = LENGTH, id_col: str = "doc_id", text_col: str = "text", shorter: int | None = None
+) -> DataFrame:
     """One row per input row: (doc_id, n_bytes, n_removed, n_spans, kept_sha256).
 
     Removed is every byte in a string of ``length`` bytes that starts at another place too, in the
     same document or any other. Strings are judged on the texts as they came. A null text is empty;
     texts shorter than ``length`` stay whole. Equal texts, whatever their doc_ids, are each other's
-    repeats, so rows that repeat a longer text go whole. An empty table gives no rows.
-    A ``length`` below that of an anchor, GRAM bytes, is refused with a ValueError.
+    repeats, so rows that repeat a longer text go whole. An empty table gives no rows. Very long texts
+    are read whole; columns besides the two named are not read.
+    ``shorter`` adds n_repeated, the bytes in repeated strings of that many bytes, which stay: it tells
+    documents that share passages too short to be removed.
+    A length below that of an anchor, GRAM bytes, is refused with a ValueError.
     """
     ship(docs.sparkSession)
     keyed = _texts(docs, text_col, docs[id_col].cast("long").alias("doc_id"))
     packed = keyed.mapInArrow(_pack, "doc_id long, k1 long, k2 long, text binary")
+    covered = _covered(docs, text_col, length)
+    if shorter:
+        more = _covered(docs, text_col, shorter).withColumnRenamed("ranges", "shorter")
+        covered = covered.join(more, ["k1", "k2"], "full_outer")
     return (
-        packed.join(_covered(docs, text_col, length), ["k1", "k2"], "left")
-        .select("doc_id", "text", "ranges")
-        .mapInArrow(_report, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
+        packed.join(covered, ["k1", "k2"], "left")
+        .drop("k1", "k2")
+        .mapInArrow(_report(bool(shorter)), _REPORT + (", n_repeated long" if shorter else ""))
     )
 
 
 def op10_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return suffix_dedup(documents(spark, sf_dir))
+    return suffix_dedup(documents(spark, sf_dir), shorter=SHORTER)
 
 
 def _rewrite(text_col: str) -> Callable:
