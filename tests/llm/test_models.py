@@ -106,6 +106,20 @@ def test_scores_are_absolute_discounting(spark, words):
     assert len(rows) == len(texts) and sum(close) > 0.95 * len(rows)
 
 
+def test_scores_are_finite_where_unseen_words_are_false_members(spark, words):
+    """With filters this narrow many unseen words read as seen, without any successor."""
+    rng = random.Random(31)
+    texts = {i: prose(rng, 40, words) for i in range(300)}
+    for i in texts:
+        if lm_scoring.held_out(i):
+            texts[i] = " ".join(f"unseen{rng.randrange(10**6)}" for _ in range(40))
+    docs = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
+    rows = lm_scoring.lm_scores(docs, key_bits=6).collect()
+    assert len(rows) == len(texts) and all(math.isfinite(r.score) for r in rows)
+    held = [r for r in rows if r.held_out]
+    assert held and all(r.score > r.base_score - 0.2 * r.n_tokens for r in held)
+
+
 def test_broadcast_filters_and_segments_in_place_give_the_same_scores(spark, words, monkeypatch):
     rng = random.Random(22)
     texts = [None, "", "only once", *(prose(rng, 40, words) for _ in range(150)), "x y z " * 40_000]

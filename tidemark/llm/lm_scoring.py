@@ -245,9 +245,11 @@ class _Chunk:
         count = count_of(word)
         p = ((count + 1) / total)[self.codes]
         history = np.maximum(count, 1)
-        rest = np.where(count > 0, np.minimum(discount * count_of(successors) / history, 1.0), 1.0)
+        # a training word has a successor, its text's end at least: one without any is a false member
+        known = (word > 0) & (successors > 0)
+        rest = np.where(known, np.minimum(discount * count_of(successors) / history, 1.0), 1.0)
         seen = np.maximum(count_of(pair[self.place]) - discount, 0)
-        seen = np.where(count[self.first] > 0, seen / history[self.first], 0)
+        seen = np.where(known[self.first], seen / history[self.first], 0)
         p[self.second] = np.minimum(seen + rest[self.first] * p[self.second], 1.0)
         return np.add.reduceat(np.log10(p), self.starts)
 
