@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from datetime import datetime
 
 import pyarrow.parquet as pq
@@ -226,3 +227,13 @@ def test_pit_join_splits_a_hot_ticker_when_nothing_is_broadcast(spark):
     finally:
         for key, value in before.items():
             spark.conf.set(key, value)
+
+
+@pytest.mark.parametrize(
+    "name", ["sector_performance", "sector_by_day", "sector_ranking", "market_daily", "macro_market_correlation", "market_by_day"]
+)
+def test_daily_marts_over_unique_rows_group_by_day_only(spark, name):
+    """A distinct count would keep every row of a task in a hash table by (day, ticker)."""
+    plan = plan_of(entry.queries()[name](spark, SF))
+    assert re.search(r"Aggregate\(keys=\[trade_date", plan)
+    assert not re.search(r"Aggregate\(keys=\[[^\]]*ticker", plan)

@@ -31,7 +31,7 @@ def _tickers(unique: bool) -> Column:
 def market_daily(summary: DataFrame, unique: bool = False) -> DataFrame:
     """One row per trade date over all tickers; NULL returns do not count.
 
-    ``unique``: the caller has tested that (ticker, trade_date) is unique.
+    ``unique``: the caller knows that (ticker, trade_date) is unique, by a test or by how it was made.
     """
     return summary.groupBy("trade_date").agg(
         F.avg("daily_return_pct").alias("market_avg_return"),

@@ -35,7 +35,7 @@ def sector_performance(
 ) -> DataFrame:
     """Daily aggregates per sector, by the sector each company had on that day.
 
-    ``unique``: (ticker, trade_date) has been tested to be unique in ``summary``. ``by_ticker``:
+    ``unique``: (ticker, trade_date) is unique in ``summary``, by a test or by how it was made. ``by_ticker``:
     its rows are still partitioned and sorted by ticker, as the rolling window leaves them; a merge
     join then shuffles the dimension only. Rows read back from storage are not.
     """

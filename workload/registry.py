@@ -107,12 +107,16 @@ def summary(spark: SparkSession, sf_dir: str) -> DataFrame:
     return gold.daily_price_summary(prices(spark, sf_dir))
 
 
+# The summary has one row per (ticker, trade_date), as deduplication leaves the prices, and versions of
+# a company do not overlap: no ticker is counted twice on a day, so the daily marts need no distinct count.
+
+
 def sectors(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.sector_performance(summary(spark, sf_dir), company(spark, sf_dir))
+    return gold.sector_performance(summary(spark, sf_dir), company(spark, sf_dir), unique=True)
 
 
 def market(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return gold.macro_market_correlation(summary(spark, sf_dir), indicators(spark, sf_dir))
+    return gold.macro_market_correlation(summary(spark, sf_dir), indicators(spark, sf_dir), unique=True)
 
 
 # --- single operators --------------------------------------------------------------------------
@@ -370,8 +374,8 @@ def all_tests(spark: SparkSession, sf_dir: str) -> DataFrame:
         "stg_stock_prices": stocks,
         "stg_macro_indicators": macro,
         "daily_price_summary": daily,
-        "sector_performance": gold.sector_performance(daily, company(spark, sf_dir)),
-        "macro_market_correlation": gold.macro_market_correlation(daily, macro),
+        "sector_performance": gold.sector_performance(daily, company(spark, sf_dir), unique=True, by_ticker=False),
+        "macro_market_correlation": gold.macro_market_correlation(daily, macro, unique=True),
     }
     tests = [test for name, df in tables.items() for test in checks.column_tests(df, name)]
     return reduce(DataFrame.unionByName, tests)
@@ -504,7 +508,7 @@ QUERIES: dict[str, Query] = {
     "pit_join": pit,
     "asof_join": asof,
     "macro_pivot": lambda s, d: pivot_series(indicators(s, d)),
-    "market_daily": lambda s, d: market_daily(summary(s, d)),
+    "market_daily": lambda s, d: market_daily(summary(s, d), unique=True),
     "scd2_snapshot": snapshot,
     "scd2_merge": scd2_runs,
     "scd2_late_runs": scd2_late_runs,
