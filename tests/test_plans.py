@@ -20,7 +20,7 @@ from tidemark.sources.samples import sample_macro, sample_prices
 from tidemark.sources.tables import laid_out
 
 import __spark_entry__ as entry
-from workload import registry
+from workload import feeds, registry
 
 SF = "/root/testdata/sf0.001"
 
@@ -237,3 +237,17 @@ def test_daily_marts_over_unique_rows_group_by_day_only(spark, name):
     plan = plan_of(entry.queries()[name](spark, SF))
     assert re.search(r"Aggregate\(keys=\[trade_date", plan)
     assert not re.search(r"Aggregate\(keys=\[[^\]]*ticker", plan)
+
+
+@pytest.mark.parametrize("feed", [PRICES_FEED, MACRO_FEED])
+def test_landing_by_day_neither_shuffles_nor_sorts_payloads(spark, tmp_path, feed):
+    make = feeds.price_responses if feed is PRICES_FEED else feeds.macro_responses
+    rows = make(spark, SF, by_day=True)
+    plan = plan_of(rows)
+    assert "Exchange" not in plan and plan.index("raw_payload") < plan.index("Sort [ingest_date")  # printed from the top
+    append_bronze(rows, str(tmp_path), feed, by_day=True)
+    landed = read_bronze(spark, str(tmp_path), feed)
+    assert tuples(landed, *landed.columns) == tuples(make(spark, SF), *landed.columns)
+    assert landed.select(F.input_file_name()).distinct().count() <= 28 * rows.rdd.getNumPartitions()
+    codecs = {pq.ParquetFile(p).metadata.row_group(0).column(0).compression for p in tmp_path.rglob("*.parquet")}
+    assert codecs == {"ZSTD"}

@@ -6,7 +6,7 @@ import tempfile
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
 # Settings that change results, so they are applied to any session we are handed.
 SEMANTICS = {
@@ -60,8 +60,13 @@ def shared_dir(spark: SparkSession) -> str:
     return context.getCheckpointDir()
 
 
+def compact(writer: DataFrameWriter) -> DataFrameWriter:
+    """Files that take less disk than the session's default codec would leave them."""
+    return writer.option("compression", "zstd")
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Evaluate once: write to the shared folder and read back. Survives the loss of executors."""
     path = f"{shared_dir(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    compact(df.write).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 from tidemark.functions.payload import first_text, has_key, payload_text
 from tidemark.schemas import UNKNOWN_ERROR, Feed
+from tidemark.session import compact
 from tidemark.sources.files import children, exists, read_text, write_text
 
 # How a partition date is spelled in a file path, how a rejection begins.
@@ -76,15 +77,18 @@ def bronze_rows(responses: DataFrame, feed: Feed, ingested_at: datetime) -> Data
     return stamped.select(*feed.columns, F.lit(moment.date()).alias("ingest_date"))
 
 
-def append_bronze(rows: DataFrame, bronze: str, feed: Feed) -> None:
+def append_bronze(rows: DataFrame, bronze: str, feed: Feed, by_day: bool = False) -> None:
     """Append rows to the feed's table, partitioned by ingestion date.
 
     The rebalance hint sizes the files: AQE merges small partitions and splits a day that is
     large, so neither a thousand tiny files nor one huge one is written per day.
+
+    ``by_day``: every partition of ``rows`` is large and sorted by ingestion date already, before its
+    payloads were rendered. It is written where it is, one file per partition and day: text, several
+    times as large as what it was rendered from, is neither sorted nor shuffled.
     """
-    rows.hint("rebalance", F.col("ingest_date")).write.mode("append").partitionBy(
-        "ingest_date"
-    ).parquet(f"{bronze}/{feed.table}")
+    placed = rows if by_day else rows.hint("rebalance", F.col("ingest_date"))
+    compact(placed.write).mode("append").partitionBy("ingest_date").parquet(f"{bronze}/{feed.table}")
 
 
 def _digest() -> Column:
@@ -240,7 +244,7 @@ def read_any_bronze(spark: SparkSession, bronze: str, feed: Feed, root: str) ->
             if not _is_text(batch[0][0]):
                 note["folder"] = f"batch-{uuid.uuid4().hex}"
                 converted = read_files(spark, table, feed, batch).hint("rebalance", F.col("ingest_date"))
-                converted.write.partitionBy("ingest_date").parquet(f"{target}/{note['folder']}")
+                compact(converted.write).partitionBy("ingest_date").parquet(f"{target}/{note['folder']}")
             write_text(spark, f"{target}/noted/{uuid.uuid4().hex}.json", json.dumps(note))
             noted.append(note)
     folders = [note["folder"] for note in noted if note["folder"]]

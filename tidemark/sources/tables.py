@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.session import compact
 from tidemark.sources.files import children, exists, read_text, remove, unmark, write_text
 
 # Which layer a table belongs to, and what consumers call the layers in SQL.
@@ -171,7 +172,7 @@ class Warehouse:
         names = self.versions(spark, table)
         name = f"r{int(names[-1][1:]) + 1 if names else 0:08d}"
         # whatever the session is set to; the folder holds at most what a writer left that died
-        writer = laid_out(df, partition_by, sort_by).write.mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = compact(laid_out(df, partition_by, sort_by).write).mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
         writer.parquet(f"{path}/v={name}")

@@ -41,19 +41,30 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def _pull_day(order_key: str) -> Column:
+    return F.date_add(F.lit(FIRST_PULL).cast("date"), F.pmod(F.col(order_key), PULL_DAYS).cast("int"))
+
+
 def _pulled_at(order_key: str, hour: Column) -> Column:
     """ISO text: the pull day follows from the order key, the hour is given."""
-    day = F.date_add(F.lit(FIRST_PULL).cast("date"), F.pmod(F.col(order_key), PULL_DAYS).cast("int"))
+    day = _pull_day(order_key)
     return F.concat(day.cast("string"), F.lit("T"), F.lpad(hour.cast("string"), 2, "0"), F.lit(":00:00"))
 
 
 def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The daily bars behind the price responses, as plain columns."""
+    return _dated_quotes(spark, sf_dir, by_day=False).drop("ingest_date")
+
+
+def _dated_quotes(spark: SparkSession, sf_dir: str, by_day: bool) -> DataFrame:
+    """Quotes with the day they are pulled on; ``by_day``: sorted by it, in each partition, while they are narrow."""
     close = F.col("l_extendedprice").cast(PRICE)
     spread = F.col("l_quantity").cast(PRICE)
     lines = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate"
-    )
+        "l_orderkey", "l_suppkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_shipdate",
+        _pull_day("l_orderkey").alias("ingest_date"),
+    )
+    lines = lines.sortWithinPartitions("ingest_date") if by_day else lines
     return lines.select(
         F.concat(F.lit("S"), F.col("l_suppkey")).alias("ticker"),
         F.col("l_shipdate").cast("date").alias("trade_date"),
@@ -63,11 +74,12 @@ def quotes(spark: SparkSession, sf_dir: str) -> DataFrame:
         close.alias("close_price"),
         F.col("l_quantity").cast("bigint").alias("volume"),
         _pulled_at("l_orderkey", F.col("l_linenumber")).alias("ingested_at"),
+        "ingest_date",
     )
 
 
-def price_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``daily_prices_raw``: one JSON response per line item."""
+def price_responses(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
+    """``daily_prices_raw``: one JSON response per line item; ``by_day`` as ``append_bronze`` takes them."""
     bar = F.struct(
         *[F.col(name).cast("string").alias(field) for name, field in PRICE_BAR_FIELDS.items()]
     )
@@ -77,18 +89,18 @@ def price_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
         ).alias("Meta Data"),
         F.create_map(F.col("trade_date").cast("string"), bar).alias(PRICE_SERIES_KEY),
     )
-    return quotes(spark, sf_dir).select(
+    return _dated_quotes(spark, sf_dir, by_day).select(
         "ticker",
         F.to_json(payload).alias("raw_payload"),
         "ingested_at",
         F.lit(PRICES_FEED.source).alias("source"),
         F.lit(PRICES_FEED.api_function).alias("api_function"),
-        F.to_date(F.substring("ingested_at", 1, 10)).alias("ingest_date"),
+        "ingest_date",
     )
 
 
-def macro_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``fred_series_raw``: each response reports its month and restates the month before.
+def macro_responses(spark: SparkSession, sf_dir: str, by_day: bool = False) -> DataFrame:
+    """``fred_series_raw``: each response reports its month and restates the month before; ``by_day`` as for prices.
 
     GDP is quarterly and dated in the middle of the quarter's first month, so on those dates it is
     the only series. Orders without a priority report a missing value, every seventh of them one that is no number.
@@ -96,8 +108,10 @@ def macro_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     orders = (
         table(spark, sf_dir, "orders")
         .select("o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority")
-        .withColumn("ordered", F.col("o_orderdate").cast("date"))
+        .withColumn("ingest_date", _pull_day("o_orderkey"))
     )
+    orders = orders.sortWithinPartitions("ingest_date") if by_day else orders
+    orders = orders.withColumn("ordered", F.col("o_orderdate").cast("date"))
     series = F.create_map(*[F.lit(x) for pair in MACRO_SERIES.items() for x in pair])
     start = F.trunc("ordered", "month")
     quarterly = F.col("o_orderpriority") == "5-LOW"
@@ -116,14 +130,12 @@ def macro_responses(spark: SparkSession, sf_dir: str) -> DataFrame:
     ]
     payload = F.struct(F.array(*observation).alias(OBSERVATIONS_KEY))
     ingested_at = _pulled_at("o_orderkey", F.pmod(F.col("o_custkey"), F.lit(24)))
-    return (
-        orders.select(
-            series[F.col("o_orderpriority")].alias("series_id"),
-            F.to_json(payload).alias("raw_payload"),
-            ingested_at.alias("ingested_at"),
-            F.lit(MACRO_FEED.source).alias("source"),
-        )
-        .withColumn("ingest_date", F.to_date(F.substring("ingested_at", 1, 10)))
+    return orders.select(
+        series[F.col("o_orderpriority")].alias("series_id"),
+        F.to_json(payload).alias("raw_payload"),
+        ingested_at.alias("ingested_at"),
+        F.lit(MACRO_FEED.source).alias("source"),
+        "ingest_date",
     )
 
 

@@ -293,7 +293,7 @@ def macro_landing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def landed_prices(spark: SparkSession, sf_dir: str) -> str:
     bronze = scratch(spark)
-    append_bronze(feeds.price_responses(spark, sf_dir), bronze, PRICES_FEED)
+    append_bronze(feeds.price_responses(spark, sf_dir, by_day=True), bronze, PRICES_FEED, by_day=True)
     return bronze
 
 
@@ -343,7 +343,7 @@ def struct_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def stream_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
     bronze, warehouse = scratch(spark), Warehouse(scratch(spark))
-    append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
+    append_bronze(feeds.macro_responses(spark, sf_dir, by_day=True), bronze, MACRO_FEED, by_day=True)
     stream_silver(spark, bronze, MACRO, warehouse, scratch(spark)).awaitTermination()
     return read_silver(spark, MACRO, warehouse)
 
@@ -351,7 +351,7 @@ def stream_macro(spark: SparkSession, sf_dir: str) -> DataFrame:
 def stream_batches(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The macro stream in several micro-batches, which must not show in the result."""
     bronze, warehouse = scratch(spark), Warehouse(scratch(spark))
-    append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
+    append_bronze(feeds.macro_responses(spark, sf_dir, by_day=True), bronze, MACRO_FEED, by_day=True)
     stream = stream_silver(spark, bronze, MACRO, warehouse, scratch(spark), max_files_per_trigger=10)
     stream.awaitTermination()
     return read_silver(spark, MACRO, warehouse)
@@ -461,8 +461,8 @@ def mart_values(tables: dict[str, DataFrame]) -> DataFrame:
 def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Marts built over the later pulls, then refreshed by the earlier ones, must equal a full build."""
     bronze, warehouse = scratch(spark), Warehouse(scratch(spark))
-    append_bronze(feeds.price_responses(spark, sf_dir), bronze, PRICES_FEED)
-    append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
+    append_bronze(feeds.price_responses(spark, sf_dir, by_day=True), bronze, PRICES_FEED, by_day=True)
+    append_bronze(feeds.macro_responses(spark, sf_dir, by_day=True), bronze, MACRO_FEED, by_day=True)
     snapshot = company_snapshot(warehouse)
     snapshot.run(feeds.company_seed(spark, sf_dir, F.lit(feeds.SNAPSHOT_YEARS.start)), datetime(1998, 1, 1))
     company = silver.dim_company(snapshot.history(spark))
@@ -477,8 +477,8 @@ def incremental_gold(spark: SparkSession, sf_dir: str) -> DataFrame:
 def medallion_build(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The whole build, stored layer by layer: values of the three marts, rows of every table."""
     bronze = scratch(spark)
-    append_bronze(feeds.price_responses(spark, sf_dir), bronze, PRICES_FEED)
-    append_bronze(feeds.macro_responses(spark, sf_dir), bronze, MACRO_FEED)
+    append_bronze(feeds.price_responses(spark, sf_dir, by_day=True), bronze, PRICES_FEED, by_day=True)
+    append_bronze(feeds.macro_responses(spark, sf_dir, by_day=True), bronze, MACRO_FEED, by_day=True)
     seed = feeds.company_seed(spark, sf_dir, F.lit(feeds.SNAPSHOT_YEARS.start))
     config = Config(bronze=bronze, warehouse=scratch(spark))
     tables = build(spark, config, run_at=datetime(1998, 1, 1), seed=seed)
