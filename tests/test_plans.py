@@ -11,13 +11,14 @@ from helpers import at, day, plan_of, tuples
 from pyspark.sql import functions as F
 
 from tidemark.operators.dedup import latest_by
+from tidemark.operators.frames import row_frames
 from tidemark.operators.temporal import asof_join, pit_join
 from tidemark.plans.gold import daily_price_summary, sector_performance
 from tidemark.plans.silver import stg_macro_indicators, stg_stock_prices
 from tidemark.schemas import MACRO_FEED, PRICE, PRICES_FEED, STOCK_PRICES
 from tidemark.sources.bronze import append_bronze, read_bronze
 from tidemark.sources.samples import sample_macro, sample_prices
-from tidemark.sources.tables import laid_out
+from tidemark.sources.tables import MONTHLY, PERIOD, Warehouse, laid_out, with_period
 
 import __spark_entry__ as entry
 from workload import feeds, registry
@@ -251,3 +252,31 @@ def test_landing_by_day_neither_shuffles_nor_sorts_payloads(spark, tmp_path, fee
     assert landed.select(F.input_file_name()).distinct().count() <= 28 * rows.rdd.getNumPartitions()
     codecs = {pq.ParquetFile(p).metadata.row_group(0).column(0).compression for p in tmp_path.rglob("*.parquet")}
     assert codecs == {"ZSTD"}
+
+
+def test_frames_and_metrics_over_them_shuffle_rows_by_key_only(spark, stored_prices):
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        frames = row_frames(stored_prices, stored_prices.select("ticker", "trade_date"), "ticker", "trade_date", 29)
+        plan = plan_of(daily_price_summary(frames, ["dependent"]))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    assert plan.count("SortMergeJoin") == 1  # the semi join that finds the keys
+    assert not re.search(r"Exchange hashpartitioning\([^)]*trade_date", plan)
+
+
+def test_changed_days_are_found_without_shuffling_rows(spark, tmp_path):
+    warehouse = Warehouse(str(tmp_path))
+
+    def put(rows):
+        made = spark.createDataFrame(rows, "ticker string, trade_date date, volume long")
+        warehouse.replace(with_period(made, "trade_date", MONTHLY), "daily_price_summary", [PERIOD])
+
+    first, second, third = (day(f"2026-01-{n:02}") for n in (5, 6, 7))
+    put([("A", first, 1), ("B", first, 2), ("A", second, 3), ("A", third, 4), ("C", None, 1)])
+    put([("B", first, 2), ("A", first, 1), ("A", second, 4), ("B", third, 4), ("C", None, 2), ("A", day("2026-02-01"), 1)])
+    found = warehouse.changed_groups(spark, "daily_price_summary", "r00000000", "trade_date", ["ticker", "volume"])
+    assert tuples(found, "trade_date") == [(None,), (second,), (third,), (day("2026-02-01"),)]
+    assert "Aggregate(keys=[trade_date" in plan_of(found) and "ticker" not in plan_of(found).partition("Exchange")[0]
+    assert warehouse.changed_groups(spark, "daily_price_summary", "r00000009", "trade_date", ["volume"]) is None

@@ -31,14 +31,15 @@ def upsert_latest(
     that dies leaves no trace that a later merge or rebuild could meet.
     """
     spark = updates.sparkSession
-    fresh = materialized(with_period(latest_by(updates, keys, recency, tie_break), date, period))
+    fresh = with_period(latest_by(updates, keys, recency, tie_break), date, period)
+    if warehouse.version(spark, table) is None:
+        warehouse.replace_periods(fresh, table, [], sort_by=keys, audit=audit)
+        return
+    fresh = materialized(fresh)
     # At most twelve values per calendar year.
     touched = {row[0] for row in fresh.select(PERIOD).distinct().collect()}
-    if warehouse.version(spark, table) is None:
-        merged = fresh
-    elif touched:
-        stored = warehouse.read(spark, table, touched)
-        merged = latest_by(stored.unionByName(fresh), keys, recency, tie_break)
-    else:
+    if not touched:
         return
+    stored = warehouse.read(spark, table, touched)
+    merged = latest_by(stored.unionByName(fresh), keys, recency, tie_break)
     warehouse.replace_periods(merged, table, touched, sort_by=keys, audit=audit)

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -11,8 +13,8 @@ from tidemark.operators.rolling import rolling_metrics
 from tidemark.operators.temporal import asof_join, pit_join
 
 
-def daily_price_summary(prices: DataFrame) -> DataFrame:
-    """Prices with moving averages, volatility, change and return; one row per input row."""
+def daily_price_summary(prices: DataFrame, carried: Sequence[str] = ()) -> DataFrame:
+    """Prices with moving averages, volatility, change and return; one row per input row, which keeps ``carried``."""
     close, previous = F.col("close_price"), F.col("prev_close")
     return rolling_metrics(prices).select(
         "ticker",
@@ -27,6 +29,7 @@ def daily_price_summary(prices: DataFrame) -> DataFrame:
         "volatility_30d",
         (close - previous).alias("daily_change"),
         change_pct(close, previous).alias("daily_return_pct"),
+        *carried,
     )
 
 

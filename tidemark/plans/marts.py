@@ -72,17 +72,16 @@ def _summary(spark: SparkSession, warehouse: Warehouse, built: dict[str, str], s
     changed = materialized(changed)
     if not changed.filter("gone").isEmpty():
         return False
-    frames = materialized(row_frames(read_silver(spark, PRICES, warehouse), changed, *PRICES.keys, FRAME))
-    dependent = frames.filter("dependent").select(*PRICES.keys)
-    rows = gold.daily_price_summary(frames.drop("dependent")).join(dependent, PRICES.keys, "left_semi")
-    _put(spark, warehouse, SUMMARY, rows, dependent, PRICES.keys, sources)
+    frames = row_frames(read_silver(spark, PRICES, warehouse), changed, *PRICES.keys, FRAME)
+    # the metrics stay in the frames' partitions; what is written once more is what is stored anyway
+    rows = materialized(gold.daily_price_summary(frames, ["dependent"]).filter("dependent").drop("dependent"))
+    _put(spark, warehouse, SUMMARY, rows, rows, PRICES.keys, sources)
     return True
 
 
 def _changed_days(spark: SparkSession, warehouse: Warehouse, built: dict[str, str]) -> DataFrame | None:
     """Days of summary rows that are new, differ, or are gone."""
-    changed = warehouse.changed(spark, SUMMARY, built.get(SUMMARY), PRICES.keys, FACTS)
-    return None if changed is None else changed.select("trade_date").distinct()
+    return warehouse.changed_groups(spark, SUMMARY, built.get(SUMMARY), "trade_date", ["ticker", *FACTS])
 
 
 def _days_of_companies(spark: SparkSession, warehouse: Warehouse, snapshot: SnapshotTable, built: dict[str, str]) -> DataFrame | None:

@@ -212,18 +212,45 @@ class Warehouse:
         """Keys whose ``columns`` differ between version ``since`` and the newest one, and ``gone``,
         true for keys that are no more; None if that version is not kept. Only folders that one of
         the two versions lists are read, one row per key on both sides."""
+        sides = self._differing(spark, table, since)
+        if sides is None:
+            return None
+        value = F.struct(*columns)
+        old, new = (rows.select(*keys, value.alias(name)) for rows, name in zip(sides, ("_old", "_new")))
+        joined = old.join(new, list(keys), "full_outer")
+        return joined.filter(~F.col("_old").eqNullSafe(F.col("_new"))).select(*keys, F.col("_new").isNull().alias("gone"))
+
+    def changed_groups(
+        self, spark: SparkSession, table: str, since: str | None, group: str, columns: Sequence[str]
+    ) -> DataFrame | None:
+        """Values of ``group`` whose rows, as far as ``columns`` go, are not the same in version ``since``
+        and the newest one; None if that version is not kept. Groups are compared by their number of rows
+        and two sums of 64-bit hashes under different seeds, which combine before the shuffle: one row per
+        group and task is shuffled, none of the table."""
+        sides = self._differing(spark, table, since)
+        if sides is None:
+            return None
+
+        sums = [F.sum(F.xxhash64(F.lit(seed), *columns).cast("decimal(20,0)")) for seed in (1, 2)]
+        digest = F.struct(F.count(F.lit(1)).alias("n"), *[s.alias(f"s{i}") for i, s in enumerate(sums)])
+        old, new = (
+            rows.groupBy(F.col(group).alias(f"{name}_group")).agg(digest.alias(name)) for rows, name in zip(sides, ("_old", "_new"))
+        )
+        joined = old.join(new, F.col("_old_group").eqNullSafe(F.col("_new_group")), "full_outer")
+        differing = joined.filter(~F.col("_old").eqNullSafe(F.col("_new")))
+        return differing.select(F.coalesce("_old_group", "_new_group").alias(group))
+
+    def _differing(self, spark: SparkSession, table: str, since: str | None) -> tuple[DataFrame, DataFrame] | None:
+        """Rows of the folders that only version ``since`` lists, and of those that only the newest one lists."""
         before = self.version(spark, table, since) if since else None
         after = self.version(spark, table)
         if before is None or after is None:
             return None
-        value = F.struct(*columns)
         old, new = (
             self._rows(spark, table, own.schema, [f for f in own.folders if f not in other.folders])
-            .select(*keys, value.alias(name))
-            for own, other, name in ((before, after, "_old"), (after, before, "_new"))
+            for own, other in ((before, after), (after, before))
         )
-        joined = old.join(new, list(keys), "full_outer")
-        return joined.filter(~F.col("_old").eqNullSafe(F.col("_new"))).select(*keys, F.col("_new").isNull().alias("gone"))
+        return old, new
 
 
 def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
