@@ -6,13 +6,16 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
-from tidemark.llm import lm_scoring, toxicity
+from tidemark.llm import common, lm_scoring, toxicity
 
 SCHEMA = "doc_id long, text string, word string, score string"
 
@@ -142,6 +145,51 @@ def test_keys_survive_the_way_to_their_segment(segments):
     assert (np.concatenate(back) == keys).all()
 
 
+def test_numbers_survive_packing():
+    rng = np.random.default_rng(9)
+    for x in (np.zeros(0, np.uint64), np.zeros(7, np.uint64), rng.integers(0, 2**63, 900).astype(np.uint64) * np.uint64(2)):
+        assert (lm_scoring._unpacked(lm_scoring._packed(x)) == x).all()
+        assert (lm_scoring._unpacked_in_order(lm_scoring._packed_in_order(np.sort(x))) == np.sort(x)).all()
+    keys = np.sort(rng.integers(0, 2**40, 12_000).astype(np.uint64))
+    assert len(lm_scoring._packed_in_order(keys)) < 0.8 * 5 * keys.size
+
+
+def test_keys_that_chunks_share_are_probed_once(monkeypatch):
+    keys = lm_scoring.trimmed(np.sort(np.random.default_rng(3).integers(0, 2**62, 500).astype(np.uint64)), 1)
+    own = lm_scoring.Filter.of((keys, np.arange(keys.size) % 9 + 1, 0))
+    rows = [{"chunk": None, "segment": 0, "kind": lm_scoring.WORDS, "keys": None, "bits": own.words.tobytes()}]
+    for chunk in range(4):
+        (dealt,) = lm_scoring._dealt(lm_scoring.WORDS, 1, keys, np.zeros(keys.size)).to_pylist()
+        rows.append({"chunk": chunk, "segment": 0, "kind": lm_scoring.WORDS, "keys": dealt["keys"], "bits": None})
+    kinds = {"chunk": pa.int64(), "segment": pa.int32(), "kind": pa.int32(), "keys": pa.binary(), "bits": pa.binary()}
+    asked, plain = [], lm_scoring.Filter.levels
+
+    def levels(self, keys, more=0):
+        asked.append(keys.size)
+        return plain(self, keys, more)
+
+    monkeypatch.setattr(lm_scoring.Filter, "levels", levels)
+    (found,) = lm_scoring._probe(1)(iter([pa.RecordBatch.from_pylist(rows, schema=pa.schema(list(kinds.items())))]))
+    assert asked == [keys.size, keys.size]  # words, and their successors
+    back = [lm_scoring._unpacked(r["levels"]) for r in found.to_pylist() if r["kind"] == lm_scoring.WORDS]
+    assert len(back) == 4 and all((x == plain(own, keys)).all() for x in back)
+
+
+def test_a_stored_table_leaves_no_shuffle_files(spark):
+    def files():
+        blocks = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {f for i in range(blocks.size()) if "shuffle_" in (f := blocks.apply(i).getName())}
+
+    before, setting = files(), spark.conf.get(common.CLEANUP, None)
+    rows = common.stored(spark.range(5000).repartition(7, "id").groupBy((F.col("id") % 10).alias("k")).count(), "no_files")
+    assert spark.conf.get(common.CLEANUP, None) == setting
+    for _ in range(100):  # executors remove them in their own time
+        if not (left := {f for f in files() - before if f.endswith(".data")}):
+            break
+        time.sleep(0.1)
+    assert not left and len(rows.collect()) == 10
+
+
 def test_long_words_are_not_collected(spark, monkeypatch):
     monkeypatch.setattr(lm_scoring, "HEAD_BYTES", 3)
     docs = spark.createDataFrame([(i, "abc abcdefgh abc longerword") for i in range(40)], "doc_id long, text string")

@@ -20,7 +20,9 @@ takes one above 1, it is 1.
 
 from __future__ import annotations
 
+import functools
 import math
+import struct
 import zlib
 from collections import Counter
 from collections.abc import Callable, Iterator
@@ -47,6 +49,7 @@ FIRST_BITS = 40  # of a first word's key, beside a pair
 KEPT_BITS = 40  # of a key, below those that name its segment: a segment holds far fewer keys than these tell apart
 
 U = np.uint64
+PACKED = struct.Struct("<BI")  # bytes of a number, numbers
 #: The least count of each level: rounded up, steps of small counts fall together.
 THRESHOLDS = np.unique(np.ceil(2 ** (np.arange(62 * STEPS) / STEPS) - 1e-6).astype(np.int64))
 
@@ -104,6 +107,20 @@ def trimmed(keys: np.ndarray, segments: int) -> np.ndarray:
     return keys >> _dropped(segments) << _dropped(segments)
 
 
+def _distinct(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(distinct keys in order, where one of each is, the place of every key among them)
+
+    np.unique() would sort stably, several times slower.
+    """
+    order = np.argsort(keys)
+    ordered = keys[order]
+    new = np.ones(keys.size, bool)
+    new[1:] = ordered[1:] != ordered[:-1]
+    place = np.empty(keys.size, np.int64)
+    place[order] = np.cumsum(new) - 1
+    return ordered[new], order[new], place
+
+
 class Filter:
     """A Bloom filter in segments; a member sets six bits of one 64-bit word of its segment."""
 
@@ -205,19 +222,29 @@ def _batch(kinds: dict[str, pa.DataType], size: int, **columns) -> pa.RecordBatc
 
 
 def _packed(x: np.ndarray) -> bytes:
-    """Whole numbers in as few bytes each as the largest needs, equal bytes side by side: they compress."""
+    """Whole numbers in as few bytes each as the largest needs, equal bytes side by side, compressed."""
     width = max(1, (int(x.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    planes = x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return PACKED.pack(width, x.size) + pa.Codec("zstd", 1).compress(planes, asbytes=True)
 
 
 def _unpacked(data: bytes) -> np.ndarray:
-    width = data[0]
-    planes = np.frombuffer(data, np.uint8, offset=1).reshape(width, -1)
-    x = np.zeros((planes.shape[1], 8), np.uint8)
-    x[:, :width] = planes.T
+    width, size = PACKED.unpack_from(data)
+    planes = pa.Codec("zstd").decompress(data[PACKED.size :], width * size, asbytes=True)
+    x = np.zeros((size, 8), np.uint8)
+    x[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, size).T
     return x.view("<u8").ravel()
 
 
+def _packed_in_order(x: np.ndarray) -> bytes:
+    """Numbers in order, by the steps between them, which take fewer bytes."""
+    return _packed(np.diff(x, prepend=U(0)))
+
+
+def _unpacked_in_order(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data), dtype=U)
+
+
 class _Chunk:
     """Texts as places among their distinct words, whose keys are in order."""
 
@@ -228,8 +255,7 @@ class _Chunk:
         inside[self.starts] = False  # a text's first word follows none
         self.second = np.flatnonzero(inside)
         self.first = codes[self.second - 1]
-        pairs = trimmed(pair_keys(keys[self.first], keys[codes[self.second]]), segments)
-        self.pairs, self.index, self.place = np.unique(pairs, return_index=True, return_inverse=True)
+        self.segments = segments
 
     @classmethod
     def of(cls, codes: np.ndarray, distinct: list[bytes], sizes: np.ndarray, segments: int) -> _Chunk:
@@ -239,6 +265,11 @@ class _Chunk:
         place[order] = np.arange(order.size)
         return cls(keys[order], sizes, place[codes], segments)
 
+    @functools.cached_property
+    def paired(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(distinct pairs in order, where one of each is, the place of every pair among them)"""
+        return _distinct(trimmed(pair_keys(self.keys[self.first], self.keys[self.codes[self.second]]), self.segments))
+
     def scores(self, word: np.ndarray, successors: np.ndarray, pair: np.ndarray, model: tuple[float, int]) -> np.ndarray:
         """Of each text, from the levels of its distinct words, of their successors, and of its pairs."""
         discount, total = model
@@ -248,7 +279,7 @@ class _Chunk:
         # a training word has a successor, its text's end at least: one without any is a false member
         known = (word > 0) & (successors > 0)
         rest = np.where(known, np.minimum(discount * count_of(successors) / history, 1.0), 1.0)
-        seen = np.maximum(count_of(pair[self.place]) - discount, 0)
+        seen = np.maximum(count_of(pair)[self.paired[2]] - discount, 0)
         seen = np.where(known[self.first], seen / history[self.first], 0)
         p[self.second] = np.minimum(seen + rest[self.first] * p[self.second], 1.0)
         return np.add.reduceat(np.log10(p), self.starts)
@@ -265,11 +296,11 @@ def _dealt(kind: int, segments: int, keys: np.ndarray, counts: np.ndarray, first
     cuts = np.searchsorted(segment_of(whole, segments), np.arange(segments + 1))
     some = np.flatnonzero(np.diff(cuts))
 
-    def cut(x: np.ndarray) -> list[bytes]:
-        return [_packed(x[cuts[i] : cuts[i + 1]]) for i in some]
+    def cut(x: np.ndarray, pack: Callable = _packed) -> list[bytes]:
+        return [pack(x[cuts[i] : cuts[i + 1]]) for i in some]
 
     short = keys if kind == TYPES else (keys & U((1 << _below(segments)) - 1)) >> _dropped(segments)
-    columns = {"segment": some, "kind": np.full(some.size, kind), "keys": cut(short), "counts": cut(counts.astype(np.int64))}
+    columns = {"segment": some, "kind": np.full(some.size, kind), "keys": cut(short, _packed_in_order), "counts": cut(counts.astype(np.int64))}
     if firsts is not None:
         columns["firsts"] = cut(firsts)
     return _batch(_DEALT_KINDS, some.size, **columns)
@@ -277,12 +308,12 @@ def _dealt(kind: int, segments: int, keys: np.ndarray, counts: np.ndarray, first
 
 def _keys(data: bytes, segment: int, segments: int) -> np.ndarray:
     """The keys that _dealt() packed for a segment."""
-    return U(segment << _below(segments)) | _unpacked(data) << _dropped(segments)
+    return U(segment << _below(segments)) | _unpacked_in_order(data) << _dropped(segments)
 
 
 def _merged(keys: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """(distinct keys in order, their summed counts, where each is first)"""
-    distinct, index, place = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+    distinct, index, place = _distinct(np.concatenate(keys))
     return distinct, np.bincount(place, np.concatenate(counts), distinct.size).astype(np.int64), index
 
 
@@ -319,11 +350,12 @@ def _deal_pairs(segments: int) -> Callable:
 
         for texts in _training(batches):
             chunk = _Chunk.of(*_coded(texts), segments)
-            if not chunk.pairs.size:
+            pairs, index, place = chunk.paired
+            if not pairs.size:
                 continue
-            keys.append(chunk.pairs)
-            counts.append(np.bincount(chunk.place))
-            firsts.append(chunk.keys[chunk.first[chunk.index]] >> U(64 - FIRST_BITS))
+            keys.append(pairs)
+            counts.append(np.bincount(place))
+            firsts.append(chunk.keys[chunk.first[index]] >> U(64 - FIRST_BITS))
             if sum(k.size for k in keys) > 8 * CHUNK:
                 yield flush()
                 keys, counts, firsts = [], [], []
@@ -378,7 +410,7 @@ def _build_words(segments: int, key_bits: int) -> Callable:
             for kind in (WORDS, TYPES):
                 own = [r for r in rows if r["kind"] == kind]
                 none = [np.zeros(0, U)]
-                keys = (_unpacked(r["keys"]) if kind == TYPES else _keys(r["keys"], segment, segments) for r in own)
+                keys = (_unpacked_in_order(r["keys"]) if kind == TYPES else _keys(r["keys"], segment, segments) for r in own)
                 parts.append(_merged([*none, *keys], [*none, *(_unpacked(r["counts"]) for r in own)]))
             (keys, counts, _), (firsts, types, _) = parts
             begin = keys >> U(64 - FIRST_BITS)
@@ -431,10 +463,11 @@ def _prepare(head_counts: Broadcast, filters: Broadcast | None, segments: int, m
                 chunk = _Chunk.of(codes, distinct, sizes, segments)
                 if filters:
                     words, pairs = filters.value
-                    found = words.levels(chunk.keys), words.levels(chunk.keys, SUCCESSORS), pairs.levels(chunk.pairs)
+                    found = words.levels(chunk.keys), words.levels(chunk.keys, SUCCESSORS), pairs.levels(chunk.paired[0])
                     own["score"] = chunk.scores(*found, model)
                 else:
-                    coded = {name: [_packed(getattr(chunk, name))] for name in ("keys", "sizes", "codes")}
+                    coded = {name: [_packed(getattr(chunk, name))] for name in ("sizes", "codes")}
+                    coded["keys"] = [_packed_in_order(chunk.keys >> _dropped(segments))]
                     yield _batch(_PREPARED_KINDS, 1, row=[row], **coded)
                 yield _batch(_PREPARED_KINDS, len(ids), **own)
                 yield _batch(_PREPARED_KINDS, both.size, row=rows[both // len(distinct)], word=names, times=times)
@@ -450,7 +483,8 @@ _FOUND = _ASKED + ", levels binary"
 
 
 def _chunk(row: dict, segments: int) -> _Chunk:
-    return _Chunk(_unpacked(row["keys"]), *(_unpacked(row[name]).astype(np.int64) for name in ("sizes", "codes")), segments)
+    keys = _unpacked_in_order(row["keys"]) << _dropped(segments)
+    return _Chunk(keys, *(_unpacked(row[name]).astype(np.int64) for name in ("sizes", "codes")), segments)
 
 
 def _ask(segments: int) -> Callable:
@@ -460,7 +494,7 @@ def _ask(segments: int) -> Callable:
         for batch in batches:
             for row in batch.to_pylist():
                 chunk = _chunk(row, segments)
-                for kind, keys in ((WORDS, chunk.keys), (PAIRS, chunk.pairs)):
+                for kind, keys in ((WORDS, chunk.keys), (PAIRS, chunk.paired[0])):
                     dealt = _dealt(kind, segments, keys, np.zeros(keys.size))
                     own = {name: dealt[name] for name in ("segment", "kind", "keys")}
                     yield _batch(_ASKED_KINDS, dealt.num_rows, chunk=[row["row"]] * dealt.num_rows, **own)
@@ -475,17 +509,19 @@ def _probe(segments: int) -> Callable:
         for segment, rows in _groups(batches, "segment"):
             own = {r["kind"]: Filter([np.frombuffer(r["bits"], U)]) for r in rows if r["chunk"] is None}
             chunks, kinds, back = [], [], []
-            for kind, more in ((WORDS, 0), (TYPES, SUCCESSORS), (PAIRS, 0)):
-                base = PAIRS if kind == PAIRS else WORDS
+            for base, wanted in ((WORDS, ((WORDS, 0), (TYPES, SUCCESSORS))), (PAIRS, ((PAIRS, 0),))):
                 asked = [r for r in rows if r["chunk"] is not None and r["kind"] == base]
                 if not asked:
                     continue
                 keys = [_keys(r["keys"], segment, segments) for r in asked]
-                found = own.get(base, Filter([np.zeros(1, U)])).levels(np.concatenate(keys), more).astype(np.uint8)
                 cuts = np.cumsum([0, *(k.size for k in keys)])
-                chunks += [r["chunk"] for r in asked]
-                kinds += [kind] * len(asked)
-                back += [found[a:b].tobytes() for a, b in zip(cuts, cuts[1:])]
+                # what chunks share is probed once: the most frequent keys have the most levels
+                distinct, _, place = _distinct(np.concatenate(keys))
+                for kind, more in wanted:
+                    found = own.get(base, Filter([np.zeros(1, U)])).levels(distinct, more)[place]
+                    chunks += [r["chunk"] for r in asked]
+                    kinds += [kind] * len(asked)
+                    back += [_packed(found[a:b]) for a, b in zip(cuts, cuts[1:])]
             yield _batch(_FOUND_KINDS, len(chunks), chunk=chunks, segment=[segment] * len(chunks), kind=kinds, levels=back)
 
     return run
@@ -497,8 +533,9 @@ def _score_chunks(segments: int, model: tuple[float, int]) -> Callable:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row, own in _groups(batches, "row"):
             chunk = _chunk(own[0], segments)
-            found = [b"".join(r["levels"] for r in own if r["kind"] == kind) for kind in (WORDS, TYPES, PAIRS)]
-            score = chunk.scores(*(np.frombuffer(x, np.uint8).astype(np.int64) for x in found), model)
+            none = np.zeros(0, U)
+            found = (np.concatenate([none, *(_unpacked(r["levels"]) for r in own if r["kind"] == kind)]) for kind in (WORDS, TYPES, PAIRS))
+            score = chunk.scores(*(x.astype(np.int64) for x in found), model)
             yield pa.RecordBatch.from_arrays([pa.array(row + np.arange(score.size)), pa.array(score)], names=["row", "score"])
 
     return run
@@ -558,7 +595,7 @@ def lm_scores(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", k
     )
     if not filters:
         coded = prepared.filter("keys is not null").select("row", "keys", "sizes", "codes")
-        scores = _scores_by_segment(coded, built, segments, model)
+        scores = stored(_scores_by_segment(coded, built, segments, model), "scores")
         parts = parts.union(scores.select("row", F.lit(0).cast("long"), F.lit(0.0), "score"))
     sums = parts.groupBy("row").agg(*[F.sum(name).alias(name) for name in ("times", "part", "more")])
     out = F.crc32(F.col("doc_id").cast("string")) % 7 == 2
