@@ -5,6 +5,7 @@ from __future__ import annotations
 import base64
 import hashlib
 import random
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -12,7 +13,7 @@ import numpy as np
 import public_tokenizers
 import pytest
 
-from tidemark.llm import byte_bpe, id_coder, packing, token_files
+from tidemark.llm import byte_bpe, id_coder, packing, token_files, word_ids
 from tidemark.llm.word_ids import WordIds
 
 SCHEMA = "doc_id long, text string, start string, ids string"
@@ -55,6 +56,17 @@ def test_words_encode_as_whole_texts(tokenizer):
         assert np.array_equal(np.frombuffer(words.of(text), "<u2"), expected_ids(tokenizer, text))
 
 
+def test_words_are_kept_once_and_within_bounds(tokenizer, monkeypatch):
+    words = WordIds(packing.default_vocabulary())
+    before = len(words)
+    words.of("Alpha alpha ALPHA\nalpha, Alpha,")
+    assert len(words) + len(words.older) - before == 3  # the word, the sign, and both together
+    monkeypatch.setattr(word_ids, "KEEP", 40)
+    for text in [*fuzz(300, 40, 7), "alpha, Beta's 中 Alpha", "alpha beta", "\u00a0 \x1f a\x0bb À×ß.", ""]:
+        assert np.array_equal(np.frombuffer(words.of(text), "<u2"), expected_ids(tokenizer, text))
+        assert len(words) + len(words.older) < 40 + 4 * 90  # and the words and pieces of two texts
+
+
 @pytest.mark.parametrize("shape", [(1, 1), (3, 10), (40, 300), (5, 2048)])
 @pytest.mark.parametrize("kind", ["random", "few", "constant", "extreme"])
 def test_coder_round_trip(shape, kind):
@@ -72,6 +84,19 @@ def test_coder_round_trip(shape, kind):
         assert sum(map(len, codes)) < rows.size
 
 
+def test_coding_a_group_takes_little_memory():
+    ids = np.random.default_rng(4).integers(0, 300, token_files.GROUP_IDS).astype("<u2")
+    tracemalloc.start()
+    try:
+        group = token_files.write_group([1], [ids.size], ids)
+        ((_, _, back),) = token_files.read_groups(group + b"\n")
+        peak = tracemalloc.get_traced_memory()[1]
+    finally:
+        tracemalloc.stop()
+    assert np.array_equal(back, ids)
+    assert peak < 160 << 20
+
+
 def test_damage_is_noticed():
     ids = np.arange(5000, dtype=np.int64) % 700
     group = token_files.write_group([1, None], [4000, 1000], ids)

@@ -51,36 +51,39 @@ def _tables(rows: np.ndarray, slots: tuple[np.ndarray, np.ndarray], size: int) -
     ``rows``: the ids; those before position ``size`` count.
     """
     lanes = rows.shape[0]
-    empty = np.zeros(lanes * SLOTS, np.int64)
+    none = lanes * SLOTS  # the place of no context
     if not size:
+        empty = np.zeros(none, np.int64)
         return empty, empty
-    offset = (np.arange(lanes, dtype=np.int32) * SLOTS)[:, None]
+    offset = (np.arange(lanes) * SLOTS)[:, None]
     key = (rows[:, :size] + 1).ravel()
     found = []
-    for order in (0, 1):
-        at = (offset + slots[order][:, :size]).ravel()
-        last = np.zeros(lanes * SLOTS, np.int32)
+    for own in slots:
+        at = (offset + own[:, :size]).ravel()
+        last = np.zeros(none + 1, np.int32)
         last[at] = key  # of equal places the last one stays
-        total = np.bincount(at, minlength=last.size)
-        match = np.bincount(at[last.take(at) == key], minlength=last.size)
+        total = np.bincount(at, minlength=none + 1)
+        match = np.bincount(at, last.take(at) == key, none + 1)
         found.append((at, last, match, total))
     (at1, last1, match1, total1), (at2, last2, match2, total2) = found
-    below = np.zeros(lanes * SLOTS, np.int32)
+    below = np.full(none + 1, none)
     below[at2] = at1  # the order 1 context of each order 2 context
-    some1, some2 = np.flatnonzero(total1), np.flatnonzero(total2)
 
-    def entries(some: np.ndarray, last: np.ndarray, match: np.ndarray, total: np.ndarray) -> np.ndarray:
-        table = empty.copy()
-        mass = match * float(TOTAL * 63 // 64) / (total + WEIGHTS[0])
-        table[some] = mass.astype(np.int64) << 17 | last
-        return table
+    def entries(last: np.ndarray, match: np.ndarray, total: np.ndarray) -> np.ndarray:
+        mass = match * float(TOTAL * 63 // 64)
+        mass /= total + WEIGHTS[0]
+        table = mass.astype(np.int64)
+        table <<= 17
+        table |= last
+        return table[:none]
 
-    one = entries(some1, last1[some1], match1[some1] * WEIGHTS[1], total1[some1] * WEIGHTS[1])
-    under = below[some2]
-    key2 = last2[some2]
-    match = match2[some2] * WEIGHTS[2] + match1[under] * WEIGHTS[1] * (last1[under] == key2)
-    total = total2[some2] * WEIGHTS[2] + total1[under] * WEIGHTS[1]
-    return one, entries(some2, key2, match, total)
+    match1 *= WEIGHTS[1]
+    total1 *= WEIGHTS[1]
+    match2 *= WEIGHTS[2]
+    match2 += match1.take(below) * (last1.take(below) == last2)
+    total2 *= WEIGHTS[2]
+    total2 += total1.take(below)
+    return entries(last1, match1, total1), entries(last2, match2, total2)
 
 
 class _Order0:
@@ -206,14 +209,13 @@ def encode(rows: np.ndarray) -> list[bytes]:
 
 
 def decode(codes: list[bytes], steps: int) -> np.ndarray:
-    """The rows that encode() was given."""
+    """The rows that encode() was given. Damaged codes give wrong rows; checksums are the caller's."""
     lanes = len(codes)
     width = max(len(code) for code in codes) // 2 + 4
     words = np.zeros((lanes, width), U)
     for i, code in enumerate(codes):
         words[i, : len(code) // 2] = np.frombuffer(code, "<u2")
     flat, at = words.ravel(), np.arange(lanes) * width
-    end = at + width - 1
     value = np.zeros(lanes, U)
     for _ in range(3):
         value = value << SIXTEEN | flat.take(at)
@@ -232,8 +234,9 @@ def decode(codes: list[bytes], steps: int) -> np.ndarray:
         base, each, top = np.arange(lanes) * (a + 1), order0.each, order0.top
         done = np.empty((b - a, lanes), np.int32)
         for t in range(b - a):
-            entry = table2.take(offset + ((one + before) >> 4 & (SLOTS - 1)))
-            entry = np.where(entry > 0, entry, table1.take(offset + (one >> 4 & (SLOTS - 1))))
+            entry = table2.take(offset + ((one + before) >> 4 & (SLOTS - 1)), mode="clip")
+            bare = np.flatnonzero(entry == 0)
+            entry[bare] = table1.take(offset[bare] + (one[bare] >> 4 & (SLOTS - 1)), mode="clip")
             mass = entry >> 17
             unit = range_ >> bits
             slot = np.minimum((value / unit).astype(np.int64), TOTAL - 1)
@@ -242,7 +245,7 @@ def decode(codes: list[bytes], steps: int) -> np.ndarray:
             hit = beyond < 0
             share = ((beyond << 16) + 65535) / rest
             place = base + np.minimum(np.maximum(share, 0).astype(np.int64) // each, a)
-            place = entries0.take(place)
+            place = entries0.take(place, mode="clip")
             low, own = place >> 16 & 0x1FFFF, place >> 33
             begin = rest * low >> 16
             wide = (rest * (low + own) >> 16) - begin
@@ -263,12 +266,12 @@ def decode(codes: list[bytes], steps: int) -> np.ndarray:
             short = range_ < LOW
             shift = short * SIXTEEN
             value <<= shift
-            value += flat.take(np.minimum(at, end)) * short
+            value += flat.take(at, mode="clip") * short
             at += short
             range_ <<= shift
             more = np.flatnonzero(range_ < LOW)
             while more.size:
-                value[more] = (value[more] << SIXTEEN) + flat[np.minimum(at[more], end[more])]
+                value[more] = (value[more] << SIXTEEN) + flat.take(at[more], mode="clip")
                 at[more] += 1
                 range_[more] <<= SIXTEEN
                 more = more[range_[more] < LOW]

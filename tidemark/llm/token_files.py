@@ -26,7 +26,7 @@ from .word_ids import as_array, word_ids
 
 MAGIC = b"TID1"
 HEADER, ENTRY = struct.Struct("<4sIIQI"), struct.Struct("<III")
-GROUP_IDS = 3072 * BLOCK  # ids from which on a group is closed
+GROUP_IDS = 1536 * BLOCK  # ids from which on a group is closed; coding takes some 45 bytes for each
 GROUPS_PER_FILE = 8
 
 
@@ -149,7 +149,9 @@ def read_token_files(spark: SparkSession, folder: str) -> DataFrame:
     for r in rows.groupBy("path").agg(F.sum("n_tokens").alias("n")).orderBy("path").collect():
         before.append((r["path"], total))
         total += r["n"]
-    offsets = spark.createDataFrame(before, "path string, before long")
+    # as an Arrow table it is made without Python workers
+    paths, counts = (pa.array([row[i] for row in before], kind) for i, kind in enumerate((pa.string(), pa.int64())))
+    offsets = spark.createDataFrame(pa.table({"path": paths, "before": counts}))
     return rows.join(F.broadcast(offsets), "path").select(
         "doc_id", (F.col("start") + F.col("before")).alias("start"), "n_tokens", "ids_crc32"
     )
