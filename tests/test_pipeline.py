@@ -4,9 +4,10 @@ import json
 import random
 from datetime import date, datetime, timezone
 from decimal import Decimal
+from pathlib import Path
 
 import pytest
-from helpers import at, bar, day, tuples
+from helpers import at, bar, day, plan_of, tuples
 
 from tidemark.plans import consumer, marts, pipeline, refresh, silver
 from tidemark.plans.ingest import ingest
@@ -14,7 +15,8 @@ from tidemark.plans.ingest import main as ingest_main
 from tidemark.plans.refresh import MACRO, PRICES, read_silver, rebuild_silver, refresh_silver
 from tidemark.quality import suite
 from tidemark.quality.checks import QualityError
-from tidemark.schemas import MACRO_FEED, PRICES_FEED
+from tidemark.schemas import MACRO_FEED, PRICE_BAR_FIELDS, PRICES_FEED
+from tidemark.session import shared_dir
 from tidemark.sources.bronze import IngestionError, land
 from tidemark.sources.files import exists
 from tidemark.sources.samples import write_samples
@@ -317,6 +319,59 @@ def test_marts_keep_months_that_nothing_changes(spark, tmp_path):
     assert found["daily_price_summary"].filter("trade_date = '2026-02-20'").first()["close_price"] == 99
 
 
+def test_merges_mark_what_they_change(spark, pulls, tmp_path):
+    """Rows marked by merges are those that a comparison of the versions finds; after a rebuild it does compare."""
+    warehouse, fields = Warehouse(str(tmp_path)), list(PRICE_BAR_FIELDS)
+
+    def values():
+        return {tuple(r)[:2]: tuple(r)[2:] for r in read_silver(spark, PRICES, warehouse).select(*PRICES.keys, *fields).collect()}
+
+    def changed(version):
+        found = warehouse.changed(spark, PRICES.name, version, PRICES.keys, fields)
+        return plan_of(found), sorted((r.ticker, r.trade_date) for r in found.filter("NOT gone").collect())
+
+    states = []
+    for n in (3, 1, 4, 3, 2):
+        refresh_silver(spark, pulls, PRICES, warehouse, pull_day(n), pull_day(n))
+        states.append(values())
+    steps = [{k for k in new if old.get(k) != new[k]} for old, new in zip(states, states[1:])]
+    assert steps[0] and steps[1] and not steps[2]
+    for n in range(len(states)):
+        plan, found = changed(f"r{n:08d}")
+        assert "Exchange" not in plan and found == sorted(set().union(*steps[n:])), n
+    assert "_changed_in" not in read_silver(spark, PRICES, warehouse).columns
+    rebuild_silver(spark, pulls, PRICES, warehouse)
+    plan, found = changed("r00000000")
+    assert "Exchange" in plan and found == sorted(k for k, v in values().items() if states[0].get(k) != v)
+
+
+def test_a_refresh_shuffles_rows_once_and_leaves_no_scratch(spark, pulls, tmp_path, monkeypatch):
+    """Merged prices and the summary over them are written where one shuffle by ticker puts them."""
+    warehouse, plans, laid_out = Warehouse(str(tmp_path)), [], tables_module.laid_out
+
+    def watched(df, *arguments):
+        made = laid_out(df, *arguments)
+        plans.append((set(df.columns), plan_of(made)))
+        return made
+
+    snapshot = pipeline.company_snapshot(warehouse)
+    snapshot.run(companies(spark), at("2025-01-01"))
+    company = silver.dim_company(snapshot.history(spark))
+    refresh_silver(spark, pulls, MACRO, warehouse)
+    monkeypatch.setattr(tables_module, "laid_out", watched)
+    for n in (1, 2):
+        scratch = set(Path(shared_dir(spark).removeprefix("file:")).glob("tidemark/*"))
+        refresh_silver(spark, pulls, PRICES, warehouse, pull_day(n), pull_day(n))
+        assert set(Path(shared_dir(spark).removeprefix("file:")).glob("tidemark/*")) == scratch
+        marts.build_marts(spark, warehouse, snapshot, company, incremental=True)
+    for column in ("last_updated_at", "ma_30d"):
+        first, second = (plan for columns, plan in plans if column in columns)
+        assert first.count("Exchange hashpartitioning") == 1 and "REBALANCE" not in first
+        # the others of touched periods, of tickers without a change, are all that is rebalanced
+        assert second.count("Exchange hashpartitioning(ticker") == 1
+        assert second.count("Exchange hashpartitioning") - second.count("REBALANCE") == 1
+
+
 def pulled_macro(spark, bronze):
     rows = [("GDP", json.dumps({"observations": [{"date": "2026-01-01", "value": "1"}]}))]
     land(spark.createDataFrame(rows, "series_id string, raw_payload string"), bronze, MACRO_FEED, datetime(2026, 12, 1, tzinfo=timezone.utc))

@@ -2,23 +2,18 @@
 
 from __future__ import annotations
 
-import contextlib
 import shutil
 import tempfile
 import uuid
-from collections.abc import Iterator
 from pathlib import Path
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.session import configure, shared_dir
+from tidemark.session import CLEANUP, configure, shared_dir, shuffles_removed  # noqa: F401
 
 _shipped: set[str] = set()
 
-#: Setting by which Spark removes the shuffle files of a query when it ends.
-CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
-
 WORD_GAP = r"[ \t\n\x0B\f\r]+"  # what lies between words, as a Java pattern
 
 
@@ -49,20 +44,6 @@ def new_folder(spark: SparkSession, name: str) -> str:
     return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
 
 
-@contextlib.contextmanager
-def shuffles_removed(spark: SparkSession) -> Iterator[None]:
-    """Queries run inside leave no shuffle files; else these stay until the driver collects its garbage."""
-    before = spark.conf.get(CLEANUP, None)
-    spark.conf.set(CLEANUP, "true")
-    try:
-        yield
-    finally:
-        if before is None:
-            spark.conf.unset(CLEANUP)
-        else:
-            spark.conf.set(CLEANUP, before)
-
-
 def stored(df: DataFrame, name: str) -> DataFrame:
     """Write and read back: cuts the lineage, survives lost executors, and keeps column pruning.
 

@@ -4,10 +4,15 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 
+def newest_first(keys: Sequence[str], recency: str, tie_break: Sequence[str] = ()) -> WindowSpec:
+    """The rows of a key from the most recent one on, as ``latest_by`` ranks them."""
+    return Window.partitionBy(*keys).orderBy(*[F.col(name).desc_nulls_last() for name in (recency, *tie_break)])
+
+
 def latest_by(
     df: DataFrame, keys: Sequence[str], recency: str, tie_break: Sequence[str] = ()
 ) -> DataFrame:
@@ -18,6 +23,5 @@ def latest_by(
     the shuffle: every map task sends on at most one row per key, so a key that holds a large
     share of all rows costs one row per map task, not a partition.
     """
-    newest_first = [F.col(name).desc_nulls_last() for name in (recency, *tie_break)]
-    ranked = Window.partitionBy(*keys).orderBy(*newest_first)
+    ranked = newest_first(keys, recency, tie_break)
     return df.withColumn("_rank", F.row_number().over(ranked)).filter("_rank = 1").drop("_rank")

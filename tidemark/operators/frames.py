@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def row_frames(rows: DataFrame, changed: DataFrame, key: str, order: str, before: int) -> DataFrame:
+def row_frames(
+    rows: DataFrame, changed: DataFrame, key: str, order: str, before: int, touched: DataFrame | None = None
+) -> DataFrame:
     """The rows whose frame of ``before`` rows up to themselves holds a changed row, marked by
     ``dependent``, together with all rows of those frames, which are not marked themselves.
 
@@ -17,8 +19,9 @@ def row_frames(rows: DataFrame, changed: DataFrame, key: str, order: str, before
     and the last of them are kept: window functions over the result are right for dependent rows.
     Marks travel beside the rows, so there is one shuffle by key after the semi join, and window
     functions by key and order over the result need none; a window partition holds one key's rows.
+    ``touched``: the distinct keys of ``changed`` if they are stored; being few, they may be broadcast.
     """
-    touched = changed.select(key).distinct()
+    touched = changed.select(key).distinct() if touched is None else touched
     own = rows.join(touched, key, "left_semi").withColumn("_changed", F.lit(None).cast("boolean"))
     marks = changed.select(key, order, F.lit(True).alias("_changed"))
     both = own.withColumn("_row", F.lit(True)).unionByName(marks.withColumn("_row", F.lit(False)), allowMissingColumns=True)

@@ -22,7 +22,7 @@ from tidemark.plans import gold
 from tidemark.plans.refresh import MACRO, PRICES, read_silver
 from tidemark.quality.checks import check_table
 from tidemark.schemas import PRICE_BAR_FIELDS
-from tidemark.session import materialized
+from tidemark.session import held, materialized
 from tidemark.sources.snapshots import SnapshotTable, time_of
 from tidemark.sources.tables import MONTHLY, PERIOD, YEARLY, Warehouse, with_period
 
@@ -51,7 +51,8 @@ def _periods(dates: DataFrame, name: str) -> set[str]:
 
 def _rebuild(warehouse: Warehouse, name: str, rows: DataFrame, sources: dict[str, str]) -> None:
     placed = with_period(rows, "trade_date", PERIOD_OF[name])
-    warehouse.replace(placed, name, [PERIOD], SORTED_BY[name], sources, partial(check_table, table=name))
+    # the summary is written as the windows leave it, partitioned by ticker; the daily marts are small
+    warehouse.replace(placed, name, [PERIOD], SORTED_BY[name], sources, partial(check_table, table=name), in_place=name == SUMMARY)
 
 
 def _put(spark: SparkSession, warehouse: Warehouse, name: str, rows: DataFrame, replaced: DataFrame, keys: list[str], sources: dict[str, str]) -> None:
@@ -65,17 +66,29 @@ def _put(spark: SparkSession, warehouse: Warehouse, name: str, rows: DataFrame,
 
 
 def _summary(spark: SparkSession, warehouse: Warehouse, built: dict[str, str], sources: dict[str, str]) -> bool:
-    """Refresh the summary; False if it has to be built anew."""
+    """Refresh the summary; False if it has to be built anew.
+
+    Keys alone tell the periods that hold a dependent row. Their rows are computed again for every ticker
+    with a change, dependent or not, and copied for the others: telling them apart row by row would
+    shuffle the stored summary by key, and most rows of such a ticker may depend on a change.
+    """
     changed = warehouse.changed(spark, PRICES.name, built.get(PRICES.name), PRICES.keys, list(PRICE_BAR_FIELDS))
     if changed is None:
         return False
-    changed = materialized(changed)
-    if not changed.filter("gone").isEmpty():
-        return False
-    frames = row_frames(read_silver(spark, PRICES, warehouse), changed, *PRICES.keys, FRAME)
-    # the metrics stay in the frames' partitions; what is written once more is what is stored anyway
-    rows = materialized(gold.daily_price_summary(frames, ["dependent"]).filter("dependent").drop("dependent"))
-    _put(spark, warehouse, SUMMARY, rows, rows, PRICES.keys, sources)
+    with held(changed) as changed:
+        if not changed.filter("gone OR ticker IS NULL OR trade_date IS NULL").isEmpty():
+            return False
+        with held(changed.select("ticker").distinct()) as tickers:
+            prices = read_silver(spark, PRICES, warehouse)
+            frames = row_frames(prices.select(*PRICES.keys), changed, *PRICES.keys, FRAME, tickers)
+            periods = _periods(frames.filter("dependent"), SUMMARY)
+            computed = gold.daily_price_summary(prices.join(tickers, "ticker", "left_semi"))
+            rows = with_period(computed, "trade_date", PERIOD_OF[SUMMARY]).filter(F.col(PERIOD).isin(periods))
+            others = warehouse.read(spark, SUMMARY, periods).join(tickers, "ticker", "left_anti")
+            both = rows.unionByName(others.hint("rebalance", F.col(PERIOD)))
+            warehouse.replace_periods(
+                both, SUMMARY, periods, SORTED_BY[SUMMARY], sources, partial(check_table, table=SUMMARY), in_place=True
+            )
     return True
 
 

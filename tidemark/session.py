@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import contextlib
 import tempfile
 import uuid
-from collections.abc import Mapping
+from collections.abc import Iterator, Mapping
 
 from pyspark.sql import DataFrame, DataFrameWriter, SparkSession
 
+from tidemark.sources.files import remove
+
 # Settings that change results, so they are applied to any session we are handed.
 SEMANTICS = {
     "spark.sql.session.timeZone": "UTC",
@@ -24,6 +27,9 @@ TUNING = {
     "spark.ui.enabled": "false",
 }
 
+#: Setting by which Spark removes the shuffle files of a query when it ends.
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
 
 def configure(spark: SparkSession) -> SparkSession:
     """Pin the settings our results depend on, whoever created the session."""
@@ -65,8 +71,37 @@ def compact(writer: DataFrameWriter) -> DataFrameWriter:
     return writer.option("compression", "zstd")
 
 
+@contextlib.contextmanager
+def shuffles_removed(spark: SparkSession) -> Iterator[None]:
+    """Queries run inside leave no shuffle files; else these stay until the driver collects its garbage."""
+    before = spark.conf.get(CLEANUP, None)
+    spark.conf.set(CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(CLEANUP)
+        else:
+            spark.conf.set(CLEANUP, before)
+
+
+def _written(df: DataFrame) -> tuple[DataFrame, str]:
+    path = f"{shared_dir(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
+    with shuffles_removed(df.sparkSession):
+        compact(df.write).parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path), path
+
+
 def materialized(df: DataFrame) -> DataFrame:
     """Evaluate once: write to the shared folder and read back. Survives the loss of executors."""
-    path = f"{shared_dir(df.sparkSession)}/tidemark/{uuid.uuid4().hex}"
-    compact(df.write).parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    return _written(df)[0]
+
+
+@contextlib.contextmanager
+def held(df: DataFrame) -> Iterator[DataFrame]:
+    """``materialized`` while the block runs: its files go at the end, so nothing read later may come from it."""
+    rows, path = _written(df)
+    try:
+        yield rows
+    finally:
+        remove(df.sparkSession, path)

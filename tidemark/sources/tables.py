@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidemark.session import compact
+from tidemark.session import compact, shuffles_removed
 from tidemark.sources.files import children, exists, read_text, remove, unmark, write_text
 
 # Which layer a table belongs to, and what consumers call the layers in SQL.
@@ -44,15 +44,25 @@ def with_period(df: DataFrame, date: str, period: str) -> DataFrame:
 
 KEPT_VERSIONS = 8  # of a table; what depends on an older one is built anew
 
+# Stored beside the rows of merged tables and not among their columns: number of the version that brought a row's values.
+CHANGED = "_changed_in"
+
+
+def number_of(version: str) -> int:
+    return int(version.removeprefix("r"))
+
 
 @dataclass(frozen=True)
 class Version:
-    """A published state of a table: the folders that hold its rows, and what it was built from."""
+    """A published state of a table: the folders that hold its rows, and what it was built from.
+
+    Since version ``marked_since`` rows were only added or replaced, and those that were are marked."""
 
     name: str
     schema: T.StructType
     folders: list[str]
     sources: dict[str, str]
+    marked_since: str
 
     def folder_of(self) -> dict[str, str]:
         """Period -> folder; the whole table is the one period "" if it is stored without periods."""
@@ -88,7 +98,13 @@ class Warehouse:
             return None
         stored = json.loads(read_text(spark, f"{self.published(table)}/{name or names[-1]}.json"))
         schema = T.StructType.fromJson(stored["schema"])
-        return Version(stored["version"], schema, stored["folders"], stored["sources"])
+        marked_since = stored.get("marked_since", stored["version"])
+        return Version(stored["version"], schema, stored["folders"], stored["sources"], marked_since)
+
+    def next_name(self, spark: SparkSession, table: str) -> str:
+        """What the next version will be called."""
+        names = self.versions(spark, table)
+        return f"r{number_of(names[-1]) + 1 if names else 0:08d}"
 
     def read(
         self,
@@ -104,6 +120,13 @@ class Warehouse:
         folders = [f for period, f in version.folder_of().items() if periods is None or period in periods]
         return self._rows(spark, table, version.schema, folders)
 
+    def read_marked(self, spark: SparkSession, table: str, periods: Collection[str]) -> DataFrame:
+        """``read`` with the number of the version that brought a row's values, -1 if it came before there were marks."""
+        version = self.version(spark, table)
+        folders = [f for period, f in version.folder_of().items() if period in periods]
+        rows = self._rows(spark, table, _marked(version.schema), folders)
+        return rows.withColumn(CHANGED, F.coalesce(CHANGED, F.lit(-1)))
+
     def newest(self, spark: SparkSession, table: str, rows: int) -> DataFrame:
         """The newest periods that together hold ``rows`` rows, or all of them.
 
@@ -135,13 +158,14 @@ class Warehouse:
         sort_by: Sequence[str] = (),
         sources: Mapping[str, str] | None = None,
         audit: Callable[[DataFrame], None] | None = None,
+        in_place: bool = False,
     ) -> DataFrame:
         """Rebuild a table in full and return the stored rows.
 
         ``audit`` gets the written rows before they are published; if it raises, the version before
-        stays the newest one.
+        stays the newest one. ``in_place``: rows are written by the tasks that made them, see ``laid_out``.
         """
-        return self._publish(df, table, partition_by, sort_by, [], sources, audit)
+        return self._publish(df, table, partition_by, sort_by, [], sources, audit, in_place)
 
     def replace_periods(
         self,
@@ -151,12 +175,17 @@ class Warehouse:
         sort_by: Sequence[str] = (),
         sources: Mapping[str, str] | None = None,
         audit: Callable[[DataFrame], None] | None = None,
+        in_place: bool = False,
     ) -> DataFrame:
-        """Replace all rows of ``periods`` by ``df``; the folders of other periods are taken over."""
+        """Replace all rows of ``periods`` by ``df``; the folders of other periods are taken over.
+
+        If ``df`` has marks (``CHANGED``), it holds all keys of those periods and says which have new values.
+        """
         current = self.version(df.sparkSession, table)
         others = current.folder_of() if current else {}
         kept = [folder for period, folder in others.items() if period not in periods]
-        return self._publish(df, table, [PERIOD], sort_by, kept, sources, audit)
+        marked_since = current.marked_since if current and CHANGED in df.columns else None
+        return self._publish(df, table, [PERIOD], sort_by, kept, sources, audit, in_place, marked_since)
 
     def _publish(
         self,
@@ -167,20 +196,22 @@ class Warehouse:
         kept: Sequence[str],
         sources: Mapping[str, str] | None,
         audit: Callable[[DataFrame], None] | None,
+        in_place: bool,
+        marked_since: str | None = None,
     ) -> DataFrame:
         spark, path = df.sparkSession, self.path(table)
-        names = self.versions(spark, table)
-        name = f"r{int(names[-1][1:]) + 1 if names else 0:08d}"
+        names, name = self.versions(spark, table), self.next_name(spark, table)
         # whatever the session is set to; the folder holds at most what a writer left that died
-        writer = compact(laid_out(df, partition_by, sort_by).write).mode("overwrite").option("partitionOverwriteMode", "static")
+        writer = compact(laid_out(df, partition_by, sort_by, in_place).write).mode("overwrite").option("partitionOverwriteMode", "static")
         if partition_by:
             writer = writer.partitionBy(*partition_by)
-        writer.parquet(f"{path}/v={name}")
+        with shuffles_removed(spark):
+            writer.parquet(f"{path}/v={name}")
         written = [f"v={name}"]
         if partition_by:
             found = children(spark, f"{path}/v={name}")
             written = sorted(f"v={name}/{child}" for child in found if child.startswith(f"{PERIOD}="))
-        schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema])
+        schema = T.StructType([T.StructField(f.name, f.dataType) for f in df.schema if f.name != CHANGED])
         if not written and not kept:
             # no rows, no folders: an empty file tells catalog views the schema
             written = [f"v={name}/{PERIOD}={UNDATED}"]
@@ -188,8 +219,11 @@ class Warehouse:
             empty.coalesce(1).write.mode("overwrite").parquet(f"{path}/{written[0]}")
         if audit:
             audit(self._rows(spark, table, schema, written))
-        version = Version(name, schema, [*kept, *written], dict(sources or {}))
-        text = {"version": name, "schema": schema.jsonValue(), "folders": version.folders, "sources": version.sources}
+        version = Version(name, schema, [*kept, *written], dict(sources or {}), marked_since or name)
+        text = {
+            "version": name, "schema": schema.jsonValue(), "folders": version.folders,
+            "sources": version.sources, "marked_since": version.marked_since,
+        }
         write_text(spark, f"{self.published(table)}/{name}.json", json.dumps(text))
         self._forget(spark, table, [*names, name])
         return self.read(spark, table, version=version)
@@ -211,7 +245,14 @@ class Warehouse:
     ) -> DataFrame | None:
         """Keys whose ``columns`` differ between version ``since`` and the newest one, and ``gone``,
         true for keys that are no more; None if that version is not kept. Only folders that one of
-        the two versions lists are read, one row per key on both sides."""
+        the two versions lists are read, one row per key on both sides.
+
+        If only merges lie between the two, the marked rows of the newest version tell, and nothing is
+        shuffled: then keys whose other values differ, or differed in between, are among those returned."""
+        before, after = self.version(spark, table, since) if since else None, self.version(spark, table)
+        if before and after and after.marked_since <= before.name:
+            rows = self._rows(spark, table, _marked(after.schema), [f for f in after.folders if f not in before.folders])
+            return rows.filter(F.col(CHANGED) > number_of(before.name)).select(*keys, F.lit(False).alias("gone"))
         sides = self._differing(spark, table, since)
         if sides is None:
             return None
@@ -253,15 +294,23 @@ class Warehouse:
         return old, new
 
 
-def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str]) -> DataFrame:
+def _marked(schema: T.StructType) -> T.StructType:
+    return T.StructType([*schema.fields, T.StructField(CHANGED, T.IntegerType())])
+
+
+def laid_out(df: DataFrame, partition_by: Sequence[str], sort_by: Sequence[str], in_place: bool = False) -> DataFrame:
     """Arrange rows for writing.
 
     The rebalance hint brings the rows of one folder together and lets AQE choose file sizes from
     the bytes actually produced: small folders share a task, a large one is split over several.
     Sorting within files narrows the value range of each row group, so that a filter on the sort
     columns skips most of them; no order across files is needed for that, hence no global sort.
+
+    ``in_place``: no rebalance. For rows that have just been shuffled by another key, it would shuffle
+    all of them, now wider, again. A task writes one file into each folder it has rows of, and a
+    folder of any size is written by all tasks.
     """
-    spread = df.hint("rebalance", *[F.col(name) for name in partition_by])
+    spread = df if in_place else df.hint("rebalance", *[F.col(name) for name in partition_by])
     order = [*partition_by, *sort_by]
     return spread.sortWithinPartitions(*order) if sort_by else spread
 
